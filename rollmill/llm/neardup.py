@@ -7,8 +7,9 @@
    is compared with the group's smallest class. Two sets of similarity 0.8 share no band with probability under 1e-7.
 4. A candidate survives the size bound and a Jaccard estimate, corrected for register collisions, within five
    standard deviations of the threshold; then both texts are read and their full sets compared.
-5. Groups that the links so far leave in several components are compared in blocks, all pairs across components
-   that the estimate lets through; blocks are dealt over tasks, so no group is gathered anywhere.
+5. Groups that the links so far leave in several components are compared in blocks: of the pairs across components
+   that the estimate lets through, the sets' sizes in common are counted in the block, and the best link of each two components goes on to
+   the exact check. Blocks are dealt over tasks, so no group is gathered anywhere.
 6. Components of all links, by distributed star contraction.
 
 Sets are held as 64-bit hashes of shingles (see text.py).
@@ -145,9 +146,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     ends = pairs.select(F.col("u").alias("id")).unionAll(pairs.select(F.col("v").alias("id"))).distinct()
-    wanted = checkpointed(ends.join(classes.select("id", "doc_id", "n"), "id"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(small_side(wanted, wanted.count(), 64), "doc_id")
-    texts = _of_class(checkpointed(texts), width)
+    texts = _of_class(checkpointed(_texts(ends, classes, docs)), width)
     return (
         pairs.join(texts.toDF("u", "x"), "u").join(texts.toDF("v", "y"), "v")
         .select("u", "v", "x", "y")
@@ -155,6 +154,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     )
 
 
+def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, doc_id, text) of the rows that have a class's smallest doc_id."""
+    wanted = checkpointed(ids.join(classes.select("id", "doc_id"), "id"))
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.join(small_side(wanted, wanted.count(), 48), "doc_id")
+
+
 def _of_class(texts: DataFrame, width: int) -> DataFrame:
     """(id, text), one text of each class: a repeated doc_id may stand for texts of several classes."""
     mixed = texts.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
@@ -189,7 +195,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     roots = components(links)
 
     member = in_groups.where("members > 2").join(roots.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "lead", F.coalesce("root", "id").alias("root"))
-    across = checkpointed(_across(member, classes, percent))
+    across = checkpointed(_across(member, classes, docs, width, percent))
     if not across.isEmpty():
         more = _verified(across, classes, docs, width, percent)
         roots = components(links.unionAll(more))
@@ -202,26 +208,66 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", "component_id").unionAll(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _across(member: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs (u, v) of different components that share a band group, block against block."""
+def _grams(texts: DataFrame, width: int) -> DataFrame:
+    """(id, grams): the sets of classes, each hash cut to its first 32 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(s >> U64(32)).astype(np.uint32).tobytes() for p in pieces(batch.column(1)) for s in shingle_hashes(p.hashes(), p.first, width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "grams"])
+
+    return texts.select("id", "text").mapInArrow(run, "id bigint, grams binary")
+
+
+def shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Members that the sets i[k] and j[k] share: pair by pair, or by products of membership matrices when pairs are many."""
+    if len(i) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i.tolist(), j.tolist(), strict=True)], np.int64)
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, value, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    on = count[value] > 1
+    rows, value = rows[on], np.unique(value[on], return_inverse=True)[1]
+    order = np.argsort(value, kind="stable")
+    rows, value = rows[order], value[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(value[-1]) + 1 if len(value) else 0, columns):
+        a, b = np.searchsorted(value, [low, low + columns])
+        part = np.zeros((len(sets), columns), np.float32)
+        part[rows[a:b], value[a:b] - low] = 1
+        out += part @ part.T
+    return out[i, j].astype(np.int64)
+
+
+def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) across components that share a band group, to be verified: block against block, the best for each two components of a block pair."""
 
     def run(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(blocks)).combine_chunks()  # at most two blocks of members
         who, root, n, block = (rows.column(k).to_numpy() for k in ("id", "root", "n", "block"))
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
         one, two = (np.flatnonzero(block == keys[k].as_py()) for k in (1, 2))
-        u, v = [], []
+        left, right = [], []
         for i in one.tolist():
             j = two[(root[two] != root[i]) & ((who[two] > who[i]) if keys[1] == keys[2] else True)]
             j = j[plausible(sketch[i], sketch[j], n[i], n[j], percent)]
-            u.append(np.minimum(who[i], who[j]))
-            v.append(np.maximum(who[i], who[j]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) if x else pa.array([], pa.int64()) for x in (u, v)], ["u", "v"])
+            left.append(np.full(len(j), i))
+            right.append(j)
+        i, j = (np.concatenate(x or [np.zeros(0)]).astype(np.int64) for x in (left, right))
+        if len(i):
+            both = shared([np.frombuffer(g.as_py(), np.uint32) for g in rows.column("grams")], i, j)
+            margin = 100 * both - percent * (n[i] + n[j] - both)
+            a, b = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+            order = np.lexsort((-margin, b, a))
+            best = order[(np.diff(a[order], prepend=a[order[0]] - 1) != 0) | (np.diff(b[order], prepend=0) != 0)]
+            best = best[margin[best] >= 0]
+            i, j = i[best], j[best]
+        yield pa.RecordBatch.from_arrays([pa.array(f(who[i], who[j]), pa.int64()) for f in (np.minimum, np.maximum)], ["u", "v"])
 
     split = member.groupBy("band").agg(F.count("*").alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     split = split.select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    dealt = member.join(split, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
-    dealt = dealt.join(classes.select("id", "n", "sketch"), "id")
+    dealt = checkpointed(member.join(split, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int")).select("band", "id", "root", "block", "blocks"))
+    sets = _grams(_of_class(checkpointed(_texts(dealt.select("id").distinct(), classes, docs)), width), width)
+    dealt = dealt.join(classes.select("id", "n", "sketch").join(sets, "id"), "id")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch")
+    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch", "grams")
     return dealt.groupBy("band", "i", "j").applyInArrow(run, "u bigint, v bigint").distinct()
