@@ -34,7 +34,7 @@ MANTISSA_BITS = 10
 REST_BITS = 53
 BAND = 4
 #: Members of a block in step 5.
-BLOCK = 256
+BLOCK = 512
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -263,11 +263,13 @@ def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             i, j = i[best], j[best]
         yield pa.RecordBatch.from_arrays([pa.array(f(who[i], who[j]), pa.int64()) for f in (np.minimum, np.maximum)], ["u", "v"])
 
-    split = member.groupBy("band").agg(F.count("*").alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    split = split.select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    dealt = checkpointed(member.join(split, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int")).select("band", "id", "root", "block", "blocks"))
+    # all groups of one smallest component make a zone: a class goes there once, however many bands it shares
+    split = member.groupBy("band").agg(F.min("root").alias("zone"), F.max("root").alias("top")).where("zone <> top").select("band", "zone")
+    dealt = checkpointed(member.join(split, "band").select("zone", "id", "root").distinct())
+    blocks = dealt.groupBy("zone").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = checkpointed(dealt.join(blocks, "zone").withColumn("block", F.pmod(F.xxhash64("id", "zone"), F.col("blocks")).cast("int")))
     sets = _grams(_of_class(checkpointed(_texts(dealt.select("id").distinct(), classes, docs)), width), width)
     dealt = dealt.join(classes.select("id", "n", "sketch").join(sets, "id"), "id")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch", "grams")
-    return dealt.groupBy("band", "i", "j").applyInArrow(run, "u bigint, v bigint").distinct()
+    dealt = dealt.select("zone", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch", "grams")
+    return dealt.groupBy("zone", "i", "j").applyInArrow(run, "u bigint, v bigint").distinct()
