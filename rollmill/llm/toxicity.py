@@ -26,6 +26,8 @@ SPAN = 64
 #: Sequences that the field is trained on, at most.
 SEQUENCES = 8192
 EPOCHS = 30
+#: Log odds of a word without features that training met, before training.
+BIAS = -4.0
 #: A feature marks toxic words when this share of the documents that have it is toxic, and so many of them are that
 #: one feature of all is expected to be met by chance.
 LEAST_DOCS, LEAST_SHARE = 3, 0.9
@@ -35,7 +37,8 @@ SPAN_AT, PREDICT_AT = 0.5, 0.3
 
 @dataclass
 class Field:
-    weight: np.ndarray  # of the features, for toxic against clean
+    weight: np.ndarray  # of the features, for toxic against clean; 0 for those that training hasn't met
+    bias: float  # of every word
     step: np.ndarray  # step[a, b]: from tag a to tag b
     calibration: np.ndarray  # of the document features and their constant
 
@@ -105,7 +108,7 @@ def word_marginals(field: Field, piece: Piece) -> np.ndarray:
     out = np.zeros(len(piece.start))
     if not len(out):
         return out
-    score = field.weight[features(piece)].sum(1)
+    score = field.weight[features(piece)].sum(1) + field.bias
     start, end, _ = sequences(piece.first)
     live = np.arange(SPAN)[None, :] < (end - start)[:, None]
     at = start[:, None] + np.arange(SPAN)[None, :]
@@ -170,12 +173,12 @@ def fit(sample: pa.Table, totals: dict[int, int]) -> Field:
             tags_in.append(tag[rows])
             sizes_in.append((end - start)[pick])
         at += piece.hi - piece.lo
-    weight, step = np.zeros(size), np.zeros((2, 2))
+    weight, bias, step = np.zeros(size), BIAS, np.zeros((2, 2))
     if feats_in:
         ids, tags, sizes = (np.concatenate(x) for x in (feats_in, tags_in, sizes_in))
         pick = np.arange(len(ids))[:: max(1, -(-len(ids) // SEQUENCES))]
-        weight, step = _train(ids[pick], tags[pick], sizes[pick])
-    field = Field(weight.astype(np.float32), step, np.array([0.0, 0.0, 0.0]))
+        weight, bias, step = _train(ids[pick], tags[pick], sizes[pick])
+    field = Field(weight.astype(np.float32), bias, step, np.array([0.0, 0.0, 0.0]))
     rows = [document_features(word_marginals(field, p), p.first) for p, _ in whole]
     x = np.concatenate(rows) if rows else np.zeros((0, 3))
     share = {g: totals.get(g, 0) / max(1, int((toxic == bool(g)).sum())) for g in (0, 1)}
@@ -183,24 +186,27 @@ def fit(sample: pa.Table, totals: dict[int, int]) -> Field:
     return field
 
 
-def _train(ids: np.ndarray, tags: np.ndarray, sizes: np.ndarray, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def _train(ids: np.ndarray, tags: np.ndarray, sizes: np.ndarray, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float, np.ndarray]:
     """Adagrad on the conditional log-likelihood."""
     live = np.arange(SPAN)[None, :] < sizes[:, None]
-    weight, step = np.full(1 << BITS, -0.5), np.zeros((2, 2))
-    seen, seen_step = np.full(1 << BITS, 1e-8), np.full((2, 2), 1e-8)
+    weight, bias, step = np.zeros(1 << BITS), BIAS, np.zeros((2, 2))
+    seen, seen_bias, seen_step = np.full(1 << BITS, 1e-8), 1e-8, np.full((2, 2), 1e-8)
     after = live[:, 1:]
     had = np.array([[(after & (tags[:, :-1] == a) & (tags[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
     flat = ids[live].ravel()
+    met = np.bincount(flat, minlength=1 << BITS) > 0
     for _ in range(EPOCHS):
-        p, expected = marginals(np.where(live, weight[ids].sum(-1), 0), sizes, step)
+        p, expected = marginals(np.where(live, weight[ids].sum(-1) + bias, 0), sizes, step)
         off = (p - tags)[live]
-        grad = np.bincount(flat, np.repeat(off, ids.shape[-1]), 1 << BITS) + decay * weight
+        grad = np.bincount(flat, np.repeat(off, ids.shape[-1]), 1 << BITS) + decay * weight * met
         seen += grad * grad
         weight -= rate * grad / np.sqrt(seen)
+        seen_bias += off.sum() ** 2
+        bias -= 0.2 * off.sum() / np.sqrt(seen_bias)
         grad = expected - had
         seen_step += grad * grad
         step -= 0.2 * grad / np.sqrt(seen_step)
-    return weight, step
+    return weight, float(bias), step
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 25, ridge: float = 1e-2) -> np.ndarray:
