@@ -105,12 +105,11 @@ def fit(sample: pa.Table, totals: dict[int, int], rate: float = 0.3, decay: floa
     rows, where, share, at = [], [], [], 0
     for piece in pieces(sample.column("text")):
         t, w, s = buckets(piece)
-        rows.append(t + at)
-        where.append(w)
-        share.append(s)
+        rows.append((t + at).astype(np.int32))
+        where.append(w.astype(np.int32))
+        share.append(scaled(w, s).astype(np.float32))
         at += piece.hi - piece.lo
     rows, where, share = (np.concatenate(x) for x in (rows, where, share))
-    share = scaled(where, share)
     each = np.array([totals.get(int(g), 0) / max(1, int((grade == g).sum())) for g in grades])[level]
     each = each / each.mean()
     base, gaps = np.zeros(1), np.zeros(max(0, k - 1))

@@ -140,46 +140,61 @@ def _distinct(texts: pa.ChunkedArray) -> np.ndarray:
     return np.array(out, bool)
 
 
+def _with_labels(texts: pa.ChunkedArray, labels: np.ndarray) -> Iterator[tuple[Piece, np.ndarray]]:
+    """Pieces, each with its texts' labels."""
+    at = 0
+    for piece in pieces(texts, NOT_ALNUM):
+        yield piece, labels[at : at + piece.hi - piece.lo]
+        at += piece.hi - piece.lo
+
+
 def fit(sample: pa.Table, totals: dict[int, int]) -> Field:
     """Train on (grade, text), grade 1 for toxic; totals: labels of each grade, by which sample rows are weighed."""
     toxic = np.array(sample.column("grade").to_pylist(), bool)
-    whole = [(p, features(p)) for p in pieces(sample.column("text"), NOT_ALNUM)]
-    size = 1 << BITS
+    texts, size = sample.column("text"), 1 << BITS
     have = np.zeros((2, size), np.int32)
-    new = _distinct(sample.column("text"))
+    new = _distinct(texts)
+    # features are made again in each pass: those of one piece are held at a time
     at = 0
-    for piece, feats in whole:
+    for piece, own in _with_labels(texts, toxic):
+        feats = features(piece)
         text = np.repeat(np.arange(piece.hi - piece.lo), piece.count)
         key = np.unique(np.concatenate([text.astype(np.int64) * size + feats[:, k] for k in range(feats.shape[1])]))
-        key = key[new[at : at + piece.hi - piece.lo][key // size]]
-        kind = toxic[at : at + piece.hi - piece.lo][key // size].astype(np.int64)
+        key = key[new[at : at + len(own)][key // size]]
+        kind = own[key // size].astype(np.int64)
+        at += len(own)
         have += np.bincount(kind * size + key % size, minlength=2 * size).reshape(2, size).astype(np.int32)
-        at += piece.hi - piece.lo
     chance = min(max(float(toxic[new].mean()) if new.any() else 0.5, 1e-3), 0.9)
     need = max(LEAST_DOCS, np.log(max(1, int((have.sum(0) >= LEAST_DOCS).sum()))) / -np.log(chance))
     marks = (have[1] >= need) & (have[1] >= LEAST_SHARE * have.sum(0))
 
-    # sequences with a labelled word, and as many of the others three times over, evenly spread
-    feats_in, sizes_in, tags_in, at = [], [], [], 0
-    for piece, feats in whole:
-        tag = marks[feats].any(1) & np.repeat(toxic[at : at + piece.hi - piece.lo], piece.count)
-        start, end, _ = sequences(piece.first)
+    # sequences with a labelled word, and three times as many of the others, evenly spread
+    picks = []
+    for k, (piece, own) in enumerate(_with_labels(texts, toxic)):
+        tag = marks[features(piece)].any(1) & np.repeat(own, piece.count)
+        start, _, _ = sequences(piece.first)
         if len(start):
-            hot = np.add.reduceat(tag, start) > 0 if len(tag) else np.zeros(len(start), bool)
+            hot = np.add.reduceat(tag, start) > 0
             rest = np.flatnonzero(~hot)
             pick = np.sort(np.concatenate([np.flatnonzero(hot), rest[:: max(1, len(rest) // max(8, 3 * int(hot.sum())))]]))
-            rows = np.minimum(start[pick, None] + np.arange(SPAN)[None, :], len(tag) - 1)
+            picks.append(np.stack([np.full(len(pick), k), pick], 1))
+    chosen = np.concatenate(picks or [np.zeros((0, 2), np.int64)])
+    chosen = chosen[:: max(1, -(-len(chosen) // SEQUENCES))]
+    feats_in, sizes_in, tags_in = [], [], []
+    for k, (piece, own) in enumerate(_with_labels(texts, toxic)):
+        pick = chosen[chosen[:, 0] == k, 1]
+        if len(pick):
+            feats = features(piece)
+            start, end, text = sequences(piece.first)
+            rows = np.minimum(start[pick, None] + np.arange(SPAN)[None, :], len(feats) - 1)
             feats_in.append(feats[rows])
-            tags_in.append(tag[rows])
+            tags_in.append(marks[feats_in[-1]].any(-1) & own[text[pick], None])
             sizes_in.append((end - start)[pick])
-        at += piece.hi - piece.lo
     weight, bias, step = np.zeros(size), BIAS, np.zeros((2, 2))
     if feats_in:
-        ids, tags, sizes = (np.concatenate(x) for x in (feats_in, tags_in, sizes_in))
-        pick = np.arange(len(ids))[:: max(1, -(-len(ids) // SEQUENCES))]
-        weight, bias, step = _train(ids[pick], tags[pick], sizes[pick])
+        weight, bias, step = _train(*(np.concatenate(x) for x in (feats_in, tags_in, sizes_in)))
     field = Field(weight.astype(np.float32), bias, step, np.array([0.0, 0.0, 0.0]))
-    rows = [document_features(word_marginals(field, p), p.first) for p, _ in whole]
+    rows = [document_features(word_marginals(field, p), p.first) for p in pieces(texts, NOT_ALNUM)]
     x = np.concatenate(rows) if rows else np.zeros((0, 3))
     share = {g: totals.get(g, 0) / max(1, int((toxic == bool(g)).sum())) for g in (0, 1)}
     field.calibration = _logistic(x, toxic, np.where(toxic, share[1], share[0]))
