@@ -35,6 +35,8 @@ REST_BITS = 53
 BAND = 4
 #: Members of a block in step 5.
 BLOCK = 512
+#: Pairs of which a task holds the sets at once.
+PAIRS = 256
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -132,7 +134,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     """The pairs whose full sets reach the threshold. Only the texts of classes in a pair are moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, PAIRS) for whole in batches for at in range(0, whole.num_rows, PAIRS)):
             sides = []
             for k in ("x", "y"):
                 # equal neighbours (a hub's many links) are cut into shingles once
