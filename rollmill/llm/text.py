@@ -7,6 +7,7 @@ Two different words of a corpus of n distinct words collide with probability abo
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 U64 = np.uint64
 
 _bytes = np.arange(256)
@@ -71,6 +72,13 @@ class Piece:
         return hash_ranges(self.buf, self.start, self.end, lower)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and allocators keep what was freed."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
 def pieces(column: pa.Array | pa.ChunkedArray, ends_word: np.ndarray = SPACE, limit: int = PIECE_BYTES) -> Iterator[Piece]:
     """Cut a text column into pieces of about ``limit`` bytes. A null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,9 +98,12 @@ def pieces(column: pa.Array | pa.ChunkedArray, ends_word: np.ndarray = SPACE, li
         first = np.append(np.searchsorted(start, text_at), len(start))
         yield Piece(lo, hi, buf, text_at, start, end, first)
         lo = hi
+    if n:
+        del buf, text_at, edge, start, end, first
+        give_back()
 
 
-def hash_ranges(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True, block: int = 1 << 20) -> np.ndarray:
+def hash_ranges(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True, block: int = 1 << 18) -> np.ndarray:
     """64-bit hash of each byte range (ranges ascend and don't overlap), in blocks of about ``block`` bytes."""
     out, code, k = np.empty(len(start), U64), _CODE_LOWER if lower else _CODE, 0
     while k < len(start):
