@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
+#: Rows of an Arrow batch where the session leaves it at Spark's 10,000, which is too many for long texts.
+BATCH_ROWS = 1000
+
 #: Rows of a broadcast side may hold at most this many bytes in all; beyond it a shuffle join is used.
 BROADCAST_BYTES = 64 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package.
+    """Let Python workers import this package, and read texts in batches that fit beside others in an executor.
 
     On a cluster the package is installed or sent with ``--py-files``; a session that was started from
     another folder on one machine finds it through the workers' PYTHONPATH.
@@ -25,6 +28,9 @@ def ship(spark: SparkSession) -> None:
     have = env.get("PYTHONPATH", "")
     if ROOT not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) == 10_000:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
