@@ -32,3 +32,11 @@ def phase_metrics(log: DataFrame) -> DataFrame:
 
 def export_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.coalesce("quality_score", F.lit(0)).desc(), "sample_id")
+
+
+def curated(picks: DataFrame, rows: DataFrame) -> DataFrame:
+    """picks (id) against rows (id, text, quote): whether each pick is an orphan, repeated, and its quote in its text."""
+    counted = picks.groupBy("id").agg(F.count("*").alias("_n"))
+    joined = counted.join(rows.withColumn("_there", F.lit(True)), "id", "left")
+    quoted = F.coalesce(F.contains("text", "quote"), F.lit(False))
+    return joined.select("id", F.col("_there").isNull().alias("orphan"), (F.col("_n") > 1).alias("repeated"), quoted.alias("quoted"))

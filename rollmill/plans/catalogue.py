@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.ids import answer_text, collapse, phase_seed, prompt_key, rank_key, stable_id
 from rollmill.functions.session import table
-from rollmill.operators import gate, hygiene, parsing, review, rollouts, sampling
+from rollmill.operators import answers, gate, hygiene, parsing, phases, review, rollouts, sampling
 from rollmill.sources import pools
 
 SEED = 17
@@ -332,3 +332,91 @@ def review_search(spark: SparkSession, d: str) -> DataFrame:
 @_register(f"select {_KEY} as prompt_key, count(*) as n from documents group by 1 having count(*) > 1")
 def repeated_prompts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy(prompt_key(F.col("text")).alias("prompt_key")).agg(F.count("*").alias("n")).where("n > 1")
+
+
+@_register("""select doc_id, case when n_chars % 3 = 0 or doc_id % 6 = 4 then null when doc_id % 6 in (0, 5) then 'number' when doc_id % 6 = 1 then 'boolean' when doc_id % 6 = 2 then 'choice' else 'text' end as answer_type,
+    case when n_chars % 3 = 0 then null when doc_id % 6 = 0 then '$1,234' when doc_id % 6 = 1 then 'Yes' when doc_id % 6 = 2 then 'c' when doc_id % 6 = 3 then 'about ' || source when doc_id % 6 = 5 then n_chars || ' km' end as value from documents""")
+def atomic_fallback(spark: SparkSession, d: str) -> DataFrame:
+    response = F.expr("case doc_id % 6 when 0 then '$1,234' when 1 then ' Yes ' when 2 then '`c`' when 3 then concat('about ', source) when 4 then concat(text, repeat('x', 121)) else concat(n_chars, ' km') end")
+    found = answers.literal_answer(response, F.when(F.col("n_chars") % 3 != 0, "no_answer").otherwise("extracted"))
+    return table(spark, d, "documents").select("doc_id", found["answer_type"].alias("answer_type"), found["value"].alias("value"))
+
+
+@_register("""select doc_id, case doc_id % 6 when 0 then case when doc_id % 5 = 0 then 0.0 else 1.0 end when 1 then 1.0
+    when 2 then case when n_chars % 7 = 0 then null when n_chars % 7 = 1 then 0.0 when n_chars % 5 < 3 then 1.0 when n_chars % 5 = 3 then 0.0 end
+    when 5 then case n_chars % 3 when 0 then 1.0 else 0.0 end end::double as score from documents""")
+def typed_answers(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").withColumns({k: F.expr(v) for k, v in {
+        "gold_type": "case doc_id % 6 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then 'equation' else 'set' end",
+        "type": "case doc_id % 6 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then case when doc_id % 4 = 0 then 'expression' else 'equation' end else 'set' end",
+        "gold": "case doc_id % 6 when 0 then 'True' when 1 then 'B' when 2 then string(n_chars) when 3 then text when 4 then concat('x=', n_chars) else concat('{', n_chars, ', 2, 1/2}') end",
+        "value": """case doc_id % 6 when 0 then case when doc_id % 5 = 0 then 'false' else ' TRUE. ' end when 1 then 'b'
+            when 2 then case n_chars % 5 when 0 then concat(n_chars, '.0') when 1 then concat(2 * n_chars, '/2') when 2 then concat(100 * n_chars, '%') when 3 then string(n_chars + 1) else 'sqrt(2)' end
+            when 3 then text when 4 then concat('y=', n_chars) else case n_chars % 3 when 0 then concat('{0.5, 2, ', n_chars, '}') when 1 then concat('{', n_chars, ', 2}') else concat('{', n_chars, ', 2, 1/3}') end end""",
+        "gold_unit": "case when doc_id % 6 = 2 and n_chars % 7 < 3 then 'cm' end", "unit": "case n_chars % 7 when 1 then 'M' when 2 then ' CM.' end",
+    }.items()})
+    return rows.select("doc_id", answers.typed_score(*map(F.col, ("gold_type", "gold", "gold_unit", "type", "value", "unit"))).alias("score"))
+
+
+@_register("""select doc_id, case when doc_id % 7 = 0 then 'unavailable' when doc_id % 11 = 0 or doc_id % 13 = 0 then 'error' when doc_id % 5 = 0 then 'indeterminate' when n_chars % 10 >= 5 then 'passed' else 'failed' end as verification_status from documents""")
+def verification_statuses(spark: SparkSession, d: str) -> DataFrame:
+    response, error = F.expr("case when doc_id % 11 <> 0 then text end"), F.expr("case when doc_id % 13 = 0 then 'unreadable' end")
+    score = F.expr("case when doc_id % 5 <> 0 then n_chars % 10 / 10 end")
+    return table(spark, d, "documents").select("doc_id", answers.verification_status(F.col("doc_id") % 7 != 0, response, score, error, 0.5).alias("verification_status"))
+
+
+@_register("""select doc_id, case doc_id % 3 when 0 then '\\boxed{' || n_chars || '} ~ ' || n_chars when 1 then '\\frac{1}{' || n_chars || '} ~ 1/' || n_chars || ' ~ ' || n_chars
+    else 'The final answer: **' || n_chars || '**' || chr(10) || 'x = ' || n_chars || '.0 ~ The final answer: ' || n_chars || chr(10) || 'x = ' || n_chars || '.0 ~ ' || n_chars || ' ~ x = ' || n_chars || '.0 ~ ' || n_chars || '.0' end as spans from documents""")
+def answer_candidate_spans(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("n_chars").cast("string")
+    said = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\\boxed{"), n, F.lit("}"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("\\frac{1}{"), n, F.lit("}")))
+    said = said.otherwise(F.concat(F.lit("The final answer: **"), n, F.lit("**\nx = "), n, F.lit(".0")))
+    return table(spark, d, "documents").select("doc_id", F.array_join(answers.answer_spans(said), " ~ ").alias("spans"))
+
+
+@_register("""with r as (select conv_id, turn // 2 as k, min(text) as text from conversations where role = 'assistant' and turn < 6 group by all)
+    select conv_id, sha256(coalesce(string_agg(text, chr(31) order by k), '')) as texts_id, 3 - count(text) as missing from (select distinct conv_id from conversations) left join r using (conv_id) group by conv_id""")
+def critique_regroup(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations")
+    told = turns.where("role = 'assistant' and turn < 6").select("conv_id", F.floor(F.col("turn") / 2).alias("sample_index"), "text")
+    out = phases.regroup(phases.sample_requests(turns.select("conv_id").distinct(), "conv_id", 3), told, "conv_id", "text")
+    return out.select("conv_id", F.sha2(F.array_join("texts", "\x1f"), 256).alias("texts_id"), "missing")
+
+
+@_register("""select doc_id, case when doc_id % 3 = 0 and doc_id % 2 = 0 then 'again ' || source else lang end as output, lang as first_output, case when doc_id % 3 = 0 then 1 else 0 end as retry_count from documents""")
+def retry_merge(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", F.col("lang").alias("output"), (F.col("doc_id") % 3 != 0).alias("valid"))
+    again = table(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", F.concat(F.lit("again "), "source").alias("output"))
+    return phases.with_retry(rows, again, "doc_id", "valid", "output").select("doc_id", "output", "first_output", "retry_count")
+
+
+_W = "trim(regexp_replace(text, '[\\s\\x1c-\\x1f]+', ' ', 'g'))"
+
+
+@_register(f"""with t as (select doc_id, {_W} as w, trim(regexp_replace(substr(text, 11, 24), '[\\s\\x1c-\\x1f]+', ' ', 'g')) as e from documents)
+    select doc_id, e <> '' and doc_id % 5 <> 0 and (doc_id % 3 <> 0 or (length(w) - length(replace(w, e, ''))) / length(e) > 1) as anchored from t""")
+def evidence_anchoring(spark: SparkSession, d: str) -> DataFrame:
+    """An excerpt of each text as evidence, for a fifth of the texts one that isn't there."""
+    excerpt = F.when(F.col("doc_id") % 5 == 0, "no such words \u2603").otherwise(F.substring("text", 11, 24))
+    category = F.when(F.col("doc_id") % 3 == 0, "repetition").otherwise("no_new_progress")
+    return table(spark, d, "documents").select("doc_id", phases.anchored(F.array(excerpt), F.col("text"), F.lit(None).cast("string"), category).alias("anchored"))
+
+
+@_register(f"""with t as (select doc_id, text, string_split({_W}, ' ') as w from documents)
+    select doc_id, sha256(case when len(w) <= 40 then text else array_to_string(w[1:15], ' ') || chr(10) || chr(10) || '[cut]' || chr(10) || chr(10) || array_to_string(w[-24:], ' ') end) as fitted_id from t""")
+def head_tail_truncate(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.sha2(phases.fit_words(F.col("text"), 40), 256).alias("fitted_id"))
+
+
+@_register("""with t as (select doc_id, text, floor(length(text) * 0.65::double)::bigint as a, doc_id % 2 = 0 and length(text) >= 4000 as long from documents),
+    f as (select *, instr(substr(text, a + 1), chr(10) || chr(10)) as i from t) select doc_id, case when long then case when i > 0 then a + i - 1 else a end end as late_at from f""")
+def late_trace_split(spark: SparkSession, d: str) -> DataFrame:
+    category = F.when(F.col("doc_id") % 2 == 0, "no_new_progress").otherwise("repetition")
+    return table(spark, d, "documents").select("doc_id", phases.late_part_at(F.col("text"), category).alias("late_at"))
+
+
+@_register("""with n as (select doc_id, count(*) as n from labels group by 1) select n.doc_id, d.doc_id is null as orphan, n > 1 as repeated, coalesce(contains(d.text, d.source), false) as quoted from n left join documents d on d.doc_id = n.doc_id""")
+def curation_join(spark: SparkSession, d: str) -> DataFrame:
+    picks = table(spark, d, "labels").select(F.col("doc_id").alias("id"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("source").alias("quote"))
+    return review.curated(picks, rows).withColumnRenamed("id", "doc_id")

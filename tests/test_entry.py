@@ -25,5 +25,5 @@ def test_queries_against_sql(spark):
         norm = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v
         have = sorted(repr([norm(r[c]) for c in sorted(columns)]) for r in got.collect())
         want = sorted(repr([norm(r[columns.index(c)]) for c in sorted(columns)]) for r in cursor.fetchall())
-        assert have == want, name
+        assert have == want, (name, [x for x in have if x not in want][:3], [x for x in want if x not in have][:3])
     assert entry.entry(spark).count() > 0

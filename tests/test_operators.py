@@ -149,3 +149,40 @@ def test_stream_processes_each_file_once(spark, tmp_path):
         spark.range(low, low + 10).write.mode("append").parquet(source)
         process_available(spark, "id bigint", source, out, state, lambda df: df.withColumn("twice", F.col("id") * 2))
     assert spark.read.parquet(out).count() == 20
+
+
+def test_literal_answers_and_typed_scores(spark):
+    from pyspark.sql import functions as F
+
+    from rollmill.operators import answers
+
+    said = [("-3.5e2 km", "number"), ("No", "boolean"), ("`e`", "choice"), ("a\nb", "text"), ("a\nb\nc", None), ("", None), (None, None), ("x" * 121, None)]
+    rows = spark.createDataFrame(said, "said string, kind string")
+    assert all(r.kind == r.got for r in rows.select("kind", answers.literal_answer(F.col("said"), F.lit("no_answer"))["answer_type"].alias("got")).collect())
+    pairs = [("1/3", "2/6", 1.0), ("1/3", "0.33333333", 0.0), ("{1, 2}", "{2, 1}", 1.0), ("{1, 2}", "2", 0.0), ("1/0", "1/0", None), ("x=1", "1", None), ("", "1", None), (None, None, None), ("50%", "0.5", 1.0), ("{1, 1, 2}", "{1, 2, 2}", 0.0)]
+    rows = spark.createDataFrame(pairs, "gold string, value string, want double")
+    math, null = F.lit("number"), F.lit(None).cast("string")
+    got = rows.select("gold", "want", answers.typed_score(math, F.col("gold"), null, math, F.col("value"), null).alias("got")).collect()
+    assert [(r.gold, r.got) for r in got] == [(r.gold, r.want) for r in got]
+
+
+def test_regroup_counts_what_is_missing_and_orders_texts(spark):
+    from rollmill.operators import phases
+
+    keys = spark.createDataFrame([(1,), (2,)], "id long")
+    told = spark.createDataFrame([(1, 1, "b"), (1, 0, "z"), (1, 0, "a"), (3, 0, "no request")], "id long, sample_index long, text string")
+    out = {r.id: (r.texts, r.missing) for r in phases.regroup(phases.sample_requests(keys, "id", 3), told, "id", "text").collect()}
+    assert out == {1: (["a", "b"], 1), 2: ([], 3)}
+
+
+def test_evidence_has_to_occur_and_repetitions_twice(spark):
+    from pyspark.sql import functions as F
+
+    from rollmill.operators import phases
+
+    rows = spark.createDataFrame([
+        (["b  c"], "a b c d", None, "no_new_progress", True), (["b c"], "a b c d", None, "repetition", False), (["b c"], "b c b\nc", None, "repetition", True), (["a", "d"], "a b c d", None, "circular_rechecking", True),
+        (["r"], "a", "r", "unresolved_branch", True), (["r"], "a", "r", "no_new_progress", False), ([], "a", None, "no_new_progress", False), (None, None, None, "repetition", False),
+    ], "e array<string>, a string, b string, c string, want boolean")
+    got = rows.select("want", phases.anchored(F.col("e"), F.col("a"), F.col("b"), F.col("c")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
