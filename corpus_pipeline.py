@@ -21,9 +21,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id, and one row of it."""
-    kept = neardup.near_duplicates(docs, 5, 80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row of each group of near duplicates: the first by doc_id, nulls last, then by text. Texts without words all stay."""
+    return neardup.one_of_each(docs, 5, 80)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

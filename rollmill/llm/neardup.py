@@ -12,7 +12,8 @@
    the exact check. Blocks are dealt over tasks, so no group is gathered anywhere.
 6. Components of all links, by distributed star contraction.
 
-Sets are held as 64-bit hashes of shingles (see text.py).
+Sets are held as 64-bit hashes of shingles (see text.py). Rows are told apart by id and text, by a null-safe id and a 64-bit hash of
+the text: ids may be null or stand for several texts, and no numbered copy of the texts has to be written.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import checkpointed, ship, small_side
@@ -76,21 +77,32 @@ def plausible(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percen
     return (at >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    """With the id it tells rows of different ids or texts apart."""
+    return F.xxhash64(doc_id.isNull(), text.isNull(), text)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, text) of each row."""
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.select("doc_id", _key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, sketch) of each document."""
+    """(doc_id, key, n_shingles, set_hash, sketch) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, rows = [], [], []
-            for piece in pieces(batch.column(1)):
+            for piece in pieces(batch.column(2)):
                 for s in shingle_hashes(piece.hashes(), piece.first, width):
                     sizes.append(len(s))
                     keys.append(int(mix(np.array([s.sum(dtype=U64) ^ (U64(len(s)) << U64(40))], U64))[0].astype(np.int64)) if len(s) else 0)
                     rows.append(registers(s).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "n_shingles", "set_hash", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "key", "n_shingles", "set_hash", "sketch"])
 
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_shingles bigint, set_hash bigint, sketch binary")
+    return _keyed(docs).mapInArrow(run, "doc_id bigint, key bigint, n_shingles bigint, set_hash bigint, sketch binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -148,7 +160,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     ends = pairs.select(F.col("u").alias("id")).unionAll(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = _of_class(checkpointed(_texts(ends, classes, docs)), width)
+    texts = _of_class(checkpointed(_texts(ends, classes, docs)))
     return (
         pairs.join(texts.toDF("u", "x"), "u").join(texts.toDF("v", "y"), "v")
         .select("u", "v", "x", "y")
@@ -156,22 +168,25 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     )
 
 
+def _rows_of(wanted: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of ``wanted`` (doc_id, key, others) and the text of each row of that id and text; ``wanted`` is checkpointed."""
+    own = _keyed(docs).toDF("own_id", "own_key", "text")
+    side = small_side(wanted, wanted.count(), 56)
+    return own.join(side, (F.col("own_key") == F.col("key")) & F.col("own_id").eqNullSafe(F.col("doc_id"))).select(*columns, "text")
+
+
 def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, doc_id, text) of the rows that have a class's smallest doc_id."""
-    wanted = checkpointed(ids.join(classes.select("id", "doc_id"), "id"))
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.join(small_side(wanted, wanted.count(), 48), "doc_id")
+    """(id, text) of the rows that stand for their classes: the smallest id and one text of it, or a text without an id."""
+    return _rows_of(checkpointed(ids.join(classes.select("id", "doc_id", "key"), "id")), docs, ["id"])
 
 
-def _of_class(texts: DataFrame, width: int) -> DataFrame:
-    """(id, text), one text of each class: a repeated doc_id may stand for texts of several classes."""
-    mixed = texts.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
-    if mixed.isEmpty():
-        return texts.select("id", "text")
-    numbered = checkpointed(texts.join(mixed, "doc_id").withColumn("row", F.monotonically_increasing_id()))
-    whole = sketches(numbered.select(F.col("row").alias("doc_id"), "text"), width).select(F.col("doc_id").alias("row"), "set_hash")
-    right = numbered.join(whole, "row").where("id = set_hash").groupBy("id").agg(F.min("text").alias("text"))
-    return texts.join(mixed, "doc_id", "left_anti").select("id", "text").unionAll(right)
+def _of_class(texts: DataFrame) -> DataFrame:
+    """(id, text), one of each class: a row may be repeated."""
+    again = texts.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    if again.isEmpty():
+        return texts
+    again = checkpointed(again)
+    return texts.join(again, "id", "left_anti").unionAll(texts.join(again, "id").groupBy("id").agg(F.min("text").alias("text")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -180,14 +195,55 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Two documents are linked when ``100 * shared >= percent * union`` holds for their sets of distinct runs of
     ``width`` lower-cased (A-Z) words, split at ASCII white space. A text of fewer words has one run, all its words; a null,
     empty or blank text has none, is linked with nothing and stands alone. component_id is the smallest doc_id that
-    links reach; kept marks the rows of that doc_id. Repeated rows share their component; an empty table gives no
-    rows; columns other than these two are not read.
+    links reach; kept marks the component's rows of that doc_id. Rows without an id are compared as others are; a component of
+    such rows only has a null component_id, and kept marks all of them. Repeated rows share their component, rows of one
+    doc_id with other texts need not; an empty table gives no rows; columns other than these two are not read.
+    """
+    out = _labelled(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``docs`` (doc_id, text, others) for each component of near_duplicates, and every row of a text without words.
+
+    It is the component's first row by doc_id, nulls last, then by text. Of rows that have both the same one stays.
     """
+    rows = checkpointed(_labelled(docs, width, percent).select("doc_id", "key", "component_id", "root"))
+    first = rows.where("root is not null and doc_id <=> component_id").groupBy("root", "doc_id", "key").agg(F.count("*").alias("rows"))
+    first = checkpointed(first)
+    tied = checkpointed(first.groupBy("root").agg(F.count("*").alias("texts")).where("texts > 1").select("root"))
+    chosen = first
+    if not tied.isEmpty():
+        texts = _rows_of(checkpointed(first.join(tied, "root").select("root", "doc_id", "key")), docs, ["root", "doc_id"])
+        low = texts.groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+        low = low.select("root", _key(F.col("doc_id"), F.col("text")).alias("key"))
+        chosen = first.join(tied, "root", "left_anti").unionByName(first.join(low, ["root", "key"]))
+    alone = rows.where("root is null").select("doc_id", "key").distinct().withColumn("rows", F.lit(1))
+    chosen = checkpointed(chosen.select("doc_id", "key", "rows").unionAll(alone).toDF("own_id", "own_key", "rows"))
+    again = chosen.where("rows > 1")
+
+    def of(some: DataFrame) -> DataFrame:
+        side = small_side(some, some.count(), 48)
+        match = (F.col("row_key") == F.col("own_key")) & F.col("row_id").eqNullSafe(F.col("own_id"))
+        return own.join(side, match, "left_semi")
+
+    id_ = F.col("doc_id").cast("bigint")
+    own = docs.withColumns({"row_id": id_, "row_key": _key(id_, F.col("text").cast("string"))})
+    out = of(chosen.where("rows = 1"))
+    if not again.isEmpty():
+        out = out.unionByName(of(again).dropDuplicates(["row_id", "row_key"]))
+    return out.select(docs.columns)
+
+
+def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, root) of each row; root numbers the components and is null where a text has no words."""
     rows = checkpointed(sketches(docs, width))
-    classes = checkpointed(
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))  # nulls last
+    classes = (
         rows.where("n_shingles > 0").groupBy(F.col("set_hash").alias("id"))
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .agg(least.alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
+    classes = checkpointed(classes.select("id", "least.doc_id", "least.key", "n", "sketch"))
     bands = checkpointed(_bands(classes))
     groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
     groups = checkpointed(groups)
@@ -204,10 +260,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     label = classes.select("id", "doc_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     low = label.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(low, "root").select(F.col("id").alias("set_hash"), "component_id")
-    out = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "set_hash").join(label, "set_hash")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.select("doc_id", "n_shingles", "component_id").unionAll(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    label = label.join(low, "root").select(F.col("id").alias("set_hash"), "component_id", "root")
+    out = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles", "set_hash").join(label, "set_hash")
+    alone = rows.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("root"))
+    return out.select("doc_id", "key", "n_shingles", "component_id", "root").unionAll(alone)
 
 
 def _grams(texts: DataFrame, width: int) -> DataFrame:
@@ -270,7 +326,7 @@ def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     dealt = checkpointed(member.join(split, "band").select("zone", "id", "root").distinct())
     blocks = dealt.groupBy("zone").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = checkpointed(dealt.join(blocks, "zone").withColumn("block", F.pmod(F.xxhash64("id", "zone"), F.col("blocks")).cast("int")))
-    sets = _grams(_of_class(checkpointed(_texts(dealt.select("id").distinct(), classes, docs)), width), width)
+    sets = _grams(_of_class(checkpointed(_texts(dealt.select("id").distinct(), classes, docs))), width)
     dealt = dealt.join(classes.select("id", "n", "sketch").join(sets, "id"), "id")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("zone", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch", "grams")

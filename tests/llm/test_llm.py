@@ -77,6 +77,26 @@ def test_near_duplicates_against_all_pairs(spark, width):
     assert neardup.near_duplicates(frame(spark, []), width).count() == 0
 
 
+def test_near_duplicates_pick_rows_not_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    a, b, c, d, e, f = (words(rng, 60) for _ in range(6))
+    rows = [
+        (None, a), (None, a + " edit"),  # a group without ids, of different texts
+        (None, b),  # alone, without an id
+        (7, c), (7, d),  # one id, two texts that nothing links
+        (3, e), (9, e + " edit"), (9, f),  # an id that is rejected with one text and kept with the other
+        (5, b + " edit two"), (2, d), (2, d),  # ids before nulls; a repeated row
+        (None, ""), (None, None), (4, " "),
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1, "x") for k, t in rows], DOCS)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    assert got == Counter([(None, a), (5, b + " edit two"), (7, c), (3, e), (9, f), (2, d), (None, ""), (None, None), (4, " ")])
+    seen = Counter((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect())
+    assert seen[None, None, True] == 4 and seen[None, 5, False] == 1 and seen[7, 7, True] == 1 and seen[7, 2, False] == 1
+
+
 def test_shared_counts_agree():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 60, 30)).astype(np.uint32) for _ in range(12)]
