@@ -7,8 +7,8 @@ their class. So P is a distribution over known words and one unknown word for ea
 
     log10 P(text) = sum of log10 P(class | state) + log10 P(word | class, state or count), the end included.
 
-Training is truncated back-propagation in numpy: every training text gives a segment of one eighth of its words in each
-round; each partition trains from the common start, its state carried from window to window, and the parameters are averaged, weighed by words.
+Training is truncated back-propagation in numpy over every window of every training text, the state carried from the text's start. Each
+text has its turn, whole, in one of the rounds; in a round each partition trains from the common start, and the parameters are averaged, weighed by words.
 Scoring carries the state through the whole of each text. Counts of frequent words are broadcast within a fixed bound; all other words
 of a text are joined to the table of counts.
 """
@@ -36,8 +36,8 @@ ALL_CLASSES = CLASSES + ENDINGS
 SYMBOLS = VOCABULARY + ENDINGS
 #: Words whose counts are broadcast, at most: 18 bytes each.
 TABLE_WORDS = 1 << 19
-#: Each round trains on one segment of every training text, one in SHARE of its words long.
-SHARE, ROUNDS = 8, 2
+#: Rounds that training texts are dealt to; together they cover all words once.
+ROUNDS = 2
 TRAIN_LANES, TRAIN_WINDOW = 128, 32
 #: Steps of a training pass at least, where the words suffice for them.
 PASS_STEPS = 64
@@ -264,7 +264,7 @@ def text_scores(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
 
 
 def trained(p: dict[str, np.ndarray], texts: list[np.ndarray], rate: float = RATE) -> dict[str, np.ndarray]:
-    """One pass of Adam over segments of texts, window by window; the state is carried, the gradient is cut at the window's start."""
+    """One pass of Adam over texts, window by window; the state is carried, the gradient is cut at the window's start."""
     # fewer lanes for few words, so that a pass has some steps
     lanes = Lanes(texts, max(4, min(TRAIN_LANES, sum(map(len, texts)) // (PASS_STEPS * TRAIN_WINDOW))))
     one = {k: np.zeros_like(x) for k, x in p.items()}
@@ -312,8 +312,13 @@ def trained(p: dict[str, np.ndarray], texts: list[np.ndarray], rate: float = RAT
     return p
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> dict[str, np.ndarray]:
-    """Average the partitions' parameters, weighed by their words, after each round over all of docs (text)."""
+def turn_of(words: np.ndarray, rounds: int) -> int:
+    """The round in which a text is trained on, by all its words' hashes."""
+    return int(mix(np.array([words.sum(dtype=U64)], U64))[0] % U64(rounds))
+
+
+def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Average the partitions' parameters, weighed by their words, after each round; the rounds share out the texts of docs (text)."""
     spark = docs.sparkSession
     ship(spark)
     sent, p = spark.sparkContext.broadcast(v), start(v)
@@ -327,11 +332,9 @@ def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, share: int = SHA
                 for piece in pieces(batch.column(0)):
                     symbol, _, words = symbols_of(v, piece)
                     for a, b in zip(piece.first[:-1].tolist(), piece.first[1:].tolist(), strict=True):
-                        size = -(-(b - a + 1) // share)
-                        at = int(words[a] % U64(share) + U64(k)) % share * size if b > a else 0
-                        at = min(at, b - a + 1 - size)
-                        held.append(np.append(symbol[a:b], np.int16(0))[at : at + size])
-                        n += size
+                        if turn_of(words[a:b], rounds) == k:
+                            held.append(np.append(symbol[a:b], np.int16(0)))
+                            n += b - a + 1
                 if n >= HELD_WORDS:
                     p, seen, held, n = trained(p, held), seen + n, [], 0
             if n:

@@ -6,7 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.llm import components, decontam, fingerprints, licenses, lm, neardup, order, packing, quality, tokens, toxicity, warc
@@ -249,6 +251,26 @@ def test_quality(spark):
     assert quality.score_quality(docs, quality.train(docs, labels.limit(0))).where("tail_probability = 1").count() == len(texts)
 
 
+def test_training_sees_every_word_once(spark, tmp_path, monkeypatch):
+    texts = ["same " + words(random.Random(k), 30 + k) for k in range(40)] + ["", None, "same"]
+    docs = frame(spark, texts).coalesce(1)
+    v = lm.vocabulary(lm.word_counts(docs), len(texts))
+    seen, plain = str(tmp_path / "seen"), lm.trained
+
+    def spy(p, held, rate=lm.RATE):
+        with open(seen, "a") as f:
+            f.writelines(" ".join(map(str, x.tolist())) + "\n" for x in held)
+        return plain(p, held, rate)
+
+    monkeypatch.setattr(lm, "trained", spy)
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, f, schema: spark.createDataFrame(pa.Table.from_batches(list(f(iter(self.toArrow().to_batches())))).to_pandas(), schema))
+    lm.train(docs, v)
+    piece = next(pieces(pa.array(texts)))
+    symbol = lm.symbols_of(v, piece)[0]
+    want = Counter(" ".join(map(str, [*symbol[a:b].tolist(), 0])) for a, b in zip(piece.first[:-1], piece.first[1:], strict=True))
+    assert Counter(open(seen).read().splitlines()) == want
+
+
 def test_fingerprints_and_edits(spark):
     texts = corpus(6)
     got = {r.doc_id: r for r in fingerprints.with_edits(frame(spark, texts).withColumn("doc_id", F.col("doc_id") * 100)).collect()}
