@@ -1,4 +1,8 @@
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -27,3 +31,24 @@ def test_queries_against_sql(spark):
         want = sorted(repr([norm(r[columns.index(c)]) for c in sorted(columns)]) for r in cursor.fetchall())
         assert have == want, (name, [x for x in have if x not in want][:3], [x for x in want if x not in have][:3])
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("gone", [["rollmill/llm", "tests/llm"], ["rollmill/llm", "tests/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
+def test_without_the_training_data_part(tmp_path, gone):
+    """The registry in a copy of the repository that lacks these folders."""
+    root = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "repo"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json"))
+    for name in gone:
+        path = copy / name
+        if path.is_dir():
+            shutil.rmtree(path)
+            (path / "__pycache__").mkdir(parents=True)  # what an import may have left
+        elif path.exists():
+            path.unlink()
+    code = "import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); assert set(o) <= set(q); print(len(q), 'pipeline' in q, any(k.startswith('op1_') for k in q), callable(e.entry))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    n, pipeline, op1, entry = done.stdout.split()
+    assert int(n) >= 40 and pipeline == "False" and entry == "True"
+    assert op1 == str("rollmill/llm" not in gone and (root / "rollmill/llm/queries.py").exists())
