@@ -7,8 +7,9 @@ their class. So P is a distribution over known words and one unknown word for ea
 
     log10 P(text) = sum of log10 P(class | state) + log10 P(word | class, state or count), the end included.
 
-Training is truncated back-propagation in numpy over every window of every training text, the state carried from the text's start. Each
-text has its turn, whole, in one of the rounds; in a round each partition trains from the common start, and the parameters are averaged, weighed by words.
+Training is truncated back-propagation in numpy over every window of every training text, the state carried from the text's start to its
+end. Texts are dealt by the hash of id and text to units of about UNIT_TOKENS tokens, and units to rounds; a unit starts from the round's common
+parameters, and the parameters are averaged after each round, weighed by tokens. So the model doesn't depend on how rows lie in partitions.
 Scoring carries the state through the whole of each text. Counts of frequent words are broadcast within a fixed bound; all other words
 of a text are joined to the table of counts.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +31,7 @@ from rollmill.functions.session import checkpointed, ship
 from rollmill.llm.text import U64, Piece, mix, pieces
 
 HIDDEN = 16
-CLASSES, CLASS_WORDS = 32, 32
+CLASSES, CLASS_WORDS = 32, 64
 VOCABULARY = CLASSES * CLASS_WORDS  # the end of a text is word 0
 ENDINGS = 32
 ALL_CLASSES = CLASSES + ENDINGS
@@ -38,13 +40,19 @@ SYMBOLS = VOCABULARY + ENDINGS
 TABLE_WORDS = 1 << 19
 #: Rounds that training texts are dealt to; together they cover all words once.
 ROUNDS = 2
+#: Tokens of a unit, about. Its texts run side by side in TRAIN_LANES lanes, in windows of TRAIN_WINDOW tokens.
+UNIT_TOKENS = 1 << 21
 TRAIN_LANES, TRAIN_WINDOW = 128, 32
-#: Steps of a training pass at least, where the words suffice for them.
-PASS_STEPS = 64
+#: Longer texts come first in a unit, so that no lane runs on alone.
+LONG_TEXT = 4096
+#: Copies of one row that a unit gets at once.
+COPIES = 64
 LANES, WINDOW = 512, 32
-#: Words that a task holds before it scores them, or trains on them.
+#: Words that a task holds before it scores them.
 HELD_WORDS = 1 << 22
 RATE = 0.02
+#: Parameters in one row of the exchange that averages them.
+CHUNK = 1 << 14
 _COUNT_PIECE = 1 << 23
 
 
@@ -208,7 +216,7 @@ def _outputs(p: dict[str, np.ndarray], state: np.ndarray, target: np.ndarray, gr
 
 
 class Lanes:
-    """Texts laid end to end in lanes of about equal length, the longest lanes first."""
+    """Texts to score laid end to end in lanes of about equal length, the longest lanes first."""
 
     def __init__(self, texts: list[np.ndarray], lanes: int):
         sizes = np.array([len(t) for t in texts])
@@ -263,94 +271,178 @@ def text_scores(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
     return lanes.sums(out)
 
 
-def trained(p: dict[str, np.ndarray], texts: list[np.ndarray], rate: float = RATE) -> dict[str, np.ndarray]:
-    """One pass of Adam over texts, window by window; the state is carried, the gradient is cut at the window's start."""
-    # fewer lanes for few words, so that a pass has some steps
-    lanes = Lanes(texts, max(4, min(TRAIN_LANES, sum(map(len, texts)) // (PASS_STEPS * TRAIN_WINDOW))))
-    one = {k: np.zeros_like(x) for k, x in p.items()}
-    two = {k: np.zeros_like(x) for k, x in p.items()}
-    h, w, turn = np.zeros((lanes.symbol.shape[1], HIDDEN), np.float32), HIDDEN, 0
-    for a, b, n in lanes.windows(TRAIN_WINDOW):
-        size = b - a
-        live = np.arange(a, b)[:, None] < lanes.size[None, :n]
-        symbol, keep = lanes.symbol[a:b, :n], ~lanes.first[a:b, :n, None]
-        h = h[:n]
-        prev, zs, rs, news, ys = (np.empty((size, n, w), np.float32) for _ in range(5))
-        for t in range(size):
-            h = h * keep[t]
-            prev[t] = h
-            x, y = p["gate"][symbol[t]], h @ p["step"]
-            zs[t], rs[t] = _sigmoid(x[:, :w] + y[:, :w]), _sigmoid(x[:, w : 2 * w] + y[:, w : 2 * w])
-            ys[t] = y[:, 2 * w :]
-            news[t] = np.tanh(x[:, 2 * w :] + rs[t] * ys[t])
-            h = news[t] + zs[t] * (h - news[t])
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
-        on = live.ravel()
-        back = np.zeros((size * n, w), np.float32)
-        back[on] = _outputs(p, prev.reshape(-1, w)[on], symbol.ravel()[on], grads)[1]
-        back = back.reshape(size, n, w)
-        dh, dgate = np.zeros((n, w), np.float32), np.empty((size, n, 3 * w), np.float32)
-        for t in range(size - 1, -1, -1):
-            dh = dh * live[t, :, None]
-            dn = dh * (1 - zs[t]) * (1 - news[t] ** 2)
-            dz = dh * (prev[t] - news[t]) * zs[t] * (1 - zs[t])
-            dr = dn * ys[t] * rs[t] * (1 - rs[t])
-            dgate[t] = np.concatenate([dz, dr, dn], 1)
-            dy = np.concatenate([dz, dr, dn * rs[t]], 1)
-            grads["step"] += prev[t].T @ dy
-            dh = (dh * zs[t] + dy @ p["step"].T + back[t]) * keep[t]
-        order = np.argsort(symbol.ravel(), kind="stable")
-        which, first = np.unique(symbol.ravel()[order], return_index=True)
-        grads["gate"][which] = np.add.reduceat(dgate.reshape(-1, 3 * w)[order], first)
-        turn += 1
-        scale = rate / (1 + turn / 400)
+def window_grads(p: dict[str, np.ndarray], h: np.ndarray, symbol: np.ndarray, first: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Gradients of the sum of -log P over a window (steps, lanes), the gradient cut at its start, and the states at its end.
+
+    ``first`` marks a text's first token, before which the state is zero; ``live`` marks tokens, which come before the rest of their lane.
+    """
+    (size, n), w = symbol.shape, h.shape[1]
+    keep = ~first[:, :, None]
+    prev, zr, news, ys = (np.empty((size, n, k), h.dtype) for k in (w, 2 * w, w, w))
+    gate, step = p["gate"][symbol], p["step"]
+    for t in range(size):
+        h = h * keep[t]
+        prev[t] = h
+        x, y = gate[t], h @ step
+        zr[t] = _sigmoid(x[:, : 2 * w] + y[:, : 2 * w])
+        ys[t] = y[:, 2 * w :]
+        news[t] = np.tanh(x[:, 2 * w :] + zr[t, :, w:] * ys[t])
+        h = news[t] + zr[t, :, :w] * (h - news[t])
+    grads = {k: np.zeros_like(x) for k, x in p.items()}
+    on = live.ravel()
+    back = np.zeros((size * n, w), h.dtype)
+    back[on] = _outputs(p, prev.reshape(-1, w)[on], symbol.ravel()[on], grads)[1]
+    back = back.reshape(size, n, w)
+    # what doesn't depend on later steps, for the whole window at once
+    zs, rs = zr[:, :, :w], zr[:, :, w:]
+    to_new = (1 - zs) * (1 - news**2)
+    to_z = (prev - news) * zs * (1 - zs)
+    to_r = ys * rs * (1 - rs)
+    dgate, dy, dh = np.empty((size, n, 3 * w), h.dtype), np.empty((size, n, 3 * w), h.dtype), np.zeros((n, w), h.dtype)
+    into = step.T.copy()
+    for t in range(size - 1, -1, -1):
+        dh = dh * live[t, :, None]
+        dn = dh * to_new[t]
+        dgate[t, :, :w] = dh * to_z[t]
+        dgate[t, :, w : 2 * w] = dn * to_r[t]
+        dgate[t, :, 2 * w :] = dn
+        dy[t, :, : 2 * w] = dgate[t, :, : 2 * w]
+        dy[t, :, 2 * w :] = dn * rs[t]
+        dh = (dh * zs[t] + dy[t] @ into + back[t]) * keep[t]
+    grads["step"] += prev.reshape(-1, w).T @ dy.reshape(-1, 3 * w)
+    order = np.argsort(symbol.ravel(), kind="stable")
+    which, at = np.unique(symbol.ravel()[order], return_index=True)
+    grads["gate"][which] = np.add.reduceat(dgate.reshape(-1, 3 * w)[order], at)
+    return grads, h
+
+
+class Trainer:
+    """Adam over a stream of texts (symbols, the end included) in a fixed number of lanes; a window is trained on when all lanes have one."""
+
+    def __init__(self, p: dict[str, np.ndarray], rate: float = RATE, lanes: int = TRAIN_LANES, window: int = TRAIN_WINDOW):
+        self.p, self.rate, self.window, self.turn, self.tokens = {k: x.copy() for k, x in p.items()}, rate, window, 0, 0
+        self.one, self.two = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+        self.queues: list[deque[tuple[np.ndarray, int]]] = [deque() for _ in range(lanes)]
+        self.pending = np.zeros(lanes, np.int64)
+        self.h = np.zeros((lanes, HIDDEN), np.float32)
+
+    def add(self, text: np.ndarray) -> None:
+        k = int(self.pending.argmin())
+        self.queues[k].append((text, 0))
+        self.pending[k] += len(text)
+        self.tokens += len(text)
+        while self.pending.min() >= self.window:
+            self._step()
+
+    def finish(self) -> dict[str, np.ndarray]:
+        while self.pending.any():
+            self._step()
+        return self.p
+
+    def _step(self) -> None:
+        lanes = np.flatnonzero(self.pending)
+        symbol = np.zeros((self.window, len(lanes)), np.int16)
+        first, live = np.zeros(symbol.shape, bool), np.zeros(symbol.shape, bool)
+        for column, k in enumerate(lanes.tolist()):
+            queue, at = self.queues[k], 0
+            while at < self.window and queue:
+                text, done = queue[0]
+                m = min(self.window - at, len(text) - done)
+                symbol[at : at + m, column] = text[done : done + m]
+                first[at, column] = done == 0
+                at += m
+                if done + m == len(text):
+                    queue.popleft()
+                else:
+                    queue[0] = (text, done + m)
+            live[:at, column] = True
+            self.pending[k] -= at
+        grads, self.h[lanes] = window_grads(self.p, self.h[lanes], symbol, first, live)
+        self.turn += 1
+        scale, size = self.rate / (1 + self.turn / 400), float(live.sum()) ** 0.5
         for k, g in grads.items():
-            g /= max(1, int(on.sum())) ** 0.5
-            one[k] += 0.1 * (g - one[k])
-            two[k] += 0.01 * (g * g - two[k])
-            p[k] -= scale * (one[k] / (1 - 0.9**turn)) / (np.sqrt(two[k] / (1 - 0.99**turn)) + 1e-6)
-    return p
+            g /= size
+            self.one[k] += 0.1 * (g - self.one[k])
+            g *= g
+            self.two[k] += 0.01 * (g - self.two[k])
+            root = np.sqrt(self.two[k] / (1 - 0.99**self.turn))
+            root += 1e-6
+            self.p[k] -= (scale / (1 - 0.9**self.turn)) * (self.one[k] / root)
+
 
+def coded_texts(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """(key, long, symbols) for each row of docs (doc_id, text), COPIES or fewer equal rows in one, with their number ``times``."""
+    sent = docs.sparkSession.sparkContext.broadcast(v)
 
-def turn_of(words: np.ndarray, rounds: int) -> int:
-    """The round in which a text is trained on, by all its words' hashes."""
-    return int(mix(np.array([words.sum(dtype=U64)], U64))[0] % U64(rounds))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = sent.value
+        for batch in batches:
+            rows = []
+            for piece in pieces(batch.column(1)):
+                symbol = symbols_of(v, piece)[0]
+                rows += [np.append(symbol[a:b], np.int16(0)).tobytes() for a, b in zip(piece.first[:-1].tolist(), piece.first[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["key", "symbols"])
+
+    text = F.col("text").cast("string")
+    coded = docs.select(F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("key"), text.alias("text")).mapInArrow(run, "key bigint, symbols binary")
+    coded = coded.groupBy("key").agg(F.first("symbols").alias("symbols"), F.count("*").alias("n"))
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES)))
+    coded = coded.select("key", "symbols", "n", part.alias("part"))
+    return coded.select(
+        F.when(F.col("part") > 0, F.xxhash64("key", "part")).otherwise(F.col("key")).alias("key"), (F.octet_length("symbols") > 2 * LONG_TEXT).alias("long"),
+        F.least(F.lit(COPIES), F.col("n") - F.col("part") * COPIES).cast("int").alias("times"), "symbols",
+    )
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Average the partitions' parameters, weighed by their words, after each round; the rounds share out the texts of docs (text)."""
+def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS, unit_tokens: int = UNIT_TOKENS) -> dict[str, np.ndarray]:
+    """The network after all texts of docs (doc_id, text): each unit trains from its round's start, then parameters are averaged."""
     spark = docs.sparkSession
     ship(spark)
-    sent, p = spark.sparkContext.broadcast(v), start(v)
-    own = docs.select(F.col("text").cast("string").alias("text"))
+    p, size = start(v), len(flat(start(v)))
+    units = max(1, -(-v.total // (rounds * unit_tokens)))
+    coded = coded_texts(docs, v).withColumn("unit", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(units * rounds)))
+    coded = checkpointed(coded)
     for k in range(rounds):
         now = spark.sparkContext.broadcast(flat(p))
 
-        def run(batches: Iterator[pa.RecordBatch], k: int = k, now=now) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            v, p, held, n, seen = sent.value, shaped(now.value.copy()), [], 0, 0
+        def run(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            start_, done, tokens, unit, trainer = shaped(now.value), np.zeros(size), 0, None, None
             for batch in batches:
-                for piece in pieces(batch.column(0)):
-                    symbol, _, words = symbols_of(v, piece)
-                    for a, b in zip(piece.first[:-1].tolist(), piece.first[1:].tolist(), strict=True):
-                        if turn_of(words[a:b], rounds) == k:
-                            held.append(np.append(symbol[a:b], np.int16(0)))
-                            n += b - a + 1
-                if n >= HELD_WORDS:
-                    p, seen, held, n = trained(p, held), seen + n, [], 0
-            if n:
-                p, seen = trained(p, held), seen + n
-            if seen:
-                x = flat(p)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x), dtype=np.int32)), pa.array(x.astype(np.float64) * seen), pa.array(np.full(len(x), float(seen)))], ["k", "x", "w"])
-
-        rows = own.mapInArrow(run, "k int, x double, w double").groupBy("k").agg((F.sum("x") / F.sum("w")).alias("x")).toArrow()
+                for u, times, symbols in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                    if u != unit:
+                        if trainer is not None:
+                            done, tokens = done + flat(trainer.finish()) * float(trainer.tokens), tokens + trainer.tokens
+                        unit, trainer = u, Trainer(start_)
+                    for _ in range(times):
+                        trainer.add(np.frombuffer(symbols, np.int16))
+            if trainer is not None:
+                done, tokens = done + flat(trainer.finish()) * float(trainer.tokens), tokens + trainer.tokens
+                x = (done / tokens).astype(np.float32)
+                at = range(0, size, CHUNK)
+                columns = [pa.array(range(len(at)), pa.int32()), pa.array([unit % 64] * len(at), pa.int32()), pa.array([float(tokens)] * len(at)), pa.array([x[a : a + CHUNK].tobytes() for a in at], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, _PART)
+
+        def mean(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, weight = 0.0, 0.0
+            for block in blocks:
+                for w, x in zip(block.column("w").to_pylist(), block.column("x").to_pylist(), strict=True):
+                    total, weight = total + np.frombuffer(x, np.float32).astype(float) * w, weight + w
+            columns = [pa.array([keys[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, _PART)
+
+        schema = "chunk int, part int, w double, x binary"
+        mine = coded.where(F.col("unit") % rounds == k).repartition(min(units, 4096), "unit").sortWithinPartitions("unit", F.col("long").desc(), "key")
+        parts = mine.select("unit", "times", "symbols").mapInArrow(run, schema)
+        rows = parts.groupBy("chunk", "part").applyInArrow(mean, schema).groupBy("chunk").applyInArrow(mean, schema).select("chunk", "x").toArrow()
         if rows.num_rows:
-            x = np.zeros(rows.num_rows)
-            x[rows.column("k").to_numpy()] = rows.column("x").to_numpy()
-            p = shaped(x)
+            found = dict(zip(*(rows.column(c).to_pylist() for c in range(2)), strict=True))
+            p = shaped(np.concatenate([np.frombuffer(found[c], np.float32) for c in range(len(found))]))
     return p
 
 
+_PART = ["chunk", "part", "w", "x"]
+
+
 def score_texts(docs: DataFrame, held_out: Column, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row of docs (doc_id, text).
 

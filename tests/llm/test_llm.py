@@ -251,24 +251,84 @@ def test_quality(spark):
     assert quality.score_quality(docs, quality.train(docs, labels.limit(0))).where("tail_probability = 1").count() == len(texts)
 
 
-def test_training_sees_every_word_once(spark, tmp_path, monkeypatch):
-    texts = ["same " + words(random.Random(k), 30 + k) for k in range(40)] + ["", None, "same"]
-    docs = frame(spark, texts).coalesce(1)
-    v = lm.vocabulary(lm.word_counts(docs), len(texts))
-    seen, plain = str(tmp_path / "seen"), lm.trained
-
-    def spy(p, held, rate=lm.RATE):
-        with open(seen, "a") as f:
-            f.writelines(" ".join(map(str, x.tolist())) + "\n" for x in held)
-        return plain(p, held, rate)
-
-    monkeypatch.setattr(lm, "trained", spy)
-    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, f, schema: spark.createDataFrame(pa.Table.from_batches(list(f(iter(self.toArrow().to_batches())))).to_pandas(), schema))
-    lm.train(docs, v)
-    piece = next(pieces(pa.array(texts)))
-    symbol = lm.symbols_of(v, piece)[0]
-    want = Counter(" ".join(map(str, [*symbol[a:b].tolist(), 0])) for a, b in zip(piece.first[:-1], piece.first[1:], strict=True))
-    assert Counter(open(seen).read().splitlines()) == want
+def naive_log_p(p, texts):
+    """Natural log P of each text, one token after the other."""
+    sigmoid, w, out = lambda x: 1 / (1 + np.exp(-x)), lm.HIDDEN, []
+    for text in texts:
+        h, total = np.zeros(w), 0.0
+        for s in text.tolist():
+            kind = s // lm.CLASS_WORDS if s < lm.VOCABULARY else s - lm.VOCABULARY + lm.CLASSES
+            x = h @ p["class"] + p["class_0"]
+            total += x[kind] - np.log(np.exp(x).sum())
+            if s < lm.VOCABULARY:
+                own = slice(kind * lm.CLASS_WORDS, (kind + 1) * lm.CLASS_WORDS)
+                x = p["word"][own] @ h + p["word_0"][own]
+                total += x[s - kind * lm.CLASS_WORDS] - np.log(np.exp(x).sum())
+            a, b = p["gate"][s], h @ p["step"]
+            z, r = sigmoid(a[:w] + b[:w]), sigmoid(a[w : 2 * w] + b[w : 2 * w])
+            new = np.tanh(a[2 * w :] + r * b[2 * w :])
+            h = (1 - z) * new + z * h
+        out.append(total)
+    return np.array(out)
+
+
+def network(seed=3):
+    draw = np.random.default_rng(seed)
+    return {k: draw.normal(0, 0.3, s) for k, s in lm.SHAPES.items()}, draw
+
+
+def test_language_model_against_a_naive_pass():
+    p, draw = network()
+    texts = [np.append(draw.integers(0, lm.SYMBOLS, n), 0).astype(np.int16) for n in (0, 1, 5, 31, 32, 33, 90, 3)]
+    assert lm.text_scores({k: x.astype(np.float32) for k, x in p.items()}, texts) == pytest.approx(naive_log_p(p, texts), rel=1e-4)
+
+
+def test_recurrent_gradient():
+    p, draw = network(5)
+    sizes = (3, 4, 2)  # two texts in the first lane, one and a dead step in the second
+    texts = [draw.integers(0, lm.SYMBOLS, n).astype(np.int16) for n in sizes]
+    symbol = np.zeros((7, 2), np.int16)
+    symbol[:, 0], symbol[:2, 1] = np.concatenate(texts[:2]), texts[2]
+    first, live = np.zeros((7, 2), bool), np.ones((7, 2), bool)
+    first[0], first[3, 0], live[2:, 1] = True, True, False
+    grads, _ = lm.window_grads(p, np.zeros((2, lm.HIDDEN)), symbol, first, live)
+    for name in lm.SHAPES:
+        hot = np.argsort(-np.abs(grads[name]).ravel())[[0, 1, 7]]
+        for at in hot.tolist():
+            sides = []
+            for step in (1e-5, -1e-5):
+                near = {k: x.copy() for k, x in p.items()}
+                near[name].ravel()[at] += step
+                sides.append(-naive_log_p(near, texts).sum())
+            assert grads[name].ravel()[at] == pytest.approx((sides[0] - sides[1]) / 2e-5, rel=1e-3, abs=1e-7), name
+
+
+def test_training_streams_every_token_once(monkeypatch):
+    p, draw = network(6)
+    texts = [np.append(draw.integers(1, lm.SYMBOLS, n), 0).astype(np.int16) for n in draw.integers(0, 90, 60).tolist()]
+    plain, seen, starts = lm.window_grads, [], []
+
+    def spy(p, h, symbol, first, live):
+        seen.append(symbol[live])
+        starts.append(first.sum())
+        return plain(p, h, symbol, first, live)
+
+    monkeypatch.setattr(lm, "window_grads", spy)
+    trainer = lm.Trainer({k: x.astype(np.float32) for k, x in p.items()}, lanes=4, window=8)
+    for t in texts:
+        trainer.add(t)
+    trainer.finish()
+    assert Counter(np.concatenate(seen).tolist()) == Counter(np.concatenate(texts).tolist())
+    assert sum(starts) == len(texts) and trainer.tokens == sum(map(len, texts))
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    texts = corpus(12, 60)
+    held = F.col("doc_id") % 5 == 2
+    docs = frame(spark, [*texts, *["same row"] * 3]).withColumn("doc_id", F.when(~F.col("text").isin("same row"), F.col("doc_id")))
+    got = [sorted((r.doc_id or -1, r.n_known, r.score) for r in lm.score_texts(docs.repartition(n), held).collect()) for n in (2, 8)]
+    assert [x[:2] for x in got[0]] == [x[:2] for x in got[1]]
+    assert [x[2] for x in got[0]] == pytest.approx([x[2] for x in got[1]], rel=1e-5)
 
 
 def test_fingerprints_and_edits(spark):
