@@ -1,12 +1,14 @@
-"""Exact token counts of every prefix of a text, for a sentencepiece BPE model.
+"""Exact token counts of every prefix of a text, by dynamic programming over the pieces of a sentencepiece BPE model.
 
-A text is cut before each run of spaces and around line ends. No piece of the vocabulary holds a space mark after another
-character, or a line end (checked when the model is loaded), so no merge crosses a cut, and
+The tokens of a prefix are those of a shorter prefix and one more piece: the only piece that ends there and that merges would leave
+standing beside the last piece of the shorter prefix. So with ``last`` the last piece of each prefix,
 
-    count(prefix) = count(prefix up to its last cut) + count(rest of the prefix)
+    count(prefix) = count(prefix without its last piece) + 1,
 
-is exact. The table of running counts at the cuts is filled from left to right; counts of short chunks are kept, so that the
-library runs once for each distinct chunk. Truncation and budget questions are searches in the table.
+and characters that no piece has count as their UTF-8 bytes. Whether two pieces stay side by side is found by merging them by rank, once for
+each pair that is met. A text is cut before each run of spaces and around line ends, which no piece crosses; the counts at all
+prefixes of a chunk are kept with it, so each distinct chunk is worked out once, many chunks at a time. Truncation and budget questions are
+searches in the table: the library only lends its vocabulary.
 """
 
 from __future__ import annotations
@@ -17,11 +19,13 @@ from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import ship
+from rollmill.llm.text import U64, mix
 
 _SPACES = re.compile(r" +[^ ]*")
 _SPACES_AND_LINES = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -29,48 +33,188 @@ _INNER = re.compile("[^▁]▁")
 #: Chunks up to so many characters are kept, and so many of them at once in each worker.
 KEPT_CHARS = 48
 KEPT_CHUNKS = 400_000
-#: Texts of which the chunks are counted in one call.
+#: Pairs of pieces of which a worker remembers whether they stay side by side.
+KEPT_PAIRS = 1_000_000
+#: Texts of which the chunks are counted in one call, and chunks that are worked out side by side.
 GROUP = 64
+SIDE_BY_SIDE = 4096
+#: Longer chunks are worked out one after the other.
+LONG_CHUNK = 64
+_BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
-class Counts(dict):
-    """Tokens of a chunk: a run of spaces and what follows, a line end, or what follows a line end."""
+class Pieces:
+    """The vocabulary of a model: its pieces, their ranks, and which of them stay side by side."""
 
     def __init__(self, model: str):
         import sentencepiece
 
-        self.library = sentencepiece.SentencePieceProcessor(model_file=model)
-        pieces = [self.library.id_to_piece(k) for k in range(self.library.get_piece_size())]
-        if any(map(_INNER.search, pieces)):
+        library = sentencepiece.SentencePieceProcessor(model_file=model)
+        size = library.get_piece_size()
+        plain = [k for k in range(size) if not (library.is_control(k) or library.is_unknown(k) or library.is_byte(k) or library.is_unused(k))]
+        self.score = {library.id_to_piece(k).replace("▁", " "): library.get_score(k) for k in plain}
+        if any(_INNER.search(library.id_to_piece(k)) for k in plain):
             raise ValueError("a piece of this vocabulary crosses a space; prefix counts need one that doesn't")
-        self.cut = _SPACES if any("\n" in p for p in pieces) else _SPACES_AND_LINES
-        self.line = len(self.library.encode("\n"))
-        self[" "] = self.mark = len(self.library.encode("a ")) - len(self.library.encode("a"))
+        if sum(map(library.is_byte, range(size))) != 256:
+            raise ValueError("prefix counts need a vocabulary with a piece for each byte")
+        # texts are taken as they are, with one space before them
+        probe = "ﬁ Å  Ａ　é\t\nx  "
+        if library.decode(library.encode(probe)) != probe or len(library.encode("a  b")) == len(library.encode("a b")) or library.encode("ﬁ") == library.encode("fi"):
+            raise ValueError("this model normalises its input; prefix counts need one that doesn't")
+        self.line = any("\n" in p for p in self.score)
+        # pieces that merging reaches, by number
+        self.names = [p for p in self.score if self.merged(p) == [p]]
+        self.longest = max(map(len, self.names))
+        self.number = {p: k for k, p in enumerate(self.names)}
+        self.unknown = len(self.names)
+        self.beside: dict[int, bool] = {}
+        codes, size = _codes(self.names)
+        whole = _sums(codes)[np.arange(len(size)), size]
+        order = np.argsort(whole)
+        self.hashes, self.numbers = whole[order], order.astype(np.int32)
+        if len(np.unique(whole)) != len(whole):
+            raise ValueError("two pieces have one hash")
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(whole >> U64(44)).astype(np.int64)] = True
+
+    def merged(self, text: str) -> list[str]:
+        """Merge by rank: the best pair first, of equal ones the leftmost."""
+        parts, score = list(text), self.score
+        while len(parts) > 1:
+            best, at = None, -1
+            for k in range(len(parts) - 1):
+                s = score.get(parts[k] + parts[k + 1])
+                if s is not None and (best is None or s > best):
+                    best, at = s, k
+            if at < 0:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def stays(self, left: int, right: int) -> bool:
+        """Whether merging leaves these two pieces as they are."""
+        if left == self.unknown:
+            return True
+        key = left * (self.unknown + 1) + right
+        found = self.beside.get(key)
+        if found is None:
+            a, b = self.names[left], self.names[right]
+            found = self.beside[key] = self.merged(a + b) == [a, b]
+        return found
+
+    def long_counts(self, chunk: str) -> np.ndarray:
+        """Tokens of each prefix of one chunk."""
+        last, count = [-1] * (len(chunk) + 1), np.zeros(len(chunk) + 1, np.int64)
+        number, stays, longest = self.number, self.stays, self.longest
+        for i in range(1, len(chunk) + 1):
+            for at in range(max(0, i - longest), i):
+                piece = number.get(chunk[at:i])
+                if piece is not None and (at == 0 or stays(last[at], piece)):
+                    last[i], count[i] = piece, count[at] + 1
+                    break
+            else:
+                last[i], count[i] = self.unknown, count[i - 1] + len(chunk[i - 1].encode())
+        return count[1:]
+
+    def prefix_counts(self, chunks: list[str]) -> list[np.ndarray]:
+        """Tokens of each prefix of each chunk; chunks are worked out side by side, one prefix length after the other."""
+        order = sorted(range(len(chunks)), key=lambda k: -len(chunks[k]))
+        codes, size = _codes([chunks[k] for k in order])
+        sums, power = _sums(codes), _powers(self.longest + 1)
+        n, width = codes.shape
+        last = np.full((n, width + 1), -1, np.int32)
+        count = np.zeros((n, width + 1), np.int32)
+        active = np.searchsorted(-size, -np.arange(width + 1), "right")  # chunks at least so long
+        for i in range(1, width + 1):
+            left = np.arange(active[i])
+            for length in range(min(i, self.longest), 0, -1):
+                if not len(left):
+                    break
+                h = sums[left, i] - sums[left, i - length] * power[length]
+                some = np.flatnonzero(self.maybe[(h >> U64(44)).astype(np.int64)])
+                if not len(some):
+                    continue
+                at = np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)
+                same = self.hashes[at] == h[some]
+                some, piece = some[same], self.numbers[at[same]]
+                rows = left[some]
+                if length < i and len(rows):
+                    key = last[rows, i - length].astype(np.int64) * (self.unknown + 1) + piece
+                    distinct, back = np.unique(key, return_inverse=True)
+                    ok = np.array([self.stays(*divmod(k, self.unknown + 1)) for k in distinct.tolist()], bool)[back]
+                    some, rows, piece = some[ok], rows[ok], piece[ok]
+                last[rows, i] = piece
+                count[rows, i] = count[rows, i - length] + 1
+                left = np.delete(left, some)
+            if len(left):
+                c = codes[left, i - 1]
+                last[left, i] = self.unknown
+                count[left, i] = count[left, i - 1] + 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * n
+        for row, k in enumerate(order):
+            out[k] = count[row, 1 : size[row] + 1]
+        return out
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of texts, one row for each, and their lengths."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros((len(texts), int(size.max(initial=0))), np.uint32)
+    out[np.arange(out.shape[1])[None, :] < size[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    return out, size
+
+
+def _sums(codes: np.ndarray) -> np.ndarray:
+    """Hash of each prefix; that of a range [a, b) is sums[b] - sums[a] * base ** (b - a)."""
+    out = np.zeros((codes.shape[0], codes.shape[1] + 1), U64)
+    for k in range(codes.shape[1]):
+        out[:, k + 1] = out[:, k] * _BASE + mix(codes[:, k].astype(U64) + U64(1))
+    return out
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.full(n, _BASE, U64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class Counts(dict):
+    """Tokens of every prefix of a chunk: a run of spaces and what follows, a line end, or what follows a line end."""
+
+    def __init__(self, model: str):
+        self.pieces = Pieces(model)
+        self.cut = _SPACES if self.pieces.line else _SPACES_AND_LINES
 
     def chunks(self, text: str) -> list[str]:
         # the library puts one space before its input; the mark U+2581 in a text merges as a space does
         return self.cut.findall(" " + text.replace("▁", " ")) if text else []
 
     def learn(self, chunks: set[str]) -> None:
-        """Count chunks that aren't known yet, all in one call of the library."""
+        """Work out the chunks that aren't known yet."""
         new = list(chunks.difference(self))
-        spaced = [x[0] == " " for x in new]
-        found = self.library.encode([x[1:] if y else "\n" + x for x, y in zip(new, spaced, strict=True)], num_threads=1)
-        for x, y, n in zip(new, spaced, map(len, found), strict=True):
-            self[x] = n if y else n - self.line
+        short = sorted((x for x in new if len(x) <= LONG_CHUNK), key=len)
+        for a in range(0, len(short), SIDE_BY_SIDE):
+            part = short[a : a + SIDE_BY_SIDE]
+            for x, n in zip(part, self.pieces.prefix_counts(part), strict=True):
+                # at most four tokens a character: one byte for each prefix of a short chunk
+                self[x] = n.astype(np.uint8).tobytes() if len(x) < LONG_CHUNK else n
+        for x in new:
+            if len(x) > LONG_CHUNK:
+                self[x] = self.pieces.long_counts(x)
 
     def trim(self) -> None:
-        """Between batches: forget long chunks, and all of them when they are too many."""
+        """Between batches: forget all chunks, or pairs of pieces, when they are too many."""
         if len(self) > KEPT_CHUNKS:
             self.clear()
-            self[" "] = self.mark
+        if len(self.pieces.beside) > KEPT_PAIRS:
+            self.pieces.beside.clear()
 
     def forget(self, chunks: set[str]) -> None:
         for x in chunks:
             if len(x) > KEPT_CHARS:
                 self.pop(x, None)
 
-    def __missing__(self, chunk: str) -> int:
+    def __missing__(self, chunk: str) -> bytes | np.ndarray:
         self.learn({chunk})
         return self.pop(chunk) if len(chunk) > KEPT_CHARS else self[chunk]
 
@@ -81,11 +225,12 @@ def counts(model: str) -> Counts:
 
 
 class PrefixTable:
-    """Running token counts of one text at its cuts (``ends``: in characters; ``total``: tokens before there)."""
+    """Token counts of all prefixes of one text: running ones at its cuts (``ends``: in characters; ``total``: tokens before there), and each chunk's own."""
 
     def __init__(self, text: str, known: Counts, parts: list[str] | None = None):
-        self.known, self.parts = known, known.chunks(text) if parts is None else parts
-        self.total = list(accumulate(map(known.__getitem__, self.parts)))
+        self.parts = known.chunks(text) if parts is None else parts
+        self.own = [known[x] for x in self.parts]
+        self.total = list(accumulate(int(x[-1]) for x in self.own))
 
     @cached_property
     def ends(self) -> list[int]:
@@ -103,29 +248,46 @@ class PrefixTable:
         before, at = (self.total[k - 1], self.ends[k - 1]) if k else (0, -1)
         if k == len(self.ends) or chars <= at:
             return before
-        return before + self.known[self.parts[k][: chars - at]]
+        return before + int(self.own[k][chars - at - 1])
+
+    def every(self) -> np.ndarray:
+        """Tokens of the prefixes of 0, 1, 2, ... characters."""
+        if not self.parts:
+            return np.zeros(1, np.int64)
+        each = [np.frombuffer(x, np.uint8) if isinstance(x, bytes) else x for x in self.own]
+        before = [0, *self.total[:-1]]
+        out = np.concatenate([x.astype(np.int64) + b for x, b in zip(each, before, strict=True)])
+        out[0] = 0  # before the first character there is only the library's space
+        return out
 
     def fit(self, budget: int) -> int:
-        """Characters of the longest prefix of at most ``budget`` tokens that ends at a cut."""
-        k = bisect_right(self.total, budget)
-        return max(self.ends[k - 1], 0) if k else 0
+        """Characters of the longest prefix of at most ``budget`` tokens. A longer prefix may have fewer tokens, so the last chunk that can fit is searched from its end."""
+        k = min(bisect_right(self.total, budget), len(self.total) - 1)
+        while k >= 0:
+            before, at = (self.total[k - 1], self.ends[k - 1]) if k else (0, -1)
+            own = self.own[k]
+            for n in range(len(own), 0, -1):
+                if before + int(own[n - 1]) <= budget:
+                    return max(at + n, 0)
+            k -= 1
+        return 0
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096, tables: bool = False) -> DataFrame:
-    """Adds n_bytes, n_tokens (bigint), over_limit and fit_chars to doc_id; with ``tables`` also the arrays ends and totals.
+    """(doc_id, n_bytes, n_tokens, over_limit, fit_chars); with ``tables`` also prefix_tokens, the counts of the prefixes of 0, 1, 2, ... characters.
 
     Counts are the library's for the whole text, without begin, end or added special tokens; strings of special
-    tokens are ordinary text. fit_chars is the longest prefix, up to a cut, of at most ``limit`` tokens. A null text
-    counts as an empty one (0 tokens). One row for each input row, repeated ones too; an empty table gives none.
+    tokens are ordinary text. fit_chars is the length of the longest prefix, inside words too, of at most ``limit`` tokens. A null text
+    counts as an empty one (0 tokens). One row for each input row, repeated ones and those without an id too; an empty table gives none; other columns aren't read.
     """
     schema = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean, fit_chars bigint"
     if tables:
-        schema += ", ends array<bigint>, totals array<bigint>"
+        schema += ", prefix_tokens array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counts(model)
         for batch in batches:
-            sizes, n, fit, ends, totals = [], [], [], [], []
+            sizes, n, fit, every = [], [], [], []
             for at in range(0, batch.num_rows, GROUP):
                 texts = [x or "" for x in batch.column(1).slice(at, GROUP).to_pylist()]
                 parts = [known.chunks(x) for x in texts]
@@ -137,13 +299,12 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, tables: bool =
                     n.append(table.n_tokens)
                     fit.append(table.fit(limit) if table.n_tokens > limit else len(text))
                     if tables:
-                        ends.append(table.ends)
-                        totals.append(table.total)
+                        every.append(table.every())
                 known.forget(seen)
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_()), pa.array(fit, pa.int64())]
             if tables:
-                columns += [pa.array(x, pa.list_(pa.int64())) for x in (ends, totals)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "ends", "totals"][: len(columns)])
+                columns.append(pa.array(every, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "prefix_tokens"][: len(columns)])
 
     ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -153,7 +153,7 @@ def test_language_model_gradient():
     assert back[4, 3] == pytest.approx(slope, rel=1e-3)
 
 
-def test_token_counts_are_the_library_s(spark):
+def test_token_counts_are_the_library_s(spark, monkeypatch):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -165,10 +165,20 @@ def test_token_counts_are_the_library_s(spark):
         n = len(library.encode(t or ""))
         assert (got[k].n_bytes, got[k].n_tokens, got[k].over_limit) == (len((t or "").encode()), n, n > 30)
         assert len(library.encode((t or "")[: got[k].fit_chars])) <= 30
+        assert len(got[k].prefix_tokens) == len(t or "") + 1 and got[k].prefix_tokens[-1] == n
+        if got[k].over_limit:
+            assert min(got[k].prefix_tokens[got[k].fit_chars + 1 :]) > 30 >= got[k].prefix_tokens[got[k].fit_chars]
     known = tokens.counts(MODEL)
-    for t in texts[:200]:
-        table = tokens.PrefixTable(t, known)
-        assert [table.count(k) for k in range(len(t) + 1)] == [len(library.encode(t[:k])) for k in range(len(t) + 1)]
+    spaceless = ["日本語の文章" * 40, "x" * 200, "".join(corpus()[0].split())[:300] + "é" * 20]
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "encode", None)  # the table needs no library
+    tables = [tokens.PrefixTable(t, known) for t in [*texts[:200], *spaceless]]
+    every = [t.every().tolist() for t in tables]
+    fits = [[t.fit(k) for k in range(0, 60, 7)] for t in tables]
+    monkeypatch.undo()
+    for t, table, own, fit in zip([*texts[:200], *spaceless], tables, every, fits, strict=True):
+        want = [len(library.encode(t[:k])) for k in range(len(t) + 1)]
+        assert own == [table.count(k) for k in range(len(t) + 1)] == want
+        assert fit == [max(k for k in range(len(t) + 1) if want[k] <= budget) for budget in range(0, 60, 7)]
 
 
 def test_packing_fills_and_respects_conflicts(spark):
