@@ -10,19 +10,18 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.functions.session import ship
+from rollmill.functions.session import checkpointed, ship
+from rollmill.llm.text import U64, mix, pieces
 
 CAPACITY = 4096
 PER_SOURCE = 4
 SHARD_PIECES = 4096
 
-WORD = r"[^\x20\x09-\x0D]+"
-BLANK = r"[\x20\x09-\x0D]+"
-
 
 def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int, per_source: int) -> list[int]:
     """The bin of each piece. Pieces must come by falling length; equal input gives equal bins.
@@ -55,13 +54,33 @@ def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int, p
     return out
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, source, n, cluster) of each row: its words, and the hash of their sequence in lower case, which marks copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, clusters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for piece in pieces(batch.column(2)):
+                words, count = piece.hashes(), piece.count
+                place = np.arange(len(words)) - np.repeat(piece.first[:-1], count)
+                whole = np.zeros(len(words) + 1, U64)
+                np.cumsum(mix(words ^ mix(place.astype(U64))), out=whole[1:])
+                sizes.append(count)
+                clusters.append(mix(whole[piece.first[1:]] - whole[piece.first[:-1]] + count.astype(U64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(clusters))], ["doc_id", "source", "n", "cluster"])
+
+    own = docs.select(*(F.col(c).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("source", "string"), ("text", "string"))))
+    return checkpointed(own.mapInArrow(run, "doc_id bigint, source string, n bigint, cluster bigint").withColumn("row", F.monotonically_increasing_id()))
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """(doc_id, piece, first_token, n_tokens, source, bin_id, bin_tokens): every token of docs (doc_id, text, source) in one bin.
 
-    Tokens are words between ASCII white space. A longer document than ``capacity`` is cut into full pieces, each a bin of its own, and a
-    rest. Documents whose words are equal but for case are a duplicate cluster; only clusters of several rows matter. A null source is a
-    source of its own. A null, empty or blank text has one row with 0 tokens and no bin. Repeated rows are placed
-    each for itself, ties by doc_id and cluster; an empty table gives no rows; other columns aren't read.
+    Tokens are words between ASCII white space; texts are read once. A longer document than ``capacity`` is cut into full pieces, each a bin
+    of its own that is named after the row, and a rest. Documents whose words are equal but for case (A-Z) are a duplicate cluster. A null
+    source is a source of its own; a null doc_id is a row like others. A null, empty or blank text has one row with 0 tokens and no bin.
+    Repeated rows, and rows of one id with other texts, are placed each for itself; ties by doc_id, piece, cluster, source; an empty
+    table gives no rows; other columns aren't read.
     """
 
     def run(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,20 +95,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         yield from named.append_column("bin_tokens", pa.array([filled[b] for b in bins], pa.int64())).to_batches()
 
     ship(docs.sparkSession)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.lower(F.regexp_replace(text, BLANK, " "))
-    own = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("all"), F.xxhash64(F.trim(words)).alias("cluster"),
-    )
-    size = F.least(F.lit(capacity), F.col("all") - F.col("piece") * capacity)
-    cut = own.where("all > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("all") / capacity).cast("int") - 1)))
-    cut = cut.select("doc_id", F.col("piece").cast("bigint").alias("piece"), (F.col("piece") * capacity).cast("bigint").alias("first_token"), size.cast("bigint").alias("n_tokens"), "source", "cluster")
-    shards = max(1, -(-docs.count() // shard_pieces))
-    full = cut.where(F.col("n_tokens") == capacity).drop("cluster")
-    full = full.withColumns({"bin_id": F.concat(F.lit("full-"), F.col("doc_id").cast("string"), F.lit("-"), F.col("piece").cast("string")), "bin_tokens": F.col("n_tokens")})
-    dealt = cut.where(F.col("n_tokens") < capacity).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.lit(7)), F.lit(shards)))
+    own = _measured(docs)
+    last = F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0))
+    cut = own.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    first = F.col("piece") * F.lit(capacity).cast("bigint")
+    cut = cut.select("row", "doc_id", "piece", first.alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("n") - first).alias("n_tokens"), "source", "cluster")
+    shards = max(1, -(-own.count() // shard_pieces))
+    # one shard for about shard_pieces rows, whatever their ids: row numbers are distinct
+    dealt = cut.where(F.col("n_tokens").between(1, capacity - 1)).withColumn("shard", F.pmod(F.xxhash64("row", F.lit(7)), F.lit(shards))).drop("row")
     schema = "doc_id bigint, piece bigint, first_token bigint, n_tokens bigint, source string, bin_id string, bin_tokens bigint"
     packed = dealt.groupBy("shard").applyInArrow(run, schema)
-    none = own.where("all = 0").select("doc_id", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("first_token"), F.col("all").alias("n_tokens"), "source", F.lit(None).cast("string").alias("bin_id"), F.lit(0).cast("bigint").alias("bin_tokens"))
-    return packed.unionAll(full).unionAll(none)
+    alone = cut.where(~F.col("n_tokens").between(1, capacity - 1))
+    name = F.when(F.col("n_tokens") > 0, F.concat_ws("-", F.lit("full"), "row", "piece"))
+    return packed.unionAll(alone.select("doc_id", "piece", "first_token", "n_tokens", "source", name.alias("bin_id"), F.col("n_tokens").alias("bin_tokens")))

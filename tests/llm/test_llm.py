@@ -198,6 +198,45 @@ def test_packing_fills_and_respects_conflicts(spark):
         assert len(own) == 1 or max(Counter(r.source for r in own).values()) <= 2
 
 
+def test_packing_of_repeated_and_nameless_rows(spark):
+    long = words(random.Random(3), 1000)
+    rows = [(1, long, "a"), (1, long, "a"), (None, long, None), (None, None, None), (None, "one two", "a"), (1, "one two", "a"), (1, "ONE two", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumns({k: F.lit("x") for k in ("row", "piece", "cluster", "n", "shard")})
+    got = packing.pack(docs, 300, 4).collect()
+    bins = {}
+    for r in got:
+        if r.bin_id is not None:
+            bins.setdefault(r.bin_id, []).append(r)
+    assert all(sum(r.n_tokens for r in own) == own[0].bin_tokens <= 300 for own in bins.values())
+    assert sum(r.n_tokens for r in got) == 3006 and sum(r.n_tokens for r in got if r.bin_id is None) == 0
+    assert sum(len(own) == 1 and own[0].n_tokens == 300 for own in bins.values()) == 9
+    assert sum(r.n_tokens == 2 for own in bins.values() for r in own) == 3
+    assert all(sum(r.n_tokens == 2 for r in own) <= 1 for own in bins.values())  # copies but for case
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def naive_best_fit(lengths, sources, clusters, capacity, per_source):
+    bins, out = [], []
+    for n, s, c in zip(lengths, sources, clusters, strict=True):
+        fits = [(capacity - sum(x[0] for x in own), k) for k, own in enumerate(bins) if sum(x[0] for x in own) + n <= capacity and (c is None or all(x[2] != c for x in own)) and sum(x[1] == s for x in own) < per_source]
+        k = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append([])
+        bins[k].append((n, s, c))
+        out.append(k)
+    return out
+
+
+def test_best_fit_against_a_naive_packer():
+    rng = random.Random(7)
+    for _ in range(200):
+        n = rng.randrange(1, 40)
+        lengths = sorted((rng.randrange(1, 30) for _ in range(n)), reverse=True)
+        sources, clusters = [rng.choice("abc") for _ in range(n)], [rng.choice([None, "x", "y", "z"]) for _ in range(n)]
+        per = rng.randrange(1, 4)
+        assert packing.best_fit(lengths, sources, clusters, 30, per) == naive_best_fit(lengths, sources, clusters, 30, per)
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     # lengths fall; the third fits bin 0 exactly but shares its cluster
     assert packing.best_fit([7, 6, 3, 1], ["a", "b", "c", "d"], ["x", None, "x", None], 10, 1) == [0, 1, 1, 1]
