@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.session import ship
 from rollmill.llm.labelled import PER_CLASS, labelled_sample
-from rollmill.llm.text import U64, Piece, mix, pieces
+from rollmill.llm.text import U64, Piece, mix, pieces, unused
 
 BITS = 16
 #: The last buckets are for looks.
@@ -150,8 +150,20 @@ def score_quality(docs: DataFrame, model: Ordinal) -> DataFrame:
     """docs, all columns, with expected_grade and tail_probability (of a grade above the lowest).
 
     Only the text is an input. A null, empty or blank text has no words, which is a feature of its own. With labels of one grade, or none, that
-    grade is expected and tail_probability is 1. Repeated rows get equal scores; an empty table stays empty.
+    grade is expected and tail_probability is 1. Repeated rows get equal scores; an empty table stays empty. Columns of docs of these two
+    names are replaced.
     """
+    own = ["expected_grade", "tail_probability"]
+    return _scored(docs.select([c for c in docs.columns if c.lower() not in own]), model, own)
+
+
+def selected(docs: DataFrame, model: Ordinal, at: float = SELECT_AT) -> DataFrame:
+    """The rows of docs, all columns as they are, of a tail probability of ``at`` or more."""
+    own = [unused(docs.columns, "expected_grade"), unused(docs.columns, "tail_probability")]
+    return _scored(docs, model, own).where(F.col(own[1]) >= at).select(docs.columns)
+
+
+def _scored(docs: DataFrame, model: Ordinal, own: list[str]) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     names = docs.columns
@@ -165,6 +177,6 @@ def score_quality(docs: DataFrame, model: Ordinal) -> DataFrame:
             x = np.concatenate([scores(m.weight, p) for p in pieces(batch.column(at))] or [np.zeros(0)])
             above = _sigmoid(x[:, None] - m.thresholds[None, :])
             tail = above[:, 0] if len(step) else np.ones(len(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.grades[0] + above @ step), pa.array(tail)], [*names, "expected_grade", "tail_probability"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.grades[0] + above @ step), pa.array(tail)], [*names, *own])
 
-    return docs.mapInArrow(run, docs.withColumns({"expected_grade": F.lit(0.0), "tail_probability": F.lit(0.0)}).schema)
+    return docs.mapInArrow(run, docs.withColumns(dict.fromkeys(own, F.lit(0.0))).schema)

@@ -49,7 +49,7 @@ def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs, held = table(spark, d, "documents").select("doc_id", "text"), fold(4) == 2
     field = toxicity.train(docs, table(spark, d, "labels").where(~held))
     out = toxicity.score_toxicity(docs, field, spans=True)
-    return out.select("doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= toxicity.PREDICT_AT).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"))
+    return out.select("doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= toxicity.PREDICT_AT).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"), F.col("toxic_spans").alias("spans"))
 
 
 def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:

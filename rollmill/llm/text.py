@@ -72,6 +72,14 @@ class Piece:
         return hash_ranges(self.buf, self.start, self.end, lower)
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores at its end as make it a name that isn't taken (case aside)."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers outlive their tasks, and allocators keep what was freed."""
     pa.default_memory_pool().release_unused()

@@ -1,9 +1,11 @@
 """Toxic spans by a linear-chain conditional random field over words, and document scores from its marginals.
 
 Words are runs of letters and digits in lower case (A-Z); their features are hashes of the word and of its first four to nine bytes,
-of which each also tells whether the word goes on. A text is tagged in sequences of 64 words. The tables label whole documents, so words get their labels
+of which each also tells whether the word goes on. The chain runs over the whole text; blocks of 64 words are worked out side by side, with
+the messages that enter them from both sides. The tables label whole documents, so words get their labels
 first: in toxic documents those with a feature that toxic documents have and clean ones hardly ever do. Forward-backward
-marginals give each word's probability; a document's score is a logistic function of their sum and their largest.
+marginals give each word's probability; a document's score is a logistic function of their sum and their largest. All words of the
+sample of labelled documents train the field.
 """
 
 from __future__ import annotations
@@ -18,14 +20,14 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.session import ship
 from rollmill.llm.labelled import PER_CLASS, labelled_sample
-from rollmill.llm.text import NOT_ALNUM, U64, Piece, hash_ranges, pieces, shingle_hashes
+from rollmill.llm.text import NOT_ALNUM, U64, Piece, hash_ranges, pieces, shingle_hashes, unused
 
 BITS = 18
 PREFIXES = (4, 5, 6, 7, 8, 9)
 SPAN = 64
-#: Sequences that the field is trained on, at most.
-SEQUENCES = 8192
-EPOCHS = 30
+EPOCHS = 6
+#: Words of a mini-batch, about; it has whole texts.
+BATCH_WORDS = 1 << 15
 #: Log odds of a word without features that training met, before training.
 BIAS = -4.0
 #: A feature marks toxic words when this share of the documents that have it is toxic, and so many of them are that
@@ -57,63 +59,112 @@ def features(piece: Piece) -> np.ndarray:
     return out
 
 
-def sequences(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of up to SPAN words of each text, and each run's text."""
+def blocks(first: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of up to ``span`` words that texts are worked out in, and each run's text."""
     count = np.diff(first)
-    runs = -(-count // SPAN)
+    runs = -(-count // span)
     text = np.repeat(np.arange(len(count)), runs)
     k = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
-    start = first[text] + k * SPAN
-    return start, np.minimum(start + SPAN, first[text + 1]), text
+    start = first[text] + k * span
+    return start, np.minimum(start + span, first[text + 1]), text
 
 
-def marginals(score: np.ndarray, size: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward-backward over sequences: score (n, SPAN) toxic against clean, size (n) words.
+def marginals(score: np.ndarray, size: np.ndarray, step: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over whole texts in blocks: score (n, span) toxic against clean, size (n) words of each block, text (n) ascending.
 
     Gives P(toxic) of each word (zero beyond the end) and the expected number of each step, (2, 2).
     """
     n, span = score.shape
+    out, steps = np.zeros((n, span)), np.zeros((2, 2))
+    if not n:
+        return out, steps
     live = np.arange(span)[None, :] < size[:, None]
-    emit = np.exp(np.clip(np.stack([-score, score], -1) / 2, -30, 30)) 
+    emit = np.exp(np.clip(np.stack([-score, score], -1) / 2, -30, 30))
     move = np.exp(step)
+    enter, leave = _messages(emit, live, move, text)
     ahead = np.zeros((span, n, 2))
     for t in range(span):
-        now = emit[:, t] if t == 0 else ahead[t - 1] @ move * emit[:, t]
-        now = np.where(live[:, t, None], now, ahead[t - 1] if t else now)
+        now = (enter if t == 0 else ahead[t - 1] @ move) * emit[:, t]
+        if t:
+            now = np.where(live[:, t, None], now, ahead[t - 1])
         ahead[t] = now / now.sum(1, keepdims=True)
-    back = np.ones((n, 2))
-    out = np.zeros((n, span))
-    steps = np.zeros((2, 2))
+    back = leave
     for t in range(span - 1, -1, -1):
         both = ahead[t] * back
         out[:, t] = np.where(live[:, t], both[:, 1] / both.sum(1), 0)
+        right = emit[:, t] * back
         if t:
             on = live[:, t]
-            right = emit[:, t] * back
             pair = ahead[t - 1][:, :, None] * move[None] * right[:, None, :]
             pair /= pair.sum((1, 2), keepdims=True)
             steps += pair[on].sum(0)
             new = right @ move.T
             back = np.where(on[:, None], new / new.sum(1, keepdims=True), back)
+    # steps from a block's last word to the next block's first
+    after = np.flatnonzero(np.diff(text, prepend=text[0] - 1) == 0)
+    pair = ahead[span - 1][after - 1][:, :, None] * move[None] * right[after][:, None, :]
+    steps += (pair / pair.sum((1, 2), keepdims=True)).sum(0)
     return out, steps
 
 
+def _messages(emit: np.ndarray, live: np.ndarray, move: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters each block from the words before it, and from those after it (both of sum 1 or all ones)."""
+    n, span = live.shape
+    enter, leave = np.ones((n, 2)), np.ones((n, 2))
+    start = np.flatnonzero(np.diff(text, prepend=text[0] - 1))
+    count = np.diff(np.append(start, n))
+    start, count = start[count > 1], count[count > 1]
+    if not len(start):
+        return enter, leave
+    # weights from a block's first tag to its last, for blocks of longer texts only
+    mine = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    prod = np.zeros((len(mine), 2, 2))
+    prod[:, [0, 1], [0, 1]] = emit[mine, 0]
+    for t in range(1, span):
+        new = prod @ move * emit[mine, t, None, :]
+        prod = np.where(live[mine, t, None, None], new / new.sum((1, 2), keepdims=True), prod)
+    at = np.cumsum(count) - count
+    through = prod @ move
+    ahead, behind = np.ones((len(mine), 2)), np.ones((len(mine), 2))
+    for k in range(1, int(count.max())):
+        to = at[count > k] + k
+        new = np.einsum("ni,nij->nj", ahead[to - 1], through[to - 1])
+        ahead[to] = new / new.sum(1, keepdims=True)
+    total = prod.sum(2)
+    last = np.zeros((len(mine), 2))
+    for k in range(int(count.max()) - 1, 0, -1):
+        to = at[count > k] + k
+        ends = (count[count > k] == k + 1)[:, None]
+        after = last[np.minimum(to + 1, len(mine) - 1)]
+        new = np.where(ends, total[to], np.einsum("nij,nj->ni", through[to], after))
+        last[to] = new / new.sum(1, keepdims=True)
+        behind[to - 1] = last[to] @ move.T
+    enter[mine], leave[mine] = ahead, behind / behind.sum(1, keepdims=True)
+    return enter, leave
+
+
 def padded(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     at = np.minimum(start[:, None] + np.arange(SPAN)[None, :], max(len(values) - 1, 0))
     return values[at] * (np.arange(SPAN)[None, :] < (end - start)[:, None])
 
 
-def word_marginals(field: Field, piece: Piece) -> np.ndarray:
-    """P(toxic) of each word of a piece."""
-    out = np.zeros(len(piece.start))
+def chain(score: np.ndarray, first: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) of each word of texts that start at ``first`` (with one more entry at the end), and the expected steps."""
+    out = np.zeros(len(score))
     if not len(out):
-        return out
-    score = field.weight[features(piece)].sum(1) + field.bias
-    start, end, _ = sequences(piece.first)
+        return out, np.zeros((2, 2))
+    start, end, text = blocks(first)
     live = np.arange(SPAN)[None, :] < (end - start)[:, None]
-    at = start[:, None] + np.arange(SPAN)[None, :]
-    out[at[live]] = marginals(padded(score, start, end), end - start, field.step)[0][live]
-    return out
+    p, steps = marginals(padded(score, start, end), end - start, step, text)
+    out[(start[:, None] + np.arange(SPAN)[None, :])[live]] = p[live]
+    return out, steps
+
+
+def word_marginals(field: Field, piece: Piece) -> np.ndarray:
+    """P(toxic) of each word of a piece."""
+    if not len(piece.start):
+        return np.zeros(0)
+    return chain(field.weight[features(piece)].sum(1) + field.bias, piece.first, field.step)[0]
 
 
 def document_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -168,31 +219,12 @@ def fit(sample: pa.Table, totals: dict[int, int]) -> Field:
     need = max(LEAST_DOCS, np.log(max(1, int((have.sum(0) >= LEAST_DOCS).sum()))) / -np.log(chance))
     marks = (have[1] >= need) & (have[1] >= LEAST_SHARE * have.sum(0))
 
-    # sequences with a labelled word, and three times as many of the others, evenly spread
-    picks = []
-    for k, (piece, own) in enumerate(_with_labels(texts, toxic)):
-        tag = marks[features(piece)].any(1) & np.repeat(own, piece.count)
-        start, _, _ = sequences(piece.first)
-        if len(start):
-            hot = np.add.reduceat(tag, start) > 0
-            rest = np.flatnonzero(~hot)
-            pick = np.sort(np.concatenate([np.flatnonzero(hot), rest[:: max(1, len(rest) // max(8, 3 * int(hot.sum())))]]))
-            picks.append(np.stack([np.full(len(pick), k), pick], 1))
-    chosen = np.concatenate(picks or [np.zeros((0, 2), np.int64)])
-    chosen = chosen[:: max(1, -(-len(chosen) // SEQUENCES))]
-    feats_in, sizes_in, tags_in = [], [], []
-    for k, (piece, own) in enumerate(_with_labels(texts, toxic)):
-        pick = chosen[chosen[:, 0] == k, 1]
-        if len(pick):
-            feats = features(piece)
-            start, end, text = sequences(piece.first)
-            rows = np.minimum(start[pick, None] + np.arange(SPAN)[None, :], len(feats) - 1)
-            feats_in.append(feats[rows])
-            tags_in.append(marks[feats_in[-1]].any(-1) & own[text[pick], None])
-            sizes_in.append((end - start)[pick])
-    weight, bias, step = np.zeros(size), BIAS, np.zeros((2, 2))
-    if feats_in:
-        weight, bias, step = _train(*(np.concatenate(x) for x in (feats_in, tags_in, sizes_in)))
+    feats_in, tags_in, sizes_in = [np.zeros((0, 1 + len(PREFIXES)), np.int32)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
+    for piece, own in _with_labels(texts, toxic):
+        feats_in.append(features(piece))
+        tags_in.append(marks[feats_in[-1]].any(1) & np.repeat(own, piece.count))
+        sizes_in.append(piece.count)
+    weight, bias, step = _train(*(np.concatenate(x) for x in (feats_in, tags_in, sizes_in)))
     field = Field(weight.astype(np.float32), bias, step, np.array([0.0, 0.0, 0.0]))
     rows = [document_features(word_marginals(field, p), p.first) for p in pieces(texts, NOT_ALNUM)]
     x = np.concatenate(rows) if rows else np.zeros((0, 3))
@@ -202,25 +234,35 @@ def fit(sample: pa.Table, totals: dict[int, int]) -> Field:
 
 
 def _train(ids: np.ndarray, tags: np.ndarray, sizes: np.ndarray, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float, np.ndarray]:
-    """Adagrad on the conditional log-likelihood."""
-    live = np.arange(SPAN)[None, :] < sizes[:, None]
-    weight, bias, step = np.zeros(1 << BITS), BIAS, np.zeros((2, 2))
-    seen, seen_bias, seen_step = np.full(1 << BITS, 1e-8), 1e-8, np.full((2, 2), 1e-8)
-    after = live[:, 1:]
-    had = np.array([[(after & (tags[:, :-1] == a) & (tags[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
-    flat = ids[live].ravel()
-    met = np.bincount(flat, minlength=1 << BITS) > 0
+    """Adagrad on the conditional log-likelihood of whole texts (words' features and tags, and the texts' sizes), in mini-batches."""
+    size = 1 << BITS
+    weight, bias, step = np.zeros(size), BIAS, np.zeros((2, 2))
+    seen, seen_bias, seen_step = np.full(size, 1e-8), 1e-8, np.full((2, 2), 1e-8)
+    first = np.append(0, np.cumsum(sizes))
+    draw = np.random.default_rng(5)
     for _ in range(EPOCHS):
-        p, expected = marginals(np.where(live, weight[ids].sum(-1) + bias, 0), sizes, step)
-        off = (p - tags)[live]
-        grad = np.bincount(flat, np.repeat(off, ids.shape[-1]), 1 << BITS) + decay * weight * met
-        seen += grad * grad
-        weight -= rate * grad / np.sqrt(seen)
-        seen_bias += off.sum() ** 2
-        bias -= 0.2 * off.sum() / np.sqrt(seen_bias)
-        grad = expected - had
-        seen_step += grad * grad
-        step -= 0.2 * grad / np.sqrt(seen_step)
+        order = draw.permutation(np.flatnonzero(sizes))
+        cut = np.cumsum(sizes[order]) // BATCH_WORDS
+        for mine in np.split(order, np.flatnonzero(np.diff(cut)) + 1) if len(order) else []:
+            count = sizes[mine]
+            own = np.append(0, np.cumsum(count))
+            words = np.repeat(first[mine] - own[:-1], count) + np.arange(own[-1])
+            feats, tag = ids[words], tags[words]
+            p, expected = chain(weight[feats].sum(1) + bias, own, step)
+            off = p - tag
+            grad = np.bincount(feats.ravel(), np.repeat(off, feats.shape[1]), size)
+            met = np.bincount(feats.ravel(), minlength=size) > 0
+            grad += decay * weight * met
+            seen += grad * grad
+            weight -= rate * grad / np.sqrt(seen)
+            seen_bias += off.sum() ** 2
+            bias -= 0.2 * off.sum() / np.sqrt(seen_bias)
+            inner = np.ones(len(tag), bool)
+            inner[own[:-1]] = False
+            had = np.bincount((tag[:-1] * 2 + tag[1:])[inner[1:]], minlength=4).reshape(2, 2)
+            grad = expected - had
+            seen_step += grad * grad
+            step -= 0.2 * grad / np.sqrt(seen_step)
     return weight, float(bias), step
 
 
@@ -247,8 +289,19 @@ def score_toxicity(docs: DataFrame, field: Field, spans: bool = False) -> DataFr
     """docs, all columns, with toxic_score (0 to 1), and with ``spans`` toxic_spans array<struct<begin, end>> in UTF-8 bytes.
 
     Only the text is an input. A null, empty or blank text gets the score of a document without toxic words, and no spans. Repeated
-    rows get equal scores; an empty table stays empty.
+    rows get equal scores; an empty table stays empty. Columns of docs of these two names are replaced.
     """
+    own = ["toxic_score", *["toxic_spans"] * spans]
+    return _scored(docs.select([c for c in docs.columns if c.lower() not in own]), field, spans, own)
+
+
+def without_toxic(docs: DataFrame, field: Field, at: float = PREDICT_AT) -> DataFrame:
+    """The rows of docs, all columns as they are, that score under ``at``; a null or empty text scores as one without toxic words."""
+    name = unused(docs.columns, "toxic_score")
+    return _scored(docs, field, False, [name]).where(F.col(name) < at).select(docs.columns)
+
+
+def _scored(docs: DataFrame, field: Field, spans: bool, own: list[str]) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     names = docs.columns
@@ -265,15 +318,22 @@ def score_toxicity(docs: DataFrame, field: Field, spans: bool = False) -> DataFr
                 z = document_features(p, piece.first) @ field.calibration
                 scores.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
                 if spans:
-                    for k in range(piece.hi - piece.lo):
-                        hot = np.flatnonzero(p[piece.first[k] : piece.first[k + 1]] >= SPAN_AT) + piece.first[k]
-                        cut = np.flatnonzero(np.diff(hot, prepend=-2) > 1)
-                        last = np.append(cut[1:], len(hot)) - 1
-                        found.append([{"begin": int(piece.start[hot[a]] - piece.text_at[k]), "end": int(piece.end[hot[b]] - piece.text_at[k])} for a, b in zip(cut, last, strict=True)] if len(hot) else [])
+                    found += offending(p, piece)
             columns = [*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns + ([pa.array(found, kind)] if spans else []), [*names, "toxic_score", *["toxic_spans"] * spans])
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array(found, kind)] if spans else []), [*names, *own])
 
-    out = docs.withColumn("toxic_score", F.lit(0.0))
+    schema = docs.withColumn(own[0], F.lit(0.0))
     if spans:
-        out = out.withColumn("toxic_spans", F.expr("cast(null as array<struct<begin: bigint, end: bigint>>)"))
-    return docs.mapInArrow(run, out.schema)
+        schema = schema.withColumn(own[1], F.expr("cast(null as array<struct<begin: bigint, end: bigint>>)"))
+    return docs.mapInArrow(run, schema.schema)
+
+
+def offending(p: np.ndarray, piece: Piece) -> list[list[dict[str, int]]]:
+    """For each text of a piece its runs of words of a marginal of SPAN_AT or more, as byte offsets."""
+    out = []
+    for k in range(piece.hi - piece.lo):
+        hot = np.flatnonzero(p[piece.first[k] : piece.first[k + 1]] >= SPAN_AT) + piece.first[k]
+        cut = np.flatnonzero(np.diff(hot, prepend=-2) > 1)
+        last = np.append(cut[1:], len(hot)) - 1
+        out.append([{"begin": int(piece.start[hot[a]] - piece.text_at[k]), "end": int(piece.end[hot[b]] - piece.text_at[k])} for a, b in zip(cut, last, strict=True)] if len(hot) else [])
+    return out

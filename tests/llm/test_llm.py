@@ -267,25 +267,73 @@ def test_toxicity(spark):
     for k in range(0, 400, 5):
         for s in got[k].toxic_spans:
             assert texts[k].encode()[s["begin"] : s["end"]].lower().startswith((b"vile", b"slur", b"w"))
+        assert got[k].toxic_spans
     assert all(0 <= r.toxic_score <= 1 for r in got.values())
     none = toxicity.train(docs, labels.limit(0))
     assert toxicity.score_toxicity(docs, none).where("toxic_score >= 0.3").count() == 0
 
 
-def test_marginals_sum_over_all_taggings():
+@pytest.mark.parametrize("span", [1, 2, 3, 64])
+def test_marginals_sum_over_all_taggings(span):
     rng = np.random.default_rng(0)
-    score, size, step = np.zeros((2, toxicity.SPAN)), np.array([3, 1]), rng.normal(0, 1, (2, 2))
-    score[:, :3] = rng.normal(0, 1, (2, 3))
-    p, _ = toxicity.marginals(score, size, step)
-    total, hit = 0.0, np.zeros(3)
-    for code in range(8):
-        tags = [code >> k & 1 for k in range(3)]
-        w = math.exp(sum((score[0, k] if tags[k] else -score[0, k]) / 2 for k in range(3)) + step[tags[0], tags[1]] + step[tags[1], tags[2]])
-        total += w
-        hit += np.array(tags) * w
-    assert p[0, :3] == pytest.approx(hit / total)
-    assert p[1, 0] == pytest.approx(1 / (1 + math.exp(-score[1, 0])))
-    assert not p[1, 1:].any()
+    sizes, step = [7, 1, 4, 0, 2], rng.normal(0, 1, (2, 2))
+    first = np.append(0, np.cumsum(sizes))
+    score = rng.normal(0, 1, first[-1])
+    start, end, text = toxicity.blocks(first, span)
+    live = np.arange(span)[None, :] < (end - start)[:, None]
+    flat = np.minimum(start[:, None] + np.arange(span)[None, :], len(score) - 1)
+    p, steps = toxicity.marginals(score[flat] * live, end - start, step, text)
+    want_steps, got = np.zeros((2, 2)), np.zeros(len(score))
+    got[flat[live]] = p[live]
+    for a, n in zip(first[:-1].tolist(), sizes, strict=True):
+        total, hit, moves = 0.0, np.zeros(n), np.zeros((2, 2))
+        for code in range(2**n):
+            tags = [code >> k & 1 for k in range(n)]
+            w = math.exp(sum(score[a + k] * (tags[k] - 0.5) for k in range(n)) + sum(step[x, y] for x, y in zip(tags, tags[1:])))
+            total += w
+            hit += np.array(tags) * w
+            for x, y in zip(tags, tags[1:]):
+                moves[x, y] += w
+        assert got[a : a + n] == pytest.approx(hit / total)
+        want_steps += moves / total
+    assert steps == pytest.approx(want_steps)
+    assert not p[~live].any()
+
+
+def test_spans_and_document_scores(spark):
+    """A span goes on across the edge of a block; the score is the logistic function of the marginals' features."""
+    texts, labels = labelled(spark)
+    field = toxicity.train(frame(spark, texts), labels)
+    tail = " ".join(f"w{k % 300}" for k in range(toxicity.SPAN - 1))
+    long = f"{tail} vileword vileword ".encode()
+    rows = [long.decode() + tail, None, "", "vileword"]
+    docs = frame(spark, rows).withColumns({"toxic_score": F.lit("mine"), "TOXIC_SPANS": F.lit("mine")})
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, field, spans=True).collect()}
+    assert [tuple(s) for s in got[0].toxic_spans] == [(len(tail) + 1, len(tail) + 18)]
+    assert got[1].toxic_spans == got[2].toxic_spans == [] and got[1].toxic_score == got[2].toxic_score
+    assert [tuple(s) for s in got[3].toxic_spans] == [(0, 8)]
+    piece = next(pieces(pa.array(rows), toxicity.NOT_ALNUM))
+    p = toxicity.word_marginals(field, piece)
+    for k in range(4):
+        own = p[piece.first[k] : piece.first[k + 1]]
+        top = min(max(own.max(initial=0), 1e-6), 1 - 1e-6)
+        x = [math.log(sum(-math.log1p(-min(v, 1 - 1e-9)) for v in own) + 1e-6), math.log(top / (1 - top)), 1]
+        assert got[k].toxic_score == pytest.approx(1 / (1 + math.exp(-float(np.dot(x, field.calibration)))))
+    left = toxicity.without_toxic(docs, field)
+    assert left.columns == docs.columns and {r.doc_id: r.toxic_score for r in left.collect()} == {1: "mine", 2: "mine"}
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    from rollmill.llm.labelled import labelled_sample
+
+    docs = frame(spark, ["x" * 100] * 50 + [None] * 3)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(53)] + [(1, 1), (None, 1), (2, None)], "doc_id bigint, toxic int")
+    sample, totals = labelled_sample(docs, labels, F.col("toxic"), 4000, 1000)
+    assert totals == {0: 27, 1: 26}
+    for g in (0, 1):
+        own = [t for t, x in zip(sample.column("text").to_pylist(), sample.column("grade").to_pylist(), strict=True) if x == g]
+        assert 10 <= len(own) and sum(len(t or "") for t in own) == 1000
+    assert labelled_sample(docs, labels, F.col("toxic"), 4000, 10)[0].num_rows >= 2
 
 
 def test_quality(spark):
