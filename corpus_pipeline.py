@@ -9,15 +9,21 @@ from rollmill.llm import decontam, neardup, packing, quality, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a toxicity score below the threshold; the field is fitted on labelled documents of the raw table."""
+    """Documents of a toxicity score below the threshold; the field is fitted on labelled documents of the raw table.
+
+    A null, empty or blank text has no toxic words and stays; rows without an id and repeated rows are judged by their texts.
+    """
     field = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, field).where(f"toxic_score < {toxicity.PREDICT_AT}").select(docs.columns)
+    return toxicity.without_toxic(docs, field)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the graded model selects; it is fitted on labelled documents of the raw table."""
+    """Documents that the graded model selects; it is fitted on labelled documents of the raw table.
+
+    A null, empty or blank text is judged as one without words; rows without an id and repeated rows are judged by their texts.
+    """
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).where(f"tail_probability >= {quality.SELECT_AT}").select(docs.columns)
+    return quality.selected(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +37,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of every document in one bin; a text without words has one row and no bin."""
     return packing.pack(docs)
 
 
