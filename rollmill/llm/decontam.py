@@ -19,10 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.functions.session import ship
+from rollmill.functions.session import checkpointed, ship
+from rollmill.llm.text import unused
 
 #: Words of an automaton at most; it has up to twice as many states. Larger benchmarks take several.
 BLOCK_WORDS = 500_000
+#: Automata that are in use at once, at most.
+PASSES = 4
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -140,24 +143,33 @@ class ItemAutomaton:
         return spans, items
 
 
-def item_blocks(items: DataFrame, words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """The items (item_id, text) in blocks of about ``words`` words; only one block is on the driver at a time."""
+def item_blocks(items: DataFrame, width: int, words: int = BLOCK_WORDS) -> Iterator[list[tuple[int | None, list[bytes]]]]:
+    """The items (item_id, text) in blocks of about ``words`` words; only one block is on the driver at a time.
+
+    Of an item of more words each block has a run, and the next begins ``width - 1`` words before its end: no window is lost.
+    """
     block, n = [], 0
     for row in items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).toLocalIterator():
-        block.append((row[0], found := words_of(row[1])))
-        n += len(found)
-        if n >= words:
-            yield block
-            block, n = [], 0
+        found = words_of(row[1])
+        for a in range(0, max(1, len(found) - width + 1), words):
+            block.append((row[0], found[a : a + words + width - 1]))
+            n += len(block[-1][1])
+            if n >= words:
+                yield block
+                block, n = [], 0
     if block:
         yield block
 
 
 def _matched(docs: DataFrame, items: DataFrame, width: int, block_words: int) -> DataFrame:
-    """docs with spans array<bigint> (2k: first word, 2k+1: after the last), hits array<bigint> (items), n_words."""
+    """docs with three more columns at the end: spans array<bigint> (2k: first word, 2k+1: after the last), items array<bigint>, number of words.
+
+    Documents are streamed through one automaton after the other; with more than PASSES of them what is found so far is checkpointed in between.
+    """
     spark = docs.sparkSession
     ship(spark)
-    out = docs.withColumns({"_spans": F.array().cast("array<bigint>"), "_items": F.array().cast("array<bigint>"), "_words": F.lit(0).cast("bigint")})
+    own = [unused(docs.columns, name) for name in ("_spans", "_items", "_words")]
+    out = docs.withColumns(dict(zip(own, (F.array().cast("array<bigint>"), F.array().cast("array<bigint>"), F.lit(0).cast("bigint")), strict=True)))
     text_at = out.columns.index("text")
 
     def passed(automaton: ItemAutomaton):  # noqa: ANN202
@@ -181,15 +193,19 @@ def _matched(docs: DataFrame, items: DataFrame, width: int, block_words: int) ->
                             else:
                                 merged.append((a, b))
                         spans[i] = [x for s in merged for x in s]
-                        items[i] = sorted({*items[i], *which})
+                        items[i] = sorted({*items[i], *which}, key=lambda x: (x is None, x or 0))
                 many = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([*columns[:-3], pa.array(spans, many), pa.array(items, many), pa.array(n, pa.int64())], batch.schema.names)
 
         return run
 
-    for block in item_blocks(items, block_words) if items.take(1) else [[]]:
+    found, k = False, 0
+    for k, block in enumerate(item_blocks(items, width, block_words), 1):
+        found = True
         out = out.mapInArrow(passed(ItemAutomaton(block, width)), out.schema)
-    return out
+        if k % PASSES == 0:
+            out = checkpointed(out)
+    return out if found else out.mapInArrow(passed(ItemAutomaton([], width)), out.schema)
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -197,12 +213,13 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, block_word
 
     Words are runs of 0-9, A-Z (as a-z), a-z and all characters beyond ASCII. A word is hit when it lies inside an
     occurrence of a window. A null or empty text, or item, has no words: no hit, items_sha256 that of the empty
-    string. Items may share words or be repeated; each with an occurring window counts once for each item_id. Other columns aren't read.
+    string. Items may share words or be repeated; each with an occurring window counts once for each item_id, and all those without an id
+    count as one, named null. Rows without a doc_id, and repeated ones, are treated as others; no items hit nothing. Other columns aren't read.
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[str(x) for x in r] for r in batch.column(1).to_pylist()]
+            rows = [["null" if x is None else str(x) for x in r] for r in batch.column(1).to_pylist()]
             sums = [hashlib.sha256(",".join(sorted(r)).encode()).hexdigest() for r in rows]
             spans = [[b - a for a, b in zip(s[::2], s[1::2], strict=True)] for s in batch.column(2).to_pylist()]
             hit = [sum(s) for s in spans]
@@ -210,7 +227,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, block_word
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest"])
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = _matched(own, items, width, block_words).select("doc_id", "_items", "_spans", "_words")
+    found = _matched(own, items, width, block_words).select("doc_id", "_items", "_spans", "_words")  # own has no such names
     return found.mapInArrow(digest, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, longest bigint")
 
 
@@ -245,10 +262,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, coverage:
                 texts.append(cut_spans(text, spans) if spans and keep[-1] else text)
             columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
             cut = pa.array([bool(s) for s in batch.column(len(names)).to_pylist()], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*columns, cut], [*names, "_cut"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*columns, cut], [*names, mark]).filter(pa.array(keep, pa.bool_()))
 
-    found = _matched(docs.withColumn("text", F.col("text").cast("string")), items, width, block_words)
-    out = found.mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).withColumn("_cut", F.lit(True)).schema)
+    mark = unused(names, "_cut")
+    texts = docs.withColumn("text", F.col("text").cast("string"))
+    out = _matched(texts, items, width, block_words).mapInArrow(run, texts.withColumn(mark, F.lit(True)).schema)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("n_chars", F.when(F.col(mark), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(names)

@@ -519,6 +519,18 @@ def test_contamination(spark, block):
     assert clean[len(texts) - 2] == "a  b"
     assert all(clean[k] == texts[k] for k in clean if not got[k].contaminated)
     assert decontam.contamination(frame(spark, texts), items.limit(0)).where("contaminated").count() == 0
+    # items and documents without ids, an item over several blocks, callers' columns of the names in use
+    docs = frame(spark, texts).select(F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).alias("doc_id"), "text", *(F.lit("x").alias(k) for k in ("_spans", "_items", "_words", "_cut")))
+    nameless = spark.createDataFrame([(None, tests[0]), (None, tests[4]), (3, tests[0]), (3, None)], "item_id bigint, text string")
+    split = [("null", decontam.words_of(tests[0])), ("null", decontam.words_of(tests[4])), ("3", decontam.words_of(tests[0]))]
+    want = Counter()
+    for k, t in enumerate(texts):
+        hit, which = brute_hits(decontam.words_of(t), split, 10)
+        want[k if k % 2 == 0 else None, len(hit), len(which), hashlib.sha256(",".join(sorted(which)).encode()).hexdigest()] += 1
+    for size in (1, 4, 7, 1000):
+        assert Counter((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in decontam.contamination(docs, nameless, 10, size).collect()) == want
+    kept = decontam.decontaminate(docs, nameless, 10)
+    assert kept.columns == docs.columns and all(r["_cut"] == r["_words"] == "x" for r in kept.collect())
 
 
 def test_pipeline_stages(spark, tmp_path):
