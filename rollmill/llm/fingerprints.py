@@ -1,4 +1,4 @@
-"""Document fingerprints: MinHash by universal hash permutations over word shingles, and joins of signature bands.
+"""Document fingerprints: MinHash by universal hash permutations over word shingles, and groups by joins of signature bands.
 
 A permutation maps a 64-bit shingle hash x to the high 16 bits of the smallest ``a * x + b`` (mod 2**64, a odd). The
 fingerprint is the values of 128 of them, as hex digits; the likeness of two is the share of equal values, corrected
@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import checkpointed, ship, small_side
+from rollmill.llm.neardup import near_duplicates
 from rollmill.llm.order import CELL, next_cells
 from rollmill.llm.text import U64, mix, pieces, shingle_hashes
 
 PERMUTATIONS = 128
 WIDTH = 5
-ROWS = 4
 #: Shingles that are permuted at once: the temporary array has PERMUTATIONS times as many values.
 CHUNK = 256
 _FACTOR = mix(np.arange(1, PERMUTATIONS + 1, dtype=U64)) | U64(1)
@@ -125,28 +125,14 @@ def with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 GROUP_ROWS = 256
 
 
-def near_links(docs: DataFrame, width: int = WIDTH, percent: int = 80, rows: int = ROWS) -> DataFrame:
-    """(u, v), u < v: each document against the smallest of every band of ``rows`` values it shares, Jaccard verified.
+def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row of docs (doc_id, text): near duplicates by bands of the fingerprints' values.
 
-    Band groups give stars, not all pairs; components of the links are near-duplicate groups. Equal fingerprints are
-    linked to the smallest of them without a comparison beyond the fingerprint's. Texts without words have no links.
+    Bands of four values are joined, candidates are estimated from their fingerprints, and links are verified by the Jaccard similarity
+    of full shingle sets, in components and blocks as neardup does; its docstring tells how nulls, ties and repeated rows are treated.
     """
-    marks = checkpointed(fingerprints(docs, width)).where(F.col("fingerprint") != "0" * 4 * PERMUTATIONS)
-    size = 4 * rows
-    bands = F.transform(F.sequence(F.lit(0), F.lit(PERMUTATIONS // rows - 1)), lambda k: F.xxhash64(k, F.substring("fingerprint", k * size + 1, F.lit(size))))
-    dealt = marks.select("doc_id", F.explode(bands).alias("band"))
-    low = dealt.groupBy("band").agg(F.min("doc_id").alias("u"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = dealt.join(low, "band").where("doc_id <> u").select("u", F.col("doc_id").alias("v")).distinct()
+    return near_duplicates(docs, width, percent, minhash, _by_chance)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [[s for p in pieces(batch.column(k)) for s in shingle_hashes(p.hashes(), p.first, width)] for k in ("x", "y")]
-            keep = []
-            for a, b in zip(*sides, strict=True):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    both = pairs.join(texts.toDF("u", "x"), "u").join(texts.toDF("v", "y"), "v").select("u", "v", "x", "y")
-    return both.mapInArrow(run, "u bigint, v bigint").distinct()
+
+def _by_chance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.full(np.shape(a), PERMUTATIONS * 2.0**-16)

@@ -2,14 +2,16 @@
 
 1. Each text gives its set of word shingles and a sketch of 128 registers of 16 bits: 6 bits for the leading
    zeros of a bucket's smallest hash, 10 for the mantissa bits that follow.
-2. Texts with the same set fall into one class; from here on classes stand for documents.
-3. Bands of four registers are joined; the four registers themselves are the key. In each band group every class
-   is compared with the group's smallest class. Two sets of similarity 0.8 share no band with probability under 1e-7.
-4. A candidate survives the size bound and a Jaccard estimate, corrected for register collisions, within five
+2. Texts with the same set, told by its size and two independent 64-bit sums, fall into one class; from here on classes stand for documents.
+3. Bands of four registers are joined; the four registers themselves are the key. Sets of up to 32 shingles, whose few registers make few
+   bands, are joined exactly: by the smallest hashes of which two such sets of the threshold's similarity must share one. In each
+   band group every class is compared with the group's smallest class. Two larger sets of similarity 0.8 share no band with probability under 1e-7.
+4. A candidate survives the size bound and, for larger sets, a Jaccard estimate, corrected for register collisions, within five
    standard deviations of the threshold; then both texts are read and their full sets compared.
-5. Groups that the links so far leave in several components are compared in blocks: of the pairs across components
-   that the estimate lets through, the sets' sizes in common are counted in the block, and the best link of each two components goes on to
-   the exact check. Blocks are dealt over tasks, so no group is gathered anywhere.
+5. Groups that the links so far leave in several components are compared in blocks, all members of other components than the largest
+   against each other and against those of the largest. First sketches only are sent: members that the estimate lets through with a member of
+   another component stay. Their sets follow; the sets' sizes in common are counted in the block, and the best link of each two components
+   goes on to the exact check. Blocks are dealt over tasks, so no group is gathered anywhere.
 6. Components of all links, by distributed star contraction.
 
 Sets are held as 64-bit hashes of shingles (see text.py). Rows are told apart by id and text, by a null-safe id and a 64-bit hash of
@@ -18,7 +20,7 @@ the text: ids may be null or stand for several texts, and no numbered copy of th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,9 @@ MANTISSA_BITS = 10
 REST_BITS = 53
 BAND = 4
 #: Members of a block in step 5.
-BLOCK = 512
+BLOCK = 256
+#: Sets of up to so many shingles are joined by their smallest hashes.
+SMALL = 32
 #: Pairs of which a task holds the sets at once.
 PAIRS = 256
 
@@ -63,18 +67,32 @@ def expected_collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 0.169919487159739 * 2.0 ** (BUCKET_BITS - MANTISSA_BITS) * 4 * ratio / (1 + ratio) ** 2
 
 
-def estimate(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+Sketch = Callable[[np.ndarray], np.ndarray]
+Chance = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def estimate(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, chance: Chance = expected_collisions) -> tuple[np.ndarray, np.ndarray]:
     """Jaccard estimates of sketches (rows of x and y, sets of a and b members), and the registers that carry them."""
     used = ((x != 0) | (y != 0)).sum(-1)
     same = ((x == y) & (x != 0)).sum(-1)
-    return np.clip((same - expected_collisions(a, b)) / np.maximum(used, 1), 0, 1), used
+    return np.clip((same - chance(a, b)) / np.maximum(used, 1), 0, 1), used
 
 
-def plausible(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether a pair may reach the threshold: exact on sizes, five standard deviations on the estimate."""
-    at, used = estimate(x, y, a, b)
+def plausible(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int, chance: Chance = expected_collisions) -> np.ndarray:
+    """Whether a pair may reach the threshold: exact on sizes, for sets beyond SMALL also five standard deviations on the estimate."""
+    at, used = estimate(x, y, a, b, chance)
     t = percent / 100
-    return (at >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+    near = (at >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))) | (np.minimum(a, b) <= SMALL)
+    return near & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+
+
+def smallest(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Of a sorted small set the first members, so many that two sets of the threshold's similarity share one; none of a large set.
+
+    A set that may be as similar to one of SMALL members has them too.
+    """
+    n = len(shingles)
+    return shingles[: n - -(-percent * n // 100) + 1 if percent * n <= 100 * SMALL else 0]
 
 
 def _key(doc_id: Column, text: Column) -> Column:
@@ -88,41 +106,52 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return own.select("doc_id", _key(F.col("doc_id"), F.col("text")).alias("key"), "text")
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, key, n_shingles, set_hash, sketch) of each document."""
+def sketches(docs: DataFrame, width: int, percent: int = 80, sketch: Sketch = registers) -> DataFrame:
+    """(doc_id, key, n_shingles, set_hash, check, sketch, few) of each document."""
+
+    def sums(s: np.ndarray) -> tuple[int, int]:
+        both = np.array([s.sum(dtype=U64) ^ (U64(len(s)) << U64(40)), mix(s ^ U64(0xA24BAED4963EE407)).sum(dtype=U64) + U64(len(s))], U64)
+        one, two = mix(both).view(np.int64).tolist() if len(s) else (0, 0)
+        return one, two
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, rows = [], [], []
+            sizes, keys, rows, few = [], [], [], []
             for piece in pieces(batch.column(2)):
                 for s in shingle_hashes(piece.hashes(), piece.first, width):
                     sizes.append(len(s))
-                    keys.append(int(mix(np.array([s.sum(dtype=U64) ^ (U64(len(s)) << U64(40))], U64))[0].astype(np.int64)) if len(s) else 0)
-                    rows.append(registers(s).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "key", "n_shingles", "set_hash", "sketch"])
+                    keys.append(sums(s))
+                    rows.append(sketch(s).tobytes())
+                    few.append(smallest(s, percent).tobytes())
+            one, two = zip(*keys, strict=True) if keys else ((), ())
+            columns = [batch.column(0), batch.column(1), *(pa.array(x, pa.int64()) for x in (sizes, one, two)), *(pa.array(x, pa.binary()) for x in (rows, few))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "set_hash", "check", "sketch", "few"])
 
     ship(docs.sparkSession)
-    return _keyed(docs).mapInArrow(run, "doc_id bigint, key bigint, n_shingles bigint, set_hash bigint, sketch binary")
+    return _keyed(docs).mapInArrow(run, "doc_id bigint, key bigint, n_shingles bigint, set_hash bigint, check bigint, sketch binary, few binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, id): one row for each band of a class that has a register filled. The key is the band's registers and its number."""
+    """(band, id): for each larger class its bands that have a register filled, by their registers and number; for each small one its few hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
+            ids, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 3))
             sketch = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             key = np.ascontiguousarray(sketch).view(U64)  # four registers
-            full = key != 0
-            key = mix(key ^ mix(np.arange(1, key.shape[1] + 1, dtype=U64))).view(np.int64)
-            who = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), full.sum(1))
-            yield pa.RecordBatch.from_arrays([pa.array(key[full]), pa.array(who)], ["band", "id"])
+            full = (key != 0) & (n > SMALL)[:, None]
+            key = mix(key ^ mix(np.arange(1, key.shape[1] + 1, dtype=U64)))
+            few = batch.column(2).to_pylist()
+            band = np.concatenate([key[full], mix(np.frombuffer(b"".join(few), U64) ^ U64(0xD1342543DE82EF95))])
+            who = np.concatenate([np.repeat(ids, full.sum(1)), np.repeat(ids, [len(x) // 8 for x in few])])
+            yield pa.RecordBatch.from_arrays([pa.array(band.view(np.int64)), pa.array(who)], ["band", "id"])
 
-    return classes.select("id", "sketch").mapInArrow(run, "band bigint, id bigint")
+    return classes.select("id", "sketch", "few", "n").mapInArrow(run, "band bigint, id bigint")
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int, chance: Chance) -> DataFrame:
     """The pairs (u, v) of classes that are plausible."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +160,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in ("x", "y"))
             a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("a", "b"))
-            yield batch.select(["u", "v"]).filter(pa.array(plausible(x, y, a, b, percent)))
+            yield batch.select(["u", "v"]).filter(pa.array(plausible(x, y, a, b, percent, chance)))
 
     own = classes.select("id", "n", "sketch")
     return (
@@ -189,7 +218,7 @@ def _of_class(texts: DataFrame) -> DataFrame:
     return texts.join(again, "id", "left_anti").unionAll(texts.join(again, "id").groupBy("id").agg(F.min("text").alias("text")))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, sketch: Sketch = registers, chance: Chance = expected_collisions) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
 
     Two documents are linked when ``100 * shared >= percent * union`` holds for their sets of distinct runs of
@@ -197,9 +226,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     empty or blank text has none, is linked with nothing and stands alone. component_id is the smallest doc_id that
     links reach; kept marks the component's rows of that doc_id. Rows without an id are compared as others are; a component of
     such rows only has a null component_id, and kept marks all of them. Repeated rows share their component, rows of one
-    doc_id with other texts need not; an empty table gives no rows; columns other than these two are not read.
+    doc_id with other texts need not; an empty table gives no rows; columns other than these two are not read. ``sketch`` makes REGISTERS
+    16-bit values of a set, and ``chance`` tells how many of them disjoint sets of two sizes share.
     """
-    out = _labelled(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+    out = _labelled(docs, width, percent, sketch, chance).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -235,43 +265,44 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     return out.select(docs.columns)
 
 
-def _labelled(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _labelled(docs: DataFrame, width: int, percent: int, sketch: Sketch = registers, chance: Chance = expected_collisions) -> DataFrame:
     """(doc_id, key, n_shingles, component_id, root) of each row; root numbers the components and is null where a text has no words."""
-    rows = checkpointed(sketches(docs, width))
+    rows = checkpointed(sketches(docs, width, percent, sketch))
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))  # nulls last
     classes = (
-        rows.where("n_shingles > 0").groupBy(F.col("set_hash").alias("id"))
-        .agg(least.alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        rows.where("n_shingles > 0").groupBy("set_hash", "check")
+        .agg(least.alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("few").alias("few"))
     )
-    classes = checkpointed(classes.select("id", "least.doc_id", "least.key", "n", "sketch"))
+    # a class's number stands for both hashes; the checkpoint fixes it
+    classes = checkpointed(classes.select(F.monotonically_increasing_id().alias("id"), "set_hash", "check", "least.doc_id", "least.key", "n", "sketch", "few"))
     bands = checkpointed(_bands(classes))
     groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
     groups = checkpointed(groups)
     in_groups = bands.join(groups, "band")
     pairs = in_groups.where("id <> lead").select(F.col("lead").alias("u"), F.col("id").alias("v")).distinct()
-    links = checkpointed(_verified(checkpointed(_estimated(pairs, classes, percent)), classes, docs, width, percent))
+    links = checkpointed(_verified(checkpointed(_estimated(pairs, classes, percent, chance)), classes, docs, width, percent))
     roots = components(links)
 
     member = in_groups.where("members > 2").join(roots.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "lead", F.coalesce("root", "id").alias("root"))
-    across = checkpointed(_across(member, classes, docs, width, percent))
+    across = checkpointed(_across(member, classes, docs, width, percent, chance))
     if not across.isEmpty():
         more = _verified(across, classes, docs, width, percent)
         roots = components(links.unionAll(more))
 
-    label = classes.select("id", "doc_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    label = classes.select("id", "doc_id", "set_hash", "check").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     low = label.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(low, "root").select(F.col("id").alias("set_hash"), "component_id", "root")
-    out = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles", "set_hash").join(label, "set_hash")
+    label = label.join(low, "root").select("set_hash", "check", "component_id", "root")
+    out = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles", "set_hash", "check").join(label, ["set_hash", "check"])
     alone = rows.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("root"))
     return out.select("doc_id", "key", "n_shingles", "component_id", "root").unionAll(alone)
 
 
 def _grams(texts: DataFrame, width: int) -> DataFrame:
-    """(id, grams): the sets of classes, each hash cut to its first 32 bits."""
+    """(id, grams): the sets of classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(s >> U64(32)).astype(np.uint32).tobytes() for p in pieces(batch.column(1)) for s in shingle_hashes(p.hashes(), p.first, width)]
+            rows = [s.tobytes() for p in pieces(batch.column(1)) for s in shingle_hashes(p.hashes(), p.first, width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["id", "grams"])
 
     return texts.select("id", "text").mapInArrow(run, "id bigint, grams binary")
@@ -296,10 +327,30 @@ def shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, columns: int =
     return out[i, j].astype(np.int64)
 
 
-def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _blocks(member: DataFrame) -> DataFrame:
+    """(zone, id, root, block, low, high): the members to compare, with their block and the blocks that it meets.
+
+    All groups of one smallest component make a zone: a class goes there once, however many bands it shares. In a zone of more than a
+    block the members of its largest component have the first blocks and meet only those of the others.
+    """
+    split = member.groupBy("band").agg(F.min("root").alias("zone"), F.max("root").alias("top")).where("zone <> top").select("band", "zone")
+    dealt = checkpointed(member.join(split, "band").select("zone", "id", "root").distinct())
+    large = dealt.groupBy("zone", "root").agg(F.count("*").alias("n")).groupBy("zone")
+    large = large.agg(F.sum("n").alias("all"), F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("most")).where(F.col("all") > BLOCK)
+    count = lambda n: F.ceil(n / BLOCK).cast("int")
+    large = checkpointed(large.select("zone", "major", count(F.col("most")).alias("a"), count(F.col("all") - F.col("most")).alias("b")))
+    dealt = dealt.join(small_side(large, large.count(), 32), "zone", "left")
+    inside = F.coalesce(F.col("root") == F.col("major"), F.lit(False))
+    a, b = F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(1))
+    at = F.xxhash64("id", "zone")
+    block = F.when(inside, F.pmod(at, a)).otherwise(a + F.pmod(at, b)).cast("int")
+    return dealt.select("zone", "id", "root", block.alias("block"), F.when(inside, a).otherwise(F.lit(0)).alias("low"), (a + b - 1).alias("high"))
+
+
+def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, chance: Chance) -> DataFrame:
     """Links (u, v) across components that share a band group, to be verified: block against block, the best for each two components of a block pair."""
 
-    def run(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def candidates(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> tuple:
         rows = pa.Table.from_batches(list(blocks)).combine_chunks()  # at most two blocks of members
         who, root, n, block = (rows.column(k).to_numpy() for k in ("id", "root", "n", "block"))
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
@@ -307,27 +358,32 @@ def _across(member: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
         left, right = [], []
         for i in one.tolist():
             j = two[(root[two] != root[i]) & ((who[two] > who[i]) if keys[1] == keys[2] else True)]
-            j = j[plausible(sketch[i], sketch[j], n[i], n[j], percent)]
+            j = j[plausible(sketch[i], sketch[j], n[i], n[j], percent, chance)]
             left.append(np.full(len(j), i))
             right.append(j)
-        i, j = (np.concatenate(x or [np.zeros(0)]).astype(np.int64) for x in (left, right))
+        return rows, who, root, n, *(np.concatenate(x or [np.zeros(0)]).astype(np.int64) for x in (left, right))
+
+    def likely(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, *_, i, j = candidates(keys, blocks)
+        yield from rows.take(pa.array(np.unique(np.concatenate([i, j])))).to_batches()
+
+    def best(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, who, root, n, i, j = candidates(keys, blocks)
         if len(i):
-            both = shared([np.frombuffer(g.as_py(), np.uint32) for g in rows.column("grams")], i, j)
+            both = shared([np.frombuffer(g.as_py(), U64) for g in rows.column("grams")], i, j)
             margin = 100 * both - percent * (n[i] + n[j] - both)
             a, b = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
             order = np.lexsort((-margin, b, a))
-            best = order[(np.diff(a[order], prepend=a[order[0]] - 1) != 0) | (np.diff(b[order], prepend=0) != 0)]
-            best = best[margin[best] >= 0]
-            i, j = i[best], j[best]
+            top = order[(np.diff(a[order], prepend=a[order[0]] - 1) != 0) | (np.diff(b[order], prepend=0) != 0)]
+            top = top[margin[top] >= 0]
+            i, j = i[top], j[top]
         yield pa.RecordBatch.from_arrays([pa.array(f(who[i], who[j]), pa.int64()) for f in (np.minimum, np.maximum)], ["u", "v"])
 
-    # all groups of one smallest component make a zone: a class goes there once, however many bands it shares
-    split = member.groupBy("band").agg(F.min("root").alias("zone"), F.max("root").alias("top")).where("zone <> top").select("band", "zone")
-    dealt = checkpointed(member.join(split, "band").select("zone", "id", "root").distinct())
-    blocks = dealt.groupBy("zone").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = checkpointed(dealt.join(blocks, "zone").withColumn("block", F.pmod(F.xxhash64("id", "zone"), F.col("blocks")).cast("int")))
+    dealt = _blocks(member).join(classes.select("id", "n", "sketch"), "id")
+    dealt = dealt.withColumn("other", F.explode(F.sequence("low", "high")))
+    dealt = dealt.select("zone", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch")
+    dealt = checkpointed(dealt.groupBy("zone", "i", "j").applyInArrow(likely, dealt.schema))
+    if dealt.isEmpty():
+        return dealt.select(F.col("id").alias("u"), F.col("id").alias("v"))
     sets = _grams(_of_class(checkpointed(_texts(dealt.select("id").distinct(), classes, docs))), width)
-    dealt = dealt.join(classes.select("id", "n", "sketch").join(sets, "id"), "id")
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("zone", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "n", "sketch", "grams")
-    return dealt.groupBy("zone", "i", "j").applyInArrow(run, "u bigint, v bigint").distinct()
+    return dealt.join(sets, "id").groupBy("zone", "i", "j").applyInArrow(best, "u bigint, v bigint").distinct()

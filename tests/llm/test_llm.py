@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.llm import components, decontam, fingerprints, licenses, lm, neardup, order, packing, quality, tokens, toxicity, warc
-from rollmill.llm.text import pieces, shingle_hashes
+from rollmill.llm.text import mix, pieces, shingle_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, sketch string"
@@ -57,9 +57,8 @@ def test_shingles_match_python():
     assert got == [len(s) for s in sets(texts, 4)]
 
 
-@pytest.mark.parametrize("width", [4, 5])
-def test_near_duplicates_against_all_pairs(spark, width):
-    texts = corpus(width)
+def all_pairs(texts, width):
+    """(set size, component, kept) of each text, by comparing all pairs."""
     own = sets(texts, width)
     parent = list(range(len(texts)))
 
@@ -74,9 +73,50 @@ def test_near_duplicates_against_all_pairs(spark, width):
             if own[i] and own[j] and 100 * both >= 80 * (len(own[i]) + len(own[j]) - both):
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(frame(spark, texts), width).collect()}
-    assert got == {k: (len(own[k]), find(k), find(k) == k) for k in range(len(texts))}
-    assert neardup.near_duplicates(frame(spark, []), width).count() == 0
+    return {k: (len(own[k]), find(k), find(k) == k) for k in range(len(texts))}
+
+
+def family(rng, n, length, edits):
+    """Copies of one text with a few words of it changed: some are near each other, some only to a third one."""
+    base = words(rng, length).split()
+    out = []
+    for _ in range(n):
+        t = list(base)
+        for k in rng.sample(range(length), rng.randrange(edits + 1)):
+            t[k] = f"e{rng.randrange(3)}"
+        out.append(" ".join(t))
+    return out
+
+
+@pytest.mark.parametrize(("width", "find"), [(4, neardup.near_duplicates), (5, neardup.near_duplicates), (5, fingerprints.near_groups)])
+def test_near_duplicates_against_all_pairs(spark, width, find):
+    texts = corpus(width)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in find(frame(spark, texts), width).collect()}
+    assert got == all_pairs(texts, width)
+    assert find(frame(spark, []), width).count() == 0
+
+
+@pytest.mark.parametrize("find", [neardup.near_duplicates, fingerprints.near_groups])
+def test_hot_groups_over_several_blocks(spark, monkeypatch, find):
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rng = random.Random(21)
+    texts = [*family(rng, 90, 120, 6), *family(rng, 60, 60, 4), *family(rng, 60, 12, 2), *family(rng, 30, 6, 1), "same text of a few words", "Same text of a FEW words"]
+    rng.shuffle(texts)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in find(frame(spark, texts), 4).collect()}
+    assert got == all_pairs(texts, 4)
+
+
+def test_small_sets_share_one_of_their_smallest_hashes():
+    rng = np.random.default_rng(3)
+    for n in range(1, 41):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+            drop = rng.integers(0, n // 5 + 1)
+            b = np.unique(np.concatenate([rng.choice(a, n - drop, replace=False), rng.integers(0, 1 << 63, drop, np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert len(np.intersect1d(neardup.smallest(a, 80), neardup.smallest(b, 80)))
+    assert not len(neardup.smallest(np.arange(41, dtype=np.uint64), 80))
 
 
 def test_near_duplicates_pick_rows_not_ids(spark):
@@ -428,8 +468,16 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert [x[2] for x in got[0]] == pytest.approx([x[2] for x in got[1]], rel=1e-5)
 
 
+def brute_minhash(text):
+    """The permutations one by one, in integers."""
+    found = [int(x) for p in pieces(pa.array([text])) for s in shingle_hashes(p.hashes(), p.first, 5) for x in s]
+    m = (1 << 64) - 1
+    low = [min((int(a) * x + int(b)) & m for x in found) if found else None for a, b in zip(fingerprints._FACTOR, fingerprints._TERM, strict=True)]
+    return [0 if x is None else int(mix(np.array([x], np.uint64))[0] >> np.uint64(48)) for x in low]
+
+
 def test_fingerprints_and_edits(spark):
-    texts = corpus(6)
+    texts = [t for t in corpus(6, 12) if len(t or '') < 5000]
     got = {r.doc_id: r for r in fingerprints.with_edits(frame(spark, texts).withColumn("doc_id", F.col("doc_id") * 100)).collect()}
     for k, t in enumerate(texts):
         t, after = t or "", texts[k - 1 if k else len(texts) - 1] or ""
@@ -437,12 +485,14 @@ def test_fingerprints_and_edits(spark):
         assert r.n_chars == len(t)
         assert r.edited_sha256 == hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()
         assert r.fingerprint == fingerprints.signatures([t])[0].tobytes().hex()
-        assert 0 <= r.near_edited <= 1
+        one, edit, follows = (brute_minhash(x) for x in (t, t[: len(t) - cut] + after[:cut], after))
+        assert r.fingerprint == "".join(x.to_bytes(2, "little").hex() for x in one)
+        for likeness, other in ((r.near_edited, edit), (r.near_next, follows)):
+            same = sum(x == y for x, y in zip(one, other, strict=True)) / len(one)
+            assert likeness == pytest.approx(max(0, (same - 2**-16) / (1 - 2**-16)))
     a, b = sets(["a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o q"], 5)
     x, y = fingerprints.signatures(["a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o q"])
     assert fingerprints.likeness(x, y) == pytest.approx(len(a & b) / len(a | b), abs=0.15)
-    copies = {tuple(r) for r in fingerprints.near_links(frame(spark, ["a b c d e f", "x y", "A b c d e f", None])).collect()}
-    assert copies == {(0, 2)}
 
 
 def test_licenses(spark):
