@@ -23,8 +23,28 @@ def phase_seed(candidate_id: Column, phase: Column) -> Column:
     return F.conv(F.substring(stable_id(candidate_id, phase), 1, 8), 16, 10).cast("bigint")
 
 
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """Lower-case characters that case folding changes once more: those with one character for it, and those with several."""
+    one, many = {}, {}
+    for code in range(0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
+        low, fold = chr(code).lower(), chr(code).casefold()
+        if low != fold and len(low) == 1:
+            (one if len(fold) == 1 else many)[low] = fold
+    return "".join(one), "".join(one.values()), sorted(many.items())
+
+
+_FROM, _TO, _MANY = _folds()
+
+
 def fold_case(x: Column) -> Column:
-    return F.replace(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    """Unicode case folding: lower case, then what folding changes beyond it. Characters that become several are rare, and looked for first."""
+    low = F.translate(F.replace(F.lower(x), F.lit("ß"), F.lit("ss")), _FROM, _TO)
+    full = low
+    for c, to in _MANY:
+        full = F.replace(full, F.lit(c), F.lit(to))
+    return F.when(low.rlike("[" + "".join(c for c, _ in _MANY) + "]"), full).otherwise(low)
 
 
 def collapse(x: Column) -> Column:
@@ -32,6 +52,15 @@ def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, SPACES, " "))
 
 
+def strip(x: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(x, "^" + SPACES, ""), SPACES + "$", "")
+
+
+def blank(x: Column) -> Column:
+    """Null, empty or white space."""
+    return strip(F.coalesce(x, F.lit(""))) == ""
+
+
 def prompt_key(x: Column) -> Column:
     return collapse(fold_case(x))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rollmill.functions.ids import answer_text
-from rollmill.operators.parsing import strip
+from rollmill.functions.ids import answer_text, strip
+from rollmill.functions.json_text import json_strings
 
 # Answer types, the words of a boolean, and the form of a bare number with currency, exponent, percent and unit.
 EXACT_TYPES = ["boolean", "choice"]
@@ -42,20 +45,53 @@ def literal_reference(reference: Column, reference_status: Column, status: Colum
     return F.when(usable & _short(whole, 200), F.struct(answer_type.alias("answer_type"), whole.alias("value")))
 
 
-def answer_items(value: Column) -> Column:
-    """Members of a braced set, or the value alone; a set with inner brackets stays one item."""
-    x = F.trim(F.coalesce(value, F.lit("")))
-    flat = F.regexp_extract(x, r"^\\?\{([^{}()\[\]]*?)\\?\}$", 1)
-    members = F.filter(F.transform(F.split(flat, ","), lambda v: F.trim(v)), lambda v: v != "")
-    return F.when(F.size(members) > 1, members).otherwise(F.filter(F.array(x), lambda v: v != ""))
+# The brackets of a set, and the space that may follow a comma.
+SET_BRACKETS = [(r"\left\{", r"\right\}"), (r"\{", r"\}"), ("{", "}")]
+COMMA_SPACE = "\\ "
+_MARK = re.compile(r"[{(\[\])},]")
+
+
+def split_commas(value: str) -> list[str]:
+    """Parts between commas outside of all brackets, without blank ones."""
+    parts, depth, begin = [], 0, 0
+    for m in _MARK.finditer(value):
+        c = m[0]
+        depth += (c in "{([") - (c in "})]")
+        if c == "," and not depth:
+            parts.append(value[begin : m.start()])
+            begin = m.end()
+    parts = [p.strip().removeprefix(COMMA_SPACE).strip() for p in (*parts, value[begin:])]
+    return [p for p in parts if p]
+
+
+def _set_members(values: pd.Series) -> pd.Series:
+    def members(x: str | None) -> list[str]:
+        x = (x or "").strip()
+        for a, b in SET_BRACKETS:
+            if x.startswith(a) and x.endswith(b):
+                x = x[len(a) : len(x) - len(b)].strip()
+                break
+        found = split_commas(x)
+        return found if len(found) > 1 else [x] if x else []
+
+    return values.map(members)
+
+
+def answer_items(answer_type: Column, value: Column, values: Column) -> Column:
+    """The members of a list of values; else those of a set, with or without its brackets, split at outer commas; else the value alone."""
+    listed = F.filter(F.transform(values, strip), lambda v: v != "")
+    alone = strip(F.coalesce(value, F.lit("")))
+    single = F.when(alone == "", F.array().cast("array<string>")).otherwise(F.array(alone))
+    return F.when(F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0, listed).when(F.coalesce(answer_type == "set", F.lit(False)), F.pandas_udf(_set_members, "array<string>")(F.when(answer_type == "set", value))).otherwise(single)
 
 
 def exact_value(item: Column) -> Column:
-    """An integer, decimal, fraction or percentage as decimal(33, 24), null for anything else.
+    """An integer (with thousands commas), decimal, fraction or percentage as decimal(33, 24), null for anything else.
 
     Numerals within NUMERAL's digits that differ, differ by over 1e-22, so equal keys are equal numbers.
     """
-    x = F.replace(F.replace(item, F.lit(" ")), F.lit("$"))
+    x = F.regexp_replace(F.regexp_replace(item, r"[\s$]|\\[,!; ]", ""), r"^([+-]?)\\[dt]?frac\{([0-9]+)\}\{([0-9]+)\}$", "$1$2/$3")
+    x = F.when(x.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d+)?%?$"), F.replace(x, F.lit(","))).otherwise(F.replace(x, F.lit("\\%"), F.lit("%")))
     bare = F.replace(x, F.lit("%"))
     over = F.when(F.contains(bare, F.lit("/")), F.substring_index(bare, "/", -1)).otherwise("1").try_cast("decimal(10,0)")
     under = over * F.when(F.endswith(x, F.lit("%")), 100).otherwise(1).cast("decimal(3,0)")
@@ -63,17 +99,22 @@ def exact_value(item: Column) -> Column:
     return F.when(x.rlike(NUMERAL), value)
 
 
-def typed_score(gold_type: Column, gold: Column, gold_unit: Column, type_: Column, value: Column, unit: Column) -> Column:
-    """1 or 0 where the two answers can be compared exactly, null where a judge has to."""
-    a, b = answer_items(gold), answer_items(value)
-    want, have = answer_text(F.coalesce(gold_unit, F.lit(""))), answer_text(F.coalesce(unit, F.lit("")))
+def typed_score(gold: Column, answer: Column) -> Column:
+    """1 or 0 where the two answers can be compared exactly, null where a judge has to.
+
+    Both are struct<answer_type, value, values array<string>, unit>.
+    """
+    gold_type, type_ = gold["answer_type"], answer["answer_type"]
+    a, b = (answer_items(x["answer_type"], x["value"], x["values"]) for x in (gold, answer))
+    want, have = (answer_text(F.coalesce(x["unit"], F.lit(""))) for x in (gold, answer))
     both = F.concat(a, b)
     opaque = F.exists(both, lambda v: F.contains(v, F.lit("=")) | v.rlike(r"\\(sum|int|prod)") | (F.length(v) > LONGEST_ITEM))
     keys = [F.sort_array(F.transform(side, exact_value)) for side in (a, b)]
     unread = F.exists(F.concat(*keys), lambda v: v.isNull())
+    plain = [answer_text(F.coalesce(x["value"], F.lit(""))) for x in (gold, answer)]
     return (
-        F.when(gold_type.isin(EXACT_TYPES) & type_.isin(EXACT_TYPES), (answer_text(F.coalesce(gold, F.lit(""))) == answer_text(F.coalesce(value, F.lit("")))).cast("double"))
-        .when(~(gold_type.isin(MATH_TYPES) & type_.isin(MATH_TYPES)), None)
+        F.when(gold_type.isin(EXACT_TYPES) & type_.isin(EXACT_TYPES), (plain[0] == plain[1]).cast("double"))
+        .when(~F.coalesce(gold_type.isin(MATH_TYPES) & type_.isin(MATH_TYPES), F.lit(False)), None)
         .when(gold_type.isin("equation", "expression") & type_.isin("equation", "expression") & (gold_type != type_), None)
         .when((want != "") & (have == ""), None)
         .when((want != "") & (want != have), 0.0)
@@ -84,6 +125,78 @@ def typed_score(gold_type: Column, gold: Column, gold_unit: Column, type_: Colum
     )
 
 
+ANSWER = "status string, answer_type string, value string, values array<string>, unit string"
+
+
+def extracted(raw: Column) -> Column:
+    """The answer in a JSON object whose status is extracted, as struct; else null."""
+    found = F.from_json(raw, ANSWER)
+    return F.when(found["status"] == "extracted", found)
+
+
+def verify_pooled(verification: Column, answer: Column, reference: Column, native: Column | None = None) -> Column:
+    """struct<score, reason> of a row with JSON texts: its source's answer, the candidate's and the reference's extracted answers.
+
+    ``native`` is the score of a source with a scorer of its own; exactly equal answers raise it to 1.
+    """
+    mine, gold = extracted(answer), extracted(reference)
+    typed = F.when(mine.isNotNull() & gold.isNotNull(), typed_score(gold, mine))
+    own = F.get_json_object(verification, "$.source_dataset").isNotNull()
+    there = strip(F.coalesce(F.get_json_object(verification, "$.entry.answer"), F.lit(""))) != ""
+
+    def row(score: Column, reason: Column | str | None) -> Column:
+        return F.struct(score.cast("double").alias("score"), (F.lit(reason) if not isinstance(reason, Column) else reason).cast("string").alias("reason"))
+
+    null = F.lit(None)
+    by_type = F.coalesce(gold["answer_type"].isin(*MATH_TYPES) & mine["answer_type"].isin(*MATH_TYPES), F.lit(False)) | F.coalesce(gold["answer_type"].isin(EXACT_TYPES) & mine["answer_type"].isin(EXACT_TYPES), F.lit(False))
+    return (
+        F.when(verification.isNull(), row(null, None))
+        .when(own, row(F.when(typed == 1, 1.0).otherwise(native if native is not None else null), None))
+        .when(~there, row(null, None))
+        .when(mine.isNull() | gold.isNull(), row(null, "structured_answer_unavailable"))
+        .when(~by_type, row(null, "answer_type_requires_model_review"))
+        .otherwise(row(typed, None))
+    )
+
+
+def answer_candidates(answer: Column) -> Column:
+    """The texts of an extracted answer (JSON) that a source's scorer may be asked about: the value, the values, and these joined by spaces."""
+    found = extracted(answer)
+    values = F.transform(F.coalesce(found["values"], F.array().cast("array<string>")), strip)
+    every = F.concat(F.array(strip(F.coalesce(found["value"], F.lit("")))), values, F.array(F.array_join(values, " ")))
+    return F.when(found.isNull(), F.array().cast("array<string>")).otherwise(F.filter(every, lambda v: v != ""))
+
+
+def best_score(candidates: Column, score) -> Column:  # noqa: ANN001
+    """The largest score of any candidate, between 0 and 1; ``score`` maps a Column to a Column."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.array_max(F.transform(candidates, score))))
+
+
+def reference_text(verification: Column) -> Column:
+    """The source's answer of a row's verification JSON, numbers as they are written there; null where there is none."""
+    return F.get_json_object(verification, "$.entry.answer")
+
+
+# What a judge is told where there is no reference answer.
+NO_REFERENCE = "(no reference answer is available)"
+NO_TEXT = "(the source provides a verifier but no textual reference answer)"
+UNREADABLE = "(reference metadata could not be decoded; rely on the problem itself)"
+
+
+def reference_answer(verification: Column) -> Column:
+    """The same for a judge: JSON text of the answer, or why there is none."""
+    answer = F.variant_get(F.try_parse_json(verification), "$.entry.answer", "variant")
+    return (
+        F.when(F.coalesce(verification, F.lit("")) == "", NO_REFERENCE).when(~F.coalesce(F.schema_of_variant(F.try_parse_json(verification)).startswith("OBJECT"), F.lit(False)), UNREADABLE)
+        .when(answer.isNull() | F.is_variant_null(answer), NO_TEXT).otherwise(F.to_json(answer))
+    )
+
+
+def evidence_list(raw: Column) -> Column:
+    """The texts of a JSON list; none of anything else."""
+    return json_strings(raw)
+
+
 def verification_status(available: Column, response: Column, score: Column, error: Column, threshold: float) -> Column:
     """unavailable, error (a missing response is one), indeterminate, passed from the threshold on, or failed."""
     return (
@@ -92,17 +205,21 @@ def verification_status(available: Column, response: Column, score: Column, erro
     )
 
 
+# The forms in which a final answer is looked for.
+BOXED, FRACTION, SAID, LAST_NUMBER = r"\\boxed\{([^{}]+)\}", r"\\d?frac\{[^{}]+\}\{[^{}]+\}", r"(?i)answer\s*(?:is|:)\s*([^\n]+)", r"[-+]?\d+(?:\.\d+)?(?:/\d+)?"
+
+
 def answer_spans(response: Column) -> Column:
     """Distinct spans that may be the final answer, in the order in which they are looked for."""
     text = strip(F.coalesce(response, F.lit("")))
     plain = F.regexp_replace(F.regexp_replace(text, r"[*_`#$]", ""), r"\\[()]", "")
-    boxed = F.regexp_extract_all(text, F.lit(r"\\boxed\{([^{}]+)\}"), F.lit(1))
-    ratios = F.transform(F.regexp_extract_all(text, F.lit(r"\\d?frac\{[^{}]+\}\{[^{}]+\}"), F.lit(0)), lambda m: F.regexp_replace(m, r"^.*?\{([^{}]+)\}\{([^{}]+)\}$", "$1/$2"))
-    said = F.transform(F.regexp_extract_all(plain, F.lit(r"(?i)answer\s*(?:is|:)\s*([^\n]+)"), F.lit(1)), strip)
+    boxed = F.regexp_extract_all(text, F.lit(BOXED), F.lit(1))
+    ratios = F.transform(F.regexp_extract_all(text, F.lit(FRACTION), F.lit(0)), lambda m: F.regexp_replace(m, r"^.*?\{([^{}]+)\}\{([^{}]+)\}$", "$1/$2"))
+    said = F.transform(F.regexp_extract_all(plain, F.lit(SAID), F.lit(1)), strip)
     lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda v: v != "")
     last = strip(F.regexp_replace(F.try_element_at(lines, F.lit(-1)), r"[*_`#]", ""))
     right = F.when(F.contains(last, F.lit("=")), F.regexp_replace(strip(F.substring_index(last, "=", -1)), r"\.+$", ""))
-    number = F.try_element_at(F.regexp_extract_all(F.replace(last, F.lit(",")), F.lit(r"[-+]?\d+(?:\.\d+)?(?:/\d+)?"), F.lit(0)), F.lit(-1))
+    number = F.try_element_at(F.regexp_extract_all(F.replace(last, F.lit(",")), F.lit(LAST_NUMBER), F.lit(0)), F.lit(-1))
     whole = number.try_cast("decimal(38,9)")
     integer = F.when(whole == F.floor(whole), whole.cast("decimal(29,0)").cast("string"))
     found = F.concat(F.array(text, plain), boxed, ratios, said, F.array(last, right, number, integer))

@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.functions.ids import SPACES
-
-
-def strip(x: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(x, "^" + SPACES, ""), SPACES + "$", "")
+from rollmill.functions.ids import strip
 
 
 def before(x: Column, tag: str) -> Column:

@@ -16,22 +16,29 @@ def decision_diff(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFra
     return a.join(b, "candidate_id").where(changed)
 
 
-def by_prefix(labels: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """labels (id, prefix) with the rows whose sample_id starts with it, and how many do; prefixes all have ``length`` characters."""
-    keyed = rows.withColumn("prefix", F.substring("sample_id", 1, length))
-    return labels.join(keyed, "prefix").withColumn("matches", F.count("*").over(Window.partitionBy("id")))
-
-
-def confusion(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("category", "expected", "observed").agg(F.count("*").alias("n"))
-
-
-def phase_metrics(log: DataFrame) -> DataFrame:
-    return log.groupBy("phase").agg(F.count("*").alias("requests"), F.count_if("done").alias("completed"), F.sum("seconds").alias("seconds"), (F.count_if("done") * 3600 / F.sum("seconds")).alias("per_hour"))
-
-
-def export_order(rows: DataFrame) -> DataFrame:
-    return rows.orderBy(F.coalesce("quality_score", F.lit(0)).desc(), "sample_id")
+def by_prefix(labels: DataFrame, rows: DataFrame) -> DataFrame:
+    """labels (id, prefix) with the rows whose sample_id starts with it, and ``matches``, how many do; labels without any have a row of nulls and 0.
+
+    Prefixes may have several lengths; each length is one equality join on the start of sample_id.
+    """
+    lengths = [r[0] for r in labels.select(F.length("prefix")).distinct().orderBy(F.length("prefix")).limit(65).collect()]
+    if len(lengths) > 64:
+        raise ValueError("prefixes of more than 64 lengths")
+    keyed = None
+    for n in lengths or [0]:
+        some = rows.withColumn("prefix", F.substring("sample_id", 1, n))
+        some = some.join(labels.where(F.length("prefix") == n).select("prefix").distinct(), "prefix", "left_semi")
+        keyed = some if keyed is None else keyed.unionByName(some)
+    joined = labels.join(keyed, "prefix", "left")
+    return joined.withColumn("matches", F.count("sample_id").over(Window.partitionBy("id")))
+
+
+def exactly_one(joined: DataFrame) -> DataFrame:
+    """by_prefix's rows when each label has one match; otherwise an error that names some labels."""
+    wrong = [r.id for r in joined.where("matches <> 1").select("id").distinct().orderBy("id").limit(5).collect()]
+    if wrong:
+        raise ValueError(f"labels without exactly one match: {wrong}")
+    return joined
 
 
 def curated(picks: DataFrame, rows: DataFrame) -> DataFrame:
@@ -40,3 +47,15 @@ def curated(picks: DataFrame, rows: DataFrame) -> DataFrame:
     joined = counted.join(rows.withColumn("_there", F.lit(True)), "id", "left")
     quoted = F.coalesce(F.contains("text", "quote"), F.lit(False))
     return joined.select("id", F.col("_there").isNull().alias("orphan"), (F.col("_n") > 1).alias("repeated"), quoted.alias("quoted"))
+
+
+def confusion(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("category", "expected", "observed").agg(F.count("*").alias("n"))
+
+
+def phase_metrics(log: DataFrame) -> DataFrame:
+    """log (phase, done, seconds, input_tokens, output_tokens, length_stops): sums of each phase, and what is completed in an hour."""
+    return log.groupBy("phase").agg(
+        F.count("*").alias("requests"), F.count_if("done").alias("completed"), F.sum("seconds").alias("seconds"), (F.count_if("done") * 3600 / F.sum("seconds")).alias("per_hour"),
+        F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"), F.sum("length_stops").alias("length_stops"),
+    )

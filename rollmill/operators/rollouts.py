@@ -25,3 +25,12 @@ def completeness(expected: DataFrame, done: DataFrame) -> DataFrame:
         F.count("w").alias("expected"), F.count("h").alias("completed"),
         F.count_if(F.col("h").isNull()).alias("missing"), F.count_if(F.col("w").isNull()).alias("unexpected"),
     )
+
+
+def checked(expected: DataFrame, done: DataFrame) -> DataFrame:
+    """completeness, which must be full: missing or unexpected candidates are an error."""
+    out = completeness(expected, done)
+    r = out.first()
+    if r.missing or r.unexpected:
+        raise ValueError(f"{r.missing} candidates are missing and {r.unexpected} are unexpected, of {r.expected}")
+    return out

@@ -9,7 +9,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollmill.functions.ids import prompt_key, rank_key
+from rollmill.functions.ids import rank_key
 from rollmill.functions.session import checkpointed
 
 
@@ -42,24 +42,29 @@ def bottom_k(rows: DataFrame, stratum: str, seed: int, k: Column | int) -> DataF
     return ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def greedy_mixture(pools: DataFrame, targets: dict[str, int], stratum: str, seed: int) -> DataFrame:
-    """Fill strata in the order of targets, by rank; a prompt that an earlier stratum accepted is skipped.
+def allocation(strata: DataFrame, total: int) -> DataFrame:
+    """strata (stratum, weight bigint, place) with target: largest remainders, equal ones in the order of place; exact in integers.
 
-    Rows of a stratum that aren't accepted block nothing. Too few rows raise an error. Each stratum is one ranked pass.
+    There are few strata: the windows run over one row for each.
     """
-    taken: DataFrame | None = None
+    whole = Window.partitionBy(F.lit(0))
+    rows = strata.withColumn("_all", F.sum("weight").over(whole)).withColumns({"target": F.expr(f"({total} * weight) div _all"), "_rest": F.expr(f"({total} * weight) % _all")})
+    rows = rows.withColumn("_left", F.lit(total) - F.sum("target").over(whole))
+    place = F.row_number().over(whole.orderBy(F.col("_rest").desc(), "place"))
+    return rows.withColumn("target", (F.col("target") + (place <= F.col("_left")).cast("bigint")).cast("bigint")).select("stratum", "weight", "target")
+
+
+def bottom_k_checked(rows: DataFrame, stratum: str, seed: int, targets: dict[str, int], oversample: float = 1.25) -> DataFrame:
+    """bottom_k with each stratum's capacity; a stratum with fewer rows than its target is an error."""
+    limit = F.lit(0)
     for name, target in targets.items():
-        own = pools.where(F.col(stratum) == name).withColumns({"rank_key": rank_key(F.lit(seed), F.col("sample_id")), "prompt_key": prompt_key(F.col("user_prompt"))})
-        if taken is not None:
-            own = own.join(taken.select("prompt_key"), "prompt_key", "left_anti")
-        chosen = first_wins(own, "prompt_key", F.col("rank_key"), F.col("sample_id")).orderBy("rank_key", "sample_id").limit(target)
-        chosen = checkpointed(chosen)
-        if (n := chosen.count()) < target:
-            raise ValueError(f"stratum {name} has {n} distinct prompts of {target}")
-        taken = chosen if taken is None else taken.unionByName(chosen)
-    if taken is None:
-        raise ValueError("no strata")
-    return taken
+        limit = F.when(F.col(stratum) == name, capacity(target, oversample) if target else 0).otherwise(limit)
+    top = checkpointed(bottom_k(rows, stratum, seed, limit))
+    have = {r[0]: r.n for r in top.groupBy(stratum).agg(F.count("*").alias("n")).collect()}
+    short = {k: (have.get(k, 0), t) for k, t in targets.items() if have.get(k, 0) < t}
+    if short:
+        raise ValueError(f"too few rows (have, want): {short}")
+    return top
 
 
 def stride_shard(rows: DataFrame, shard: int, shards: int, size: int) -> DataFrame:

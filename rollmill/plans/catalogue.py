@@ -2,40 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import answer_text, collapse, phase_seed, prompt_key, rank_key, stable_id
 from rollmill.functions.session import table
 from rollmill.operators import answers, gate, hygiene, parsing, phases, review, rollouts, sampling
-from rollmill.sources import pools
+from rollmill.operators.judge import SEMANTIC
+from rollmill.plans.registry import register as _register
+from rollmill.sources import adapters, builders, pools
 
 SEED = 17
-Query = Callable[[SparkSession, str], DataFrame]
-_queries: dict[str, Query] = {}
-_oracles: dict[str, str] = {}
-
-
-def _register(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _queries[f.__name__] = f
-        if sql is not None:
-            _oracles[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_queries)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_oracles)
-
-
 _U = "chr(31)"
 _SAMPLE = f"sha256('source_pool' || {_U} || 'fixture' || {_U} || text)"
 _PROMPTS = f"""with raw as (
@@ -80,14 +57,21 @@ def difficulty_bands(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", pools.graded_band(F.when(F.col("doc_id") % 13 != 0, level)).alias("graded"), pools.pass_rate_band(F.col("n_chars") % 100 / 100).alias("by_rate"), pools.level_band(level).alias("by_level"))
 
 
-@_register(f"""with s as (select {_SAMPLE} as sample_id, source, unnest([left(text, 80), case when doc_id % 5 = 0 then ' ' else right(text, 60) end, case when doc_id % 7 = 0 then null else upper(source) end]) as raw from documents)
-    select sample_id, raw, sha256(sample_id || {_U} || source || {_U} || 'm' || {_U} || raw) as reference_id from s where trim(coalesce(raw, '')) <> ''""")
+_STRIP = "regexp_replace({}, '^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$', '', 'g')"
+
+
+@_register(f"""with s as (select {_SAMPLE} as sample_id, source, unnest([{{'n': 's1', 'raw': text}}, {{'n': 's2', 'raw': case when doc_id % 5 = 0 then chr(10) || chr(9) else '<think> ' || text || '</think>' || case when doc_id % 3 = 0 then '' else lang || ' ' end end}}, {{'n': 's3', 'raw': case when doc_id % 7 = 0 then null else ' ' || upper(source) end}}]) as x, doc_id from documents),
+    t as (select *, {_STRIP.format('x.raw')} as raw from s where {_STRIP.format("coalesce(x.raw, '')")} <> '')
+    select distinct sample_id, sha256(sample_id || {_U} || x.n || {_U} || 'm' || {_U} || x.raw) as reference_id, x.n as source,
+    sha256(case when x.n = 's2' then {_STRIP.format("split_part(substr(raw, 8), '</think>', 1)")} else raw end) as reasoning_id,
+    case when x.n = 's2' and split_part(raw, '</think>', 2) <> '' then split_part(raw, '</think>', 2) when source <> 'src1' then source end as response from t""")
 def reference_unpivot(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").withColumns({
-        "sample_id": stable_id(F.lit("source_pool"), F.lit("fixture"), F.col("text")), "s1": F.expr("left(text, 80)"),
-        "s2": F.expr("case when doc_id % 5 = 0 then ' ' else right(text, 60) end"), "s3": F.expr("case when doc_id % 7 = 0 then null else upper(source) end"),
+        "sample_id": stable_id(F.lit("source_pool"), F.lit("fixture"), F.col("text")), "s1": F.col("text"), "_answer": F.expr("case when source = 'src1' then ' ' else source end"),
+        "s2": F.expr("case when doc_id % 5 = 0 then '\\n\\t' else concat('<think> ', text, '</think>', case when doc_id % 3 = 0 then '' else concat(lang, ' ') end) end"), "s3": F.expr("case when doc_id % 7 = 0 then null else concat(' ', upper(source)) end"),
     })
-    return pools.reference_rows(rows, ["s1", "s2", "s3"], "m").select("sample_id", "raw", "reference_id")
+    out = pools.reference_rows(rows, ["s1", "s2", "s3"], "m")
+    return out.select("sample_id", "reference_id", "source", F.sha2("reasoning", 256).alias("reasoning_id"), F.when(F.col("response") != "", F.col("response")).alias("response")).distinct()
 
 
 @_register("""select conv_id, arg_min(text, turn) filter (where role = 'user') as user_prompt, arg_min(text, turn) filter (where role = 'assistant') as response
@@ -96,18 +80,24 @@ def conversation_first_turns(spark: SparkSession, d: str) -> DataFrame:
     return pools.first_turns(table(spark, d, "conversations"))
 
 
-@_register("""select doc_id, source, text || ' \\boxed{' || n_chars || '}' as solution from documents
-    where source in ('src0', 'src1', 'src2', 'src3') and trim(text) <> '' and length(text) <= 4000 and not contains(lower(text), 'prove that') and doc_id % 3 = 0""")
+_SOLUTION = "text || case when doc_id % 3 = 0 then ' \\boxed{\\frac{' || n_chars || '}{2}} ' when doc_id % 3 = 1 then ' \\boxed{' || n_chars else '' end"
+
+
+@_register(f"""with p as (select doc_id, source, {_STRIP.format("case when doc_id % 17 = 5 then 'We SHOW that ' || text else text end")} as problem, {_STRIP.format(_SOLUTION)} as solution, n_chars from documents)
+    select doc_id, source, sha256(problem) as problem_id, '\\frac{{' || n_chars || '}}{{2}}' as boxed from p
+    where source in ('src0', 'src1', 'src2', 'src3') and length(problem) between 1 and 4000 and length(solution) between 1 and 12000 and doc_id % 3 = 0
+    and not regexp_matches(lower(problem), 'prove that|show that|provide a proof|demonstrate that')""")
 def wordproblem_filter(spark: SparkSession, d: str) -> DataFrame:
-    solution = F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" \\boxed{"), "n_chars", F.lit("}"))).otherwise(F.col("text"))
-    rows = table(spark, d, "documents").withColumn("solution", solution)
-    rows = rows.where(F.col("source").isin("src0", "src1", "src2", "src3") & (F.trim("text") != "") & (F.length("text") <= 4000) & ~F.contains(F.lower("text"), F.lit("prove that")))
-    return rows.where(pools.boxed_value(F.col("solution")).isNotNull()).select("doc_id", "source", "solution")
+    rows = table(spark, d, "documents").withColumns({"problem": F.expr("case when doc_id % 17 = 5 then 'We SHOW that ' || text else text end"), "solution": F.expr(_SOLUTION.replace("\\", "\\\\"))})
+    out = builders.word_problems(rows, ["src0", "src1", "src2", "src3"])
+    return out.select("doc_id", "source", F.sha2("problem", 256).alias("problem_id"), "boxed")
 
 
-@_register("select doc_id, case when doc_id % 3 = 0 then n_chars::varchar when doc_id % 3 = 1 then 'b' || source end as boxed from documents")
+@_register("""select doc_id, case doc_id % 5 when 0 then 'f(' || n_chars || '{x}{y})' when 1 then 'b' || source when 2 then '{' || n_chars || '\\}}' when 3 then 'in' || n_chars end as boxed from documents""")
 def boxed_last_value(spark: SparkSession, d: str) -> DataFrame:
-    text = F.expr("case when doc_id % 3 = 0 then concat(text, ' \\\\boxed{1} \\\\boxed{', n_chars, '}') when doc_id % 3 = 1 then concat('\\\\fbox{b', source, '} \\\\boxed{z} \\\\fbox{}', text) else text end")
+    """Nested braces, \\fbox before \\boxed, blank and unclosed values, braces after a backslash, a box in a box."""
+    text = F.expr(r"""case doc_id % 5 when 0 then concat(text, ' \\boxed{1} \\boxed{ f(', n_chars, '{x}{y}) } \\boxed{ ') when 1 then concat('\\fbox{b', source, '} \\boxed{z} \\fbox{}', text)
+        when 2 then concat(text, '\\boxed{{', n_chars, '\\}}} \\fbox{\n}') when 3 then concat('\\boxed{\\boxed{in', n_chars, '}}', text) else concat('\\boxed{a{', text) end""")
     return table(spark, d, "documents").select("doc_id", pools.boxed_value(text).alias("boxed"))
 
 
@@ -117,18 +107,28 @@ def stratified_bottom_k(spark: SparkSession, d: str) -> DataFrame:
 
 
 _KEY = "trim(regexp_replace(replace(replace(lower(text), 'ß', 'ss'), 'ς', 'σ'), '[\\s\\x1c-\\x1f]+', ' ', 'g'))"
+_POOLS = [adapters.PoolSource("de", 1.0, oversample=4), adapters.PoolSource("en", 2.0, oversample=4), adapters.PoolSource("fr", 1.0, {"easy": 1.0}, oversample=4)]
 
 
-@_register(f"""with p as (select *, {_SAMPLE} as sample_id, {_KEY} as prompt_key from documents), r as (select *, {_RANK} as rank_key from p),
-    e0 as (select * from (select *, row_number() over (partition by prompt_key order by rank_key, sample_id, doc_id) as n from r where lang = 'en') where n = 1),
-    e as (select * from e0 order by rank_key, sample_id limit 30),
-    f0 as (select * from (select *, row_number() over (partition by prompt_key order by rank_key, sample_id, doc_id) as n from r where lang = 'de' and prompt_key not in (select prompt_key from e)) where n = 1),
-    f as (select * from f0 order by rank_key, sample_id limit 12)
-    select lang, sample_id, rank_key from e union all select lang, sample_id, rank_key from f""")
+def _mixture_sql(total: int) -> str:
+    """Pool after pool and band after band, each on what the ones before have taken."""
+    parts, taken = [f"{_PROMPTS}, p as (select lang, sample_id, band, {_KEY} as prompt_key, {_RANK} as rank_key from prompts)"], []
+    for source, share in zip(_POOLS, sampling.allocate(total, [s.weight for s in _POOLS]), strict=True):
+        for band, n in zip(source.bands, sampling.allocate(share, list(source.bands.values())), strict=True):
+            name = f"{source.path}_{band}"
+            unseen = "".join(f" and prompt_key not in (select prompt_key from {t})" for t in taken)
+            top = f"select * from (select *, row_number() over (order by rank_key, sample_id) as r from p where lang = '{source.path}' and band = '{band}') where r <= {sampling.capacity(n, source.oversample)}"
+            parts.append(f"{name} as (select * from (select *, row_number() over (partition by prompt_key order by rank_key, sample_id) as n from ({top}) where true{unseen}) where n = 1 order by rank_key, sample_id limit {n})")
+            taken.append(name)
+    return ", ".join(parts) + " " + " union all ".join(f"select lang, band, sample_id, rank_key from {t}" for t in taken)
+
+
+@_register(_mixture_sql(16))
 def greedy_cross_source_dedup(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").withColumns({"sample_id": stable_id(F.lit("source_pool"), F.lit("fixture"), F.col("text")), "user_prompt": F.col("text")})
-    targets = {"en": 30, "de": 12}
-    return sampling.greedy_mixture(rows, targets, "lang", SEED).select("lang", "sample_id", "rank_key")
+    """A mixture of three pools, each with shares of bands."""
+    rows = _prompts(spark, d).withColumn("difficulty_band", F.col("band"))
+    mixed = adapters.mixture([(s, rows.where(F.col("lang") == s.path)) for s in _POOLS], 16, SEED)
+    return mixed.select("lang", "band", "sample_id", "rank_key")
 
 
 _WEIGHTS = "select lang, count(*)::double as w from documents group by lang"
@@ -137,9 +137,9 @@ _WEIGHTS = "select lang, count(*)::double as w from documents group by lang"
 @_register(f"""with w as ({_WEIGHTS}), e as (select lang, 1000 * w::bigint as x, sum(w::bigint) over () as t, row_number() over (order by lang) as k from w),
     r as (select *, x // t as base, row_number() over (order by x % t desc, k) as pos from e) select lang, base + (case when pos <= 1000 - sum(base) over () then 1 else 0 end) as target from r""")
 def largest_remainder_allocation(spark: SparkSession, d: str) -> DataFrame:
-    """A thousand prompts dealt to the languages by their documents; the weights are one number for each language."""
-    counts = sorted((r.lang, r.n) for r in table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")).collect())
-    return spark.createDataFrame(list(zip((k for k, _ in counts), sampling.allocate(1000, [n for _, n in counts]), strict=True)), "lang string, target bigint")
+    """A thousand prompts dealt to the languages by their documents."""
+    counts = table(spark, d, "documents").groupBy(F.col("lang").alias("stratum")).agg(F.count("*").alias("weight")).withColumn("place", F.col("stratum"))
+    return sampling.allocation(counts, 1000).select(F.col("stratum").alias("lang"), "target")
 
 
 _CANDIDATES = f"{_PROMPTS}, c as (select sample_id, lang, i as candidate_index, sha256(sample_id || {_U} || '{SEED}' || {_U} || i) as candidate_id from prompts, unnest(range(3)) as u(i))"
@@ -166,15 +166,14 @@ def completeness_check(spark: SparkSession, d: str) -> DataFrame:
     return rollouts.completeness(rows, rows.where("candidate_id < '8'"))
 
 
-_A, _B = "trim(regexp_replace(left(u.text, 200), '[\\s]+', ' ', 'g'))", "trim(regexp_replace(left(a.text, 200), '[\\s]+', ' ', 'g'))"
+_A, _B = "trim(regexp_replace(u.text, '[\\s\\x1c-\\x1f]+', ' ', 'g'))", "trim(regexp_replace(a.text, '[\\s\\x1c-\\x1f]+', ' ', 'g'))"
 _TURNS = f"""with t as (select u.conv_id, u.turn, {_A} as a, {_B} as b from conversations u join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1 where u.role = 'user' and a.role = 'assistant')"""
 
 
 def _generations(spark: SparkSession, d: str) -> DataFrame:
     turns = table(spark, d, "conversations")
-    short = lambda c: collapse(F.substring(c, 1, 200))
-    asked = turns.where("role = 'user'").select("conv_id", "turn", short(F.col("text")).alias("a"))
-    told = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), short(F.col("text")).alias("b"))
+    asked = turns.where("role = 'user'").select("conv_id", "turn", collapse(F.col("text")).alias("a"))
+    told = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), collapse(F.col("text")).alias("b"))
     raw = F.expr("""case conv_id % 8 when 0 then concat('<reasoning>', a, '</reasoning><response>', b, '</response>') when 1 then concat('<reasoning ', a, '</reasoning><response>', b, '</response>')
         when 2 then concat('<reasoning>', a, '</think><response>', b) when 3 then concat('<reasoning>', a, '</reasoning>') when 4 then concat('<think>', a)
         when 5 then concat('<think>', a, '</think>', b) when 6 then concat(a, '</think>', b) else b end""")
@@ -192,9 +191,10 @@ def split_reasoning_cases(spark: SparkSession, d: str) -> DataFrame:
 _NORMAL = "trim(regexp_replace(regexp_replace(trim(regexp_replace(replace(replace(lower(x), 'ß', 'ss'), 'ς', 'σ'), '[\\s]+', ' ', 'g')), '\\.+$', ''), '[\\s]+', ' ', 'g'))"
 
 
-@_register(f"with x as (select doc_id, right(text, 40) as x from documents) select doc_id, {_NORMAL} as answer from x")
+@_register(f"with x as (select doc_id, text || case doc_id % 3 when 0 then ' ..' when 1 then '. ' else '' end as x from documents) select doc_id, sha256({_NORMAL}) as answer_id from x")
 def normalized_answers(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", answer_text(F.expr("right(text, 40)")).alias("answer"))
+    text = F.expr("text || case doc_id % 3 when 0 then ' ..' when 1 then '. ' else '' end")
+    return table(spark, d, "documents").select("doc_id", F.sha2(answer_text(text), 256).alias("answer_id"))
 
 
 _JUDGED = {
@@ -262,35 +262,49 @@ def decision_diff(spark: SparkSession, d: str) -> DataFrame:
     return review.decision_diff(old, new, ["quality_score"])
 
 
-_FINDINGS = """with f as (select doc_id as candidate_id, c as category, case (doc_id + k) % 5 when 0 then 'defect' when 1 then 'uncertain' else 'clear' end as verdict, (n_chars + k) % 4 as h
-    from documents, (values (0, 'repetition'), (1, 'circular_rechecking'), (2, 'no_new_progress'), (3, 'unresolved_branch')) as t(k, c)),
-    m as (select candidate_id, category, case when verdict <> 'defect' then verdict when h = 0 then 'defect' when h = 1 then 'clear' else 'uncertain' end as verdict from f)"""
+# verdicts of findings by doc_id, category and copy; some checks are missing, some done twice, some documents have none
+_FINDINGS = """with c as (select doc_id, n_chars, k, c as category from documents, (values (0, 'repetition'), (1, 'circular_rechecking'), (2, 'no_new_progress'), (3, 'unresolved_branch')) as t(k, c)),
+    f as (select doc_id as candidate_id, category, case (doc_id + k) % 5 when 0 then 'defect' when 1 then 'uncertain' else 'clear' end as verdict from c where doc_id % 11 <> 0 and (doc_id + 3 * k) % 17 <> 0
+        union all select doc_id, category, 'clear' from c where doc_id % 11 <> 0 and (doc_id + k) % 19 = 0),
+    t as (select doc_id as candidate_id, category, case (n_chars + k) % 4 when 0 then 'confirmed_defect' when 1 then 'rejected' else 'uncertain' end as verdict from c where (n_chars + k) % 4 < 3
+        union all select doc_id, category, 'rejected' from c where (n_chars + k) % 6 = 0),
+    one as (select candidate_id, category, count(*) as n, min(verdict) as verdict from f group by all),
+    told as (select candidate_id, category, case when count(distinct verdict) filter (where verdict <> 'uncertain') = 1 then max(verdict) filter (where verdict <> 'uncertain') else 'uncertain' end as told from t group by all),
+    m as (select c.doc_id as candidate_id, c.category, k, case when n is null or n <> 1 then 'uncertain' when verdict <> 'defect' then verdict when told = 'confirmed_defect' then 'defect' when told = 'rejected' then 'clear' else 'uncertain' end as verdict,
+        case when n is null or n <> 1 then 'missing check' when verdict = 'defect' and told is null then 'missing arbiter confirmation' end as error
+        from c left join one on one.candidate_id = c.doc_id and one.category = c.category left join told on told.candidate_id = c.doc_id and told.category = c.category)"""
 
 
-def _findings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    names = F.array(*map(F.lit, ("repetition", "circular_rechecking", "no_new_progress", "unresolved_branch")))
-    rows = table(spark, d, "documents").select("doc_id", "n_chars", F.posexplode(names).alias("k", "category"))
-    found = rows.select(F.col("doc_id").alias("candidate_id"), "category", F.expr("case (doc_id + k) % 5 when 0 then 'defect' when 1 then 'uncertain' else 'clear' end").alias("verdict"))
-    told = rows.select(F.col("doc_id").alias("candidate_id"), "category", F.expr("case (n_chars + k) % 4 when 0 then 'confirmed_defect' when 1 then 'rejected' when 2 then 'uncertain' end").alias("verdict"))
-    return found, told.where("verdict is not null")
+def _findings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = table(spark, d, "documents")
+    rows = docs.select("doc_id", "n_chars", F.posexplode(F.array(*map(F.lit, SEMANTIC))).alias("k", "category"))
+    id_ = F.col("doc_id").alias("candidate_id")
+    found = rows.where("doc_id % 11 <> 0 and (doc_id + 3 * k) % 17 <> 0").select(id_, "category", F.expr("case (doc_id + k) % 5 when 0 then 'defect' when 1 then 'uncertain' else 'clear' end").alias("verdict"))
+    found = found.unionAll(rows.where("doc_id % 11 <> 0 and (doc_id + k) % 19 = 0").select(id_, "category", F.lit("clear")))
+    told = rows.where("(n_chars + k) % 4 < 3").select(id_, "category", F.expr("case (n_chars + k) % 4 when 0 then 'confirmed_defect' when 1 then 'rejected' else 'uncertain' end").alias("verdict"))
+    told = told.unionAll(rows.where("(n_chars + k) % 6 = 0").select(id_, "category", F.lit("rejected")))
+    return docs.select(id_), found, told
 
 
-@_register(f"{_FINDINGS} select * from m")
+@_register(f"{_FINDINGS} select candidate_id, category, verdict, error from m")
 def confirmation_merge(spark: SparkSession, d: str) -> DataFrame:
+    """All four categories of every candidate, those without a finding too."""
     return hygiene.merged_findings(*_findings(spark, d))
 
 
-@_register(f"{_FINDINGS} select candidate_id, case when bool_or(verdict = 'defect') then 'failed' when bool_or(verdict = 'uncertain') then 'indeterminate' else 'passed' end as hygiene_status, coalesce(array_to_string(list_sort(list(category) filter (where verdict = 'defect')), ','), '') as failures from m group by candidate_id")
+@_register(f"{_FINDINGS} select candidate_id, case when bool_or(verdict = 'defect') then 'failed' when bool_or(verdict = 'uncertain') then 'indeterminate' else 'passed' end as hygiene_status, coalesce(string_agg(category, ',' order by k) filter (where verdict = 'defect'), '') as failures, coalesce(string_agg(category || ': ' || error, ',' order by k) filter (where error is not null), '') as errors from m group by candidate_id")
 def hygiene_rollup(spark: SparkSession, d: str) -> DataFrame:
     out = hygiene.hygiene_status(hygiene.merged_findings(*_findings(spark, d)))
-    return out.withColumn("failures", F.array_join("failures", ","))
+    return out.withColumns({"failures": F.array_join("failures", ","), "errors": F.array_join("errors", ",")})
 
 
-@_register(f"{_FINDINGS} select category, f.verdict as expected, m.verdict as observed, count(*) as n from f join m using (candidate_id, category) group by all")
+@_register(f"{_FINDINGS}, l as (select doc_id as candidate_id, category, case when (doc_id + k) % 3 = 0 then 'defect' else 'clear' end as expected from c where (doc_id + k) % 2 = 0) select category, expected, coalesce(verdict, 'missing') as observed, count(*) as n from l left join m using (candidate_id, category) group by all")
 def calibration_confusion(spark: SparkSession, d: str) -> DataFrame:
-    found, told = _findings(spark, d)
-    both = found.withColumnRenamed("verdict", "expected").join(hygiene.merged_findings(found, told).withColumnRenamed("verdict", "observed"), ["candidate_id", "category"])
-    return review.confusion(both)
+    """Labels of some categories of each candidate against the merged findings."""
+    names = F.array(*map(F.lit, SEMANTIC))
+    pairs = F.filter(F.transform(names, lambda c, k: F.when((F.col("doc_id") + k) % 2 == 0, F.struct(c.alias("k"), F.when((F.col("doc_id") + k) % 3 == 0, "defect").otherwise("clear").alias("v")))), lambda e: e.isNotNull())
+    labels = table(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), F.map_from_entries(pairs).alias("expected"))
+    return hygiene.calibration(labels, hygiene.merged_findings(*_findings(spark, d)))
 
 
 @_register()
@@ -304,19 +318,24 @@ def repeated_span_signal(spark: SparkSession, d: str) -> DataFrame:
 def deterministic_findings(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").withColumn("answer_status", F.expr(_JUDGED["answer_status"]))
     finish = F.expr("case doc_id % 3 when 0 then 'length' when 1 then 'stop' end")
-    return rows.select("doc_id", hygiene.stop_verdict(finish).alias("stop"), hygiene.answer_verdict(F.when(F.col("doc_id") % 7 == 0, " ").otherwise(F.col("text")), F.col("answer_status")).alias("answer"))
+    return rows.select("doc_id", hygiene.stop_verdict(finish).alias("stop"), hygiene.answer_verdict(F.when(F.col("doc_id") % 7 == 0, "\n\t ").otherwise(F.col("text")), F.col("answer_status")).alias("answer"))
 
 
-@_register(f"with p as (select {_SAMPLE} as sample_id, doc_id from documents), l as (select doc_id as id, substr(sample_id, 1, 12) as prefix from p where doc_id % 10 = 0), j as (select l.id, p.sample_id, p.doc_id from l join p on starts_with(p.sample_id, l.prefix)) select id, sample_id, doc_id, count(*) over (partition by id) as matches from j")
+@_register(f"with p as (select {_SAMPLE} as sample_id, doc_id from documents), l as (select doc_id as id, case when doc_id % 9 = 4 then 'none' else substr(sample_id, 1, case when doc_id % 2 = 0 then 12 else 16 end) end as prefix from p), j as (select l.id, p.sample_id, p.doc_id from l left join p on starts_with(p.sample_id, l.prefix)) select id, sample_id, doc_id, count(sample_id) over (partition by id) as matches from j")
 def prefix_label_join(spark: SparkSession, d: str) -> DataFrame:
+    """Labels with prefixes of two lengths, some of which fit nothing; repeated texts fit several times."""
     rows = table(spark, d, "documents").select(stable_id(F.lit("source_pool"), F.lit("fixture"), F.col("text")).alias("sample_id"), "doc_id")
-    labels = rows.where("doc_id % 10 = 0").select(F.col("doc_id").alias("id"), F.substring("sample_id", 1, 12).alias("prefix"))
-    return review.by_prefix(labels, rows, 12).select("id", "sample_id", "doc_id", "matches")
+    prefix = F.when(F.col("doc_id") % 9 == 4, "none").otherwise(F.substring("sample_id", F.lit(1), F.when(F.col("doc_id") % 2 == 0, 12).otherwise(16)))
+    return review.by_prefix(rows.select(F.col("doc_id").alias("id"), prefix.alias("prefix")), rows).select("id", "sample_id", "doc_id", "matches")
 
 
-@_register("select event_type as phase, count(*) as requests, count(*) filter (where value > 10) as completed, sum(value) as seconds, count(*) filter (where value > 10) * 3600 / sum(value) as per_hour from events group by 1")
+@_register("select event_type as phase, count(*) as requests, count(*) filter (where value > 10) as completed, sum(value) as seconds, count(*) filter (where value > 10) * 3600 / sum(value) as per_hour, sum(user_id) as input_tokens, sum((props->>'k')::bigint) as output_tokens, sum((user_id % 5 = 0)::int) as length_stops from events group by 1")
 def phase_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return review.phase_metrics(table(spark, d, "events").select(F.col("event_type").alias("phase"), (F.col("value") > 10).alias("done"), F.col("value").alias("seconds")))
+    log = table(spark, d, "events").select(
+        F.col("event_type").alias("phase"), (F.col("value") > 10).alias("done"), F.col("value").alias("seconds"), F.col("user_id").alias("input_tokens"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("output_tokens"), (F.col("user_id") % 5 == 0).cast("int").alias("length_stops"),
+    )
+    return review.phase_metrics(log)
 
 
 @_register(f"{_PROMPTS}, o as (select sample_id, row_number() over (order by sample_id) - 1 as ordinal from prompts) select sample_id, ordinal from o where ordinal < 400 and ordinal % 4 = 1")
@@ -331,7 +350,8 @@ def review_search(spark: SparkSession, d: str) -> DataFrame:
 
 @_register(f"select {_KEY} as prompt_key, count(*) as n from documents group by 1 having count(*) > 1")
 def repeated_prompts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").groupBy(prompt_key(F.col("text")).alias("prompt_key")).agg(F.count("*").alias("n")).where("n > 1")
+    keys = table(spark, d, "documents").select(prompt_key(F.col("text")).alias("prompt_key"))
+    return keys.groupBy(F.md5("prompt_key").alias("key")).agg(F.min("prompt_key").alias("prompt_key"), F.count("*").alias("n")).where("n > 1").drop("key")
 
 
 @_register("""select doc_id, case when n_chars % 3 = 0 or doc_id % 6 = 4 then null when doc_id % 6 in (0, 5) then 'number' when doc_id % 6 = 1 then 'boolean' when doc_id % 6 = 2 then 'choice' else 'text' end as answer_type,
@@ -342,20 +362,24 @@ def atomic_fallback(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", found["answer_type"].alias("answer_type"), found["value"].alias("value"))
 
 
-@_register("""select doc_id, case doc_id % 6 when 0 then case when doc_id % 5 = 0 then 0.0 else 1.0 end when 1 then 1.0
+@_register("""select doc_id, case doc_id % 8 when 0 then case when doc_id % 5 = 0 then 0.0 else 1.0 end when 1 then 1.0
     when 2 then case when n_chars % 7 = 0 then null when n_chars % 7 = 1 then 0.0 when n_chars % 5 < 3 then 1.0 when n_chars % 5 = 3 then 0.0 end
-    when 5 then case n_chars % 3 when 0 then 1.0 else 0.0 end end::double as score from documents""")
+    when 5 then case n_chars % 3 when 0 then 1.0 else 0.0 end when 6 then case when n_chars % 2 = 0 then 1.0 else 0.0 end when 7 then case n_chars % 4 when 0 then 1.0 when 1 then 1.0 when 2 then null else 0.0 end end::double as score from documents""")
 def typed_answers(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").withColumns({k: F.expr(v) for k, v in {
-        "gold_type": "case doc_id % 6 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then 'equation' else 'set' end",
-        "type": "case doc_id % 6 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then case when doc_id % 4 = 0 then 'expression' else 'equation' end else 'set' end",
-        "gold": "case doc_id % 6 when 0 then 'True' when 1 then 'B' when 2 then string(n_chars) when 3 then text when 4 then concat('x=', n_chars) else concat('{', n_chars, ', 2, 1/2}') end",
-        "value": """case doc_id % 6 when 0 then case when doc_id % 5 = 0 then 'false' else ' TRUE. ' end when 1 then 'b'
+    """Booleans, choices, numbers with units, texts, equations, sets with and without brackets or with members in brackets, lists of values, fractions and thousands."""
+    sides = {
+        "gold": ("case doc_id % 8 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then 'equation' when 7 then 'number' else 'set' end",
+                 """case doc_id % 8 when 0 then 'True' when 1 then 'B' when 2 then string(n_chars) when 3 then text when 4 then concat('x=', n_chars) when 5 then concat('{', n_chars, ', 2, 1/2}') when 7 then case n_chars % 4 when 0 then '1,234' when 1 then '\\\\frac{1}{4}' when 2 then '{1, 2}' else '3' end end""",
+                 "case when doc_id % 8 = 6 then array(string(n_chars), ' 7 ') end", "case when doc_id % 8 = 2 and n_chars % 7 < 3 then 'cm' end"),
+        "answer": ("case doc_id % 8 when 0 then 'boolean' when 1 then 'choice' when 2 then 'number' when 3 then 'text' when 4 then case when doc_id % 3 = 0 then 'expression' else 'equation' end when 7 then 'number' else 'set' end",
+                   """case doc_id % 8 when 0 then case when doc_id % 5 = 0 then 'false' else ' TRUE. ' end when 1 then 'b'
             when 2 then case n_chars % 5 when 0 then concat(n_chars, '.0') when 1 then concat(2 * n_chars, '/2') when 2 then concat(100 * n_chars, '%') when 3 then string(n_chars + 1) else 'sqrt(2)' end
-            when 3 then text when 4 then concat('y=', n_chars) else case n_chars % 3 when 0 then concat('{0.5, 2, ', n_chars, '}') when 1 then concat('{', n_chars, ', 2}') else concat('{', n_chars, ', 2, 1/3}') end end""",
-        "gold_unit": "case when doc_id % 6 = 2 and n_chars % 7 < 3 then 'cm' end", "unit": "case n_chars % 7 when 1 then 'M' when 2 then ' CM.' end",
-    }.items()})
-    return rows.select("doc_id", answers.typed_score(*map(F.col, ("gold_type", "gold", "gold_unit", "type", "value", "unit"))).alias("score"))
+            when 3 then text when 4 then concat('y=', n_chars) when 5 then case n_chars % 3 when 0 then concat('0.5, 2, ', n_chars) when 1 then concat('\\\\{', n_chars, ', 2\\\\}') else concat('{', n_chars, ', 2, 1/3}') end
+            when 6 then case when n_chars % 2 = 0 then concat('\\\\left\\\\{7, ', n_chars, '\\\\right\\\\}') else concat('{(7, ', n_chars, ')}') end when 7 then case n_chars % 4 when 0 then '1234' when 1 then '0.25' when 2 then '{1, 2}' else '4' end end""",
+                   "cast(null as array<string>)", "case n_chars % 7 when 1 then 'M' when 2 then ' CM.' end"),
+    }
+    one = {k: F.struct(*(F.expr(e).alias(n) for e, n in zip(v, ("answer_type", "value", "values", "unit"), strict=True))) for k, v in sides.items()}
+    return table(spark, d, "documents").withColumns(one).select("doc_id", answers.typed_score(F.col("gold"), F.col("answer")).alias("score"))
 
 
 @_register("""select doc_id, case when doc_id % 7 = 0 then 'unavailable' when doc_id % 11 = 0 or doc_id % 13 = 0 then 'error' when doc_id % 5 = 0 then 'indeterminate' when n_chars % 10 >= 5 then 'passed' else 'failed' end as verification_status from documents""")
@@ -374,12 +398,14 @@ def answer_candidate_spans(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(answers.answer_spans(said), " ~ ").alias("spans"))
 
 
-@_register("""with r as (select conv_id, turn // 2 as k, min(text) as text from conversations where role = 'assistant' and turn < 6 group by all)
-    select conv_id, sha256(coalesce(string_agg(text, chr(31) order by k), '')) as texts_id, 3 - count(text) as missing from (select distinct conv_id from conversations) left join r using (conv_id) group by conv_id""")
+@_register("""with q as (select conv_id, turn from conversations where role = 'user'), r as (select conv_id, turn - 1 as turn, min(text) as text from conversations where role = 'assistant' group by all)
+    select conv_id, sha256(coalesce(string_agg(text, chr(31) order by turn), '')) as texts_id, count(*) - count(text) as missing from q left join r using (conv_id, turn) group by conv_id""")
 def critique_regroup(spark: SparkSession, d: str) -> DataFrame:
+    """Each user turn asks; the assistant turn after it answers."""
     turns = table(spark, d, "conversations")
-    told = turns.where("role = 'assistant' and turn < 6").select("conv_id", F.floor(F.col("turn") / 2).alias("sample_index"), "text")
-    out = phases.regroup(phases.sample_requests(turns.select("conv_id").distinct(), "conv_id", 3), told, "conv_id", "text")
+    asked = turns.where("role = 'user'").select("conv_id", F.col("turn").alias("sample_index"))
+    told = turns.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("sample_index"), "text")
+    out = phases.regroup(asked, told, "conv_id", "text")
     return out.select("conv_id", F.sha2(F.array_join("texts", "\x1f"), 256).alias("texts_id"), "missing")
 
 
@@ -387,23 +413,29 @@ def critique_regroup(spark: SparkSession, d: str) -> DataFrame:
 def retry_merge(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", F.col("lang").alias("output"), (F.col("doc_id") % 3 != 0).alias("valid"))
     again = table(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", F.concat(F.lit("again "), "source").alias("output"))
+    again = again.unionAll(again.where("doc_id % 4 = 0"))  # some answer twice
     return phases.with_retry(rows, again, "doc_id", "valid", "output").select("doc_id", "output", "first_output", "retry_count")
 
 
 _W = "trim(regexp_replace(text, '[\\s\\x1c-\\x1f]+', ' ', 'g'))"
 
 
-@_register(f"""with t as (select doc_id, {_W} as w, trim(regexp_replace(substr(text, 11, 24), '[\\s\\x1c-\\x1f]+', ' ', 'g')) as e from documents)
-    select doc_id, e <> '' and doc_id % 5 <> 0 and (doc_id % 3 <> 0 or (length(w) - length(replace(w, e, ''))) / length(e) > 1) as anchored from t""")
+_E = "trim(regexp_replace(substr(text, length(text) // 3 + 1, length(text) // 3), '[\\s\\x1c-\\x1f]+', ' ', 'g'))"
+
+
+@_register(f"""with t as (select doc_id, {_W} as w, {_E} as e from documents)
+    select doc_id, e <> '' and doc_id % 5 <> 0 and (doc_id % 3 <> 0 or doc_id % 2 = 0 or (length(w) - length(replace(w, e, ''))) / length(e) > 1) as anchored from t""")
 def evidence_anchoring(spark: SparkSession, d: str) -> DataFrame:
-    """An excerpt of each text as evidence, for a fifth of the texts one that isn't there."""
-    excerpt = F.when(F.col("doc_id") % 5 == 0, "no such words \u2603").otherwise(F.substring("text", 11, 24))
+    """The middle third of each text as evidence, once or twice, for a fifth of the texts one that isn't there."""
+    n = F.floor(F.length("text") / 3).cast("int")
+    excerpt = F.when(F.col("doc_id") % 5 == 0, "no such words \u2603").otherwise(F.substring("text", n + 1, n))
     category = F.when(F.col("doc_id") % 3 == 0, "repetition").otherwise("no_new_progress")
-    return table(spark, d, "documents").select("doc_id", phases.anchored(F.array(excerpt), F.col("text"), F.lit(None).cast("string"), category).alias("anchored"))
+    evidence = F.when(F.col("doc_id") % 2 == 0, F.array(excerpt, excerpt)).otherwise(F.array(excerpt))
+    return table(spark, d, "documents").select("doc_id", phases.anchored(evidence, F.col("text"), F.lit(None).cast("string"), category).alias("anchored"))
 
 
-@_register(f"""with t as (select doc_id, text, string_split({_W}, ' ') as w from documents)
-    select doc_id, sha256(case when len(w) <= 40 then text else array_to_string(w[1:15], ' ') || chr(10) || chr(10) || '[cut]' || chr(10) || chr(10) || array_to_string(w[-24:], ' ') end) as fitted_id from t""")
+@_register(f"""with t as (select doc_id, text, regexp_extract_all(text, '[^\\s\\x1c-\\x1f]+[\\s\\x1c-\\x1f]*') as w from documents)
+    select doc_id, sha256(case when len(w) <= 40 then text else {_STRIP.format("array_to_string(w[1:15], '')")} || chr(10) || chr(10) || '[cut]' || chr(10) || chr(10) || {_STRIP.format("array_to_string(w[-24:], '')")} end) as fitted_id from t""")
 def head_tail_truncate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.sha2(phases.fit_words(F.col("text"), 40), 256).alias("fitted_id"))
 

@@ -14,15 +14,13 @@ def test_queries_against_sql(spark):
     import duckdb
 
     import __spark_entry__ as entry
-    from rollmill.plans import catalogue
+    from rollmill import plans
 
     con = duckdb.connect()
     for name in os.listdir(D):
         con.execute(f"create view {name.split('.')[0]} as select * from '{D}/{name}'")
-    for name, sql in catalogue.oracle_sql().items():
-        if name == "greedy_cross_source_dedup":
-            continue  # the smallest tables have too few prompts for its targets
-        got = catalogue.queries()[name](spark, D)
+    for name, sql in plans.oracle_sql().items():
+        got = plans.queries()[name](spark, D)
         cursor = con.execute(sql)
         columns = [c[0] for c in cursor.description]
         assert sorted(got.columns) == sorted(columns), name
