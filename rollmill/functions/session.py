@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
-#: Rows of an Arrow batch where the session leaves it at Spark's 10,000, which is too many for long texts.
+#: Rows of an Arrow batch where nobody has set them: Spark's 10,000 are too many for long texts. It holds for the session's later queries too.
 BATCH_ROWS = 1000
 
 #: Rows of a broadcast side may hold at most this many bytes in all; beyond it a shuffle join is used.
@@ -29,17 +29,19 @@ def ship(spark: SparkSession) -> None:
     if ROOT not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(rows)) == 10_000:
+    if rows not in spark.conf.getAll:  # a value that was asked for stays, whatever it is
         spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a new one for local runs."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a new one for local runs. A cluster without it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = folder.get() if folder.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
