@@ -36,6 +36,8 @@ REGISTERS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 REST_BITS = 53
 BAND = 4
+#: Rows of one key, from which on a join broadcasts the key.
+HOT = 1000
 #: Members of a block in step 5.
 BLOCK = 256
 #: Sets of up to so many shingles are joined by their smallest hashes.
@@ -271,10 +273,10 @@ def _labelled(docs: DataFrame, width: int, percent: int, sketch: Sketch = regist
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))  # nulls last
     classes = (
         rows.where("n_shingles > 0").groupBy("set_hash", "check")
-        .agg(least.alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("few").alias("few"))
+        .agg(least.alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("few").alias("few"), F.count("*").alias("rows"))
     )
     # a class's number stands for both hashes; the checkpoint fixes it
-    classes = checkpointed(classes.select(F.monotonically_increasing_id().alias("id"), "set_hash", "check", "least.doc_id", "least.key", "n", "sketch", "few"))
+    classes = checkpointed(classes.select(F.monotonically_increasing_id().alias("id"), "set_hash", "check", "least.doc_id", "least.key", "n", "sketch", "few", "rows"))
     bands = checkpointed(_bands(classes))
     groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
     groups = checkpointed(groups)
@@ -289,14 +291,26 @@ def _labelled(docs: DataFrame, width: int, percent: int, sketch: Sketch = regist
         more = _verified(across, classes, docs, width, percent)
         roots = components(links.unionAll(more))
 
-    label = classes.select("id", "doc_id", "set_hash", "check").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    low = label.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    label = label.join(low, "root").select("set_hash", "check", "component_id", "root")
-    out = rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles", "set_hash", "check").join(label, ["set_hash", "check"])
+    total = rows.count()
+    label = classes.select("id", "doc_id", "set_hash", "check", "rows").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    low = label.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
+    label = _with_hot(label.drop("id", "doc_id"), low, ["root"], "size", total).select("set_hash", "check", "component_id", "root", "rows")
+    out = _with_hot(rows.where("n_shingles > 0").select("doc_id", "key", "n_shingles", "set_hash", "check"), label, ["set_hash", "check"], "rows", total)
     alone = rows.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("root"))
     return out.select("doc_id", "key", "n_shingles", "component_id", "root").unionAll(alone)
 
 
+def _with_hot(rows: DataFrame, one: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows joined to the one row of ``one`` for each key, which tells in ``size`` how many rows have the key.
+
+    Keys of many rows are broadcast, so that no task gets all rows of one. Of ``total`` rows at most a million keys have so many.
+    """
+    one = checkpointed(one)
+    many = F.col(size) > max(HOT, total // 1_000_000)
+    hot = one.where(many)
+    return rows.join(small_side(hot, hot.count(), 64), keys).unionByName(rows.join(small_side(hot.select(keys), hot.count(), 64), keys, "left_anti").join(one.where(~many), keys))
+
+
 def _grams(texts: DataFrame, width: int) -> DataFrame:
     """(id, grams): the sets of classes."""
 
