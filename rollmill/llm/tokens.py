@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from itertools import accumulate
@@ -62,8 +63,23 @@ class Pieces:
         if library.decode(library.encode(probe)) != probe or len(library.encode("a  b")) == len(library.encode("a b")) or library.encode("ﬁ") == library.encode("fi"):
             raise ValueError("this model normalises its input; prefix counts need one that doesn't")
         self.line = any("\n" in p for p in self.score)
-        # pieces that merging reaches, by number
-        self.names = [p for p in self.score if self.merged(p) == [p]]
+        # pieces are merged in the order of their ranks; characters are there from the start
+        self.rank = {p: -1 if len(p) == 1 else k for k, p in enumerate(sorted(self.score, key=lambda p: -self.score[p]))}
+        # pieces that merging reaches, by number, and the two pieces that each is made of
+        self.names: list[str] = []
+        self.made: dict[str, tuple[str, str]] = {}
+        for p in self.score:
+            parts = self.merged(p, 2)
+            if len(parts) <= 2:
+                self.names.append(p)
+                if len(parts) == 2:
+                    self.made[p] = parts[0], parts[1]
+        # pieces of one score (runs of spaces), and those made of them, have no order in time
+        seen = Counter(self.score.values())
+        self.tied: set[str] = set()
+        for p in sorted(self.names, key=len):
+            if (len(p) > 1 and seen[self.score[p]] > 1) or not self.tied.isdisjoint(self.made.get(p, ())):
+                self.tied.add(p)
         self.longest = max(map(len, self.names))
         self.number = {p: k for k, p in enumerate(self.names)}
         self.unknown = len(self.names)
@@ -77,10 +93,10 @@ class Pieces:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(whole >> U64(44)).astype(np.int64)] = True
 
-    def merged(self, text: str) -> list[str]:
-        """Merge by rank: the best pair first, of equal ones the leftmost."""
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Merge by rank until ``least`` pieces are left: the best pair first, of equal ones the leftmost."""
         parts, score = list(text), self.score
-        while len(parts) > 1:
+        while len(parts) > least:
             best, at = None, -1
             for k in range(len(parts) - 1):
                 s = score.get(parts[k] + parts[k + 1])
@@ -92,16 +108,35 @@ class Pieces:
         return parts
 
     def stays(self, left: int, right: int) -> bool:
-        """Whether merging leaves these two pieces as they are."""
+        """Whether merging leaves these two pieces as they are: ``apart`` for each pair that is met, once."""
         if left == self.unknown:
             return True
         key = left * (self.unknown + 1) + right
         found = self.beside.get(key)
         if found is None:
             a, b = self.names[left], self.names[right]
-            found = self.beside[key] = self.merged(a + b) == [a, b]
+            tied = a in self.tied or b in self.tied
+            found = self.beside[key] = self.merged(a + b) == [a, b] if tied else self.apart(a, b)
         return found
 
+    def apart(self, left: str, right: str) -> bool:
+        """Whether no merge across the border of two pieces comes before the merges that made them.
+
+        For pieces that aren't tied. Goes back in time from merge to merge. A merge across the border of equal rank comes after one of the left piece, before one of the right.
+        """
+        rank, made = self.rank, self.made
+        limit = len(rank) + 1
+        while True:
+            if rank.get(left + right, limit) < limit:
+                return False
+            a, b = rank.get(left, -1), rank.get(right, -1)
+            if a < 0 and b < 0:
+                return True
+            if a > b:
+                limit, left = a, made[left][1]
+            else:
+                limit, right = b + 1, made[right][0]
+
     def long_counts(self, chunk: str) -> np.ndarray:
         """Tokens of each prefix of one chunk."""
         last, count = [-1] * (len(chunk) + 1), np.zeros(len(chunk) + 1, np.int64)

@@ -221,6 +221,16 @@ def test_token_counts_are_the_library_s(spark, monkeypatch):
         assert fit == [max(k for k in range(len(t) + 1) if want[k] <= budget) for budget in range(0, 60, 7)]
 
 
+def test_pieces_stay_side_by_side_as_merging_says():
+    own, rng = tokens.counts(MODEL).pieces, random.Random(4)
+    short = [p for p in own.names if len(p) <= 3]
+    for k in range(6000):
+        a, b = (rng.choice(own.names if k % 2 else short) for _ in range(2))
+        assert own.stays(own.number[a], own.number[b]) == (own.merged(a + b) == [a, b]), (a, b)
+    for a in short[:400]:
+        assert own.stays(own.number[a], own.number[a]) == (own.merged(a + a) == [a, a]), a
+
+
 def test_packing_fills_and_respects_conflicts(spark):
     texts = corpus(2, 80)
     rows = packing.pack(frame(spark, texts, lambda k: None if k % 4 else "hot"), 300, 2, 1000).collect()
