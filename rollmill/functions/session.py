@@ -62,4 +62,6 @@ def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a folder; what is made of it may use this package in Python workers."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

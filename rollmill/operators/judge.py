@@ -79,13 +79,17 @@ def judge_scores(raw: Column) -> Column:
         (~verdict.isin("incorrect", "indeterminate") | (scores["response"] <= 3), "response_too_good"),
         (~verdict.isin("correct", "reference_conflict") | ~F.array_contains(issues["response"], "incorrect"), "correct_with_issue"),
     ]
-    error = _first(*rules)
-    ok = error.isNull()
-    return F.struct(
-        F.when(ok, verdict).alias("verdict"), F.when(ok, correctness["confidence"]).alias("confidence"), F.when(ok, scores["reasoning"]).alias("reasoning_score"),
-        F.when(ok, scores["response"]).alias("response_score"), F.when(ok, issues["reasoning"]).alias("reasoning_issues"), F.when(ok, issues["response"]).alias("response_issues"),
-        F.when(ok, confirmations).alias("confirmations"), error.alias("error"),
-    )
+    fields = {
+        "verdict": verdict, "confidence": correctness["confidence"], "reasoning_score": scores["reasoning"], "response_score": scores["response"],
+        "reasoning_issues": issues["reasoning"], "response_issues": issues["response"], "confirmations": confirmations,
+    }
+    return _read(fields, _first(*rules), "verdict string, confidence string, reasoning_score bigint, response_score bigint, reasoning_issues array<string>, response_issues array<string>, confirmations array<struct<category: string, verdict: string, feedback: string>>")
+
+
+def _read(fields: dict[str, Column], error: Column, schema: str) -> Column:
+    """The fields without an error, or nulls with it."""
+    nulls = F.from_json(F.lit("{}"), schema)
+    return F.when(error.isNull(), F.struct(*(x.alias(k) for k, x in fields.items()), F.lit(None).cast("string").alias("error"))).otherwise(F.struct(*(nulls[k].alias(k) for k in fields), error.alias("error")))
 
 
 _EXTRACTION = "status string, answer_type string, value string, values array<string>, unit string, evidence string"
@@ -103,8 +107,7 @@ def answer_extraction(raw: Column) -> Column:
         ((x["status"] != "extracted") | given | listed, "extracted_without_value"),
         ((x["status"] != "conditional") | ((x["answer_type"] == "text") & given & ~listed), "conditional_form"),
     )
-    ok = error.isNull()
-    return F.struct(*(F.when(ok, values if k == "values" else x[k]).alias(k) for k in ("status", "answer_type", "value", "values", "unit", "evidence")), error.alias("error"))
+    return _read({k: values if k == "values" else x[k] for k in ("status", "answer_type", "value", "values", "unit", "evidence")}, error, _EXTRACTION)
 
 
 def assessment(raw: Column, category: Column, reasoning: Column, response: Column, truncated: Column, anchored) -> Column:  # noqa: ANN001

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.ids import blank
 from rollmill.functions.json_text import json_items
+from rollmill.functions.session import checkpointed
 from rollmill.operators import answers, gate, hygiene, parsing, review
 from rollmill.operators.judge import SEMANTIC, judge_scores
 
@@ -55,7 +56,8 @@ def finalized(rows: DataFrame, judge_enabled: bool = True) -> DataFrame:
         "reasoning_issues": F.col("_j.reasoning_issues"), "response_issues": F.col("_j.response_issues"), "answer_status": status,
         "judge_error": F.when(F.lit(judge_enabled), F.coalesce("judge_generation_error", "_j.error")),
     })
-    rows = hygiene.with_repeated_span(rows, "reasoning", "_span")
+    # what is read of each text is used three times below: read it once
+    rows = checkpointed(hygiene.with_repeated_span(rows, "reasoning", "_span"))
     own = rows.select("candidate_id", F.array_compact(F.array(
         hygiene.repetition_finding(F.col("_span")),
         hygiene.finding("reasoning_limit_stop", hygiene.stop_verdict(F.col("finish_reason")), F.array().cast("array<string>"), "how the generation ended"),
