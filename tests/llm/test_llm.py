@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -512,6 +513,55 @@ def test_licenses(spark):
     assert got == {1: ("MIT", "own"), 2: ("Apache-2.0", "inherited"), 3: ("Apache-2.0", "own"), 4: ("Apache-2.0", "own"), 5: (None, "none"), 6: (None, "none"), 7: ("Apache-2.0", "inherited")}
 
 
+PROBES = {
+    "Apache-2.0": "                 Apache License\n           Version 2.0, January 2004\n        http://www.apache.org/licenses/",
+    "GPL-3.0": "      GNU GENERAL PUBLIC LICENSE\n       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>",
+    "BSD-2-Clause": "Copyright (c) 2001 Nobody. All rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "MIT": "# SPDX-License-Identifier: MIT\nimport os",
+    "ISC": "Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "LGPL-3.0": "one line " * 40 + "under the GNU Lesser General Public\nLicense, version 3 " + "and on " * 40,
+    "Proprietary": "words\nAll rights reserved.\nmore words",
+    None: "the license of a word",
+}
+
+
+def naive_licenses(texts):
+    """Every run, line, paragraph and text against every template, with dictionaries."""
+    split = lambda t: re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode())
+    frequency = Counter(w for t in texts for w in set(split(t)))
+    vector = lambda ws: {w: k * (math.log((1 + len(texts)) / (1 + frequency[w])) + 1) for w, k in Counter(ws).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    out = []
+    for t in texts:
+        words, best = split(t), (None, 0.0)
+        units = [split(u) for u in [*(t or "").split("\n"), *re.split(r"\n[ \t\r]*\n", t or ""), t or ""]]
+        for name, template, least in licenses.template_rows():
+            m, size = vector(template), len(template)
+            for u in [*units, *(words[i : i + size] for i in range(len(words) - size + 1))]:
+                v = vector(u)
+                cosine = round(min(1.0, sum(x * m.get(w, 0) for w, x in v.items()) / norm(v) / norm(m)), 9) if u else 0.0
+                if cosine >= least and cosine > best[1] and not (name == "Proprietary" and best[0] not in (None, name)):
+                    best = (name, cosine)
+        out.append(best)
+    return out
+
+
+def test_licenses_against_all_units(spark):
+    rng = random.Random(3)
+    texts = [*PROBES.values(), None, "", "   ", "one two\n\n \nthree", "x " * 50 + "Released under the MIT" + "\nLicense and more " * 3]
+    for _, words, _ in licenses.template_rows()[::4]:
+        w = [rng.choice(["foo", "the", words[0].decode()]) if rng.random() < 0.12 else x.decode() for x in words]
+        texts.append("".join(rng.choice(["of ", "the ", "word "]) for _ in range(rng.randrange(12))) + rng.choice(["\n", " ", "\n\n"]) + "".join(x + rng.choice([" ", " ", "\n"]) for x in w) + "tail")
+    texts += texts[:3]
+    rows = [(k, t, "extra") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, license string").withColumn("path", F.lit(None).cast("string"))
+    got = {r.doc_id: (r.license, r.cosine) for r in licenses.scan_licenses(docs.repartition(3)).collect()}
+    for k, (name, cosine) in enumerate(naive_licenses(texts)):
+        assert got[k][0] == name and got[k][1] == pytest.approx(cosine, abs=1e-6), texts[k]
+    assert [got[k][0] for k in range(len(PROBES))] == list(PROBES)
+    assert licenses.scan_licenses(docs.limit(0)).count() == 0
+
+
 def test_archives_round_trip(spark, tmp_path):
     long = "<p>" + "x" * 200
     rows = [(5, "http://a/\r\nX: y", long), (2, None, long), (9, "http://b", "short"), (3, "http://c", "short"), (4, "http://d", None), (7, "é", long + "é"), (2000, "u", long)]
