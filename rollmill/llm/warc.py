@@ -90,8 +90,10 @@ def planned(pages: DataFrame) -> DataFrame:
     cells = checkpointed(running_cells(own.groupBy("cell").agg(F.sum("size").alias("weight"))))
     n, total = cells.agg(F.count("*"), F.sum("weight")).first()
     size = min(max(SMALL_SHARD, (total or 0) // SHARDS), LARGE_SHARD)
-    shards = cells.select("cell", F.floor(F.col("before") / size).alias("shard"))
-    own = own.join(small_side(shards, n, 32), "cell").join(small_side(firsts, firsts.count(), 120), "digest", "left")
+    # a cell heavier than a shard, as of rows without an id, is dealt to as many shards as it fills
+    shards = cells.select("cell", F.floor(F.col("before") / size).alias("low"), F.greatest(F.ceil(F.col("weight") / size), F.lit(1)).alias("spread"))
+    shard = F.col("low") + F.pmod(F.xxhash64("page_id", "digest", "url"), F.col("spread"))
+    own = own.join(small_side(shards, n, 40), "cell").withColumn("shard", shard).join(small_side(firsts, firsts.count(), 120), "digest", "left")
     return own.select("page_id", "url", "html", "digest", F.when((F.col("size") >= LEAST_REVISIT) & (F.col("first") < F.col("page_id")), F.col("first")).alias("refers_to"), "shard")
 
 

@@ -156,11 +156,14 @@ def test_components_of_a_chain(spark):
     assert components.components(links.limit(0)).count() == 0
 
 
-def test_order_of_cells(spark):
-    ids = [0, 3, 4095, 4096, 9000, 50_000]
-    cells = spark.createDataFrame([(c, c + 1) for c in ids], "cell bigint, weight bigint")
-    assert {r.cell: r.before for r in order.running_cells(cells).collect()} == {c: sum(x + 1 for x in ids if x < c) for c in ids}
+@pytest.mark.parametrize("size", [2, 1000])
+def test_order_of_cells(spark, monkeypatch, size):
+    monkeypatch.setattr(order, "RANGE_CELLS", size)
+    ids = [-(1 << 54), -7, 0, 3, 4095, 4096, 9000, 50_000, 1 << 50]
+    cells = spark.createDataFrame([(c, abs(c) % 100 + 1) for c in ids], "cell bigint, weight bigint").repartition(3)
+    assert {r.cell: r.before for r in order.running_cells(cells).collect()} == {c: sum(abs(x) % 100 + 1 for x in ids if x < c) for c in ids}
     assert {r.cell: r.above for r in order.next_cells(cells).collect()} == dict(zip(ids, [*ids[1:], ids[0]], strict=True))
+    assert order.next_cells(cells.limit(0)).count() == order.running_cells(cells.limit(0)).count() == 0
 
 
 def test_language_model_base_score_and_gain(spark):
@@ -586,6 +589,15 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.write_archives(pages.limit(0), empty).count() == 0
 
 
+def test_pages_without_ids_fill_several_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SMALL_SHARD", 500)
+    pages = spark.createDataFrame([(None if k % 3 else k, f"u{k}", f"{k} " * 60) for k in range(60)], "page_id bigint, url string, html string")
+    manifest = warc.write_archives(pages, f"file://{tmp_path}").collect()
+    assert sum(r.records for r in manifest) == 60 and len({r.shard for r in manifest}) > 5 and max(r.records for r in manifest) < 20
+    got = warc.read_archives(spark, f"file://{tmp_path}").collect()
+    assert sorted(r.payload_digest for r in got) == sorted(hashlib.sha256((f"{k} " * 60).encode()).hexdigest() for k in range(60))
+
+
 def brute_hits(text, items, width):
     grams = {}
     for i, w in items:
