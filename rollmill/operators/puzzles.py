@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,11 @@ TASK_STEP, BAND_STEP, CHUNK_STEP, ADAPTER_STEP = 1_000_003, 100_003, 10_007, 1_0
 BAND_SHARE = {"easy": 0.2, "medium": 0.6, "hard": 1.0}
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once for a row: a column that is named several times inside lambdas is worked out each time."""
+    return F.transform(F.array(value), body)[0]
+
+
 def chunk_seed(seed: int, task: Column, band: Column, chunk: Column) -> Column:
     return F.lit(seed).cast("bigint") + task * TASK_STEP + band * BAND_STEP + chunk * CHUNK_STEP
 
@@ -56,27 +61,32 @@ def linear_equation(seed: Column, level: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("Solve for x: "), a.cast("string"), F.lit("x + "), b.cast("string"), F.lit(" = "), (a * x + b).cast("string")), x.cast("string")
 
 
-def sum_grid(seed: Column) -> tuple[Column, Column, Column]:
-    """A square of three rows whose last row and column are sums: the puzzle (0 for a cell to fill), the numbers to fill in, and the whole square.
+def sum_grid(seed: Column) -> Column:
+    """A square of three rows whose last row and column are sums, as struct<puzzle, numbers, square>: 0 stands for a cell to fill.
 
     Two cells of the inner square and one sum are left open.
     """
-    a, b, c, d = (digit(seed, k, 1, 9) for k in range(4))
-    square = F.array(F.array(a, b, a + b), F.array(c, d, c + d), F.array(a + c, b + d, a + b + c + d))
     zero = F.lit(0).cast("bigint")
-    puzzle = F.array(F.array(a, zero, a + b), F.array(zero, d, c + d), F.array(a + c, b + d, zero))
-    return puzzle, F.array_sort(F.array(b, c, a + b + c + d)), square
+
+    def grid(inner: Column) -> Column:
+        a, b, c, d = (inner[k] for k in range(4))
+        square = F.array(F.array(a, b, a + b), F.array(c, d, c + d), F.array(a + c, b + d, a + b + c + d))
+        puzzle = F.array(F.array(a, zero, a + b), F.array(zero, d, c + d), F.array(a + c, b + d, zero))
+        return F.struct(puzzle.alias("puzzle"), F.array_sort(F.array(b, c, a + b + c + d)).alias("numbers"), square.alias("square"))
+
+    return bound(F.array(*(digit(seed, k, 1, 9) for k in range(4))), grid)
 
 
 def integer_matrix(text: Column, size: Column) -> Column:
     """A square of integers out of JSON, or of the lines of a text that have as many integers; null for others."""
     exact = text.rlike(r"^\s*\[(\s*\[\s*-?\d+(\s*,\s*-?\d+)*\s*\]\s*,?)+\s*\]\s*$")
     parsed = F.when(exact, F.from_json(text, "array<array<bigint>>"))
-    square = (F.size(parsed) == size) & F.forall(parsed, lambda r: F.size(r) == size)
     cells = lambda line: F.filter(F.split(F.replace(F.regexp_replace(F.regexp_replace(F.trim(line), r"^\|+", ""), r"\|+$", ""), F.lit(","), F.lit(" ")), r"\s+"), lambda v: v != "")
     lines = F.filter(F.transform(F.split(text, r"\r\n|\r|\n"), cells), lambda r: (F.size(r) == size) & F.forall(r, lambda v: v.rlike(r"^-?\d{1,18}$")))
-    grid = F.transform(lines, lambda r: F.transform(r, lambda v: v.cast("bigint")))
-    return F.when(F.coalesce(square, F.lit(False)), parsed).when(F.size(lines) == size, grid)
+    number = lambda r: F.transform(r, lambda v: v.cast("bigint"))
+    from_lines = bound(lines, lambda found: F.when(F.size(found) == size, F.transform(found, number)))
+    square = lambda m: F.coalesce((F.size(m) == size) & F.forall(m, lambda r: F.size(r) == size), F.lit(False))
+    return bound(parsed, lambda m: F.when(square(m), m).otherwise(from_lines))
 
 
 def _total(row: Column) -> Column:
@@ -88,9 +98,14 @@ def score_grid(puzzle: Column, numbers: Column, answer: Column) -> Column:
 
     The last cell is only bound by the numbers.
     """
+    given = F.struct(puzzle.alias("puzzle"), numbers.alias("numbers"), answer.alias("answer"))
+    with_matrix = lambda x: F.struct(x["puzzle"].alias("puzzle"), x["numbers"].alias("numbers"), integer_matrix(x["answer"], F.size(x["puzzle"])).alias("matrix"))
+    return bound(given, lambda x: bound(with_matrix(x), lambda y: _grid_verdict(y["puzzle"], y["numbers"], y["matrix"])))
+
+
+def _grid_verdict(puzzle: Column, numbers: Column, m: Column) -> Column:
     n = F.size(puzzle)
     well = F.coalesce((n > 0) & F.forall(puzzle, lambda r: F.size(r) == n), F.lit(False))
-    m = integer_matrix(answer, n)
     pairs = F.arrays_zip(F.flatten(puzzle).alias("p"), F.flatten(m).alias("m"))
     fixed = F.forall(pairs, lambda x: (x["p"] == 0) | (x["p"] == x["m"]))
     filled = F.array_sort(F.transform(F.filter(pairs, lambda x: x["p"] == 0), lambda x: x["m"]))
@@ -114,8 +129,8 @@ def puzzle_rows(seeds: DataFrame) -> DataFrame:
     for band, s in BAND_SHARE.items():
         share = F.when(F.col("band") == band, s).otherwise(share)
     rows = seeds.withColumn("level", curriculum_level(share, 5))
-    puzzle, numbers, square = sum_grid(F.col("seed"))
-    ask = F.concat(F.lit("Fill the zeros of "), F.to_json(puzzle), F.lit(" with "), F.to_json(numbers), F.lit(" so that the last row and column are sums."))
-    tasks = {0: ("sum_chain", *sum_chain(F.col("seed"), F.col("level"))), 1: ("linear_equation", *linear_equation(F.col("seed"), F.col("level"))), 2: ("sum_grid", ask, F.to_json(square))}
+    grid = sum_grid(F.col("seed"))
+    ask = bound(grid, lambda g: F.concat(F.lit("Fill the zeros of "), F.to_json(g["puzzle"]), F.lit(" with "), F.to_json(g["numbers"]), F.lit(" so that the last row and column are sums.")))
+    tasks = {0: ("sum_chain", *sum_chain(F.col("seed"), F.col("level"))), 1: ("linear_equation", *linear_equation(F.col("seed"), F.col("level"))), 2: ("sum_grid", ask, F.to_json(grid["square"]))}
     pick = lambda k: F.when(F.col("seed") % 3 == 0, tasks[0][k] if k else F.lit(tasks[0][0])).when(F.col("seed") % 3 == 1, tasks[1][k] if k else F.lit(tasks[1][0])).otherwise(tasks[2][k] if k else F.lit(tasks[2][0]))
     return rows.withColumns({"task": pick(0), "question": pick(1), "answer": pick(2)})

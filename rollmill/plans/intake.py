@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.json_text import canonical_json, json_items, json_object, json_strings, whole_number
@@ -91,7 +91,7 @@ def seed_errors(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("""select event_id, '{"a":{"c":[1,2.5,1.0],"z":null},"b":"' || event_type || ' é","k":' || (props->>'k') || '}' as canonical, case when event_id % 3 = 0 then '{}' when event_id % 3 = 1 then null else '{"k":' || (props->>'k') || '}' end as object_json,
-    case when event_id % 2 = 0 then 2 else 0 end as items, case when event_id % 2 = 0 then event_type || ',' || event_id else '' end as texts, case event_id % 4 when 0 then 7 when 1 then 7 when 2 then event_id end as whole, case when event_id % 4 = 3 then 1.5 when event_id % 4 = 1 then 7.0 when event_id % 4 = 0 then 7.0 else event_id end as real from events""")
+    case when event_id % 2 = 0 then 2 else 0 end as items, case when event_id % 2 = 0 then event_type || ',' || event_id else '' end as texts, case event_id % 4 when 0 then 7 when 1 then 7 when 2 then event_id end as whole, case when event_id % 4 = 3 then 1.5 when event_id % 4 = 1 then 7.0 when event_id % 4 = 0 then 7.0 else event_id end::double as real from events""")
 def json_surface(spark: SparkSession, d: str) -> DataFrame:
     """Canonical texts, objects only, lists as items and texts, whole numbers out of texts."""
     rows = table(spark, d, "events")
@@ -138,20 +138,26 @@ def puzzle_tasks(spark: SparkSession, d: str) -> DataFrame:
     case doc_id % 8 when 2 then 'fixed_cell_mismatch' when 3 then 'number_multiset_mismatch' when 4 then 'row_sum_mismatch' when 5 then 'matrix_unavailable' when 6 then 'missing_metadata' when 7 then 'column_sum_mismatch' end as reason from documents""")
 def grid_scores(spark: SparkSession, d: str) -> DataFrame:
     """Answers to square puzzles as JSON and as lines, right ones and one wrong one for each rule."""
-    puzzle, numbers, square = puzzles.sum_grid(F.col("doc_id"))
     k = F.col("doc_id") % 8
-    cell = lambda m, i, j: m[i][j]
-    lines = F.array_join(F.transform(square, lambda r: F.concat(F.lit("| "), F.array_join(F.transform(r, lambda v: v.cast("string")), ", "), F.lit(" |"))), "\n")
-    mine = lambda b, c, t: F.to_json(F.array(F.array(cell(square, 0, 0), b, cell(square, 0, 2)), F.array(c, cell(square, 1, 1), cell(square, 1, 2)), F.array(cell(square, 2, 0), cell(square, 2, 1), t)))
-    b, c, t = cell(square, 0, 1), cell(square, 1, 0), cell(square, 2, 2)
-    off = F.to_json(F.array(F.array(cell(square, 0, 0) + 1, b, cell(square, 0, 2)), square[1], square[2]))
-    answer = F.when(k == 0, F.to_json(square)).when(k == 1, lines).when(k == 2, off).when(k == 3, mine(b, c, t + 1)).when(k == 4, mine(t, c, b)).when(k == 5, "no grid here").when(k == 6, F.to_json(square)).otherwise("[[0,0,0],[5,5,0],[0,0,9]]")
-    # for the last rule: rows that add up and columns that don't
-    puzzle = F.when(k == 7, F.from_json(F.lit("[[0,0,0],[0,0,0],[0,0,9]]"), "array<array<bigint>>")).when(k != 6, puzzle)
-    numbers = F.when(k == 7, F.from_json(F.lit("[0,0,0,0,0,0,-5,5]"), "array<bigint>")).otherwise(numbers)
-    answer = F.when(k == 7, "[[0,0,0],[5,-5,0],[0,0,9]]").otherwise(answer)
-    score = puzzles.score_grid(puzzle, numbers, answer)
-    return table(spark, d, "documents").select("doc_id", score["score"].alias("score"), score["reason"].alias("reason"))
+
+    def scored(grid: Column) -> Column:
+        square = grid["square"]
+        cell = lambda i, j: square[i][j]
+        lines = F.array_join(F.transform(square, lambda r: F.concat(F.lit("| "), F.array_join(F.transform(r, lambda v: v.cast("string")), ", "), F.lit(" |"))), "\n")
+        mine = lambda b, c, t: F.to_json(F.array(F.array(cell(0, 0), b, cell(0, 2)), F.array(c, cell(1, 1), cell(1, 2)), F.array(cell(2, 0), cell(2, 1), t)))
+        b, c, t = cell(0, 1), cell(1, 0), cell(2, 2)
+        off = F.to_json(F.array(F.array(cell(0, 0) + 1, b, cell(0, 2)), square[1], square[2]))
+        # for the last rule: rows that add up and columns that don't
+        answer = (
+            F.when(k == 1, lines).when(k == 2, off).when(k == 3, mine(b, c, t + 1)).when(k == 4, mine(t, c, b)).when(k == 5, "no grid here")
+            .when(k == 7, "[[0,0,0],[5,-5,0],[0,0,9]]").otherwise(F.to_json(square))
+        )
+        puzzle = F.when(k == 7, F.from_json(F.lit("[[0,0,0],[0,0,0],[0,0,9]]"), "array<array<bigint>>")).when(k != 6, grid["puzzle"])
+        numbers = F.when(k == 7, F.from_json(F.lit("[0,0,0,0,0,0,-5,5]"), "array<bigint>")).otherwise(grid["numbers"])
+        return puzzles.score_grid(puzzle, numbers, answer)
+
+    score = table(spark, d, "documents").select("doc_id", puzzles.bound(puzzles.sum_grid(F.col("doc_id")), scored).alias("x"))
+    return score.select("doc_id", F.col("x.score").alias("score"), F.col("x.reason").alias("reason"))
 
 
 @register("select lang, count(distinct doc_id) * 3 as expected, count(distinct doc_id) * 3 as completed, 0::bigint as missing, 0::bigint as unexpected from documents group by lang")
