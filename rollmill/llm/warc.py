@@ -25,8 +25,8 @@ from rollmill.llm.order import CELL, running_cells
 
 ROLL_BYTES = 16 << 20
 SMALL_SHARD, LARGE_SHARD, SHARDS = 1 << 20, 64 << 20, 256
-#: Tasks that read archives; beyond as many files a task reads several, one after another.
-MOST_READERS = 1 << 15
+#: Compressed bytes of archives that a task reads, about; a task reads its files one after another.
+READ_BYTES = 4 << 20
 LEAST_REVISIT = 100
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 5
@@ -209,8 +209,9 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = False) -> D
     ship(spark)
     manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     schema = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string" + ", payload binary" * payloads
-    # the manifest's rows are tiny: a number of partitions of its own keeps them from being put together in a few tasks
-    tasks = min(max(1, manifest.count()), MOST_READERS)
+    # the manifest's rows are tiny: a number of partitions that is set keeps them from being put together in a few tasks
+    size = manifest.agg(F.sum("bytes")).first()[0] or 0
+    tasks = size // READ_BYTES + 1
     return manifest.select("file", "sha256").repartition(tasks, "file").mapInArrow(run, schema)
 
 
