@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import shared_dir, table
-from rollmill.llm import decontam, fingerprints, licenses, lm, neardup, packing, quality, tokens, toxicity, warc
+from rollmill.llm import centroids, decontam, fingerprints, licenses, lm, manifest, neardup, packing, quality, rules, sql, tokens, toxicity, warc
 
 
 def fold(of: int) -> Column:
@@ -73,8 +73,22 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), 10)
 
 
+def op11_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return rules.judged(docs, rules.ngram_weights(docs, table(spark, d, "labels").where("quality > 0")))
+
+
+def op12_centroids(spark: SparkSession, d: str) -> DataFrame:
+    found = centroids.cluster(table(spark, d, "embeddings"), F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")).cast("binary"), 256))
+    return centroids.with_inertia(found).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return manifest.manifest(table(spark, d, "documents"), F.coalesce(fold(3) == 0, F.lit(False)), manifest.lower_ascii(F.col("text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scores, op2_token_counts, op3_near_duplicates, op4_packing, op5_quality, op6_toxicity, op7_fingerprints, op8_licenses, op9_warc, op10_decontamination)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_token_counts, op3_near_duplicates, op4_packing, op5_quality, op6_toxicity, op7_fingerprints, op8_licenses, op9_warc, op10_decontamination, op11_quality_rules, op12_centroids, op13_manifest)}
 
 
 #: SQL for those operators of which it can express the result and DuckDB can run it on whole tables.
@@ -90,4 +104,7 @@ ORACLE_SQL = {
             case when first_id < page_id then first_id end as refers_to
         from f
     """,
+    "op11_quality_rules": sql.rules(rules.BUCKETS, rules.PRIOR, rules.LEAST_RATIO, rules.UNIT, rules.PAIR, rules.LEAST_WORDS, rules.MOST_REPEATED),
+    "op12_centroids": sql.k_means(8, 10, 64),
+    "op13_manifest": sql.merkle(manifest.FAN, 7, 3),
 }
