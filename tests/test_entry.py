@@ -31,9 +31,10 @@ def test_queries_against_sql(spark):
     assert entry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("foreign", [False, True])
 @pytest.mark.parametrize("gone", [["rollmill/llm", "tests/llm"], ["rollmill/llm", "tests/llm", "corpus_pipeline.py"], ["corpus_pipeline.py"]])
-def test_without_the_training_data_part(tmp_path, gone):
-    """The registry in a copy of the repository that lacks these folders."""
+def test_without_the_training_data_part(tmp_path, gone, foreign):
+    """The registry in a copy of the repository that lacks these folders, with and without a whole copy on the import path."""
     root = Path(__file__).resolve().parents[1]
     copy = tmp_path / "repo"
     shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "*.json"))
@@ -45,7 +46,8 @@ def test_without_the_training_data_part(tmp_path, gone):
         elif path.exists():
             path.unlink()
     code = "import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); assert set(o) <= set(q); print(len(q), 'pipeline' in q, any(k.startswith('op1_') for k in q), callable(e.entry))"
-    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | ({"PYTHONPATH": str(root)} if foreign else {})
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
     n, pipeline, op1, entry = done.stdout.split()
     assert int(n) >= 40 and pipeline == "False" and entry == "True"
