@@ -8,18 +8,19 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollmill.functions.algebra import item_keys
 from rollmill.functions.ids import answer_text, strip
 from rollmill.functions.json_text import json_strings
 
-# Answer types, the words of a boolean, and the form of a bare number with currency, exponent, percent and unit.
+# Answer types, the mark of an arbitrary constant, the words of a boolean, and the form of a bare number with currency, exponent, percent and unit.
 EXACT_TYPES = ["boolean", "choice"]
 MATH_TYPES = ["number", "expression", "equation", "set", "interval"]
 SCALAR_TYPES = ["number", "expression", "equation", "boolean", "choice"]
+FAMILY = "C_"
 BOOLEAN_WORDS = ["true", "false", "yes", "no"]
 BARE_NUMBER = r"^[$€£]?\s*[+-]?(?:\d{1,3}(?:,\d{3})+|\d+|\d*\.\d+)(?:[eE][+-]?\d+)?%?\s*(?:[A-Za-z°]+)?$"
 
-#: Numerals compared exactly: beyond these digits a comparison is left to the judge.
-NUMERAL = r"^[+-]?(\d{1,9}(\.\d{1,8})?|\d{1,9}/\d{1,9})%?$"
+#: Items of more characters are left to the judge.
 LONGEST_ITEM = 512
 
 
@@ -85,32 +86,23 @@ def answer_items(answer_type: Column, value: Column, values: Column) -> Column:
     return F.when(F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0, listed).when(F.coalesce(answer_type == "set", F.lit(False)), F.pandas_udf(_set_members, "array<string>")(F.when(answer_type == "set", value))).otherwise(single)
 
 
-def exact_value(item: Column) -> Column:
-    """An integer (with thousands commas), decimal, fraction or percentage as decimal(33, 24), null for anything else.
-
-    Numerals within NUMERAL's digits that differ, differ by over 1e-22, so equal keys are equal numbers.
-    """
-    x = F.regexp_replace(F.regexp_replace(item, r"[\s$]|\\[,!; ]", ""), r"^([+-]?)\\[dt]?frac\{([0-9]+)\}\{([0-9]+)\}$", "$1$2/$3")
-    x = F.when(x.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d+)?%?$"), F.replace(x, F.lit(","))).otherwise(F.replace(x, F.lit("\\%"), F.lit("%")))
-    bare = F.replace(x, F.lit("%"))
-    over = F.when(F.contains(bare, F.lit("/")), F.substring_index(bare, "/", -1)).otherwise("1").try_cast("decimal(10,0)")
-    under = over * F.when(F.endswith(x, F.lit("%")), 100).otherwise(1).cast("decimal(3,0)")
-    value = F.substring_index(bare, "/", 1).try_cast("decimal(20,11)") / F.when(under != 0, under).cast("decimal(12,0)")
-    return F.when(x.rlike(NUMERAL), value)
-
-
 def typed_score(gold: Column, answer: Column) -> Column:
-    """1 or 0 where the two answers can be compared exactly, null where a judge has to.
+    """1 or 0 where the two answers can be compared, null where a judge has to.
 
-    Both are struct<answer_type, value, values array<string>, unit>.
+    Both are struct<answer_type, value, values array<string>, unit>. The items of both sides are matched one to one by the keys of their values,
+    however they are written: numbers of any length, expressions, roots, intervals, tuples, sets. An item that can't be read, one whose key
+    tells only equal writings apart, or a family of solutions with constants (C_) that doesn't match, is left to the judge.
     """
     gold_type, type_ = gold["answer_type"], answer["answer_type"]
     a, b = (answer_items(x["answer_type"], x["value"], x["values"]) for x in (gold, answer))
     want, have = (answer_text(F.coalesce(x["unit"], F.lit(""))) for x in (gold, answer))
     both = F.concat(a, b)
     opaque = F.exists(both, lambda v: F.contains(v, F.lit("=")) | v.rlike(r"\\(sum|int|prod)") | (F.length(v) > LONGEST_ITEM))
-    keys = [F.sort_array(F.transform(side, exact_value)) for side in (a, b)]
-    unread = F.exists(F.concat(*keys), lambda v: v.isNull())
+    by_value = F.coalesce(gold_type.isin(MATH_TYPES) & type_.isin(MATH_TYPES) & (F.size(a) == F.size(b)) & ~opaque, F.lit(False))
+    read = [item_keys(F.when(by_value, side)) for side in (a, b)]
+    keys = [F.sort_array(F.transform(side, lambda v: v["key"])) for side in read]
+    unread = F.exists(F.concat(*read), lambda v: v.isNull())
+    unsure = F.exists(F.concat(*read), lambda v: ~v["sure"]) | F.exists(both, lambda v: F.contains(v, F.lit(FAMILY)))
     plain = [answer_text(F.coalesce(x["value"], F.lit(""))) for x in (gold, answer)]
     return (
         F.when(gold_type.isin(EXACT_TYPES) & type_.isin(EXACT_TYPES), (plain[0] == plain[1]).cast("double"))
@@ -121,7 +113,9 @@ def typed_score(gold: Column, answer: Column) -> Column:
         .when((F.size(a) == 0) | (F.size(b) == 0) | opaque, None)
         .when(F.size(a) != F.size(b), 0.0)
         .when(unread, None)
-        .otherwise((keys[0] == keys[1]).cast("double"))
+        .when(keys[0] == keys[1], 1.0)
+        .when(unsure, None)
+        .otherwise(0.0)
     )
 
 

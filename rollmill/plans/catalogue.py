@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import answer_text, collapse, phase_seed, prompt_key, rank_key, stable_id
@@ -363,8 +363,8 @@ def atomic_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_register("""select doc_id, case doc_id % 8 when 0 then case when doc_id % 5 = 0 then 0.0 else 1.0 end when 1 then 1.0
-    when 2 then case when n_chars % 7 = 0 then null when n_chars % 7 = 1 then 0.0 when n_chars % 5 < 3 then 1.0 when n_chars % 5 = 3 then 0.0 end
-    when 5 then case n_chars % 3 when 0 then 1.0 else 0.0 end when 6 then case when n_chars % 2 = 0 then 1.0 else 0.0 end when 7 then case n_chars % 4 when 0 then 1.0 when 1 then 1.0 when 2 then null else 0.0 end end::double as score from documents""")
+    when 2 then case when n_chars % 7 = 0 then null when n_chars % 7 = 1 then 0.0 when n_chars % 5 < 3 then 1.0 else 0.0 end
+    when 5 then case n_chars % 3 when 0 then 1.0 else 0.0 end when 6 then case when n_chars % 2 = 0 then 1.0 else 0.0 end when 7 then case n_chars % 4 when 3 then 0.0 else 1.0 end end::double as score from documents""")
 def typed_answers(spark: SparkSession, d: str) -> DataFrame:
     """Booleans, choices, numbers with units, texts, equations, sets with and without brackets or with members in brackets, lists of values, fractions and thousands."""
     sides = {
@@ -452,3 +452,33 @@ def curation_join(spark: SparkSession, d: str) -> DataFrame:
     picks = table(spark, d, "labels").select(F.col("doc_id").alias("id"))
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.col("source").alias("quote"))
     return review.curated(picks, rows).withColumnRenamed("id", "doc_id")
+
+
+#: Pairs of types, values (N is a document's number of characters) and what they score; null is left to the judge.
+_EQUIVALENT = [
+    ("expression", "x+N", "expression", "N+x", 1.0), ("expression", r"\sqrt{8}", "number", r"2\sqrt{2}", 1.0), ("interval", "(1,N)", "interval", "(1, N)", 1.0), ("number", "1e3", "number", "1000", 1.0),
+    ("number", "12345678901N", "number", "12345678901N", 1.0), ("number", "12345678901N", "number", "12345678902N", 0.0), ("expression", "(x+N)^2", "expression", "x^2+2*N*x+N^2", 1.0),
+    ("expression", "(x+N)^2", "expression", "x^2+N^2", 0.0), ("number", r"\frac{N}{4}", "number", "0.25*N", 1.0), ("number", r"\dfrac{1}{\sqrt{N}}", "number", r"\frac{\sqrt{N}}{N}", 1.0),
+    ("interval", r"[N,\infty)", "interval", r"\left[N, \infty\right)", 1.0), ("interval", "[0,N]", "interval", "[0,N)", 0.0), ("set", r"\{1, N.5, x\}", "set", "{x, 1, N+1/2}", 1.0), ("set", "{1, N.5}", "set", "{1}", 0.0),
+    ("number", "50%", "number", "1/2", 1.0), ("number", r"\text{about } N", "number", "N", None), ("expression", r"\sin(2x)", "expression", r"2\sin x\cos x", None), ("expression", r"\sin x", "expression", r"\sin(x)", 1.0),
+    ("expression", "C_1+x", "expression", "C_2+x", None), ("equation", "y=N", "equation", "y=N", None), ("expression", "x^{-1}", "expression", r"\frac1x", 1.0), ("expression", r"\frac{x^2-N^2}{x-N}", "expression", "x+N", 1.0),
+    ("number", r"\sqrt[3]{16}", "number", r"2\sqrt[3]{2}", 1.0), ("number", "-N", "number", "N", 0.0), ("interval", r"(-\infty,1]\cup[2,N.5)", "interval", r"[2,N.5) \cup (-\infty, 1]", 1.0), ("number", "N apples", "number", "N", None),
+]
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+@_register("select doc_id, score::double as score from documents join (values " + ", ".join(f"({k}, {'null' if row[4] is None else row[4]})" for k, row in enumerate(_EQUIVALENT)) + f") as t(k, score) on doc_id % {len(_EQUIVALENT)} = k")
+def typed_equivalence(spark: SparkSession, d: str) -> DataFrame:
+    """Expressions, roots, intervals, tuples, sets and long numbers with a document's number in them, against other writings and other values."""
+    k = (F.col("doc_id") % len(_EQUIVALENT)).cast("int")
+
+    def pick(place: int, numbered: bool) -> Column:
+        x = F.get(F.array(*[F.lit(row[place]) for row in _EQUIVALENT]), k)
+        return F.replace(x, F.lit("N"), (F.col("n_chars") + 3).cast("string")) if numbered else x
+
+    nothing = [F.lit(None).cast("array<string>").alias("values"), F.lit(None).cast("string").alias("unit")]
+    gold, answer = (F.struct(pick(n, False).alias("answer_type"), pick(n + 1, True).alias("value"), *nothing) for n in (0, 2))
+    return table(spark, d, "documents").select("doc_id", answers.typed_score(gold, answer).alias("score"))

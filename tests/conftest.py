@@ -15,5 +15,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from rollmill.functions.session import ship
+
+    ship(session)
     yield session
     session.stop()
