@@ -109,11 +109,6 @@ def sampling_columns(rows: DataFrame, phase: str, temperature: float, max_tokens
     return rows.withColumns({"phase": F.lit(phase), "seed": phase_seed(F.col("candidate_id"), F.lit(phase)), "temperature": F.lit(0.0 if structured else temperature), "max_tokens": F.lit(max_tokens)})
 
 
-#: The order of the phases over generated candidates, and those that ask a provider.
-ORDER = ["parse", "extract", "verify", "critique", "hygiene", "arbitrate", "retry_1", "retry_2", "finalize"]
-ASKING = ["extract", "critique", "hygiene", "arbitrate", "retry_1", "retry_2"]
-
-
 def occurrences(text: Column, part: Column) -> Column:
     return F.when(part != "", ((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("bigint")).otherwise(0)
 

@@ -15,15 +15,17 @@ from rollmill.sources.adapters import PoolAdapter
 _RAW = """case conv_id % 8 when 0 then concat('<reasoning>', a, '</reasoning><response>', b, '</response>') when 1 then concat('<reasoning ', a, '</reasoning><response>', b, '</response>')
     when 2 then concat('<reasoning>', a, '</think><response>', b) when 3 then concat('<reasoning>', a, '</reasoning>') when 4 then concat('<think>', a)
     when 5 then concat('<think>', a, '</think>', b) when 6 then concat(a, '</think>', b) else b end"""
+#: A judge's output that can be read, by k.
+JUDGED_WELL = """concat('Scores: {"correctness":{"verdict":"', case k % 4 when 2 then 'incorrect' when 3 then 'indeterminate' else 'correct' end,
+        '","confidence":"', case (k div 4) % 2 when 0 then 'high' else 'low' end, '","feedback":"ok"},"reasoning":{"score":', 2 + k % 4, ',"issues":', case when k % 4 = 3 then '[]' when k % 2 = 0 then '["meandering","meandering"]' else '["meta_commentary"]' end,
+        ',"feedback":"f"},"response":{"score":"', case when k % 4 < 2 then 3 + k % 3 else 1 + k % 3 end, '","issues":', case when k % 4 < 2 and k % 3 = 2 then '[]' else '["unclear"]' end,
+        ',"feedback":"f"},"hygiene_confirmations":[{"category":"repetition","verdict":"confirmed_defect","feedback":"x"}]}')"""
 _FIELDS = {
     "finish_reason": "case conv_id % 3 when 0 then 'length' when 1 then 'stop' end",
     "verification_json": """case when k % 7 <> 0 then concat('{"entry":{"answer":', n, '},"type":"reference_answer"}') end""",
     "answer_json": """case k % 5 when 0 then '{"status":"no_answer","answer_type":"other"}' when 1 then '{"status":"ambiguous","answer_type":"number"}' else concat('{"status":"extracted","answer_type":"number","value":"', n + k % 2, '","values":[]}') end""",
     "reference_answer_json": """case when k % 11 <> 0 then concat('{"status":"extracted","answer_type":"number","value":"', n, '.0"}') end""",
-    "judge_raw_output": """case k % 6 when 5 then null when 4 then 'no scores' else concat('Scores: {"correctness":{"verdict":"', case k % 4 when 2 then 'incorrect' when 3 then 'indeterminate' else 'correct' end,
-        '","confidence":"', case (k div 4) % 2 when 0 then 'high' else 'low' end, '","feedback":"ok"},"reasoning":{"score":', 2 + k % 4, ',"issues":', case when k % 4 = 3 then '[]' when k % 2 = 0 then '["meandering","meandering"]' else '["meta_commentary"]' end,
-        ',"feedback":"f"},"response":{"score":"', case when k % 4 < 2 then 3 + k % 3 else 1 + k % 3 end, '","issues":', case when k % 4 < 2 and k % 3 = 2 then '[]' else '["unclear"]' end,
-        ',"feedback":"f"},"hygiene_confirmations":[{"category":"repetition","verdict":"confirmed_defect","feedback":"x"}]}') end""",
+    "judge_raw_output": f"case k % 6 when 5 then null when 4 then 'no scores' else {JUDGED_WELL} end",
     "hygiene_findings_json": """case when k % 10 <> 3 then concat('[{"category":"repetition","method":"model","verdict":"', case when k % 9 = 0 then 'defect' else 'clear' end,
         '"},{"category":"circular_rechecking","method":"model","verdict":"clear"},{"category":"no_new_progress","method":"model","verdict":"clear"},{"category":"unresolved_branch","method":"model","verdict":"clear"}]') end""",
 }
