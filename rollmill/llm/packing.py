@@ -21,6 +21,8 @@ from rollmill.llm.text import U64, mix, pieces
 CAPACITY = 4096
 PER_SOURCE = 4
 SHARD_PIECES = 4096
+#: Equal rows that are numbered in one list.
+COPIES = 1 << 16
 
 
 def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int, per_source: int) -> list[int]:
@@ -54,33 +56,45 @@ def best_fit(lengths: list[int], sources: list, clusters: list, capacity: int, p
     return out
 
 
-def _measured(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, source, n, cluster) of each row: its words, and the hash of their sequence in lower case, which marks copies."""
+def _measured(docs: DataFrame, size: str | None, cluster: str | None) -> DataFrame:
+    """(doc_id, source, n, cluster) of each row: its words, and the hash of their sequence in lower case, which marks copies; or the columns given for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, clusters = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for piece in pieces(batch.column(2)):
+            for piece in pieces(batch.column(4)):
                 words, count = piece.hashes(), piece.count
                 place = np.arange(len(words)) - np.repeat(piece.first[:-1], count)
                 whole = np.zeros(len(words) + 1, U64)
                 np.cumsum(mix(words ^ mix(place.astype(U64))), out=whole[1:])
                 sizes.append(count)
                 clusters.append(mix(whole[piece.first[1:]] - whole[piece.first[:-1]] + count.astype(U64)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(clusters))], ["doc_id", "source", "n", "cluster"])
+            n = batch.column(2) if size else pa.array(np.concatenate(sizes))
+            c = batch.column(3) if cluster else pa.array(np.concatenate(clusters))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n, c], ["doc_id", "source", "n", "cluster"])
 
-    own = docs.select(*(F.col(c).cast(t).alias(c) for c, t in (("doc_id", "bigint"), ("source", "string"), ("text", "string"))))
-    return checkpointed(own.mapInArrow(run, "doc_id bigint, source string, n bigint, cluster bigint").withColumn("row", F.monotonically_increasing_id()))
+    given = [F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(0)), F.lit(0)) if size else F.lit(0).cast("bigint"), F.col(cluster).cast("bigint") if cluster else F.lit(None).cast("bigint")]
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), given[0].alias("n"), given[1].alias("cluster"), *([] if size and cluster else [F.col("text").cast("string").alias("text")]))
+    return own if size and cluster else own.mapInArrow(run, "doc_id bigint, source string, n bigint, cluster bigint")
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows with ``copy``, from 0, among rows that are equal in all columns: counted and dealt out again, as equal rows can't be told apart."""
+    counted = checkpointed(rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")))
+    last = F.col("copies") - 1
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / COPIES))))
+    return blocks.withColumn("copy", F.explode(F.sequence(F.col("block") * COPIES, F.least(last, F.col("block") * COPIES + (COPIES - 1))))).drop("copies", "block")
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_pieces: int = SHARD_PIECES, size: str | None = None, cluster: str | None = None) -> DataFrame:
     """(doc_id, piece, first_token, n_tokens, source, bin_id, bin_tokens): every token of docs (doc_id, text, source) in one bin.
 
-    Tokens are words between ASCII white space; texts are read once. A longer document than ``capacity`` is cut into full pieces, each a bin
-    of its own that is named after the row, and a rest. Documents whose words are equal but for case (A-Z) are a duplicate cluster. A null
+    Tokens are words between ASCII white space, or as many as the column ``size`` says (a null or negative one is 0); texts are read once. A longer
+    document than ``capacity`` is cut into full pieces, each a bin of its own that is named after the row, and a rest. Documents whose words are
+    equal but for case (A-Z), or those of one value in the column ``cluster`` (null: none), are a duplicate cluster. A null
     source is a source of its own; a null doc_id is a row like others. A null, empty or blank text has one row with 0 tokens and no bin.
     Repeated rows, and rows of one id with other texts, are placed each for itself; ties by doc_id, piece, cluster, source; an empty
-    table gives no rows; other columns aren't read.
+    table gives no rows; other columns aren't read. Shards and names come from the rows alone: bins don't depend on partitions.
     """
 
     def run(keys: tuple, blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,16 +109,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
         yield from named.append_column("bin_tokens", pa.array([filled[b] for b in bins], pa.int64())).to_batches()
 
     ship(docs.sparkSession)
-    own = _measured(docs)
+    own = _numbered(_measured(docs, size, cluster))
     last = F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0))
     cut = own.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     first = F.col("piece") * F.lit(capacity).cast("bigint")
-    cut = cut.select("row", "doc_id", "piece", first.alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("n") - first).alias("n_tokens"), "source", "cluster")
+    same = F.xxhash64("n", F.coalesce("source", F.lit("")), F.col("source").isNull(), F.coalesce("cluster", F.lit(0)), F.col("cluster").isNull())
+    cut = cut.select(same.alias("same"), "copy", "doc_id", "piece", first.alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("n") - first).alias("n_tokens"), "source", "cluster")
     shards = max(1, -(-own.count() // shard_pieces))
-    # one shard for about shard_pieces rows, whatever their ids: row numbers are distinct
-    dealt = cut.where(F.col("n_tokens").between(1, capacity - 1)).withColumn("shard", F.pmod(F.xxhash64("row", F.lit(7)), F.lit(shards))).drop("row")
+    # one shard for about shard_pieces rows, whatever their ids: copies of a row have other numbers
+    row = [F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("same"), F.col("copy")]
+    dealt = cut.where(F.col("n_tokens").between(1, capacity - 1)).withColumn("shard", F.pmod(F.xxhash64(*row, F.lit(7)), F.lit(shards))).drop("same", "copy")
     schema = "doc_id bigint, piece bigint, first_token bigint, n_tokens bigint, source string, bin_id string, bin_tokens bigint"
     packed = dealt.groupBy("shard").applyInArrow(run, schema)
     alone = cut.where(~F.col("n_tokens").between(1, capacity - 1))
-    name = F.when(F.col("n_tokens") > 0, F.concat_ws("-", F.lit("full"), "row", "piece"))
+    name = F.when(F.col("n_tokens") > 0, F.concat_ws("-", F.lit("full"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lower(F.hex("same")), "copy", "piece"))
     return packed.unionAll(alone.select("doc_id", "piece", "first_token", "n_tokens", "source", name.alias("bin_id"), F.col("n_tokens").alias("bin_tokens")))
