@@ -106,19 +106,17 @@ def with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     ship(docs.sparkSession)
-    low = -(1 << 63)
-    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(low))
-    own = docs.select(id_.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("cell", F.floor(F.col("doc_id") / CELL))
-    heads = own.groupBy("cell").agg(F.max("doc_id").alias("doc_id"))
+    id_ = F.col("doc_id").cast("bigint")
+    own = docs.select(F.coalesce(id_, F.lit(-(1 << 63))).alias("at"), id_.isNotNull().alias("named"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("cell", F.floor(F.col("at") / CELL))
+    heads = own.groupBy("cell").agg(F.max(F.struct("at", "named")).alias("head")).select("cell", "head.*")
     heads = checkpointed(next_cells(heads.select("cell")).join(heads, "cell"))
     # the first row of each cell, again, behind the last of the cell above
-    again = own.drop("cell").join(small_side(heads, heads.count(), 48), "doc_id").groupBy("doc_id", "above").agg(F.max("text").alias("text"))
-    again = again.select("doc_id", "text", F.col("above").alias("cell"), F.lit(True).alias("again"))
+    again = own.drop("cell").join(small_side(heads, heads.count(), 48), ["at", "named"]).groupBy("at", "named", "above").agg(F.max("text").alias("text"))
+    again = again.select("at", "named", "text", F.col("above").alias("cell"), F.lit(True).alias("again"))
     rows = own.withColumn("again", F.lit(False)).unionByName(again).repartition("cell")
-    rows = rows.sortWithinPartitions(F.col("cell"), F.col("again"), F.col("doc_id").desc(), F.col("text").desc())
+    rows = rows.sortWithinPartitions(F.col("cell"), F.col("again"), F.col("at").desc(), F.col("named").desc(), F.col("text").desc())
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    done = rows.select("doc_id", "text", "again").mapInArrow(run, schema)
-    return done.withColumn("doc_id", F.when(F.col("doc_id") != low, F.col("doc_id")))
+    return rows.select(F.when(F.col("named"), F.col("at")).alias("doc_id"), "text", "again").mapInArrow(run, schema)
 
 
 #: Rows whose texts a task holds at once in with_edits.

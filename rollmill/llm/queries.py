@@ -39,14 +39,14 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
-    docs, held = table(spark, d, "documents").select("doc_id", "text"), fold(4) == 2
+    docs, held = table(spark, d, "documents").select("doc_id", "text"), F.coalesce(fold(4) == 2, F.lit(False))
     model = quality.train(docs, table(spark, d, "labels").where(~held))
     out = quality.score_quality(docs, model)
     return out.select("doc_id", held.alias("held_out"), "expected_grade", "tail_probability", (F.col("tail_probability") >= quality.SELECT_AT).alias("selected"))
 
 
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
-    docs, held = table(spark, d, "documents").select("doc_id", "text"), fold(4) == 2
+    docs, held = table(spark, d, "documents").select("doc_id", "text"), F.coalesce(fold(4) == 2, F.lit(False))
     field = toxicity.train(docs, table(spark, d, "labels").where(~held))
     out = toxicity.score_toxicity(docs, field, spans=True)
     return out.select("doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= toxicity.PREDICT_AT).cast("int").alias("predicted"), F.size("toxic_spans").alias("n_spans"), F.col("toxic_spans").alias("spans"))
@@ -56,6 +56,10 @@ def op7_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.with_edits(table(spark, d, "documents"))
 
 
+def near_groups_by_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.near_groups(table(spark, d, "documents"))
+
+
 def op8_licenses(spark: SparkSession, d: str) -> DataFrame:
     """The table has no paths: source, then a thousand ids to a folder, stand for them."""
     docs = table(spark, d, "documents")
@@ -88,7 +92,7 @@ def op13_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scores, op2_token_counts, op3_near_duplicates, op4_packing, op5_quality, op6_toxicity, op7_fingerprints, op8_licenses, op9_warc, op10_decontamination, op11_quality_rules, op12_centroids, op13_manifest)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_token_counts, op3_near_duplicates, op4_packing, op5_quality, op6_toxicity, op7_fingerprints, op8_licenses, op9_warc, op10_decontamination, op11_quality_rules, op12_centroids, op13_manifest, near_groups_by_fingerprints)}
 
 
 #: SQL for those operators of which it can express the result and DuckDB can run it on whole tables.
