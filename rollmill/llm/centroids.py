@@ -185,7 +185,7 @@ def cluster(vectors: DataFrame, seed: Column, k: int = 8, rounds: int = 10, dims
             fits = [int(d) if d < 1 << 63 else None for d in far] if far.dtype == object else far
             yield pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], pa.array(best, pa.int32()), pa.array(fits, pa.int64())], names_out)
 
-    schema = rows.select(*names, F.lit(0).cast("int").alias("cluster"), F.lit(0).cast("bigint").alias("distance")).schema
+    schema = rows.select(*names, F.lit(0).cast("int").alias("cluster"), F.lit(None).cast("bigint").alias("distance")).schema
     out = checkpointed(rows.mapInArrow(run, schema))
     return Clusters([[int(v) for v in c] for c in centres], out.select(*[F.col(y).alias(x) for x, y in zip(keys, names, strict=True)], "cluster", "distance"))
 
