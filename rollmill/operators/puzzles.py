@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from rollmill.operators.sampling import allocate
 
 # Steps of seeds between tasks, bands and chunks, and how far into a curriculum a band goes.
-TASK_STEP, BAND_STEP, CHUNK_STEP, ADAPTER_STEP = 1_000_003, 100_003, 10_007, 1_000_003
+TASK_STEP, BAND_STEP, CHUNK_STEP = 1_000_003, 100_003, 10_007
+#: Tasks, in the order of their numbers.
+TASKS = ["sum_chain", "linear_equation", "sum_grid"]
+#: Seeds of a chunk's rows: chunks of fewer rows have none in common.
+PLACE_STEP = 1 << 20
 BAND_SHARE = {"easy": 0.2, "medium": 0.6, "hard": 1.0}
 
 
@@ -123,14 +127,33 @@ def _grid_verdict(puzzle: Column, numbers: Column, m: Column) -> Column:
     )
 
 
-def puzzle_rows(seeds: DataFrame) -> DataFrame:
-    """seeds (seed, band) as puzzles: task, question, answer. The task is the seed's remainder, the level the band's."""
+def task_rows(rows: DataFrame) -> DataFrame:
+    """rows (task, seed, band) with level, question, answer and, for squares, metadata (JSON: the puzzle and its numbers); an unknown task has nulls."""
     share = F.lit(1.0)
     for band, s in BAND_SHARE.items():
         share = F.when(F.col("band") == band, s).otherwise(share)
-    rows = seeds.withColumn("level", curriculum_level(share, 5))
+    rows = rows.withColumn("level", curriculum_level(share, 5))
     grid = sum_grid(F.col("seed"))
     ask = bound(grid, lambda g: F.concat(F.lit("Fill the zeros of "), F.to_json(g["puzzle"]), F.lit(" with "), F.to_json(g["numbers"]), F.lit(" so that the last row and column are sums.")))
-    tasks = {0: ("sum_chain", *sum_chain(F.col("seed"), F.col("level"))), 1: ("linear_equation", *linear_equation(F.col("seed"), F.col("level"))), 2: ("sum_grid", ask, F.to_json(grid["square"]))}
-    pick = lambda k: F.when(F.col("seed") % 3 == 0, tasks[0][k] if k else F.lit(tasks[0][0])).when(F.col("seed") % 3 == 1, tasks[1][k] if k else F.lit(tasks[1][0])).otherwise(tasks[2][k] if k else F.lit(tasks[2][0]))
-    return rows.withColumns({"task": pick(0), "question": pick(1), "answer": pick(2)})
+    made = {"sum_chain": sum_chain(F.col("seed"), F.col("level")), "linear_equation": linear_equation(F.col("seed"), F.col("level")), "sum_grid": (ask, F.to_json(grid["square"]))}
+
+    def pick(k: int) -> Column:
+        out = F.lit(None).cast("string")
+        for task in TASKS:
+            out = F.when(F.col("task") == task, made[task][k]).otherwise(out)
+        return out
+
+    metadata = F.when(F.col("task") == "sum_grid", bound(grid, lambda g: F.to_json(F.struct(g["puzzle"].alias("puzzle"), g["numbers"].alias("numbers")))))
+    return rows.withColumns({"question": pick(0), "answer": pick(1), "metadata": metadata})
+
+
+def puzzle_rows(seeds: DataFrame) -> DataFrame:
+    """seeds (seed, band) as puzzles: task, level, question, answer. The task is the seed's remainder."""
+    return task_rows(seeds.withColumn("task", F.get(F.array(*map(F.lit, TASKS)), F.pmod("seed", F.lit(len(TASKS))).cast("int")))).drop("metadata")
+
+
+def native_score(task: Column, answer: Column, metadata: Column, said: Column) -> Column:
+    """A task's own score of a text: squares by their rules, numbers by their value; null for an unknown task."""
+    number = lambda x: F.regexp_replace(x, r"^\s*(?:x\s*=\s*)?|\s+$", "").try_cast("decimal(38,9)")
+    same = F.coalesce(number(said) == number(answer), F.lit(False)).cast("double")
+    return F.when(task == "sum_grid", F.coalesce(score_grid(metadata["puzzle"], metadata["numbers"], said)["score"], F.lit(0.0))).when(task.isin(TASKS), same)

@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.functions.session import shared_dir
+from rollmill.functions.session import shared_dir, table
 from rollmill.operators import graph, schemas
 from rollmill.operators.judge import SEMANTIC
 from rollmill.plans import decisions
 from rollmill.plans.registry import register
-from rollmill.sources.adapters import PoolAdapter
+from rollmill.sources import builds
+from rollmill.sources.adapters import PoolAdapter, create_adapter
+from rollmill.sources.config import RunConfig
 
 
 def _saved_answers(spark: SparkSession, d: str) -> DataFrame:
@@ -79,3 +81,62 @@ STAGED = [
     "sample_id", "candidate_id", "candidate_index", "reasoning_num_tokens", "response_num_tokens", "verification_status", "correctness_verdict", "hygiene_status", "quality_score", "productivity_filtered_eligible",
     "exclusion_reasons_json", "judge_retry_count", "candidate_answer_method", "has_outputs",
 ]
+
+
+def _pools(spark: SparkSession, d: str) -> dict:
+    """A pool configuration over raw files that are made from documents: graded problems, conversations, and a source that nobody asks for."""
+    folder = f"{shared_dir(spark)}/pools-{uuid.uuid4().hex}"
+    docs = table(spark, d, "documents")
+    solution = F.concat(F.lit("<think>"), "source", F.lit("</think>"), "lang")
+    docs.select(
+        F.col("text").alias("question"), F.col("lang").alias("final_answer"), (F.col("n_chars") % 10).cast("double").alias("difficulty"), F.col("source").alias("topic"), solution.alias("r1_solution_1"),
+        F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("r1_solution_2"), F.lit(" ").alias("r1_solution_3"),
+    ).write.parquet(f"{folder}/raw/graded")
+    said = lambda who, x: F.struct(F.lit(who).alias("from"), x.alias("value"))
+    docs.select(
+        F.array(said("human", F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.col("text"))), said("gpt", F.col("source")), said("gpt", F.lit("more"))).alias("conversations"), "source", F.col("lang").alias("domain"), (F.col("n_chars") % 10).alias("difficulty"),
+    ).write.parquet(f"{folder}/raw/talks")
+    source = lambda name, kind, **more: {"name": name, "kind": kind, "repo": f"some/{name}", "revision": "1", **more}
+    return {"output": folder, "sources": [source("graded", "graded", options={"model": "m"}), source("talk", "conversations", raw="talks", options={"model": "m"}), source("absent", "graded", options={"model": "m"})]}
+
+
+@register("""select 'graded' as name, count(distinct text) as prompts, (sum(2 - doc_id % 2))::bigint as "references", 1 as builds from documents
+    union all select 'talk', count(distinct text) filter (where doc_id % 5 <> 0), count(*) filter (where doc_id % 5 <> 0), 1 from documents""")
+def pool_builds(spark: SparkSession, d: str) -> DataFrame:
+    """Two sources of a configuration built from raw files; a second build finds them there. The counts are those of the passes that wrote the tables."""
+    config = _pools(spark, d)
+    first = builds.build_pools(spark, config, ["graded", "talk"])
+    again = builds.build_pools(spark, config, ["talk", "graded"])
+    rows = [(name, mark["prompts"], mark["references"], 1 if mark == again[name] else 2) for name, mark in first.items()]
+    return spark.createDataFrame(rows, "name string, prompts bigint, references bigint, builds int")
+
+
+@register(f"""with p as (select distinct text, n_chars % 10 as x, case when n_chars % 10 <= 4 then 'easy' when n_chars % 10 <= 6.5 then 'medium' else 'hard' end as band, sha256('source_pool' || chr(31) || 'some/graded' || chr(31) || text) as sample_id from documents),
+    r as (select *, substr(sha256('17' || chr(31) || sample_id), 1, 16) as k, row_number() over (partition by band order by k, sample_id) as n from p)
+    select sample_id, band, 'some/graded:train' as source from r where n <= case band when 'hard' then 20 when 'medium' then 14 else 6 end""")
+def prepared_seeds(spark: SparkSession, d: str) -> DataFrame:
+    """Seeds of a run, published from a built pool: exactly as many as the configuration says, band by band; a second run finds them."""
+    config = _pools(spark, d)
+    builds.build_pools(spark, config, ["graded"])
+    run = RunConfig("first", f"{config['output']}/runs", "pool", {"sources": [{"path": f"{config['output']}/graded/prompts"}]}, seed=17, num_samples=40)
+    folder = builds.prepare(spark, run)
+    if builds.prepare(spark, run) != folder:
+        raise ValueError("prepared twice")
+    return spark.read.parquet(folder).select("sample_id", F.get_json_object("provenance_json", "$.difficulty_band").alias("band"), "source")
+
+
+@register("""with t as (select n, i, n // 3 + (case when i < n % 3 then 1 else 0 end) as of_task, ['sum_chain', 'linear_equation', 'sum_grid'][i + 1] as task from (select count(*) as n from documents), range(3) as x(i)),
+    b as (select *, (of_task * w) // 100 as low, (of_task * w) % 100 as rest from t, (values ('hard', 50, 0), ('medium', 35, 1), ('easy', 15, 2)) as y(band, w, place)),
+    c as (select *, of_task - sum(low) over (partition by task) as more, row_number() over (partition by task order by rest desc, place) as turn from b),
+    f as (select task, band, (low + case when turn <= more then 1 else 0 end)::bigint as n from c)
+    select 'puzzles:' || task as source, band, n, n // 7 * 4 + (n % 7 + 1) // 2 as passed, 0::bigint as unscored from f where n > 0""")
+def puzzle_seeds(spark: SparkSession, d: str) -> DataFrame:
+    """As many puzzles as documents, from three tasks in three bands, in chunks of seven: every second answer is right, and scored by its task's own rules."""
+    adapter = create_adapter("puzzles", tasks=[{"name": "sum_chain"}, {"name": "linear_equation"}, {"name": "sum_grid", "weight": 1}], chunk=7)
+    seeds = adapter.prepare(spark, table(spark, d, "documents").count(), 17)
+    place = F.get_json_object("provenance_json", "$.place").cast("int")
+    said = F.when(place % 2 == 0, F.get_json_object("verification_json", "$.entry.answer")).otherwise("-1")
+    answer = F.to_json(F.struct(F.lit("extracted").alias("status"), F.lit("text").alias("answer_type"), said.alias("value")))
+    rows = adapter.verify(seeds.withColumns({"answer_json": answer, "reference_answer_json": F.lit(None).cast("string")}))
+    score = F.col("verifier_score")
+    return rows.groupBy("source", F.get_json_object("provenance_json", "$.band").alias("band")).agg(F.count("*").alias("n"), F.count_if(score == 1).alias("passed"), F.count_if(score.isNull()).alias("unscored"))

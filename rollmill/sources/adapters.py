@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -160,9 +161,12 @@ def mixture(pools: list[tuple[PoolSource, DataFrame]], num_samples: int, seed: i
 class PoolAdapter:
     """A mixture of pools as seeds; their answers are verified by exact comparison."""
 
-    sources: Sequence[PoolSource]
+    sources: Sequence[PoolSource | Mapping]
     verifier_name: str | None = "pool"
 
+    def __post_init__(self) -> None:
+        self.sources = [s if isinstance(s, PoolSource) else PoolSource(**s) for s in self.sources]
+
     def prepare(self, spark: SparkSession, num_samples: int, seed: int, system_prompt: str | None = None) -> DataFrame:
         mixed = mixture([(s, spark.read.parquet(expand(s.path))) for s in self.sources], num_samples, seed)
         if system_prompt is not None:
@@ -188,10 +192,14 @@ def register_adapter(name: str, make: Callable[..., SourceAdapter]) -> None:
 
 
 def create_adapter(name: str, **params) -> SourceAdapter:  # noqa: ANN003
+    if name not in _adapters and name in _MODULES:
+        importlib.import_module(_MODULES[name])
     if name not in _adapters:
         raise ValueError(f"no adapter {name}; there are {', '.join(sorted(_adapters))}")
     return _adapters[name](**params)
 
 
+#: Adapters that are registered when they are asked for.
+_MODULES = {"puzzles": "rollmill.sources.puzzle_adapter"}
 register_adapter("parquet", ParquetAdapter)
 register_adapter("pool", PoolAdapter)
