@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import collapse
+from rollmill.functions.ranks import ranked
 
 SELECTED = "productivity_filtered_eligible"
 
@@ -14,12 +15,8 @@ def is_selected(flag: Column) -> Column:
     return F.coalesce(flag, F.lit(False))
 
 
-def export_order() -> list[Column]:
-    return [F.coalesce("quality_score", F.lit(0)).desc(), F.col("sample_id"), F.col("candidate_id")]
-
-
 def digest_order() -> list[Column]:
-    return [is_selected(F.col(SELECTED)).desc(), F.coalesce("source", F.lit("")), F.coalesce("sample_id", F.lit("")), F.col("candidate_id")]
+    return [is_selected(F.col(SELECTED)), F.coalesce("source", F.lit("")), F.coalesce("sample_id", F.lit("")), F.col("candidate_id")]
 
 
 def salient(findings: Column) -> Column:
@@ -72,9 +69,9 @@ def markdown(rows: DataFrame) -> DataFrame:
         F.lit("## "), "sample_id", F.lit("\n\nScore "), score, F.lit(", source "), F.coalesce("source", F.lit("-")), F.lit("\n\n### Prompt\n\n"), fence(F.col("user_prompt")), F.lit("\n\n### Reasoning\n\n"), fence(F.col("reasoning")),
         F.lit("\n\n### Response\n\n"), fence(F.col("response")), F.lit("\n"),
     )
-    rows = rows.withColumn("selected", is_selected(F.col(SELECTED)))
-    rank = F.row_number().over(Window.partitionBy("selected").orderBy(*export_order()))
-    return rows.select("selected", rank.alias("rank"), body.alias("markdown"))
+    rows = rows.select(is_selected(F.col(SELECTED)).alias("selected"), F.coalesce("quality_score", F.lit(0)).alias("_score"), "sample_id", "candidate_id", body.alias("markdown"))
+    out = ranked(rows, [F.col("selected"), F.col("_score").desc(), F.col("sample_id"), F.col("candidate_id")], ["selected"])
+    return out.select("selected", (F.col("rank") + 1).alias("rank"), "markdown")
 
 
 def write_markdown(rows: DataFrame, folder: str) -> None:
@@ -93,7 +90,9 @@ def digest(rows: DataFrame, chars: int = 120) -> DataFrame:
     """(rank, line): a Markdown list of the rows, the selected ones first, then by source and sample_id."""
     mark = F.when(is_selected(F.col(SELECTED)), "x").otherwise(" ")
     line = F.concat(F.lit("- ["), mark, F.lit("] "), F.coalesce("source", F.lit("")), F.lit(" "), F.left("sample_id", F.lit(12)), F.lit(": "), shortened(F.col("user_prompt"), chars))
-    return rows.select(F.row_number().over(Window.orderBy(*digest_order())).alias("rank"), line.alias("line"))
+    order = {f"_{k}": x for k, x in enumerate(digest_order())}
+    out = ranked(rows.select(line.alias("line"), *(x.alias(k) for k, x in order.items())), [F.col("_0").desc(), *map(F.col, list(order)[1:])])
+    return out.select((F.col("rank") + 1).alias("rank"), "line")
 
 
 def html_text(x: Column) -> Column:
@@ -109,10 +108,20 @@ def embedded_json(x: Column) -> Column:
     return x
 
 
-def page_rows(rows: DataFrame) -> DataFrame:
-    """(id, line): records as JSON, to be embedded in a page."""
+def pages(rows: DataFrame, per_page: int = 50) -> DataFrame:
+    """(page, html): records in the order of their ids, ``per_page`` to a page, each as an article and all of them as JSON in a script."""
     own = records(rows)
-    return own.select("id", embedded_json(F.to_json(F.struct(*own.columns))).alias("line"))
+    article = F.concat(F.lit('<article id="'), html_text(F.col("id")), F.lit('"><h2>'), html_text(F.coalesce("question", F.lit(""))), F.lit("</h2><pre>"), html_text(F.coalesce("response", F.lit(""))), F.lit("</pre></article>"))
+    lines = own.select("id", article.alias("article"), embedded_json(F.to_json(F.struct(*own.columns))).alias("json"))
+    placed = ranked(lines, [F.col("id")]).withColumn("page", F.floor(F.col("rank") / per_page))
+    listed = placed.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("rank", "article", "json"))).alias("all"))  # per_page rows
+    part = lambda name, between: F.array_join(F.transform("all", lambda x: x[name]), between)
+    return listed.select("page", F.concat(F.lit("<!doctype html>\n"), part("article", "\n"), F.lit("\n<script>const rows = ["), part("json", ","), F.lit("];</script>\n")).alias("html"))
+
+
+def write_pages(rows: DataFrame, folder: str, per_page: int = 50) -> None:
+    """A file of text for each page, below page=N."""
+    pages(rows, per_page).select("page", F.col("html").alias("value")).write.partitionBy("page").text(folder)
 
 
 def cohorts(first: DataFrame, second: DataFrame) -> DataFrame:

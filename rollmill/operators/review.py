@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollmill.functions.session import checkpointed, small_side
+
 
 def decision_diff(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
     """Candidates of which a decision changed, nulls counting as equal: candidate_id, old_*, new_*."""
@@ -19,16 +21,15 @@ def decision_diff(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFra
 def by_prefix(labels: DataFrame, rows: DataFrame) -> DataFrame:
     """labels (id, prefix) with the rows whose sample_id starts with it, and ``matches``, how many do; labels without any have a row of nulls and 0.
 
-    Prefixes may have several lengths; each length is one equality join on the start of sample_id.
+    Prefixes may have any lengths: rows are scanned once, and meet the prefixes that share the first characters of theirs, as many as the shortest has.
     """
-    lengths = [r[0] for r in labels.select(F.length("prefix")).distinct().orderBy(F.length("prefix")).limit(65).collect()]
-    if len(lengths) > 64:
-        raise ValueError("prefixes of more than 64 lengths")
-    keyed = None
-    for n in lengths or [0]:
-        some = rows.withColumn("prefix", F.substring("sample_id", 1, n))
-        some = some.join(labels.where(F.length("prefix") == n).select("prefix").distinct(), "prefix", "left_semi")
-        keyed = some if keyed is None else keyed.unionByName(some)
+    texts = checkpointed(labels.select("prefix").where("prefix is not null").distinct())
+    size = texts.agg(F.count("*").alias("n"), F.min(F.length("prefix")).alias("low"), F.sum(F.octet_length("prefix")).alias("bytes")).first()
+    start = size.low or 0
+    sorted_ = texts.select("prefix", F.left("prefix", F.lit(start)).alias("_start"))
+    per_row = (size.bytes or 0) // max(1, size.n) + 64
+    near = rows.withColumn("_start", F.left("sample_id", F.lit(start))).join(small_side(sorted_, size.n, 2 * per_row), "_start")
+    keyed = near.where(F.startswith("sample_id", "prefix")).drop("_start")
     joined = labels.join(keyed, "prefix", "left")
     return joined.withColumn("matches", F.count("sample_id").over(Window.partitionBy("id")))
 

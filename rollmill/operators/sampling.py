@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import rank_key
-from rollmill.functions.session import checkpointed
+from rollmill.functions.ranks import first_ranked
 
 
 def allocate(total: int, weights: Sequence[float]) -> list[int]:
@@ -54,20 +54,6 @@ def allocation(strata: DataFrame, total: int) -> DataFrame:
     return rows.withColumn("target", (F.col("target") + (place <= F.col("_left")).cast("bigint")).cast("bigint")).select("stratum", "weight", "target")
 
 
-def bottom_k_checked(rows: DataFrame, stratum: str, seed: int, targets: dict[str, int], oversample: float = 1.25) -> DataFrame:
-    """bottom_k with each stratum's capacity; a stratum with fewer rows than its target is an error."""
-    limit = F.lit(0)
-    for name, target in targets.items():
-        limit = F.when(F.col(stratum) == name, capacity(target, oversample) if target else 0).otherwise(limit)
-    top = checkpointed(bottom_k(rows, stratum, seed, limit))
-    have = {r[0]: r.n for r in top.groupBy(stratum).agg(F.count("*").alias("n")).collect()}
-    short = {k: (have.get(k, 0), t) for k, t in targets.items() if have.get(k, 0) < t}
-    if short:
-        raise ValueError(f"too few rows (have, want): {short}")
-    return top
-
-
 def stride_shard(rows: DataFrame, shard: int, shards: int, size: int) -> DataFrame:
     """Every ``shards``-th of the first size * shards rows by sample_id, from ``shard`` on."""
-    top = rows.orderBy("sample_id").limit(size * shards)
-    return top.withColumn("ordinal", F.row_number().over(Window.orderBy("sample_id")) - 1).where(F.col("ordinal") % shards == shard)
+    return first_ranked(rows, [F.col("sample_id")], size * shards, "ordinal").where(F.col("ordinal") % shards == shard)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import answer_text, collapse, phase_seed, prompt_key, rank_key, stable_id
-from rollmill.functions.session import table
+from rollmill.functions.session import shared_dir, table
 from rollmill.operators import answers, gate, hygiene, parsing, phases, review, rollouts, sampling
 from rollmill.operators.judge import SEMANTIC
 from rollmill.plans.registry import register as _register
@@ -126,7 +128,9 @@ def _mixture_sql(total: int) -> str:
 @_register(_mixture_sql(16))
 def greedy_cross_source_dedup(spark: SparkSession, d: str) -> DataFrame:
     """A mixture of three pools, each with shares of bands."""
-    rows = _prompts(spark, d).withColumn("difficulty_band", F.col("band"))
+    folder = f"{shared_dir(spark)}/prompts-{uuid.uuid4().hex}"
+    _prompts(spark, d).select("sample_id", "user_prompt", "lang", "band", F.col("band").alias("difficulty_band")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
     mixed = adapters.mixture([(s, rows.where(F.col("lang") == s.path)) for s in _POOLS], 16, SEED)
     return mixed.select("lang", "band", "sample_id", "rank_key")
 

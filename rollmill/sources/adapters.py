@@ -7,12 +7,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import prompt_key, rank_key, stable_id
 from rollmill.functions.json_text import json_object
-from rollmill.functions.session import checkpointed
+from rollmill.functions.session import checkpointed, small_side
 from rollmill.operators import answers, sampling
 from rollmill.sources.config import expand
 
@@ -111,49 +111,80 @@ def eligible(rows: DataFrame, source: PoolSource) -> DataFrame:
     return rows
 
 
+#: Rows of a step that are counted in one task of the mixture.
+BLOCK = 4096
+
+
+def _first_free(top: DataFrame, targets: list[int]) -> DataFrame:
+    """Of top (step, rank, key, ...; a key once in a step) each step's first rows whose keys no earlier step has taken, ``targets`` of them.
+
+    All steps choose at once and give up what an earlier one has; the first is right after one round, each next one a round later at most, and a
+    round that changes nothing ends it: keys that are wanted twice are few.
+    """
+    limit = F.get(F.array(*map(F.lit, targets)), F.col("step"))
+    taken, mark = None, None
+    for _ in range(len(targets) + 1):
+        free = top
+        if taken is not None:
+            earliest = taken.groupBy("key").agg(F.min("step").alias("_by"))
+            free = top.join(earliest, "key", "left").where(F.col("_by").isNull() | (F.col("_by") >= F.col("step"))).drop("_by")
+        free = free.withColumn("block", F.floor(F.col("rank") / BLOCK))
+        before = F.sum("n").over(Window.partitionBy("step").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+        blocks = free.groupBy("step", "block").agg(F.count("*").alias("n")).select("step", "block", F.coalesce(before, F.lit(0)).alias("before"))
+        place = F.row_number().over(Window.partitionBy("step", "block").orderBy("rank")) + F.col("before")
+        taken = checkpointed(free.join(blocks, ["step", "block"]).where(F.col("before") < limit).withColumn("place", place).where(F.col("place") <= limit).drop("block", "before", "place"))
+        now = taken.agg(F.count("*"), F.sum(F.xxhash64("step", "sample_id").cast("decimal(38,0)"))).first()
+        if now == mark:
+            break
+        mark = now
+    return taken
+
+
 def mixture(pools: list[tuple[PoolSource, DataFrame]], num_samples: int, seed: int) -> DataFrame:
     """Pools filled in order, each band by band: the largest remainders share out the samples among pools, then among bands.
 
     In a band the ``oversample`` times as many rows of the smallest rank are looked at; a prompt that an earlier band or pool has taken is skipped,
     what isn't taken blocks nothing. A band with too few rows, or too few new prompts, is an error. The result, with rank_key, is in the order of rank.
-    Only ids, ranks and 128-bit hashes of prompts are sorted and compared; texts join the chosen ids at the end.
+    Each pool is read once for ids, ranks and 128-bit hashes of prompts, which are written once; texts join the chosen ids at the end.
     """
     if not pools:
         raise ValueError("a mixture needs pools")
-    taken: DataFrame | None = None
-    chosen: list[DataFrame] = []
-    for (source, rows), share in zip(pools, sampling.allocate(num_samples, [s.weight for s, _ in pools]), strict=True):
+    steps: list[tuple[int, str, int]] = []
+    slim: DataFrame | None = None
+    limit = F.lit(0)
+    for k, ((source, rows), share) in enumerate(zip(pools, sampling.allocate(num_samples, [s.weight for s, _ in pools]), strict=True)):
         if not share:
             continue
-        targets = dict(zip(source.bands, sampling.allocate(share, list(source.bands.values())), strict=True))
-        key = prompt_key(F.col("user_prompt"))
-        slim = eligible(rows, source).select("sample_id", "difficulty_band", rank_key(F.lit(seed), F.col("sample_id")).alias("rank_key"), F.md5(key).alias("key"))
-        limits = {b: max(t, sampling.capacity(t, source.oversample)) for b, t in targets.items() if t}
-        limit = F.lit(0)
-        for band, k in limits.items():
-            limit = F.when(F.col("difficulty_band") == band, k).otherwise(limit)
-        top = checkpointed(sampling.bottom_k(slim.drop("rank_key"), "difficulty_band", seed, limit).drop("rank"))
-        have = {r.difficulty_band: r.n for r in top.groupBy("difficulty_band").agg(F.count("*").alias("n")).collect()}
-        picked: DataFrame | None = None
-        for band, target in targets.items():
-            if not target:
-                continue
-            if have.get(band, 0) < target:
-                raise ValueError(f"pool {source.path} has {have.get(band, 0)} eligible rows of band {band}, {target} are wanted")
-            own = top.where(F.col("difficulty_band") == band)
-            own = own if taken is None else own.join(taken.select("key"), "key", "left_anti")
-            own = own.groupBy("key").agg(F.min_by(F.struct("sample_id", "rank_key"), F.struct("rank_key", "sample_id")).alias("r")).select("key", "r.*")
-            own = checkpointed(own.orderBy("rank_key", "sample_id").limit(target))
-            if (n := own.count()) < target:
-                raise ValueError(f"pool {source.path} gave {n} new prompts of band {band}, {target} are wanted")
-            picked = own if picked is None else picked.unionByName(own)
-            taken = own if taken is None else taken.unionByName(own)
+        step = F.lit(-1)
+        for band, target in zip(source.bands, sampling.allocate(share, list(source.bands.values())), strict=True):
+            if target:
+                step = F.when(F.col("difficulty_band") == band, len(steps)).otherwise(step)
+                limit = F.when(F.col("step") == len(steps), sampling.capacity(target, source.oversample)).otherwise(limit)
+                steps.append((k, band, target))
+        own = eligible(rows, source).select("sample_id", step.alias("step"), F.md5(prompt_key(F.col("user_prompt"))).alias("key")).where("step >= 0")
+        slim = own if slim is None else slim.unionByName(own)
+    if slim is None:
+        raise ValueError("a mixture needs samples")
+    top = checkpointed(sampling.bottom_k(slim, "step", seed, limit))
+    have = {r.step: r.n for r in top.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    for n, (k, band, target) in enumerate(steps):
+        if have.get(n, 0) < target:
+            raise ValueError(f"pool {pools[k][0].path} has {have.get(n, 0)} eligible rows of band {band}, {target} are wanted")
+    once = top.groupBy("step", "key").agg(F.min(F.struct("rank", "sample_id", "rank_key")).alias("r")).select("step", "key", "r.*")
+    taken = _first_free(checkpointed(once), [t for *_, t in steps])
+    have = {r.step: r.n for r in taken.groupBy("step").agg(F.count("*").alias("n")).collect()}
+    for n, (k, band, target) in enumerate(steps):
+        if have.get(n, 0) < target:
+            raise ValueError(f"pool {pools[k][0].path} gave {have.get(n, 0)} new prompts of band {band}, {target} are wanted")
+    out: DataFrame | None = None
+    for k, (_, rows) in enumerate(pools):
+        own = [n for n, (pool, *_) in enumerate(steps) if pool == k]
+        if not own:
+            continue
         # ids may be repeated in a pool: one row of each, the smallest
-        full = rows.join(picked.select("sample_id", "rank_key"), "sample_id").withColumn("_hash", F.xxhash64(*rows.columns))
-        chosen.append(sampling.first_wins(full, "sample_id", F.col("_hash")).drop("_hash"))
-    out = chosen[0]
-    for more in chosen[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
+        picked = small_side(taken.where(F.col("step").isin(own)).select("sample_id", "rank_key"), sum(steps[n][2] for n in own), 160)
+        full = sampling.first_wins(rows.join(picked, "sample_id").withColumn("_hash", F.xxhash64(*rows.columns)), "sample_id", F.col("_hash")).drop("_hash")
+        out = full if out is None else out.unionByName(full, allowMissingColumns=True)
     return out.orderBy("rank_key", "sample_id")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollmill.functions.ranks import first_ranked
+
 
 def named_rows(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Rows of Parquet files with raw_file, the name of the file that each is from."""
@@ -43,9 +45,8 @@ def by_priority(name: Column, order: list[str], other: int = 9) -> tuple[Column,
 
 
 def first_rows(rows: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first n rows in the given order, with their ordinal from 0."""
-    top = rows.orderBy(*order).limit(n)
-    return top.withColumn("ordinal", F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
+    """The first n rows in the given order, with their ordinal from 0; they stay in the ranges that they are sorted in, however many they are."""
+    return first_ranked(rows, list(order), n, "ordinal")
 
 
 def number(x: Column) -> Column:
