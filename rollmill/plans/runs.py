@@ -15,6 +15,7 @@ from rollmill.plans.registry import register
 from rollmill.sources import builds
 from rollmill.sources.adapters import PoolAdapter, create_adapter
 from rollmill.sources.config import RunConfig
+from rollmill.sources.readers import array_rows
 
 
 def _saved_answers(spark: SparkSession, d: str) -> DataFrame:
@@ -140,3 +141,21 @@ def puzzle_seeds(spark: SparkSession, d: str) -> DataFrame:
     rows = adapter.verify(seeds.withColumns({"answer_json": answer, "reference_answer_json": F.lit(None).cast("string")}))
     score = F.col("verifier_score")
     return rows.groupBy("source", F.get_json_object("provenance_json", "$.band").alias("band")).agg(F.count("*").alias("n"), F.count_if(score == 1).alias("passed"), F.count_if(score.isNull()).alias("unscored"))
+
+
+@register("""select source || '.json' as file, row_number() over (partition by source order by doc_id) - 1 as source_index, doc_id, '{"' || lang || '": [}\\' as note, sha256(text) as text_id, n_chars as deep from documents""")
+def json_array_members(spark: SparkSession, d: str) -> DataFrame:
+    """An array of a file for each source, with braces, quotes and backslashes in its texts, and objects in objects, cut into its members again."""
+    folder = f"{shared_dir(spark)}/arrays-{uuid.uuid4().hex}"
+    note = F.concat(F.lit('{"'), "lang", F.lit('": [}\\'))
+    item = F.to_json(F.struct("doc_id", note.alias("note"), "text", F.struct(F.array(F.struct("n_chars")).alias("b")).alias("a")))
+    docs = table(spark, d, "documents").select("source", "doc_id", item.alias("value"), F.lit(0).alias("end"))
+    edge = docs.groupBy("source").agg(F.min("doc_id").alias("first"))
+    rows = docs.join(F.broadcast(edge), "source") if edge.count() < 1000 else docs.join(edge, "source")
+    rows = rows.select("source", "end", "doc_id", F.concat(F.when(F.col("doc_id") == F.col("first"), "[").otherwise(","), F.lit(" "), "value").alias("value"))
+    rows = rows.unionAll(edge.select("source", F.lit(1).alias("end"), F.lit(0).cast("bigint").alias("doc_id"), F.lit("]").alias("value")))
+    rows.repartition("source").sortWithinPartitions("source", "end", "doc_id").select("source", "value").write.partitionBy("source").text(folder)
+    found = array_rows(spark, folder, "doc_id bigint, note string, text string, a struct<b: array<struct<n_chars: bigint>>>, source string")
+    names = table(spark, d, "documents").select("doc_id", "source")
+    out = found.drop("source").join(names, "doc_id")
+    return out.select(F.concat("source", F.lit(".json")).alias("file"), "source_index", "doc_id", "note", F.sha2("text", 256).alias("text_id"), F.col("a.b")[0]["n_chars"].alias("deep"))

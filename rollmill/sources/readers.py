@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollmill.functions.ranks import first_ranked
+from rollmill.sources.arrays import member_texts
 
 
 def named_rows(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -26,10 +27,12 @@ def available(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def array_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files that are one JSON array each: the members' fields, source_index (place in its file, from 0) and raw_file."""
-    whole = spark.read.text(path, wholetext=True).withColumn("raw_file", F.col("_metadata.file_name"))
-    items = whole.select("raw_file", F.posexplode(F.from_json("value", f"array<struct<{schema}>>")).alias("source_index", "item"))
-    return items.select("item.*", F.col("source_index").cast("bigint").alias("source_index"), "raw_file")
+    """Files that are one JSON array of objects each, of any size: the members' fields, source_index (place in its file, from 0) and raw_file.
+
+    A member that can't be read has nulls.
+    """
+    items = member_texts(spark, path).select("raw_file", "source_index", F.from_json("text", f"struct<{schema}>").alias("item"))
+    return items.select("item.*", "source_index", "raw_file")
 
 
 def file_prefix(name: Column) -> Column:
