@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.algebra import item_keys
 from rollmill.functions.ids import answer_text, strip
-from rollmill.functions.json_text import json_strings
 
 # Answer types, the mark of an arbitrary constant, the words of a boolean, and the form of a bare number with currency, exponent, percent and unit.
 EXACT_TYPES = ["boolean", "choice"]
@@ -186,11 +185,6 @@ def reference_answer(verification: Column) -> Column:
     )
 
 
-def evidence_list(raw: Column) -> Column:
-    """The texts of a JSON list; none of anything else."""
-    return json_strings(raw)
-
-
 def verification_status(available: Column, response: Column, score: Column, error: Column, threshold: float) -> Column:
     """unavailable, error (a missing response is one), indeterminate, passed from the threshold on, or failed."""
     return (

@@ -13,8 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.operators import answers, hygiene, judge, phases, rescoring
-from rollmill.sources.sinks import Store, mark_stage, rotate, run_stage, stage_complete, write_shards
+from rollmill.functions.ids import blank
+from rollmill.operators import answers, hygiene, judge, phases, rescoring, rollouts, schemas
+from rollmill.sources.adapters import create_adapter
+from rollmill.sources.builds import prepare
+from rollmill.sources.config import RunConfig, resolved
+from rollmill.sources.sinks import Store, block_bytes, mark_stage, rotate, run_stage, snapshot, stage_complete, write_shards
 
 #: Answers a table of requests: (phase, requests) to a table of the requests' keys, text and, where there is one, error, finish_reason, num_generated_tokens and prompt_truncated.
 Provider = Callable[[str, DataFrame], DataFrame]
@@ -182,6 +186,67 @@ _JUDGED = ("judge_raw_output", "judge_retry_count", "judge_first_raw_output")
 _DECIDED = ("correctness_verdict", "quality_score", "hygiene_status", "correctness_only_eligible", "productivity_filtered_eligible", "exclusion_reasons_json")
 
 
+def _generate(mode: str) -> Callable[[DataFrame, Ask], DataFrame]:
+    def step(rows: DataFrame, ask: Ask) -> DataFrame:
+        told = ask(phases.generation_requests(rows, mode), [KEY])
+        done = told.select(KEY, F.col("text").alias("draft_generation"), F.col("finish_reason").alias("draft_finish_reason"), F.col("num_generated_tokens").alias("draft_num_generated_tokens"), F.col("error").alias("generation_error"))
+        return done
+
+    return step
+
+
+def _polish(mode: str) -> Callable[[DataFrame, Ask], DataFrame]:
+    wanted = mode != "direct"
+
+    def step(rows: DataFrame, ask: Ask) -> DataFrame:
+        drafted = rows.where(~blank(F.col("draft_generation")))
+        told = ask(drafted.select(KEY, "draft_generation"), [KEY]).where("error is null") if wanted else drafted.limit(0).withColumn("text", F.lit(""))
+        out = phases.polished(rows, told.select(KEY, "text"), mode, wanted)
+        if wanted:
+            out = out.join(told.select(KEY, F.col("finish_reason").alias("_finish"), F.col("num_generated_tokens").alias("_n")), KEY, "left")
+        else:
+            out = out.withColumns({"_finish": F.lit(None).cast("string"), "_n": F.lit(None).cast("bigint")})
+        there = F.col("raw_generation").isNotNull()
+        finish = F.when(there, F.coalesce("_finish", "draft_finish_reason"))
+        return out.withColumns({"finish_reason": finish, "num_generated_tokens": F.when(there, F.coalesce("_n", "draft_num_generated_tokens")), "raw_generation": phases.unfinished(F.col("raw_generation"), F.coalesce(finish, F.lit("")))})
+
+    return step
+
+
+def generation_graph(mode: str = "direct") -> list[Phase]:
+    """From prompts to raw generations: direct, direct_polish (a failed polish keeps the draft) or draft_polish."""
+    drafts = ("draft_generation", "draft_finish_reason", "draft_num_generated_tokens")
+    return [Phase("generate", ("user_prompt", "system_prompt"), (*drafts, "generation_error"), _generate(mode)), Phase("polish", drafts, ("raw_generation", "finish_reason", "num_generated_tokens"), _polish(mode))]
+
+
+def whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str = "direct", model: str = "model", slots: int = 1) -> str:
+    """Seeds, candidates, generations, decisions and the table for training below the run's folder, whose path it returns; each is written once.
+
+    A run that was stopped goes on where it was; another configuration in the same folder is an error. As many candidates as seeds and rollouts say must be there.
+    """
+    snapshot(spark, config.run_dir, resolved(config))
+    sizes = block_bytes(config.parquet_target_mb)
+    before = {name: spark.conf.get(name) for name in sizes}
+    try:
+        for name, size in sizes.items():
+            spark.conf.set(name, size)
+        return _whole_run(spark, config, provider, mode, model, slots)
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
+
+
+def _whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str, model: str, slots: int) -> str:
+    seeds = spark.read.parquet(prepare(spark, config, slots=slots))
+    rows = rollouts.fan_out(seeds, config.rollouts_per_prompt, config.seed).withColumn("model", F.lit(model))
+    run = Run(spark, config.run_dir, provider, resume=config.resume)
+    tables = run.through(rows, [*generation_graph(mode), *decision_graph(create_adapter(config.adapter, **config.params), config.verifier_threshold, config.analysis_samples)])
+    rollouts.checked(rows, tables["finalize"])
+    done = run_stage(schemas.as_candidates(run.gathered(tables, [c for c in run.owner if c in schemas.CANDIDATE.names])), f"{config.run_dir}/candidates", KEY, config.resume)
+    run_stage(schemas.for_training(done), f"{config.run_dir}/sft", KEY, config.resume)
+    return f"{config.run_dir}/sft"
+
+
 def decision_graph(adapter, threshold: float = 1.0, samples: int = 2) -> list[Phase]:  # noqa: ANN001
     """The phases from raw generations to decisions, in order; extraction, critiques, hygiene, arbitration and its retries ask a provider."""
     return [

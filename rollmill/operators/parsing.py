@@ -17,10 +17,6 @@ def after(x: Column, tag: str) -> Column:
     return F.substring(x, F.locate(tag, x) + len(tag), F.length(x))
 
 
-def blank_to_null(x: Column) -> Column:
-    return F.when(x != "", x)
-
-
 def split_reasoning(rows: DataFrame, raw: str = "raw_generation") -> DataFrame:
     """Adds reasoning, response and reasoning_parsed.
 

@@ -137,11 +137,6 @@ def fit_words(text: Column, budget: int) -> Column:
     return F.when(F.size(words) <= budget, text).otherwise(F.concat(strip(F.array_join(F.slice(words, 1, left), "")), F.lit(MARKER), strip(tail)))
 
 
-def prompt_budget(context: int, output: int, reserve: int = 256) -> int:
-    """Words, or tokens, that a prompt may have."""
-    return max(1, context - output - reserve)
-
-
 def late_part_at(reasoning: Column, category: Column, least: int = PART_CHARS) -> Column:
     """Where the late part of a long trace starts: the first blank line from 65 hundredths on, or that place; null for others."""
     at = F.floor(F.length(reasoning) * F.lit(PART_AT)).cast("int")

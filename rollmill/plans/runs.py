@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import shared_dir, table
-from rollmill.operators import graph, schemas
+from rollmill.operators import graph, rollouts, schemas
 from rollmill.operators.judge import SEMANTIC
 from rollmill.plans import decisions
 from rollmill.plans.registry import register
@@ -159,3 +159,32 @@ def json_array_members(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "documents").select("doc_id", "source")
     out = found.drop("source").join(names, "doc_id")
     return out.select(F.concat("source", F.lit(".json")).alias("file"), "source_index", "doc_id", "note", F.sha2("text", 256).alias("text_id"), F.col("a.b")[0]["n_chars"].alias("deep"))
+
+
+@register("""with t as (select n // 3 + (case when i < n % 3 then 1 else 0 end) as n, ['sum_chain', 'linear_equation', 'sum_grid'][i + 1] as task from (select count(*) as n from documents), range(3) as x(i))
+    select 'puzzles:' || task as source, right_ as eligible, case when right_ then 5 else 0 end as quality_score, case when right_ then 'verified' else 'incorrect' end as correctness_verdict, n::bigint as n from t, (values (true), (false)) as y(right_)""")
+def puzzle_run(spark: SparkSession, d: str) -> DataFrame:
+    """A run from its configuration to the table for training: as many puzzles as documents, two candidates each, of which the first is right, and judges that can tell."""
+    n = table(spark, d, "documents").count()
+    config = RunConfig("puzzles", f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", "puzzles", {"chunk": 100}, seed=17, num_samples=n, rollouts_per_prompt=2)
+    folder = graph.whole_run(spark, config, _puzzle_models(spark, builds.prepare(spark, config)), mode="direct_polish")
+    rows = spark.read.parquet(folder)
+    return rows.groupBy("source", F.col("productivity_filtered_eligible").alias("eligible"), "quality_score", "correctness_verdict").agg(F.count("*").alias("n"))
+
+
+def _puzzle_models(spark: SparkSession, seeds: str) -> graph.Provider:
+    """Models that know the answers: the first candidate of a puzzle says the right one, the second another; judges see which is which."""
+    known = rollouts.fan_out(spark.read.parquet(seeds), 2, 17).select("candidate_id", (F.col("candidate_index") == 0).alias("right"), F.get_json_object("verification_json", "$.entry.answer").alias("answer"))
+    said = F.when(F.col("right"), F.col("answer")).otherwise("-1")
+    verdict = lambda v, score, issues: f'{{"correctness":{{"verdict":"{v}","confidence":"high","feedback":"ok"}},"reasoning":{{"score":5,"issues":[],"feedback":"f"}},"response":{{"score":{score},"issues":[{issues}],"feedback":"f"}},"hygiene_confirmations":[]}}'
+    extracted = F.to_json(F.struct(F.lit("extracted").alias("status"), F.lit("text").alias("answer_type"), said.alias("value")))
+    text = {
+        "generate": F.concat(F.lit("<think>thinking of it</think>"), said), "polish": F.concat(F.lit("<think>thinking it over</think>The answer: "), said), "critique": F.lit("looked at"), "hygiene": F.lit('{"verdict":"clear","evidence":[],"explanation":"fine"}'),
+        "extract": extracted, "arbitrate": F.when(F.col("right"), verdict("correct", 5, "")).otherwise(verdict("incorrect", 2, '"incorrect"')),
+    }
+
+    def provide(name: str, requests: DataFrame) -> DataFrame:
+        keys = [k for k in ("candidate_id", "target", "sample_index", "category") if k in requests.columns]
+        return requests.select(*keys).join(known, "candidate_id").select(*keys, text.get(name, F.lit("")).alias("text"), F.lit("stop").alias("finish_reason"), F.lit(7).alias("num_generated_tokens"))
+
+    return provide

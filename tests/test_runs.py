@@ -149,6 +149,30 @@ def test_native_scores(spark):
     assert [r.got for r in out.collect()] == [r[3] for r in rows]
 
 
+def test_a_whole_run(spark, tmp_path):
+    """From a configuration to the table for training; what is there isn't asked for again, and another configuration is refused."""
+    config = RunConfig("r", f"file://{tmp_path}", "puzzles", {"tasks": {"sum_chain": 1.0}}, seed=5, num_samples=4, rollouts_per_prompt=2, analysis_samples=1)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for mode in ("direct", "direct"):
+        provider = Provider(spark, tmp_path / "asked")
+        folder = graph.whole_run(spark, config, provider, mode)
+        assert spark.read.parquet(folder).count() == 8 and spark.conf.get("spark.sql.files.maxPartitionBytes") == size
+    assert provider.calls == 0 and spark.read.parquet(f"{tmp_path}/r/candidates").where("raw_generation = 'no scores'").count() == 8
+    with pytest.raises(RuntimeError, match="another configuration"):
+        graph.whole_run(spark, RunConfig("r", f"file://{tmp_path}", "puzzles", {}, seed=6, num_samples=4), provider)
+
+
+@pytest.mark.parametrize(("mode", "want"), [("direct", "draft"), ("direct_polish", "draft"), ("draft_polish", None)])
+def test_a_failed_polish(spark, tmp_path, mode, want):
+    def provide(name, requests):
+        return requests.select("candidate_id", F.lit("draft" if name == "generate" else None).cast("string").alias("text"), F.lit(None if name == "generate" else "gone").cast("string").alias("error"))
+
+    rows = spark.createDataFrame([("a", "p", None)], "candidate_id string, user_prompt string, system_prompt string")
+    run = graph.Run(spark, f"file://{tmp_path}/run", provide, waves=1)
+    (r,) = run.gathered(run.through(rows, graph.generation_graph(mode)), ["raw_generation"]).collect()
+    assert r.raw_generation == want
+
+
 def test_store_tells_parts(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/x")
     assert sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/x") and not sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/y")
