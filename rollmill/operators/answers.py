@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.algebra import item_keys
@@ -92,13 +92,33 @@ def typed_score(gold: Column, answer: Column) -> Column:
     however they are written: numbers of any length, expressions, roots, intervals, tuples, sets. An item that can't be read, one whose key
     tells only equal writings apart, or a family of solutions with constants (C_) that doesn't match, is left to the judge.
     """
-    gold_type, type_ = gold["answer_type"], answer["answer_type"]
     a, b = (answer_items(x["answer_type"], x["value"], x["values"]) for x in (gold, answer))
+    by_value = _by_value(gold, answer, a, b)
+    return _typed_score(gold, answer, a, b, item_keys(F.when(by_value, a)), item_keys(F.when(by_value, b)))
+
+
+def with_typed_score(rows: DataFrame, gold: Column, answer: Column, to: str) -> DataFrame:
+    """rows with typed_score of gold and answer; each step of it is a column of its own, which is planned and worked out once."""
+    g, x, a, b, m = (f"_{to}_{k}" for k in ("gold", "answer", "a", "b", "compared"))
+    rows = rows.withColumns({g: gold, x: answer})
+    rows = rows.withColumns({k: answer_items(F.col(f"{y}.answer_type"), F.col(f"{y}.value"), F.col(f"{y}.values")) for k, y in ((a, g), (b, x))})
+    rows = rows.withColumn(m, _by_value(F.col(g), F.col(x), F.col(a), F.col(b)))
+    rows = rows.withColumns({f"{k}k": item_keys(F.when(F.col(m), F.col(k))) for k in (a, b)})
+    return rows.withColumn(to, _typed_score(F.col(g), F.col(x), F.col(a), F.col(b), F.col(f"{a}k"), F.col(f"{b}k"))).drop(a, b, m, f"{a}k", f"{b}k", g, x)
+
+
+def _opaque(a: Column, b: Column) -> Column:
+    return F.exists(F.concat(a, b), lambda v: F.contains(v, F.lit("=")) | v.rlike(r"\\(sum|int|prod)") | (F.length(v) > LONGEST_ITEM))
+
+
+def _by_value(gold: Column, answer: Column, a: Column, b: Column) -> Column:
+    return F.coalesce(gold["answer_type"].isin(MATH_TYPES) & answer["answer_type"].isin(MATH_TYPES) & (F.size(a) == F.size(b)) & ~_opaque(a, b), F.lit(False))
+
+
+def _typed_score(gold: Column, answer: Column, a: Column, b: Column, *read: Column) -> Column:
+    gold_type, type_ = gold["answer_type"], answer["answer_type"]
     want, have = (answer_text(F.coalesce(x["unit"], F.lit(""))) for x in (gold, answer))
-    both = F.concat(a, b)
-    opaque = F.exists(both, lambda v: F.contains(v, F.lit("=")) | v.rlike(r"\\(sum|int|prod)") | (F.length(v) > LONGEST_ITEM))
-    by_value = F.coalesce(gold_type.isin(MATH_TYPES) & type_.isin(MATH_TYPES) & (F.size(a) == F.size(b)) & ~opaque, F.lit(False))
-    read = [item_keys(F.when(by_value, side)) for side in (a, b)]
+    both, opaque = F.concat(a, b), _opaque(a, b)
     keys = [F.sort_array(F.transform(side, lambda v: v["key"])) for side in read]
     unread = F.exists(F.concat(*read), lambda v: v.isNull())
     unsure = F.exists(F.concat(*read), lambda v: ~v["sure"]) | F.exists(both, lambda v: F.contains(v, F.lit(FAMILY)))
@@ -127,29 +147,34 @@ def extracted(raw: Column) -> Column:
     return F.when(found["status"] == "extracted", found)
 
 
-def verify_pooled(verification: Column, answer: Column, reference: Column, native: Column | None = None) -> Column:
-    """struct<score, reason> of a row with JSON texts: its source's answer, the candidate's and the reference's extracted answers.
+def verify_pooled(rows: DataFrame, to: str, native: Column | None = None) -> DataFrame:
+    """rows (verification_json, answer_json, reference_answer_json) with ``to``, struct<score, reason>: its source's answer, the candidate's and the reference's extracted answers.
 
     ``native`` is the score of a source with a scorer of its own; exactly equal answers raise it to 1.
     """
-    mine, gold = extracted(answer), extracted(reference)
-    typed = F.when(mine.isNotNull() & gold.isNotNull(), typed_score(gold, mine))
+    mine, gold, typed = (f"_{to}_{k}" for k in ("mine", "theirs", "typed"))
+    rows = rows.withColumns({mine: extracted(F.col("answer_json")), gold: extracted(F.col("reference_answer_json"))})
+    rows = with_typed_score(rows, F.col(gold), F.col(mine), typed)
+    verification, null = F.col("verification_json"), F.lit(None)
     own = F.get_json_object(verification, "$.source_dataset").isNotNull()
     there = strip(F.coalesce(F.get_json_object(verification, "$.entry.answer"), F.lit(""))) != ""
 
-    def row(score: Column, reason: Column | str | None) -> Column:
-        return F.struct(score.cast("double").alias("score"), (F.lit(reason) if not isinstance(reason, Column) else reason).cast("string").alias("reason"))
+    def row(score: Column, reason: str | None) -> Column:
+        return F.struct(score.cast("double").alias("score"), F.lit(reason).cast("string").alias("reason"))
 
-    null = F.lit(None)
-    by_type = F.coalesce(gold["answer_type"].isin(*MATH_TYPES) & mine["answer_type"].isin(*MATH_TYPES), F.lit(False)) | F.coalesce(gold["answer_type"].isin(EXACT_TYPES) & mine["answer_type"].isin(EXACT_TYPES), F.lit(False))
-    return (
+    kinds = [F.col(f"{x}.answer_type") for x in (gold, mine)]
+    by_type = F.coalesce(kinds[0].isin(MATH_TYPES) & kinds[1].isin(MATH_TYPES), F.lit(False)) | F.coalesce(kinds[0].isin(EXACT_TYPES) & kinds[1].isin(EXACT_TYPES), F.lit(False))
+    both = F.col(mine).isNotNull() & F.col(gold).isNotNull()
+    score = F.when(both, F.col(typed))
+    found = (
         F.when(verification.isNull(), row(null, None))
-        .when(own, row(F.when(typed == 1, 1.0).otherwise(native if native is not None else null), None))
+        .when(own, row(F.when(score == 1, 1.0).otherwise(native if native is not None else null), None))
         .when(~there, row(null, None))
-        .when(mine.isNull() | gold.isNull(), row(null, "structured_answer_unavailable"))
+        .when(~both, row(null, "structured_answer_unavailable"))
         .when(~by_type, row(null, "answer_type_requires_model_review"))
-        .otherwise(row(typed, None))
+        .otherwise(row(score, None))
     )
+    return rows.withColumn(to, found).drop(mine, gold, typed)
 
 
 def answer_candidates(answer: Column) -> Column:

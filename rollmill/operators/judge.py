@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rollmill.functions.binding import bound
 from rollmill.functions.ids import fold_case, strip
 from rollmill.functions.json_text import json_block, only_keys, unfenced, whole_number
 
@@ -52,8 +53,10 @@ def judge_scores(raw: Column) -> Column:
 
     error names the rule that the output breaks, and the rest is null then; issues are distinct, in order.
     """
-    block = json_block(raw)
-    x = F.from_json(block, _SCORES)
+    return bound(F.struct(raw.alias("raw"), json_block(raw).alias("block")), lambda r: bound(F.from_json(r["block"], _SCORES), lambda x: _judge_scores(r["raw"], r["block"], x)))
+
+
+def _judge_scores(raw: Column, block: Column, x: Column) -> Column:
     correctness, confirmations = x["correctness"], F.coalesce(x["hygiene_confirmations"], F.from_json(F.lit("[]"), "array<struct<category: string, verdict: string, feedback: string>>"))
     scores = {k: whole_number(x[k]["score"]) for k in ("reasoning", "response")}
     issues = {k: F.array_distinct(x[k]["issues"]) for k in ("reasoning", "response")}
@@ -89,7 +92,7 @@ def judge_scores(raw: Column) -> Column:
 def _read(fields: dict[str, Column], error: Column, schema: str) -> Column:
     """The fields without an error, or nulls with it."""
     nulls = F.from_json(F.lit("{}"), schema)
-    return F.when(error.isNull(), F.struct(*(x.alias(k) for k, x in fields.items()), F.lit(None).cast("string").alias("error"))).otherwise(F.struct(*(nulls[k].alias(k) for k in fields), error.alias("error")))
+    return bound(error, lambda e: F.when(e.isNull(), F.struct(*(x.alias(k) for k, x in fields.items()), F.lit(None).cast("string").alias("error"))).otherwise(F.struct(*(nulls[k].alias(k) for k in fields), e.alias("error"))))
 
 
 _EXTRACTION = "status string, answer_type string, value string, values array<string>, unit string, evidence string"
@@ -97,8 +100,10 @@ _EXTRACTION = "status string, answer_type string, value string, values array<str
 
 def answer_extraction(raw: Column) -> Column:
     """struct<status, answer_type, value, values, unit, evidence, error> of an extractor's output; error names the broken rule."""
-    block = json_block(raw)
-    x = F.from_json(block, _EXTRACTION)
+    return bound(F.struct(raw.alias("raw"), json_block(raw).alias("block")), lambda r: bound(F.from_json(r["block"], _EXTRACTION), lambda x: _answer_extraction(r["raw"], r["block"], x)))
+
+
+def _answer_extraction(raw: Column, block: Column, x: Column) -> Column:
     values = F.coalesce(x["values"], F.array().cast("array<string>"))
     given, listed = F.coalesce(x["value"], F.lit("")) != "", F.size(values) > 0
     error = _first(
@@ -115,8 +120,14 @@ def assessment(raw: Column, category: Column, reasoning: Column, response: Colum
 
     ``anchored`` is phases.anchoring: it tells whether excerpts occur, and whether they occur often enough.
     """
-    x = F.from_json(unfenced(raw), "verdict string, evidence array<string>, explanation string")
-    well = only_keys(unfenced(raw), ["verdict", "evidence", "explanation"]) & x["verdict"].isin(FINDINGS) & (F.size(x["evidence"]) <= 2) & x["evidence"].isNotNull() & _sized(x["explanation"], 240)
+    given = F.struct(raw.alias("raw"), unfenced(raw).alias("text"), category.alias("category"), truncated.alias("truncated"), reasoning.alias("reasoning"), response.alias("response"))
+    form = "verdict string, evidence array<string>, explanation string"
+    return bound(given, lambda g: bound(F.from_json(g["text"], form), lambda x: _assessment(g, x, anchored)))
+
+
+def _assessment(g: Column, x: Column, anchored) -> Column:  # noqa: ANN001
+    raw, category, truncated, reasoning, response = (g[c] for c in ("raw", "category", "truncated", "reasoning", "response"))
+    well = only_keys(g["text"], ["verdict", "evidence", "explanation"]) & x["verdict"].isin(FINDINGS) & (F.size(x["evidence"]) <= 2) & x["evidence"].isNotNull() & _sized(x["explanation"], 240)
     well = F.coalesce(well & ((x["verdict"] != "defect") | (F.size(x["evidence"]) > 0)), F.lit(False))
     evidence = F.filter(F.transform(x["evidence"], strip), lambda e: e != "")
     there, often = anchored(evidence, reasoning, response, category)

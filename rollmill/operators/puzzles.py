@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollmill.functions.binding import bound
 from rollmill.operators.sampling import allocate
 
 # Steps of seeds between tasks, bands and chunks, and how far into a curriculum a band goes.
@@ -18,11 +19,6 @@ PLACE_STEP = 1 << 20
 BAND_SHARE = {"easy": 0.2, "medium": 0.6, "hard": 1.0}
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once for a row: a column that is named several times inside lambdas is worked out each time."""
-    return F.transform(F.array(value), body)[0]
-
-
 def chunk_seed(seed: int, task: Column, band: Column, chunk: Column) -> Column:
     return F.lit(seed).cast("bigint") + task * TASK_STEP + band * BAND_STEP + chunk * CHUNK_STEP
 

@@ -383,7 +383,7 @@ def typed_answers(spark: SparkSession, d: str) -> DataFrame:
                    "cast(null as array<string>)", "case n_chars % 7 when 1 then 'M' when 2 then ' CM.' end"),
     }
     one = {k: F.struct(*(F.expr(e).alias(n) for e, n in zip(v, ("answer_type", "value", "values", "unit"), strict=True))) for k, v in sides.items()}
-    return table(spark, d, "documents").withColumns(one).select("doc_id", answers.typed_score(F.col("gold"), F.col("answer")).alias("score"))
+    return answers.with_typed_score(table(spark, d, "documents").withColumns(one), F.col("gold"), F.col("answer"), "score").select("doc_id", "score")
 
 
 @_register("""select doc_id, case when doc_id % 7 = 0 then 'unavailable' when doc_id % 11 = 0 or doc_id % 13 = 0 then 'error' when doc_id % 5 = 0 then 'indeterminate' when n_chars % 10 >= 5 then 'passed' else 'failed' end as verification_status from documents""")
@@ -485,4 +485,4 @@ def typed_equivalence(spark: SparkSession, d: str) -> DataFrame:
 
     nothing = [F.lit(None).cast("array<string>").alias("values"), F.lit(None).cast("string").alias("unit")]
     gold, answer = (F.struct(pick(n, False).alias("answer_type"), pick(n + 1, True).alias("value"), *nothing) for n in (0, 2))
-    return table(spark, d, "documents").select("doc_id", answers.typed_score(gold, answer).alias("score"))
+    return answers.with_typed_score(table(spark, d, "documents"), gold, answer, "score").select("doc_id", "score")

@@ -297,5 +297,5 @@ def pooled_verification(spark: SparkSession, d: str) -> DataFrame:
     extracted = lambda t, v: F.concat(F.lit(f'{{"status":"extracted","answer_type":"{t}","value":"'), v, F.lit('"}'))
     answer = F.when(k == 0, '{"status":"extracted","answer_type":"text","values":["a"," b "]}').when(k == 1, extracted("number", F.when(F.col("n_chars") % 2 == 0, n).otherwise("0"))).when(k == 2, '{"status":"ambiguous","answer_type":"other"}').when(k == 3, extracted("text", F.lit("x"))).otherwise(extracted("number", F.concat(n, F.lit(".0"))))
     reference = F.when(k == 3, extracted("text", F.lit("x"))).otherwise(extracted("number", n))
-    out = answers.verify_pooled(verification, answer, reference, F.lit(0.25))
-    return table(spark, d, "documents").withColumn("v", out).select("doc_id", "v.score", "v.reason", F.array_join(answers.answer_candidates(answer), ",").alias("candidates"), answers.reference_answer(verification).alias("told"))
+    rows = table(spark, d, "documents").withColumns({"verification_json": verification, "answer_json": answer, "reference_answer_json": reference})
+    return answers.verify_pooled(rows, "v", F.lit(0.25)).select("doc_id", "v.score", "v.reason", F.array_join(answers.answer_candidates(answer), ",").alias("candidates"), answers.reference_answer(verification).alias("told"))

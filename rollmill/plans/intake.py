@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollmill.functions.binding import bound
 from rollmill.functions.json_text import canonical_json, json_items, json_object, json_strings, whole_number
 from rollmill.functions.session import table
 from rollmill.operators import judge, puzzles, rollouts
@@ -156,7 +157,7 @@ def grid_scores(spark: SparkSession, d: str) -> DataFrame:
         numbers = F.when(k == 7, F.from_json(F.lit("[0,0,0,0,0,0,-5,5]"), "array<bigint>")).otherwise(grid["numbers"])
         return puzzles.score_grid(puzzle, numbers, answer)
 
-    score = table(spark, d, "documents").select("doc_id", puzzles.bound(puzzles.sum_grid(F.col("doc_id")), scored).alias("x"))
+    score = table(spark, d, "documents").select("doc_id", bound(puzzles.sum_grid(F.col("doc_id")), scored).alias("x"))
     return score.select("doc_id", F.col("x.score").alias("score"), F.col("x.reason").alias("reason"))
 
 

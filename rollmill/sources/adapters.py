@@ -206,8 +206,7 @@ class PoolAdapter:
         return mixed.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in SEED_COLUMNS))
 
     def verify(self, rows: DataFrame) -> DataFrame:
-        found = answers.verify_pooled(F.col("verification_json"), F.col("answer_json"), F.col("reference_answer_json"))
-        rows = rows.withColumn("_v", found)
+        rows = answers.verify_pooled(rows, "_v")
         return rows.withColumns({
             "verifier_available": F.col("verification_json").isNotNull(), "verifier_score": F.col("_v.score"), "verifier_error": F.lit(None).cast("string"), "verifier_reason": F.col("_v.reason"),
         }).drop("_v")

@@ -61,8 +61,7 @@ class PuzzleAdapter:
         entry = F.from_json("verification_json", "struct<entry: struct<answer: string, metadata: struct<puzzle: array<array<bigint>>, numbers: array<bigint>>>, source_dataset: string>")
         rows = rows.withColumn("_e", entry)
         rows = rows.withColumn("_s", answers.best_score(answers.answer_candidates(F.col("answer_json")), lambda x: puzzles.native_score(F.col("_e.source_dataset"), F.col("_e.entry.answer"), F.col("_e.entry.metadata"), x)))
-        found = answers.verify_pooled(F.col("verification_json"), F.col("answer_json"), F.col("reference_answer_json"), F.when(F.size(answers.answer_candidates(F.col("answer_json"))) > 0, F.col("_s")))
-        rows = rows.withColumn("_v", found)
+        rows = answers.verify_pooled(rows, "_v", F.when(F.size(answers.answer_candidates(F.col("answer_json"))) > 0, F.col("_s")))
         return rows.withColumns({"verifier_available": F.col("verification_json").isNotNull(), "verifier_score": F.col("_v.score"), "verifier_error": F.lit(None).cast("string"), "verifier_reason": F.col("_v.reason")}).drop("_e", "_s", "_v")
 
 
