@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import collapse
@@ -53,6 +53,15 @@ def throughput(rows: DataFrame, seconds: Column) -> DataFrame:
     return made.withColumns({**hour, "valid": F.col("generated") > 0})
 
 
+def run_report(spark: SparkSession, run_dir: str) -> DataFrame:
+    """throughput of a whole run's candidates over the time between its first and last stage markers; a run without generations is an error."""
+    times = spark.read.json([f"{run_dir}/phases/*.manifest", f"{run_dir}/answers/*.manifest", f"{run_dir}/*.manifest"]).agg(F.min("started_at_unix").alias("a"), F.max("completed_at_unix").alias("b")).first()
+    out = throughput(spark.read.parquet(f"{run_dir}/candidates"), F.lit(times.b - times.a))
+    if not out.first().generated:
+        raise ValueError(f"{run_dir} has no generations")
+    return out
+
+
 def search(rows: DataFrame, words: str = "", state: str = "all", source: str | None = None) -> DataFrame:
     """rows (question, response, id, source, selected) with the words in their texts, of a state (all, pass, reject) and a source."""
     text = F.lower(F.concat_ws(" ", "question", "response", "id", "source"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollmill.functions.ids import blank
 from rollmill.functions.session import checkpointed, small_side
 
 
@@ -42,6 +45,22 @@ def exactly_one(joined: DataFrame) -> DataFrame:
     return joined
 
 
+def calibrated(labels: DataFrame, rows: DataFrame, fields: list[str], observed: Callable[[Column], Column]) -> DataFrame:
+    """(category, expected, observed, n) of labels (id, prefix, field, category, expected) on rows (sample_id and the text fields).
+
+    Each prefix must belong to one row, and the field that a label names must not be blank there; otherwise it is an error that names some labels.
+    ``observed`` gives a verdict of a text.
+    """
+    matched = exactly_one(by_prefix(labels.select("id", "prefix").distinct(), rows.select("sample_id", *fields)))
+    text = F.lit(None).cast("string")
+    for name in fields:
+        text = F.when(F.col("field") == name, F.col(name)).otherwise(text)
+    pairs = checkpointed(labels.drop("prefix").join(matched.drop("prefix", "matches"), "id").select("id", "category", "expected", text.alias("text")))
+    if wrong := [r.id for r in pairs.where(blank(F.col("text"))).select("id").distinct().orderBy("id").limit(5).collect()]:
+        raise ValueError(f"labels of a blank text: {wrong}")
+    return confusion(pairs.withColumn("observed", observed(F.col("text"))))
+
+
 def curated(picks: DataFrame, rows: DataFrame) -> DataFrame:
     """picks (id) against rows (id, text, quote): whether each pick is an orphan, repeated, and its quote in its text."""
     counted = picks.groupBy("id").agg(F.count("*").alias("_n"))

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.session import shared_dir, table
-from rollmill.operators import graph, rollouts, schemas
+from rollmill.functions.tokenizers import token_counter
+from rollmill.operators import graph, hygiene, reports, rescoring, review, rollouts, schemas
 from rollmill.operators.judge import SEMANTIC
 from rollmill.plans import decisions
 from rollmill.plans.registry import register
 from rollmill.sources import builds
-from rollmill.sources.adapters import PoolAdapter, create_adapter
+from rollmill.sources.adapters import PoolAdapter, PoolSource, create_adapter, eligible
 from rollmill.sources.config import RunConfig
 from rollmill.sources.readers import array_rows
 
@@ -71,11 +72,14 @@ _SQL = _changed(
     case when k % 6 < 4 then 0 when (k // 6) % 2 = 0 then 1 else 2 end as judge_retry_count, case when literal then 'atomic_response_fallback' else 'model' end as candidate_answer_method, k % 10 <> 3 as has_outputs from f""")
 def staged_run(spark: SparkSession, d: str) -> DataFrame:
     """Candidates through all nine phases, with answers that were saved: extraction with its fallbacks, verification, critiques, hygiene, arbitration, two retries and the decision."""
+    return _staged(spark, d).select(*(c for c in STAGED if c != "has_outputs"), F.col("hygiene_raw_outputs_json").isNotNull().alias("has_outputs"))
+
+
+def _staged(spark: SparkSession, d: str) -> DataFrame:
     rows = decisions.candidates(spark, d).drop("answer_json", "reference_answer_json", "judge_raw_output", "hygiene_findings_json")
     run = graph.Run(spark, f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", graph.saved_answers(_saved_answers(spark, d)), waves=1)
     tables = run.through(rows, graph.decision_graph(PoolAdapter([])))
-    out = schemas.as_candidates(run.gathered(tables, [c for c in run.owner if c in schemas.CANDIDATE.names]))
-    return out.select(*(c for c in STAGED if c != "has_outputs"), F.col("hygiene_raw_outputs_json").isNotNull().alias("has_outputs"))
+    return schemas.as_candidates(run.gathered(tables, [c for c in run.owner if c in schemas.CANDIDATE.names]))
 
 
 STAGED = [
@@ -188,3 +192,87 @@ def _puzzle_models(spark: SparkSession, seeds: str) -> graph.Provider:
         return requests.select(*keys).join(known, "candidate_id").select(*keys, text.get(name, F.lit("")).alias("text"), F.lit("stop").alias("finish_reason"), F.lit(7).alias("num_generated_tokens"))
 
     return provide
+
+
+# Texts with planted runs of words and numbers: by doc_id % 4, words that never come back and a number five times; 64 words twice; 64 words three times; 128 words twice.
+_PLANTED_SQL = """with w as (select doc_id, n_chars, doc_id % 4 as k, array_to_string(list_transform(range(200), lambda i: 'u' || doc_id || '_' || i), ' ') as words,
+        array_to_string(list_transform(range(case when doc_id % 4 = 3 then 128 else 64 end), lambda i: 'w' || n_chars || '_' || i), ' ') as run from documents),
+    p as (select *, case k when 0 then words || repeat(' ' || n_chars || '.123456789', 5) when 2 then run || ' ' || run || ' ' || run else run || ' ' || run end as planted from w)"""
+
+
+def _planted(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    n, own = F.col("n_chars").cast("string"), F.col("doc_id").cast("string")
+    words = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(199)), lambda i: F.concat(F.lit("u"), own, F.lit("_"), i.cast("string"))), " ")
+    run = F.array_join(F.transform(F.sequence(F.lit(0), F.when(k == 3, 127).otherwise(63)), lambda i: F.concat(F.lit("w"), n, F.lit("_"), i.cast("string"))), " ")
+    text = F.when(k == 0, F.concat(words, F.repeat(F.concat(F.lit(" "), n, F.lit(".123456789")), F.lit(5)))).when(k == 2, F.concat_ws(" ", run, run, run)).otherwise(F.concat_ws(" ", run, run))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), F.col("doc_id"), text.alias("reasoning"))
+
+
+@register(f"""{_PLANTED_SQL}, s as (select *, length(words) + 1 as first_at, length(words) + 1 + 4 * length(' ' || n_chars || '.123456789') as last_at, length(planted) as whole from p)
+    select doc_id as candidate_id, c as category, case when c = 'repetition' and k > 0 then left(run, 500) when c in ('circular_rechecking', 'no_new_progress') and k = 0
+        then n_chars || '.123456789 at 5 places from ' || round(100 * first_at / whole)::int || '% to ' || round(100 * last_at / whole)::int || '%' end as signal
+    from s, (values ('repetition'), ('circular_rechecking'), ('no_new_progress'), ('unresolved_branch')) as t(c)""")
+def planted_signals(spark: SparkSession, d: str) -> DataFrame:
+    """What reviewers are told about traces with planted runs of words and numbers, category by category."""
+    return hygiene.requests_with_signals(_planted(spark, d), "reasoning").select("candidate_id", "category", "signal")
+
+
+@register(f"""{_PLANTED_SQL} select 'repetition' as category, case when doc_id % 3 = 0 then 'clear' else 'defect' end as expected, case when (case when doc_id % 5 = 0 then 0 else k end) >= 2 then 'defect' else 'clear' end as observed, count(*) as n from p where doc_id % 2 = 0 group by all""")
+def calibrated_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    """Labels on prefixes of ids and on one of two texts, of which every prefix has one row, against what the check says of the text."""
+    rows = _planted(spark, d).select(F.sha2(F.concat(F.lit("row"), F.col("doc_id").cast("string")), 256).alias("sample_id"), "doc_id", "reasoning", F.lit("a short draft").alias("draft_generation"))
+    labels = rows.where("doc_id % 2 = 0").select(
+        F.col("doc_id").alias("id"), F.left("sample_id", (F.lit(40) + F.col("doc_id") % 20).cast("int")).alias("prefix"), F.when(F.col("doc_id") % 5 == 0, "draft_generation").otherwise("reasoning").alias("field"),
+        F.lit("repetition").alias("category"), F.when(F.col("doc_id") % 3 == 0, "clear").otherwise("defect").alias("expected"),
+    )
+    return review.calibrated(labels, rows, ["reasoning", "draft_generation"], hygiene.repetition_verdict)
+
+
+_BAND, _SUBSET = "coalesce(case when doc_id % 7 <> 0 then lang end, 'None')", "coalesce(case when doc_id % 5 <> 0 then source end, 'None')"
+
+
+@register(f"select doc_id, {_BAND} as difficulty_band, {_SUBSET} as subset from documents where {_BAND} in ('en', 'None') and {_SUBSET} in ('src1', 'src2', 'None') and n_chars % 3 = 1")
+def eligible_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the wanted bands, subsets and domains; a null band or subset is the text None."""
+    rows = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("difficulty_band"), F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("subset"), (F.col("n_chars") % 3).alias("domain"))
+    found = eligible(rows, PoolSource("p", bands={"en": 1.0, "None": 1.0}, subsets=["src1", "src2", "None"], domains=["1"]))
+    return found.select("doc_id", "difficulty_band", F.coalesce("subset", F.lit("None")).alias("subset"))
+
+
+def _replaced(x: str, *pairs: tuple[str, str]) -> str:
+    for a, b in pairs:
+        x = f"replace({x}, {a}, {b})"
+    return x
+
+
+@register(f"""select doc_id, sha256({_replaced("text || '</script>' || chr(8232)", ("'<'", "'\\u003c'"), ("chr(8232)", "'\\u2028'"), ("chr(8233)", "'\\u2029'"))}) as embedded_id,
+    sha256({_replaced("text || '&<>\"' || chr(39)", ("'&'", "'&amp;'"), ("'<'", "'&lt;'"), ("'>'", "'&gt;'"), ("'\"'", "'&quot;'"), ("chr(39)", "'&#x27;'"))}) as html_id from documents""")
+def page_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts as they stand in a page and in a script of one."""
+    rows = table(spark, d, "documents")
+    return rows.select("doc_id", F.sha2(reports.embedded_json(F.concat("text", F.lit("</script>" + chr(0x2028)))), 256).alias("embedded_id"), F.sha2(reports.html_text(F.concat("text", F.lit("&<>\"'"))), 256).alias("html_id"))
+
+
+@register("select doc_id, lang, null::varchar as source, sha256(text) as text_id from documents where doc_id % 2 = 0 union all select doc_id, null, source, sha256(text) from documents where doc_id % 2 = 1")
+def unioned_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Tables of two versions in one; each lacks a column that the other has."""
+    rows = table(spark, d, "documents").withColumn("text_id", F.sha2("text", 256))
+    parts = [rows.where("doc_id % 2 = 0").select("doc_id", "lang", "text_id"), rows.where("doc_id % 2 = 1").select("source", "text_id", "doc_id")]
+    return schemas.union_all(parts).select("doc_id", "lang", "source", "text_id")
+
+
+@register(f"{_SQL} select candidate_id, turn as candidate_index, quality_score, null::varchar as judge_raw_output, null::bigint as judge_retry_count, 60 as n_columns from f")
+def void_judgements(spark: SparkSession, d: str) -> DataFrame:
+    """Decided rows with all fields of candidates, in their order and types, and a judge's work void."""
+    out = schemas.without_judgement(_staged(spark, d))
+    return out.select("candidate_id", "candidate_index", "quality_score", "judge_raw_output", "judge_retry_count", F.lit(len(out.columns)).alias("n_columns"))
+
+
+@register()
+def tokens_by_model(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates parsed again, their tokens counted by a public vocabulary."""
+    import public_tokenizers
+
+    rows = rescoring.reparsed(decisions.candidates(spark, d), token_counter(str(public_tokenizers.path("piece_bpe_32k.model"))))
+    return rows.select("candidate_id", "reasoning_num_tokens", "response_num_tokens")

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rollmill.operators import graph, puzzles
+from rollmill.operators import graph, puzzles, reports, review
 from rollmill.sources import builds, sinks
 from rollmill.sources.adapters import PoolAdapter, create_adapter
 from rollmill.sources.config import RunConfig
@@ -158,6 +158,8 @@ def test_a_whole_run(spark, tmp_path):
         folder = graph.whole_run(spark, config, provider, mode)
         assert spark.read.parquet(folder).count() == 8 and spark.conf.get("spark.sql.files.maxPartitionBytes") == size
     assert provider.calls == 0 and spark.read.parquet(f"{tmp_path}/r/candidates").where("raw_generation = 'no scores'").count() == 8
+    (told,) = reports.run_report(spark, f"{tmp_path}/r").collect()
+    assert (told.samples, told.generated, told.valid) == (4, 8, True) and told.seconds > 0 and told.generated_per_hour == pytest.approx(8 * 3600 / told.seconds)
     with pytest.raises(RuntimeError, match="another configuration"):
         graph.whole_run(spark, RunConfig("r", f"file://{tmp_path}", "puzzles", {}, seed=6, num_samples=4), provider)
 
@@ -176,3 +178,27 @@ def test_a_failed_polish(spark, tmp_path, mode, want):
 def test_store_tells_parts(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/x")
     assert sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/x") and not sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/y")
+
+
+def test_calibration_asks_for_one_row_and_a_text(spark):
+    rows = spark.createDataFrame([("abc1", "t", None), ("abd2", " ", "u")], "sample_id string, reasoning string, draft_generation string")
+    label = lambda *r: spark.createDataFrame(list(r), "id int, prefix string, field string, category string, expected string")
+    seen = lambda x: F.when(x == "t", "clear").otherwise("defect")
+    ok = label((1, "abc", "reasoning", "repetition", "clear"), (2, "abd2", "draft_generation", "repetition", "clear"))
+    assert sorted(tuple(r) for r in review.calibrated(ok, rows, ["reasoning", "draft_generation"], seen).collect()) == [("repetition", "clear", "clear", 1), ("repetition", "clear", "defect", 1)]
+    for wrong in (label((1, "ab", "reasoning", "c", "clear")), label((1, "x", "reasoning", "c", "clear")), label((1, "abd", "reasoning", "c", "clear")), label((1, "abc", "draft_generation", "c", "clear"))):
+        with pytest.raises(ValueError):
+            review.calibrated(wrong, rows, ["reasoning", "draft_generation"], seen).collect()
+
+
+def test_tokens_by_a_vocabulary(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    from rollmill.functions.tokenizers import token_counter
+
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [None, "", "one two", "x" * 300, "Ünïcode 漢字"]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", token_counter(path)(F.col("t")).alias("n")).orderBy("k").collect()
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert [r.n for r in got] == [None if t is None else len(model.encode(t)) for t in texts]
