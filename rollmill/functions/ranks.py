@@ -23,13 +23,13 @@ def ranked(df: DataFrame, order: list[Column], group: list[str] | None = None, n
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id())
     rows = checkpointed(rows.withColumn(part, F.shiftrightunsigned(at, _PLACES)))
     counts = rows.groupBy(part, *group).agg(F.count("*").alias("n"), F.min(at).alias("first"))
-    counts = checkpointed(counts)
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col(part).alias("p"), *[F.col(g).alias(f"g{k}") for k, g in enumerate(group)], (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias(before))
+    counts = checkpointed(counts.select(F.col(part).alias("p"), *[F.col(g).alias(f"g{k}") for k, g in enumerate(group)], (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias(before)))
     same = F.col(part) == F.col("p")
     for k, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"g{k}"))
-    out = rows.join(small_side(counts, counts.count(), 256), same)
+    size = counts.agg(F.count("*").alias("n"), *(F.max(F.octet_length(F.col(f"g{k}").cast("string"))).alias(f"g{k}") for k in range(len(group)))).first()
+    out = rows.join(small_side(counts, size.n, 64 + sum(v or 0 for v in size[1:])), same)
     return out.withColumn(name, F.col(at) + F.col(before)).select(*df.columns, name)
 
 
