@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.ranks import ranked
-from rollmill.functions.session import checkpointed, ship
+from rollmill.functions.session import checkpointed, ship, small_side
 
 FAN = 8
 #: Fields of a leaf, in this order.
@@ -113,10 +113,11 @@ def manifest(docs: DataFrame, tampered: Column, altered: Column) -> DataFrame:
     slim = own.select(F.col("doc_id").alias("id"), F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")).alias("tree"), leaf_digest().alias("digest"), F.when(tampered, leaf_digest(text=altered)).alias("other"))
     slim = ranked(checkpointed(slim), [F.col("tree"), F.col("id"), F.col("digest")], ["tree"], "lo")
     sizes = checkpointed(slim.groupBy("tree").agg(F.count("*").alias("n")))
-    leaves = checkpointed(slim.join(F.broadcast(sizes) if sizes.count() < 1 << 16 else sizes, "tree").withColumn("hi", F.col("lo") + 1))
+    size = sizes.agg(F.count("*").alias("n"), F.max(F.octet_length("tree")).alias("longest")).first()
+    leaves = checkpointed(slim.join(small_side(sizes, size.n, 64 + (size.longest or 0)), "tree").withColumn("hi", F.col("lo") + 1))
     levels = build(leaves)
     subroots = ranked(checkpointed(roots(leaves, levels)), [F.col("tree")], name="lo")
-    above = checkpointed(subroots.select(F.col("tree").alias("group"), F.lit("").alias("tree"), F.lit(sizes.count()).cast("bigint").alias("n"), "lo", (F.col("lo") + 1).alias("hi"), "digest"))
+    above = checkpointed(subroots.select(F.col("tree").alias("group"), F.lit("").alias("tree"), F.lit(size.n).cast("bigint").alias("n"), "lo", (F.col("lo") + 1).alias("hi"), "digest"))
     over = build(above)
     found = roots(above, over).first()
     root = found.digest if found else None

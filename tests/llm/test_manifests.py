@@ -251,3 +251,69 @@ def test_contract_queries_hold_out_rows_without_ids(spark, tmp_path):
         assert len(got) == 82 and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     assert len(queries.op11_quality_rules(spark, str(tmp_path)).collect()) == 82
     assert len(queries.op13_manifest(spark, str(tmp_path)).collect()) == 82
+
+
+def test_quality_scores_match_plain_features():
+    """The sum of weights over each word and its looks, text by text."""
+    from rollmill.llm import quality
+    from rollmill.llm.text import hash_ranges, pieces
+
+    rng = random.Random(9)
+    made = [" ".join(rng.choice(["The", "the", "ABC!", "x", "|", "###", "w12", "longwordlongwordlong", "é", "and,", "twice-said"]) for _ in range(rng.randrange(0, 40))) for _ in range(60)] + [None, "", "  "]
+    weight = np.random.default_rng(1).normal(size=1 << quality.BITS)
+    top = (1 << quality.BITS) - quality.LOOKS
+
+    def word_hash(w: bytes, lower: bool) -> int:
+        return int(hash_ranges(np.frombuffer(w + b" ", np.uint8), np.array([0]), np.array([len(w)]), lower)[0])
+
+    def plain(text):
+        words = (text or "").encode().split()
+        share, folded = Counter(), [w.lower() for w in words]
+        for k, w in enumerate(words):
+            upper, digit = sum(65 <= c <= 90 for c in w), sum(48 <= c <= 57 for c in w)
+            letter = upper + sum(97 <= c <= 122 or c >= 128 for c in w)
+            sign = len(w) - letter - digit
+            looks = [upper > 1 and upper == letter, digit > 0, sign == 1, sign == 2, sign >= 3, k > 0 and folded[k] == folded[k - 1], folded[k] in folded[:k] and len(w) > 6, len(w) <= 2, len(w) >= 16, letter == 0]
+            share[word_hash(w, False) % top] += 1 / len(words)
+            for j, on in enumerate(looks):
+                share[top + j] += on / len(words)
+        share[top + len(looks) if words else top + 10] += not words
+        share[top + 11] += len(words) < 8
+        return sum(weight[b] * (10 * s if b >= top else math.sqrt(s)) for b, s in share.items())
+
+    import pyarrow as pa
+
+    got = np.concatenate([quality.scores(weight, p) for p in pieces(pa.array(made, pa.string()), limit=500)])
+    assert np.allclose(got, [plain(t) for t in made])
+
+
+def test_quality_fit_is_where_the_likelihood_is_flat():
+    """Weights and thresholds of a small fit: no nearby ones have a likelihood that is better by more than the fit's own last steps."""
+    import pyarrow as pa
+
+    from rollmill.llm import quality
+    from rollmill.llm.text import pieces
+
+    rng = random.Random(3)
+    grades = [k % 3 for k in range(90)]
+    made = [" ".join(rng.choice(["bad", "word"] if g == 0 else ["fair", "word"] if g == 1 else ["good", "word"]) for _ in range(20)) for g in grades]
+    sample, totals = pa.table({"grade": pa.array(grades, pa.int32()), "text": made}), {0: 30, 1: 30, 2: 30}
+    model = quality.fit(sample, totals)
+    assert (np.diff(model.thresholds) > 0).all()
+
+    def loss(weight, thresholds, decay=2e-4):
+        x = np.concatenate([quality.scores(weight, p) for p in pieces(sample.column("text"))])
+        above = np.concatenate([np.ones((90, 1)), 1 / (1 + np.exp(-(x[:, None] - thresholds[None]))), np.zeros((90, 1))], 1)
+        g = np.array(grades)
+        return -np.log(above[np.arange(90), g] - above[np.arange(90), g + 1]).mean() + decay / 2 * (weight**2).sum()
+
+    base = loss(model.weight.astype(float), model.thresholds)
+    start = loss(np.zeros(1 << quality.BITS), np.array([-0.7, 0.7]))
+    assert base < 0.2 * start
+    used = np.flatnonzero(np.abs(model.weight) > 0.05)
+    for b in used[:6]:
+        for step in (-0.05, 0.05):
+            moved = model.weight.astype(float)
+            moved[b] += step
+            assert loss(moved, model.thresholds) > base - 2e-3
+    assert np.argmax([loss(model.weight.astype(float), model.thresholds + s) for s in (-1.0, 0.0, 1.0)]) != 1
