@@ -219,7 +219,7 @@ def generation_graph(mode: str = "direct") -> list[Phase]:
     return [Phase("generate", ("user_prompt", "system_prompt"), (*drafts, "generation_error"), _generate(mode)), Phase("polish", drafts, ("raw_generation", "finish_reason", "num_generated_tokens"), _polish(mode))]
 
 
-def whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str = "direct", model: str = "model", slots: int = 1) -> str:
+def whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str = "direct", model: str = "model", slots: int = 1, waves: int = 4) -> str:
     """Seeds, candidates, generations, decisions and the table for training below the run's folder, whose path it returns; each is written once.
 
     A run that was stopped goes on where it was; another configuration in the same folder is an error. As many candidates as seeds and rollouts say must be there.
@@ -230,16 +230,16 @@ def whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode:
     try:
         for name, size in sizes.items():
             spark.conf.set(name, size)
-        return _whole_run(spark, config, provider, mode, model, slots)
+        return _whole_run(spark, config, provider, mode, model, slots, waves)
     finally:
         for name, size in before.items():
             spark.conf.set(name, size)
 
 
-def _whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str, model: str, slots: int) -> str:
+def _whole_run(spark: SparkSession, config: RunConfig, provider: Provider, mode: str, model: str, slots: int, waves: int) -> str:
     seeds = spark.read.parquet(prepare(spark, config, slots=slots))
     rows = rollouts.fan_out(seeds, config.rollouts_per_prompt, config.seed).withColumn("model", F.lit(model))
-    run = Run(spark, config.run_dir, provider, resume=config.resume)
+    run = Run(spark, config.run_dir, provider, waves, config.resume)
     tables = run.through(rows, [*generation_graph(mode), *decision_graph(create_adapter(config.adapter, **config.params), config.verifier_threshold, config.analysis_samples)])
     rollouts.checked(rows, tables["finalize"])
     done = run_stage(schemas.as_candidates(run.gathered(tables, [c for c in run.owner if c in schemas.CANDIDATE.names])), f"{config.run_dir}/candidates", KEY, config.resume)

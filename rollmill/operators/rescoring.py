@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.functions.ids import blank
@@ -95,8 +95,22 @@ def rejudged(saved: DataFrame, judged: DataFrame, adapter, threshold: float = 1.
     """
     from rollmill.operators.schemas import without_judgement
 
-    one = judged.groupBy("candidate_id").agg(F.min_by(F.struct("judge_raw_output", "hygiene_findings_json"), F.coalesce("judge_raw_output", F.lit(""))).alias("_new"))
+    # of several judgements of a candidate the smallest counts, by both texts
+    one = judged.groupBy("candidate_id").agg(F.min(F.struct("judge_raw_output", "hygiene_findings_json")).alias("_new"))
     rows = without_judgement(saved).join(one, "candidate_id", "left")
     rows = rows.withColumns({"judge_raw_output": F.col("_new.judge_raw_output"), "hygiene_findings_json": F.col("_new.hygiene_findings_json")}).drop("_new")
     again = finalized(verified(rows, adapter, threshold))
     return again, review.decision_diff(saved, again, ["quality_score", "productivity_filtered_eligible"])
+
+
+def rejudge_saved(spark: SparkSession, saved: str, judged: DataFrame, out: str, adapter, threshold: float = 1.0) -> dict[str, int]:  # noqa: ANN001
+    """rejudged over a saved table, published with its changes below ``out``, and counts of both. A folder that is there already is an error, and stays as it is."""
+    from rollmill.operators.schemas import CANDIDATE
+    from rollmill.sources.sinks import Store, publish
+
+    if Store(spark, out).exists(out):
+        raise FileExistsError(out)
+    again, changes = rejudged(spark.read.parquet(saved), judged, adapter, threshold)
+    again = checkpointed(again.select(*(c for c in again.columns if c in CANDIDATE.names)))
+    rows = publish(again, f"{out}/candidates")["rows"]
+    return {"rows": rows, "changed": publish(changes, f"{out}/changes", least=0)["rows"]}

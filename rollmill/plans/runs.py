@@ -171,7 +171,7 @@ def puzzle_run(spark: SparkSession, d: str) -> DataFrame:
     """A run from its configuration to the table for training: as many puzzles as documents, two candidates each, of which the first is right, and judges that can tell."""
     n = table(spark, d, "documents").count()
     config = RunConfig("puzzles", f"{shared_dir(spark)}/run-{uuid.uuid4().hex}", "puzzles", {"chunk": 100}, seed=17, num_samples=n, rollouts_per_prompt=2)
-    folder = graph.whole_run(spark, config, _puzzle_models(spark, builds.prepare(spark, config)), mode="direct_polish")
+    folder = graph.whole_run(spark, config, _puzzle_models(spark, builds.prepare(spark, config)), mode="direct_polish", waves=1)
     rows = spark.read.parquet(folder)
     return rows.groupBy("source", F.col("productivity_filtered_eligible").alias("eligible"), "quality_score", "correctness_verdict").agg(F.count("*").alias("n"))
 

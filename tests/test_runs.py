@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from rollmill.operators import graph, puzzles, reports, review
+from rollmill.operators import graph, puzzles, reports, rescoring, review
 from rollmill.sources import builds, sinks
 from rollmill.sources.adapters import PoolAdapter, create_adapter
 from rollmill.sources.config import RunConfig
@@ -175,6 +175,18 @@ def test_a_failed_polish(spark, tmp_path, mode, want):
     assert r.raw_generation == want
 
 
+def test_saved_rows_are_judged_again_in_a_folder_of_their_own(spark, tmp_path):
+    rows, phases = candidates(spark, 3), graph.decision_graph(PoolAdapter([]), samples=1)
+    run = graph.Run(spark, f"file://{tmp_path}/run", Provider(spark, tmp_path / "asked"), waves=1)
+    saved = run.gathered(run.through(rows, phases), [c for c in run.owner if c != "candidate_id"])
+    saved.write.parquet(f"{tmp_path}/saved")
+    judged = spark.createDataFrame([("c0", "b", None), ("c0", "b", "[]"), ("c1", None, None)], "candidate_id string, judge_raw_output string, hygiene_findings_json string")
+    got = rescoring.rejudge_saved(spark, f"{tmp_path}/saved", judged, f"{tmp_path}/again", PoolAdapter([]))
+    assert got == {"rows": 3, "changed": 3} and spark.read.parquet(f"{tmp_path}/again/changes").where("new_quality_score = 0").count() == 3
+    with pytest.raises(FileExistsError):
+        rescoring.rejudge_saved(spark, f"{tmp_path}/saved", judged, f"{tmp_path}/again", PoolAdapter([]))
+
+
 def test_store_tells_parts(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/x")
     assert sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/x") and not sinks.Store(spark, f"{tmp_path}/x").parts(f"{tmp_path}/y")
