@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from pathlib import Path
@@ -56,6 +57,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffles and checkpoints that nothing refers to any more.
+
+    It does so when garbage of the driver is collected, which rounds of small jobs don't bring about by themselves, so that their files pile up.
+    """
+    gc.collect()  # Python's references to Spark's objects first
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark a side for broadcast when its known row count keeps it under BROADCAST_BYTES; else leave it to a shuffle."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
