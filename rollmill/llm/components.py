@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.functions.session import checkpointed
+from rollmill.functions.session import checkpointed, release
 
 
 def _toward_smaller(links: DataFrame) -> DataFrame:
@@ -37,4 +37,5 @@ def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = (seen.n, seen.h)
         now = checkpointed(_stars(now))
+        release(links.sparkSession)  # of the rounds before
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.functions.session import checkpointed, ship, small_side
+from rollmill.functions.session import checkpointed, release, ship, small_side
 from rollmill.llm.components import components
 from rollmill.llm.text import U64, mix, pieces, shingle_hashes
 
@@ -284,6 +284,7 @@ def _labelled(docs: DataFrame, width: int, percent: int, sketch: Sketch = regist
     pairs = in_groups.where("id <> lead").select(F.col("lead").alias("u"), F.col("id").alias("v")).distinct()
     links = checkpointed(_verified(checkpointed(_estimated(pairs, classes, percent, chance)), classes, docs, width, percent))
     roots = components(links)
+    release(docs.sparkSession)
 
     member = in_groups.where("members > 2").join(roots.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "lead", F.coalesce("root", "id").alias("root"))
     across = checkpointed(_across(member, classes, docs, width, percent, chance))
