@@ -21,6 +21,7 @@ import math
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +52,13 @@ LANES, WINDOW = 512, 32
 #: Words that a task holds before it scores them.
 HELD_WORDS = 1 << 22
 RATE = 0.02
+#: Logits within this bound need no shift before they are exponentiated: 64 of the largest or smallest exponentials are float32 numbers.
+SAFE_EXPONENT = 60.0
 #: Parameters in one row of the exchange that averages them.
 CHUNK = 1 << 14
 _COUNT_PIECE = 1 << 23
+#: Places after its beginning's first one at which a hash is looked for before it is searched.
+LOOKS = 16
 
 
 @dataclass
@@ -70,6 +75,29 @@ class Vocabulary:
     start_class: np.ndarray  # log shares of the classes
     start_word: np.ndarray  # log shares of the words in their class
 
+    @cached_property
+    def starts(self) -> tuple[int, np.ndarray]:
+        """So many low bits of a hash aside: where words of each beginning start, about one word to a beginning."""
+        bits = max(1, len(self.words).bit_length())
+        return 64 - bits, np.searchsorted(self.words, np.arange(1 << bits, dtype=U64) << U64(64 - bits)).astype(np.int32)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Of each hash its place in the table, or -1."""
+        if not len(self.words):
+            return np.full(len(words), -1)
+        shift, starts = self.starts
+        last = len(self.words) - 1
+        at = np.minimum(starts[(words >> U64(shift)).astype(np.int64)], last).astype(np.int64)
+        left = np.flatnonzero(self.words[at] < words)
+        for _ in range(LOOKS):  # hashes are spread evenly: most are found at once
+            if not len(left):
+                break
+            left = left[at[left] < last]
+            at[left] += 1
+            left = left[self.words[at[left]] < words[left]]
+        at[left] = np.minimum(np.searchsorted(self.words, words[left]), last)
+        return np.where(self.words[at] == words, at, -1)
+
 
 def ending(piece: Piece) -> np.ndarray:
     """The class of a word's spelling, by its last two bytes."""
@@ -85,8 +113,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch.column(0), limit=_COUNT_PIECE):
-                words, at, n = np.unique(piece.hashes(), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(ending(piece)[at].astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "ending", "n"])
+                words = piece.hashes()
+                order = np.argsort(words)  # any occurrence has the word's ending
+                words = words[order]
+                at = np.flatnonzero(np.diff(words, prepend=~words[:1]))
+                yield pa.RecordBatch.from_arrays([pa.array(words[at].view(np.int64)), pa.array(ending(piece)[order[at]].astype(np.int32)), pa.array(np.diff(at, append=len(words)))], ["word", "ending", "n"])
 
     ship(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word bigint, ending int, n bigint")
@@ -136,12 +167,9 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
 def symbols_of(v: Vocabulary, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word: its symbol (vocabulary, else its ending's), its place in the table or -1, and its hash."""
     words = piece.hashes()
-    at = np.searchsorted(v.words, words)
-    at[at == len(v.words)] = 0
-    known = v.words[at] == words if len(v.words) else np.zeros(len(words), bool)
-    at = np.where(known, at, -1)
+    at = v.places(words)
     symbol = v.symbols[at] if len(v.words) else np.full(len(words), -1, np.int16)
-    return np.where(known & (symbol >= 0), symbol, VOCABULARY + ending(piece)).astype(np.int16), at, words
+    return np.where((at >= 0) & (symbol >= 0), symbol, VOCABULARY + ending(piece)).astype(np.int16), at, words
 
 
 SHAPES = {"gate": (SYMBOLS, 3 * HIDDEN), "step": (HIDDEN, 3 * HIDDEN), "class": (HIDDEN, ALL_CLASSES), "class_0": (ALL_CLASSES,), "word": (VOCABULARY, HIDDEN), "word_0": (VOCABULARY,)}
@@ -166,55 +194,95 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 def _class_of(symbol: np.ndarray) -> np.ndarray:
     return np.where(symbol < VOCABULARY, symbol // CLASS_WORDS, symbol - VOCABULARY + CLASSES)
 
 
+def _log_shares(x: np.ndarray, at: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log of each row's softmax at ``at``, and the sum of the row's exponentials, which take the place of x. No entry is beyond +-``most``."""
+    if most > SAFE_EXPONENT:
+        x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return own - np.log(total), total
+
+
 def _outputs(p: dict[str, np.ndarray], state: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """log P (natural) of each target's class, and word where the network has it; with ``grads`` also the states' gradient of -log P."""
-    rows = np.arange(len(target))
-    kind = _class_of(target)
-    x = state @ p["class"] + p["class_0"]
-    x -= x.max(1, keepdims=True)
-    e = np.exp(x)
-    total = e.sum(1)
-    out = x[rows, kind] - np.log(total)
-    back = None
-    if grads is not None:
-        e /= total[:, None]
-        e[rows, kind] -= 1
-        grads["class"] += state.T @ e
-        grads["class_0"] += e.sum(0)
-        back = e @ p["class"].T
+    kind, w = _class_of(target), state.shape[1]
     order = np.argsort(kind, kind="stable")
-    cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        mine = order[cut[c] : cut[c + 1]]
-        if not len(mine):
-            continue
-        own = slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)
-        h, which, k = state[mine], target[mine] - c * CLASS_WORDS, np.arange(len(mine))
-        x = h @ p["word"][own].T + p["word_0"][own]
-        x -= x.max(1, keepdims=True)
-        e = np.exp(x)
-        total = e.sum(1)
-        out[mine] += x[k, which] - np.log(total)
-        if grads is not None:
-            e /= total[:, None]
-            e[k, which] -= 1
-            grads["word"][own] += e.T @ h
-            grads["word_0"][own] += e.sum(0)
-            back[mine] += e @ p["word"][own]
+    kind = kind[order]
+    cut = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    n, rows = cut[-1], np.arange(len(target))  # the first n are words of the network
+    h = np.ones((len(target), w + 1), state.dtype)  # with a one for the constants
+    h[:, :w] = state[order]
+    to_class, to_word = np.vstack([p["class"], p["class_0"]]), np.column_stack([p["word"], p["word_0"]])
+    most = max(1.0, float(np.abs(state).max(initial=0))) * float(max(np.abs(to_class).sum(0).max(), np.abs(to_word).sum(1).max()))
+    x = h @ to_class
+    found, total = _log_shares(x, kind, most)
+    mine = [(slice(cut[c], cut[c + 1]), slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)) for c in range(CLASSES) if cut[c] < cut[c + 1]]
+    e, inside = np.empty((n, CLASS_WORDS), state.dtype), target[order[:n]] % CLASS_WORDS
+    for here, own in mine:
+        np.matmul(h[here], to_word[own].T, out=e[here])
+    more, all_words = _log_shares(e, inside, most)
+    found[:n] += more
+    out, back = np.empty_like(found), None
+    out[order] = found
+    if grads is not None:
+        # (share - 1 at the target) times the state, the division by the sum being left to the narrower factor
+        x[rows, kind] -= total
+        e[rows[:n], inside] -= all_words
+        total, all_words = 1 / total[:, None], 1 / all_words[:, None]
+        g = (h * total).T @ x
+        grads["class"] += g[:w]
+        grads["class_0"] += g[w]
+        sorted_back = (x @ p["class"].T) * total
+        h, to_state = h[:n] * all_words, np.empty((n, w), state.dtype)
+        for here, own in mine:
+            g = e[here].T @ h[here]
+            grads["word"][own] += g[:, :w]
+            grads["word_0"][own] += g[:, w]
+            np.matmul(e[here], p["word"][own], out=to_state[here])
+        to_state *= all_words
+        sorted_back[:n] += to_state
+        back = np.empty_like(sorted_back)
+        back[order] = sorted_back
     return out, back
 
 
+def _states(p: dict[str, np.ndarray], h: np.ndarray, symbol: np.ndarray, first: np.ndarray, gates: bool) -> tuple[np.ndarray, ...]:
+    """The states before each step of a window, and after it; with ``gates`` between these also the gates, new states and products of each step, otherwise of the last.
+
+    States are (width, lanes), so that a gate is one run of memory.
+    """
+    (size, n), w = symbol.shape, h.shape[0]
+    kept = size if gates else 1
+    prev, zr, news, ys = (np.empty((m, k, n), h.dtype) for m, k in ((size, w), (kept, 2 * w), (kept, w), (kept, 3 * w)))
+    x = np.take(p["gate"].T.copy(), symbol.ravel(), axis=1, mode="clip").reshape(3 * w, size, n)
+    step = p["step"].T.copy()
+    step[: 2 * w] *= -1  # a sigmoid needs its argument negated
+    keep, starts = (~first).astype(h.dtype), first.any(1).tolist()
+    for t in range(size):
+        k = t if gates else 0
+        if starts[t]:
+            h = h * keep[t]
+        prev[t] = h
+        y, gate, new = ys[k], zr[k], news[k]
+        np.matmul(step, h, out=y)
+        np.subtract(y[: 2 * w], x[: 2 * w, t], out=gate)
+        np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)
+        np.multiply(gate[w:], y[2 * w :], out=new)
+        new += x[2 * w :, t]
+        np.tanh(new, out=new)
+        h = h - new
+        h *= gate[:w]
+        h += new
+    return prev, zr, news, ys[:, 2 * w :], h
+
+
 class Lanes:
     """Texts to score laid end to end in lanes of about equal length, the longest lanes first."""
 
@@ -254,66 +322,55 @@ def text_scores(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray
         return np.zeros(0)
     lanes = Lanes(texts, LANES)
     out = np.zeros(lanes.symbol.shape, np.float32)
-    h, width = np.zeros((lanes.symbol.shape[1], HIDDEN), np.float32), HIDDEN
-    gate, step = p["gate"], p["step"]
+    h = np.zeros((HIDDEN, lanes.symbol.shape[1]), np.float32)
     for a, b, n in lanes.windows(WINDOW):
-        h = h[:n]
-        states = np.empty((b - a, n, HIDDEN), np.float32)
-        for t in range(a, b):
-            h = h * ~lanes.first[t, :n, None]
-            states[t - a] = h
-            x, y = gate[lanes.symbol[t, :n]], h @ step
-            zr = _sigmoid(x[:, : 2 * width] + y[:, : 2 * width])
-            z = zr[:, :width]
-            new = np.tanh(x[:, 2 * width :] + zr[:, width:] * y[:, 2 * width :])
-            h = new + z * (h - new)
-        out[a:b, :n] = _outputs(p, states.reshape(-1, HIDDEN), lanes.symbol[a:b, :n].ravel())[0].reshape(b - a, n)
+        states, *_, h = _states(p, h[:, :n], lanes.symbol[a:b, :n], lanes.first[a:b, :n], False)
+        states = states.transpose(0, 2, 1).reshape(-1, HIDDEN)
+        out[a:b, :n] = _outputs(p, states, lanes.symbol[a:b, :n].ravel())[0].reshape(b - a, n)
     return lanes.sums(out)
 
 
 def window_grads(p: dict[str, np.ndarray], h: np.ndarray, symbol: np.ndarray, first: np.ndarray, live: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Gradients of the sum of -log P over a window (steps, lanes), the gradient cut at its start, and the states at its end.
+    """Gradients of the sum of -log P over a window (steps, lanes), the gradient cut at its start, and the states (lanes, width) at its end.
 
     ``first`` marks a text's first token, before which the state is zero; ``live`` marks tokens, which come before the rest of their lane.
     """
     (size, n), w = symbol.shape, h.shape[1]
-    keep = ~first[:, :, None]
-    prev, zr, news, ys = (np.empty((size, n, k), h.dtype) for k in (w, 2 * w, w, w))
-    gate, step = p["gate"][symbol], p["step"]
-    for t in range(size):
-        h = h * keep[t]
-        prev[t] = h
-        x, y = gate[t], h @ step
-        zr[t] = _sigmoid(x[:, : 2 * w] + y[:, : 2 * w])
-        ys[t] = y[:, 2 * w :]
-        news[t] = np.tanh(x[:, 2 * w :] + zr[t, :, w:] * ys[t])
-        h = news[t] + zr[t, :, :w] * (h - news[t])
+    prev, zr, news, ys, h = _states(p, h.T, symbol, first, True)
     grads = {k: np.zeros_like(x) for k, x in p.items()}
     on = live.ravel()
     back = np.zeros((size * n, w), h.dtype)
-    back[on] = _outputs(p, prev.reshape(-1, w)[on], symbol.ravel()[on], grads)[1]
-    back = back.reshape(size, n, w)
+    back[on] = _outputs(p, prev.transpose(0, 2, 1).reshape(-1, w)[on], symbol.ravel()[on], grads)[1]
+    back = np.ascontiguousarray(back.reshape(size, n, w).transpose(0, 2, 1))
     # what doesn't depend on later steps, for the whole window at once
-    zs, rs = zr[:, :, :w], zr[:, :, w:]
-    to_new = (1 - zs) * (1 - news**2)
+    zs, rs = zr[:, :w], zr[:, w:]
+    to_new = (1 - zs) * (1 - news * news)
     to_z = (prev - news) * zs * (1 - zs)
     to_r = ys * rs * (1 - rs)
-    dgate, dy, dh = np.empty((size, n, 3 * w), h.dtype), np.empty((size, n, 3 * w), h.dtype), np.zeros((n, w), h.dtype)
-    into = step.T.copy()
+    # gradients of the new state's own argument, of both gates, and of the product that the reset gate scales
+    d, dh = np.empty((size, 4 * w, n), h.dtype), np.zeros((w, n), h.dtype)
+    keep, starts, on, dead = (~first).astype(h.dtype), first.any(1).tolist(), live.astype(h.dtype), (~live.all(1)).tolist()
     for t in range(size - 1, -1, -1):
-        dh = dh * live[t, :, None]
-        dn = dh * to_new[t]
-        dgate[t, :, :w] = dh * to_z[t]
-        dgate[t, :, w : 2 * w] = dn * to_r[t]
-        dgate[t, :, 2 * w :] = dn
-        dy[t, :, : 2 * w] = dgate[t, :, : 2 * w]
-        dy[t, :, 2 * w :] = dn * rs[t]
-        dh = (dh * zs[t] + dy[t] @ into + back[t]) * keep[t]
-    grads["step"] += prev.reshape(-1, w).T @ dy.reshape(-1, 3 * w)
-    order = np.argsort(symbol.ravel(), kind="stable")
-    which, at = np.unique(symbol.ravel()[order], return_index=True)
-    grads["gate"][which] = np.add.reduceat(dgate.reshape(-1, 3 * w)[order], at)
-    return grads, h
+        if dead[t]:
+            dh *= on[t]
+        own = d[t]
+        np.multiply(dh, to_new[t], out=own[:w])
+        np.multiply(dh, to_z[t], out=own[w : 2 * w])
+        np.multiply(own[:w], to_r[t], out=own[2 * w : 3 * w])
+        np.multiply(own[:w], rs[t], out=own[3 * w :])
+        dh *= zs[t]
+        dh += p["step"] @ own[w:]
+        dh += back[t]
+        if starts[t]:
+            dh *= keep[t]
+    grads["step"] += np.matmul(prev, d[:, w:].transpose(0, 2, 1)).sum(0)
+    flat_symbol = symbol.ravel()
+    order = np.argsort(flat_symbol, kind="stable")
+    which = flat_symbol[order]
+    at = np.flatnonzero(np.diff(which, prepend=np.int16(-1)))
+    sums = np.add.reduceat(d[:, : 3 * w].transpose(0, 2, 1).reshape(-1, 3 * w)[order], at)
+    grads["gate"][which[at]] = np.concatenate([sums[:, w:], sums[:, :w]], 1)
+    return grads, h.T
 
 
 class Trainer:
@@ -360,14 +417,20 @@ class Trainer:
         grads, self.h[lanes] = window_grads(self.p, self.h[lanes], symbol, first, live)
         self.turn += 1
         scale, size = self.rate / (1 + self.turn / 400), float(live.sum()) ** 0.5
+        slow, fast = 1 - 0.9**self.turn, (1 - 0.99**self.turn) ** 0.5
         for k, g in grads.items():
-            g /= size
-            self.one[k] += 0.1 * (g - self.one[k])
-            g *= g
-            self.two[k] += 0.01 * (g - self.two[k])
-            root = np.sqrt(self.two[k] / (1 - 0.99**self.turn))
-            root += 1e-6
-            self.p[k] -= (scale / (1 - 0.9**self.turn)) * (self.one[k] / root)
+            one, two = self.one[k], self.two[k]
+            g *= 0.1 / size
+            one *= 0.9
+            one += g
+            g *= g  # 0.1 * 0.1, the share of a square in its mean
+            two *= 0.99
+            two += g
+            root = np.sqrt(two, out=g)
+            root += 1e-6 * fast
+            np.divide(one, root, out=root)
+            root *= scale * fast / slow
+            self.p[k] -= root
 
 
 def coded_texts(docs: DataFrame, v: Vocabulary) -> DataFrame:

@@ -473,6 +473,41 @@ def test_training_streams_every_token_once(monkeypatch):
     assert sum(starts) == len(texts) and trainer.tokens == sum(map(len, texts))
 
 
+@pytest.mark.parametrize("scale", [1, 40])
+def test_outputs_are_few_operations(scale):
+    """Each exponential once, in one array for the classes and one for all words: a call for each class took most of the time. Large logits are shifted first."""
+    p, draw = network(8)
+    p = {k: (x * scale).astype(np.float32) for k, x in p.items()}
+    state, target = np.tanh(draw.normal(0, 1, (900, lm.HIDDEN))).astype(np.float32), draw.integers(0, lm.SYMBOLS, 900).astype(np.int16)
+    calls, plain = [], np.exp
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(np, "exp", lambda x, **k: calls.append(x.shape) or plain(x, **k))
+        out, back = lm._outputs(p, state, target, {k: np.zeros_like(x) for k, x in p.items()})
+    assert calls == [(900, lm.ALL_CLASSES), ((target < lm.VOCABULARY).sum(), lm.CLASS_WORDS)]
+    exact = {k: x.astype(float) for k, x in p.items()}
+    want, slope = lm._outputs(exact, state.astype(float), target, {k: np.zeros_like(x) for k, x in exact.items()})
+    assert out == pytest.approx(want, rel=1e-4, abs=1e-3) and back == pytest.approx(slope, rel=1e-3, abs=1e-3 * scale) and np.isfinite(out).all()
+    for k in range(40):
+        kind = lm._class_of(target)[k]
+        x = exact["class"].T @ state[k] + exact["class_0"]
+        total = x[kind] - x.max() - np.log(np.exp(x - x.max()).sum())
+        if target[k] < lm.VOCABULARY:
+            own = slice(kind * lm.CLASS_WORDS, (kind + 1) * lm.CLASS_WORDS)
+            x = exact["word"][own] @ state[k] + exact["word_0"][own]
+            total += x[target[k] % lm.CLASS_WORDS] - x.max() - np.log(np.exp(x - x.max()).sum())
+        assert out[k] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
+def test_places_of_words():
+    draw = np.random.default_rng(4)
+    for words in (draw.integers(0, 1 << 64, 3000, np.uint64), draw.integers(0, 3000, 900, np.uint64), np.array([0, (1 << 64) - 1], np.uint64), np.array([7], np.uint64), np.zeros(0, np.uint64)):
+        words = np.unique(words)
+        v = lm.Vocabulary(words, *[None] * 8)
+        asked = np.concatenate([draw.permutation(words), draw.integers(0, 4000, 500, np.uint64), draw.integers(0, 1 << 64, 500, np.uint64)])
+        where = {int(x): k for k, x in enumerate(words)}
+        assert v.places(asked).tolist() == [where.get(int(x), -1) for x in asked]
+
+
 def test_scores_do_not_depend_on_partitions(spark):
     texts = corpus(12, 60)
     held = F.col("doc_id") % 5 == 2
