@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from itertools import accumulate
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,14 @@ KEPT_CHARS = 48
 KEPT_CHUNKS = 400_000
 #: Pairs of pieces of which a worker remembers whether they stay side by side.
 KEPT_PAIRS = 1_000_000
-#: Texts of which the chunks are counted in one call, and chunks that are worked out side by side.
-GROUP = 64
-SIDE_BY_SIDE = 4096
+#: Characters of texts (one text at least) of which the chunks are counted in one call, and chunks that are worked out side by side.
+GROUP_CHARS = 1 << 22
+SIDE_BY_SIDE = 1 << 15
+#: Chunks up to so many characters, nearly all, are worked out apart from longer ones, which have wider tables.
+WORD_CHARS = 20
 #: Longer chunks are worked out one after the other.
 LONG_CHUNK = 64
+_LAST = itemgetter(-1)
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -85,7 +89,7 @@ class Pieces:
         self.unknown = len(self.names)
         self.beside: dict[int, bool] = {}
         codes, size = _codes(self.names)
-        whole = _sums(codes)[np.arange(len(size)), size]
+        whole = _sums(codes.T)[size, np.arange(len(size))]
         order = np.argsort(whole)
         self.hashes, self.numbers = whole[order], order.astype(np.int32)
         if len(np.unique(whole)) != len(whole):
@@ -108,16 +112,24 @@ class Pieces:
         return parts
 
     def stays(self, left: int, right: int) -> bool:
-        """Whether merging leaves these two pieces as they are: ``apart`` for each pair that is met, once."""
-        if left == self.unknown:
-            return True
-        key = left * (self.unknown + 1) + right
-        found = self.beside.get(key)
-        if found is None:
-            a, b = self.names[left], self.names[right]
-            tied = a in self.tied or b in self.tied
-            found = self.beside[key] = self.merged(a + b) == [a, b] if tied else self.apart(a, b)
-        return found
+        """Whether merging leaves these two pieces as they are."""
+        return left == self.unknown or self.all_stay([left * (self.unknown + 1) + right])[0]
+
+    def all_stay(self, keys: list[int]) -> list[bool]:
+        """For pairs of a piece and a known one after it, as left * (unknown + 1) + right: ``apart`` for each that is met, once."""
+        beside, size = self.beside, self.unknown + 1
+        out = list(map(beside.get, keys))
+        if None in out:
+            for k, key in enumerate(keys):
+                if out[k] is None:
+                    left, right = divmod(key, size)
+                    if left == self.unknown:
+                        out[k] = True
+                        continue
+                    a, b = self.names[left], self.names[right]
+                    tied = a in self.tied or b in self.tied
+                    out[k] = beside[key] = self.merged(a + b) == [a, b] if tied else self.apart(a, b)
+        return out
 
     def apart(self, left: str, right: str) -> bool:
         """Whether no merge across the border of two pieces comes before the merges that made them.
@@ -151,21 +163,28 @@ class Pieces:
                 last[i], count[i] = self.unknown, count[i - 1] + len(chunk[i - 1].encode())
         return count[1:]
 
-    def prefix_counts(self, chunks: list[str]) -> list[np.ndarray]:
-        """Tokens of each prefix of each chunk; chunks are worked out side by side, one prefix length after the other."""
-        order = sorted(range(len(chunks)), key=lambda k: -len(chunks[k]))
-        codes, size = _codes([chunks[k] for k in order])
-        sums, power = _sums(codes), _powers(self.longest + 1)
+    def prefix_counts(self, chunks: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Tokens of each prefix of each chunk, a row for each in the chunks' order, which is best sorted.
+
+        Prefixes are worked out side by side, one length after the other; one that the chunk before has too is taken from there.
+        """
+        codes, size = _codes(chunks)
         n, width = codes.shape
-        last = np.full((n, width + 1), -1, np.int32)
-        count = np.zeros((n, width + 1), np.int32)
-        active = np.searchsorted(-size, -np.arange(width + 1), "right")  # chunks at least so long
+        codes = np.ascontiguousarray(codes.T)
+        sums, power = _sums(codes), _powers(self.longest + 1)
+        # whether a prefix isn't that of the row before (which may be shorter, and then has zeros here)
+        new = np.ones((width, n), bool)
+        new[:, 1:] = np.logical_or.accumulate(codes[:, 1:] != codes[:, :-1], axis=0)
+        new[:, 1:] |= size[:-1] < np.arange(1, width + 1)[:, None]
+        last = np.full((width + 1, n), -1, np.int32)
+        count = np.zeros((width + 1, n), np.int32)
         for i in range(1, width + 1):
-            left = np.arange(active[i])
+            there = size >= i
+            left = own = np.flatnonzero(new[i - 1] & there)
             for length in range(min(i, self.longest), 0, -1):
                 if not len(left):
                     break
-                h = sums[left, i] - sums[left, i - length] * power[length]
+                h = sums[i][left] - sums[i - length][left] * power[length]
                 some = np.flatnonzero(self.maybe[(h >> U64(44)).astype(np.int64)])
                 if not len(some):
                     continue
@@ -174,21 +193,24 @@ class Pieces:
                 some, piece = some[same], self.numbers[at[same]]
                 rows = left[some]
                 if length < i and len(rows):
-                    key = last[rows, i - length].astype(np.int64) * (self.unknown + 1) + piece
+                    key = last[i - length][rows].astype(np.int64) * (self.unknown + 1) + piece
                     distinct, back = np.unique(key, return_inverse=True)
-                    ok = np.array([self.stays(*divmod(k, self.unknown + 1)) for k in distinct.tolist()], bool)[back]
+                    ok = np.array(self.all_stay(distinct.tolist()), bool)[back]
                     some, rows, piece = some[ok], rows[ok], piece[ok]
-                last[rows, i] = piece
-                count[rows, i] = count[rows, i - length] + 1
-                left = np.delete(left, some)
+                last[i][rows] = piece
+                count[i][rows] = count[i - length][rows] + 1
+                rest = np.ones(len(left), bool)
+                rest[some] = False
+                left = left[rest]
             if len(left):
-                c = codes[left, i - 1]
-                last[left, i] = self.unknown
-                count[left, i] = count[left, i - 1] + 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * n
-        for row, k in enumerate(order):
-            out[k] = count[row, 1 : size[row] + 1]
-        return out
+                c = codes[i - 1][left]
+                last[i][left] = self.unknown
+                count[i][left] = count[i - 1][left] + 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+            if len(own) < n:
+                rows = np.flatnonzero(there)
+                first = own[np.searchsorted(own, rows, "right") - 1]
+                last[i][rows], count[i][rows] = last[i][first], count[i][first]
+        return count[1:].T, size.tolist()
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +222,10 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sums(codes: np.ndarray) -> np.ndarray:
-    """Hash of each prefix; that of a range [a, b) is sums[b] - sums[a] * base ** (b - a)."""
-    out = np.zeros((codes.shape[0], codes.shape[1] + 1), U64)
-    for k in range(codes.shape[1]):
-        out[:, k + 1] = out[:, k] * _BASE + mix(codes[:, k].astype(U64) + U64(1))
+    """Hash of each prefix, a column for each text of ``codes``; that of a range [a, b) is sums[b] - sums[a] * base ** (b - a)."""
+    out = np.zeros((codes.shape[0] + 1, codes.shape[1]), U64)
+    for k in range(codes.shape[0]):
+        out[k + 1] = out[k] * _BASE + mix(codes[k].astype(U64) + U64(1))
     return out
 
 
@@ -226,21 +248,28 @@ class Counts(dict):
 
     def learn(self, chunks: set[str]) -> None:
         """Work out the chunks that aren't known yet."""
-        new = list(chunks.difference(self))
-        short = sorted((x for x in new if len(x) <= LONG_CHUNK), key=len)
-        for a in range(0, len(short), SIDE_BY_SIDE):
-            part = short[a : a + SIDE_BY_SIDE]
-            for x, n in zip(part, self.pieces.prefix_counts(part), strict=True):
+        new = sorted(chunks.difference(self))
+        sizes = list(map(len, new))
+        for least, most in ((1, WORD_CHARS), (WORD_CHARS + 1, LONG_CHUNK)):
+            short = [x for x, n in zip(new, sizes, strict=True) if least <= n <= most]
+            for a in range(0, len(short), SIDE_BY_SIDE):
+                part = short[a : a + SIDE_BY_SIDE]
+                found, size = self.pieces.prefix_counts(part)
                 # at most four tokens a character: one byte for each prefix of a short chunk
-                self[x] = n.astype(np.uint8).tobytes() if len(x) < LONG_CHUNK else n
-        for x in new:
-            if len(x) > LONG_CHUNK:
+                width, every = found.shape[1], found.astype(np.uint8).tobytes()
+                for k, x, n in zip(range(0, len(every), width), part, size, strict=True):
+                    self[x] = every[k : k + n] if n < LONG_CHUNK else found[k // width].copy()
+        for x, n in zip(new, sizes, strict=True):
+            if n > LONG_CHUNK:
                 self[x] = self.pieces.long_counts(x)
 
-    def trim(self) -> None:
-        """Between batches: forget all chunks, or pairs of pieces, when they are too many."""
+    def trim(self, chunks: set[str]) -> None:
+        """Between groups: when too many chunks or pairs of pieces are known, forget all pairs, and all chunks but those of this group."""
         if len(self) > KEPT_CHUNKS:
+            kept = {x: self[x] for x in chunks.intersection(self)}
             self.clear()
+            if len(kept) <= KEPT_CHUNKS:
+                self.update(kept)
         if len(self.pieces.beside) > KEPT_PAIRS:
             self.pieces.beside.clear()
 
@@ -264,8 +293,11 @@ class PrefixTable:
 
     def __init__(self, text: str, known: Counts, parts: list[str] | None = None):
         self.parts = known.chunks(text) if parts is None else parts
-        self.own = [known[x] for x in self.parts]
-        self.total = list(accumulate(int(x[-1]) for x in self.own))
+        self.own = list(map(known.__getitem__, self.parts))
+
+    @cached_property
+    def total(self) -> list[int]:
+        return list(accumulate(int(x[-1]) for x in self.own))
 
     @cached_property
     def ends(self) -> list[int]:
@@ -273,7 +305,7 @@ class PrefixTable:
 
     @property
     def n_tokens(self) -> int:
-        return self.total[-1] if self.total else 0
+        return int(sum(map(_LAST, self.own)))
 
     def count(self, chars: int) -> int:
         """Tokens of the first ``chars`` characters, encoded by themselves."""
@@ -308,6 +340,20 @@ class PrefixTable:
         return 0
 
 
+def groups(column: pa.Array) -> Iterator[list[str]]:
+    """Texts of a column (null: empty), GROUP_CHARS in all or one text at a time."""
+    out, chars = [], 0
+    for x in column:
+        text = x.as_py() or ""
+        if out and chars + len(text) > GROUP_CHARS:
+            yield out
+            out, chars = [], 0
+        out.append(text)
+        chars += len(text)
+    if out:
+        yield out
+
+
 def token_counts(docs: DataFrame, model: str, limit: int = 4096, tables: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit, fit_chars); with ``tables`` also prefix_tokens, the counts of the prefixes of 0, 1, 2, ... characters.
 
@@ -323,11 +369,11 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, tables: bool =
         known = counts(model)
         for batch in batches:
             sizes, n, fit, every = [], [], [], []
-            for at in range(0, batch.num_rows, GROUP):
-                texts = [x or "" for x in batch.column(1).slice(at, GROUP).to_pylist()]
+            for texts in groups(batch.column(1)):
                 parts = [known.chunks(x) for x in texts]
-                known.trim()
-                known.learn(seen := set().union(*parts))
+                seen = set().union(*parts)
+                known.trim(seen)
+                known.learn(seen)
                 for text, own in zip(texts, parts, strict=True):
                     sizes.append(len(text.encode()))
                     table = PrefixTable(text, known, own)

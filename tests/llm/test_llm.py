@@ -235,6 +235,37 @@ def test_pieces_stay_side_by_side_as_merging_says():
         assert own.stays(own.number[a], own.number[a]) == (own.merged(a + a) == [a, a]), a
 
 
+def test_chunks_share_the_work_of_their_beginnings(monkeypatch):
+    """Each distinct prefix of a group is worked out once, whatever zeros a text has, and the chunks of the present group outlast trimming."""
+    import sentencepiece
+
+    library, own, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), tokens.counts(MODEL).pieces, random.Random(9)
+    asked, plain = [], own.all_stay
+    monkeypatch.setattr(own, "all_stay", lambda keys: asked.append(len(keys)) or plain(keys))
+    own.prefix_counts([" international"])
+    alone = sum(asked)
+    asked.clear()
+    own.prefix_counts(sorted([" international"] * 3 + [" international"[:n] for n in range(2, 14)]))
+    assert sum(asked) == alone > 0
+    chunks = ["".join(rng.choice("abe\0é日😀") for _ in range(rng.randrange(1, 9))) for _ in range(600)]
+    chunks += ["a", "a\0", "a\0b", "a\0\0", "b", "b\0\0a", "\0", "e" * 40]
+    for some in (sorted(set(chunks)), chunks):
+        found, size = own.prefix_counts(some)
+        assert size == list(map(len, some))
+        for x, row, n in zip(some, found.tolist(), size, strict=True):
+            assert row[:n] == own.long_counts(x).tolist(), x
+    texts = ["a\0", "a", "a\0b a\0", "b\0\0a \0", "x " * 30, None]
+    got = tokens.Counts(MODEL)
+    for t in texts:
+        assert tokens.PrefixTable(t or "", got).n_tokens == len(library.encode(t or "")), t
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 3)
+    before = set(got)
+    got.trim({" x", " a", " new"})
+    assert len(before) > 3 and set(got) == before & {" x", " a"}
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 5)
+    assert list(tokens.groups(pa.array(["abc", "de", "f", None, "long text", ""]))) == [["abc", "de"], ["f", ""], ["long text"], [""]]
+
+
 def test_packing_fills_and_respects_conflicts(spark):
     texts = corpus(2, 80)
     rows = packing.pack(frame(spark, texts, lambda k: None if k % 4 else "hot"), 300, 2, 1000).collect()
